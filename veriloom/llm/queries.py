@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import bpe, chat, secretscan
+from veriloom.llm import bpe, chat, secretscan, topk, warc
+from veriloom.llm.shared import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -69,5 +70,34 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op7_chat_format, op9_secret_scan)}
-ORACLE_SQL = {"op7_chat_format": OP7_SQL}
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("long")
+    return warc.read(spark, path).where("gap is null").select(
+        page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page(F.col("refers_to")).alias("refers_to")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_topk_search, op3_byte_bpe, op7_chat_format, op9_secret_scan, op10_warc)}
+ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op7_chat_format": OP7_SQL}

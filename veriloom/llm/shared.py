@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -65,19 +66,18 @@ def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
     return out
 
 
-def maybe_in(column: str, bitmap: np.ndarray, bits: int = BLOOM_BITS):
-    """A Column that is false only for longs that were not in the bitmap's input."""
-    spark = SparkSession.getActiveSession()
+def maybe_in(spark: SparkSession, value: Column, bitmap: np.ndarray, bits: int = BLOOM_BITS) -> Column:
+    """A Column that is false only for longs that were not in the bitmap's input. The bitmap's size is fixed by bits."""
+    if not bitmap.any():
+        return F.lit(False)
     shared = spark.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
-    def test(slots):
-        import pandas as pd
-
+    def test(slots: pd.Series) -> pd.Series:
         s = slots.to_numpy().astype(np.int64)
         return pd.Series(((shared.value[s >> 6] >> (s & 63)) & 1).astype(bool))
 
-    return test(F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits)))
+    return test(F.pmod(F.xxhash64(value.cast("long")), F.lit(1 << bits)))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

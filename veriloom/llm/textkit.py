@@ -23,6 +23,8 @@ _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: All ASCII characters but letters and digits part these; other characters are taken as letters.
+NO_LETTER = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 SLICE_BYTES = 4 << 20
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
@@ -57,6 +59,12 @@ class Words:
     end: np.ndarray
     data: np.ndarray
     row: int
+    prefix: np.ndarray
+
+    def part(self, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Hash of the bytes at:to of the batch."""
+        h = (self.prefix[to] - self.prefix[at]) * powers(len(self.prefix))[1][at]
+        return mix(h + (to - at).astype(U) * U(0xD6E8FEB86659FD93))
 
     @property
     def doc(self) -> np.ndarray:
@@ -87,10 +95,10 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
         at = to
 
 
-def words(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES, space: np.ndarray = _SPACE) -> Iterator[Words]:
     """Words of consecutive parts of a string column."""
     for row, n, offsets, data in slices(column, most):
-        solid = ~_SPACE[data]
+        solid = ~space[data]
         edge = np.zeros(len(data) + 1, bool)  # a word starts here, if solid
         edge[offsets[:-1]] = True
         edge[1:] |= np.append(~solid, False)[: len(data)]
@@ -101,12 +109,12 @@ def words(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> Ite
             ends = offsets[1:] - 1
             stop[ends[ends >= 0]] = True
         end = np.flatnonzero(solid & stop) + 1
-        up, down = powers(len(data) + 1)
+        up = powers(len(data) + 1)[0]
         prefix = np.zeros(len(data) + 1, U)
         np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * up[: len(data)], out=prefix[1:])
-        h = (prefix[end] - prefix[start]) * down[start]
-        h = mix(h + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
-        yield Words(h, np.searchsorted(start, offsets), start, end, data, row)
+        w = Words(np.zeros(0, U), np.searchsorted(start, offsets), start, end, data, row, prefix)
+        w.hash = w.part(start, end)
+        yield w
 
 
 def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
