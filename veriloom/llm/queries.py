@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import bpe, chat, secretscan, topk, warc
+from veriloom.llm import bpe, chat, decontam, langid, secretscan, topk, toxicity, warc
 from veriloom.llm.shared import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,21 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def in_fold(c: str = "doc_id"):
+    """Rows of the held-out fold; a null id is in none."""
+    return F.coalesce(F.crc32(F.col(c).cast("string")) % 5 == 0, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~in_fold()))
+    return toxicity.score(docs, machine).select("doc_id", in_fold().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
@@ -70,6 +85,15 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by markup, address, host and text; documents by source and text. One row each: page_id or doc_id is null."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.fit(docs)
+    none = F.lit(None).cast("long")
+    rows = langid.of_pages(pages).withColumn("doc_id", none).unionByName(langid.of_documents(docs).withColumn("page_id", none))
+    return langid.detect(rows, model, ["page_id", "doc_id"])
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64.0)
@@ -99,5 +123,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_topk_search, op3_byte_bpe, op7_chat_format, op9_secret_scan, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op5_toxicity, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
 ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op7_chat_format": OP7_SQL}

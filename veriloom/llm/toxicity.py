@@ -26,12 +26,13 @@ U = np.uint64
 @dataclass(frozen=True)
 class Settings:
     """positives, negatives: the most labelled rows of either class that training reads (those of the smallest
-    id hashes; class weights restore the labels' true shares). terms: slots kept, by how well they tell the
-    classes apart. factors: length of a term's vector."""
+    id hashes; class weights restore the labels' true shares). terms, least_z: slots kept, at most and by the
+    z-score of their log odds between the classes. factors: length of a term's vector."""
 
     positives: int = 12_000
     negatives: int = 24_000
     terms: int = 16_384
+    least_z: float = 2.6
     factors: int = 8
     epochs: int = 12
     rate: float = 0.1
@@ -86,12 +87,11 @@ def train(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, weight: np.ndarray,
     slots = np.full(1 << BITS, -1, np.int32)
     if not len(slot):
         return Machine(slots, np.log(prior / (1 - prior)), np.zeros(1), np.zeros((1, s.factors)))
-    df = np.bincount(slot, minlength=1 << BITS)
-    pos, all_ = (np.bincount(slot, x[doc], 1 << BITS) for x in (share * y, share))
-    odds = np.log((pos + 1e-5) / (prior + 2e-5)) - np.log((all_ - pos + 1e-5) / (1 - prior + 2e-5))
-    gain = np.where(df >= 2, np.abs(odds) * np.sqrt(df), 0)
-    best = np.sort(np.argpartition(-gain, min(s.terms, len(gain) - 1))[: s.terms])
-    best = best[gain[best] > 0]
+    pos, neg = (np.bincount(slot, (y[doc] == k).astype(float), 1 << BITS) + 0.5 for k in (1, 0))
+    odds = np.log(pos / ((y == 1).sum() + 1)) - np.log(neg / ((y == 0).sum() + 1))
+    z = np.abs(odds) / np.sqrt(1 / pos + 1 / neg)
+    best = np.sort(np.argpartition(-z, min(s.terms, len(z) - 1))[: s.terms])
+    best = best[z[best] >= s.least_z]
     slots[best] = np.arange(len(best))
     term = slots[slot]
     keep = term >= 0
