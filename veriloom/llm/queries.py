@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import bpe, chat, decontam, langid, secretscan, topk, toxicity, warc
+from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, topk, toxicity, warc
 from veriloom.llm.shared import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,45 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"), minhash.Plan(words=3, percent=85))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM w
+), node AS (
+  SELECT min(doc_id) AS id, list_sort(s) AS s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY list_sort(s), len(s)
+), one AS (
+  SELECT id, n, unnest(s) AS x FROM node
+), rare AS (
+  SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY f, x) AS k
+  FROM (SELECT id, n, x, count(*) OVER (PARTITION BY x) AS f FROM one)
+), pre AS (
+  SELECT id, n, x FROM rare WHERE k <= n - CAST(ceil(0.85 * n) AS BIGINT) + 1
+), pair AS (
+  SELECT DISTINCT a.id AS u, b.id AS v FROM pre a JOIN pre b ON a.x = b.x AND a.id < b.id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), link AS (
+  SELECT u, v FROM pair JOIN node a ON a.id = u JOIN node b ON b.id = v
+  WHERE 100 * len(list_intersect(a.s, b.s)) >= 85 * (a.n + b.n - len(list_intersect(a.s, b.s)))
+), edge AS (
+  SELECT u, v FROM link UNION ALL SELECT v, u FROM link
+), reach AS (
+  SELECT id, id AS c FROM node UNION SELECT e.v, r.c FROM reach r JOIN edge e ON e.u = r.id
+), comp AS (
+  SELECT id, min(c) AS c FROM reach GROUP BY id
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id, coalesce(c.c, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN node ON node.s = list_sort(s.s) AND len(s.s) > 0 LEFT JOIN comp c ON c.id = node.id
+"""
+
+
 def in_fold(c: str = "doc_id"):
     """Rows of the held-out fold; a null id is in none."""
     return F.coalesce(F.crc32(F.col(c).cast("string")) % 5 == 0, F.lit(False))
@@ -123,5 +162,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op5_toxicity, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
-ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op7_chat_format": OP7_SQL}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
+ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op7_chat_format": OP7_SQL}
