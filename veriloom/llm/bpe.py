@@ -1,27 +1,32 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of byte spans. Every adjacent pair whose bytes have a rank waits in the
-bucket of that rank; a bitmap of three levels (64 ranks a word, 64 words a word) says which buckets
-hold anything, so that the next rank to merge is three find-first-set steps away however long the
-pre-token is. A merge leaves stale entries behind; they are recognised when they come up, as the
-pair at that position then has another rank. Cost: O(log) for each of at most 3n queue entries.
+Pre-tokens are linked lists of byte spans. Every adjacent pair whose bytes have a rank waits, by its
+position, in the bucket of that rank; a bitmap of three levels (64 ranks a word, 64 words a word) says
+which buckets hold anything, so that the next rank to merge is three find-first-set steps away however
+much text is queued. A merge leaves stale entries behind; they are recognised when they come up, as the
+pair at that position then has another rank. Many pre-tokens share one queue (merges in one never touch
+another), so that a bucket is found once for all of them; a bucket is left at once when a merge made a
+pair of smaller rank.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct pre-tokens whose ids a worker keeps, and the longest of them in characters. Only speed depends on these.
-CACHE_ITEMS = 200_000
+CACHE_ITEMS = 400_000
 CACHE_CHARS = 48
+#: Pre-tokens that share a queue, and characters of texts taken at once: larger numbers only leave the CPU's caches.
+QUEUED, TAKEN = 500, 1 << 16
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -30,7 +35,7 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """A priority queue of (rank, position), smallest rank and then leftmost position first."""
+    """Buckets of positions by rank; next() is the smallest rank that has any, with its positions ascending."""
 
     def __init__(self, ranks: int):
         self.low = [0] * ((ranks >> 6) + 1)
@@ -38,36 +43,33 @@ class RankQueue:
         self.top = 0
         self.bucket: dict[int, list[int]] = {}
 
-    def push(self, rank: int, at: int) -> None:
+    def put(self, rank: int, positions: list[int]) -> None:
         b = self.bucket.get(rank)
         if b is not None:
-            heappush(b, at)
+            b += positions
             return
-        self.bucket[rank] = [at]
+        self.bucket[rank] = positions
         i = rank >> 6
         self.low[i] |= 1 << (rank & 63)
         self.mid[i >> 6] |= 1 << (i & 63)
         self.top |= 1 << (i >> 6)
 
-    def pop(self) -> tuple[int, int] | None:
+    def next(self) -> tuple[int, list[int]] | None:
         if not self.top:
             return None
-        i = (self.top & -self.top).bit_length() - 1
-        w = self.mid[i]
-        i = i << 6 | (w & -w).bit_length() - 1
+        j = (self.top & -self.top).bit_length() - 1
+        w = self.mid[j]
+        i = j << 6 | (w & -w).bit_length() - 1
         w = self.low[i]
         rank = i << 6 | (w & -w).bit_length() - 1
-        b = self.bucket[rank]
-        at = heappop(b)
-        if not b:
-            del self.bucket[rank]
-            self.low[i] &= w - 1
-            if not self.low[i]:
-                j = i >> 6
-                self.mid[j] &= self.mid[j] - 1
-                if not self.mid[j]:
-                    self.top &= self.top - 1
-        return rank, at
+        self.low[i] = w & (w - 1)
+        if not self.low[i]:
+            self.mid[j] &= self.mid[j] - 1
+            if not self.mid[j]:
+                self.top &= self.top - 1
+        b = self.bucket.pop(rank)
+        b.sort()
+        return rank, b
 
 
 class Tokenizer:
@@ -78,69 +80,127 @@ class Tokenizer:
         self.split = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.cache = _Cache(self)
-
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token."""
-        ranks, n = self.ranks, len(piece)
-        whole = ranks.get(piece)
-        if whole is not None:
-            return (whole,)
-        if not n:
-            return ()
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [ranks.get(piece[i : i + 2]) for i in range(n - 1)]
-        pair.append(None)
-        push, pop = self.queue.push, self.queue.pop
-        for i, r in enumerate(pair):
-            if r is not None:
-                push(r, i)
-        while (e := pop()) is not None:
-            r, i = e
-            if pair[i] != r:
-                continue  # stale
-            j = nxt[i]
-            k = nxt[j]
-            nxt[i], pair[j] = k, None
-            if k < n:
-                prv[k] = i
-                pair[i] = r = ranks.get(piece[i : nxt[k]])
-                if r is not None:
-                    push(r, i)
-            else:
-                pair[i] = None
-            p = prv[i]
-            if p >= 0:
-                pair[p] = r = ranks.get(piece[p:k])
-                if r is not None:
-                    push(r, p)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : nxt[i]]])
-            i = nxt[i]
-        return tuple(out)
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.cache.__getitem__, self.split(text))))
+        self.cache: dict[str, tuple[int, ...]] = {}
+        self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.double = np.full(1 << 16, -1, np.int64)
+        for k, v in ranks.items():
+            if len(k) == 2:
+                self.double[k[0] << 8 | k[1]] = v
+
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each of some non-empty pre-tokens."""
+        get = self.ranks.get
+        out: list = [(r,) if (r := get(x)) is not None else None for x in pieces]
+        work = [i for i, x in enumerate(out) if x is None]
+        if not work:
+            return out
+        buf = b"".join([pieces[i] for i in work])
+        n = len(buf)
+        starts = np.cumsum([0] + [len(pieces[i]) for i in work])
+        edge = bytearray(n + 1)  # a pre-token begins here
+        data = np.frombuffer(buf, np.uint8).astype(np.int64)
+        np.frombuffer(edge, np.uint8)[starts] = 1
+        rank = np.full(n, -1, np.int64)
+        rank[:-1] = self.double[data[:-1] << 8 | data[1:]]
+        rank[starts[1:] - 1] = -1
+        pair, token = rank.tolist(), self.single[data].tolist()
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n))
+        queue = self.queue
+        order = np.argsort(rank, kind="stable")
+        held = rank[order]
+        order = order[np.searchsorted(held, 0) :]
+        held = held[np.searchsorted(held, 0) :]
+        cuts = np.flatnonzero(np.diff(held, prepend=-1, append=-1)).tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            queue.put(int(held[a]), order[a:b].tolist())
+        bucket, put = queue.bucket, queue.put
+        while (e := queue.next()) is not None:
+            r, at = e
+            for done, i in enumerate(at):
+                if pair[i] != r:
+                    continue  # stale
+                j = nxt[i]
+                k = nxt[j]
+                nxt[i], token[i], pair[j] = k, r, -1
+                least = r
+                if edge[k]:
+                    pair[i] = -1
+                else:
+                    prv[k] = i
+                    q = get(buf[i : nxt[k]])
+                    if q is None:
+                        pair[i] = -1
+                    else:
+                        pair[i] = q
+                        if q in bucket:
+                            bucket[q].append(i)
+                        else:
+                            put(q, [i])
+                        if q < least:
+                            least = q
+                if not edge[i]:
+                    p = prv[i]
+                    q = get(buf[p:k])
+                    if q is None:
+                        pair[p] = -1
+                    else:
+                        pair[p] = q
+                        if q in bucket:
+                            bucket[q].append(p)
+                        else:
+                            put(q, [p])
+                        if q < least:
+                            least = q
+                if least < r:
+                    if done + 1 < len(at):
+                        put(r, at[done + 1 :])
+                    break
+        ends = starts.tolist()
+        for w, i, end in zip(work, ends, ends[1:], strict=False):
+            ids = []
+            while i < end:
+                ids.append(token[i])
+                i = nxt[i]
+            out[w] = tuple(ids)
+        return out
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        split = [self.split(x) for x in texts]
+        cache = self.cache
+        new = list(set(chain.from_iterable(split)).difference(cache))
+        if len(cache) + len(new) > CACHE_ITEMS:
+            cache.clear()
+            new = list(set(chain.from_iterable(split)))
+        for at in range(0, len(new), QUEUED):
+            part = new[at : at + QUEUED]
+            cache.update(zip(part, self.merge([x.encode() for x in part]), strict=True))
+        out = [list(chain.from_iterable(map(cache.__getitem__, x))) for x in split]
+        for x in new:
+            if len(x) > CACHE_CHARS:
+                del cache[x]
+        return out
+
+    def encode_all(self, texts: list[str], most: int = TAKEN):
+        """Ids of each text, a few texts at a time."""
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) <= most):
+                size += len(texts[to])
+                to += 1
+            gc.disable()  # encoding makes no cycles, and each look for them walks the whole cache
+            try:
+                out = self.encode(texts[at:to])
+            finally:
+                gc.enable()
+            yield from out
+            at = to
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-class _Cache(dict):
-    def __init__(self, of: Tokenizer):
-        super().__init__()
-        self.of = of
-
-    def __missing__(self, token: str) -> tuple[int, ...]:
-        ids = self.of.merge(token.encode("utf-8"))
-        if len(token) <= CACHE_CHARS:
-            if len(self) >= CACHE_ITEMS:
-                self.clear()
-            self[token] = ids
-        return ids
-
-
 _ready: dict[tuple[int, str], Tokenizer] = {}
 
 
@@ -172,7 +232,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         t = tokenizer(shared.value, pattern)
         for b in batches:
-            ids = [t.encode(x or "") for x in b.column(1).to_pylist()]
+            ids = list(t.encode_all([x or "" for x in b.column(1).to_pylist()]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
@@ -198,8 +258,8 @@ def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode each whole text, decode its ids, and return digests: (id_col, n_tokens, ids_sha256, decoded_sha256).
 
-    ids_sha256 is of the decimal ids joined by commas. One pass, without a shuffle: the ids of one
-    document at a time are in memory.
+    ids_sha256 is of the decimal ids joined by commas. One pass, without a shuffle: the ids of
+    a few documents at a time are in memory.
     """
     shared = _ranks(docs.sparkSession, path)
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -209,8 +269,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         decimal = {i: str(i) for i in t.bytes_of}
         for b in batches:
             n, coded, decoded = [], [], []
-            for x in b.column(1):
-                ids = t.encode(x.as_py() or "")
+            for ids in t.encode_all([x or "" for x in b.column(1).to_pylist()]):
                 n.append(len(ids))
                 coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(t.decode(ids)).hexdigest())
