@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, topk, toxicity, warc
+from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, substring, topk, toxicity, warc
 from veriloom.llm.shared import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -70,6 +70,31 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).select("doc_id", in_fold().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS p, w FROM w WHERE len(w) >= 20
+), g AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS g FROM p
+), later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM g) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p + unnest(range(0, 20)) AS p FROM later
+), words AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM w
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -162,5 +187,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
-ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op7_chat_format": OP7_SQL}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
+ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_chat_format": OP7_SQL}
