@@ -255,26 +255,38 @@ def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
     return src.mapInArrow(run, f"`{id_col}` {kind}, data binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode each whole text, decode its ids, and return digests: (id_col, n_tokens, ids_sha256, decoded_sha256).
 
-    ids_sha256 is of the decimal ids joined by commas. One pass, without a shuffle: the ids of
-    a few documents at a time are in memory.
+    ids_sha256 is of the decimal ids joined by commas; with_ids=True adds ids array<int>. One pass, without a
+    shuffle: the ids of a few documents at a time are in memory. Nulls and repeats as in encode().
     """
     shared = _ranks(docs.sparkSession, path)
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
         t = tokenizer(shared.value, pattern)
         decimal = {i: str(i) for i in t.bytes_of}
         for b in batches:
-            n, coded, decoded = [], [], []
-            for ids in t.encode_all([x or "" for x in b.column(1).to_pylist()]):
+            n, coded, decoded, held, size, first = [], [], [], [], 0, 0
+
+            def flush(first, last):
+                cols = [b.column(0)[first:last], pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]  # noqa: B023
+                cols += [pa.array(held, pa.list_(pa.int32()))] * with_ids  # noqa: B023
+                return pa.RecordBatch.from_arrays(cols, names=names)
+
+            for row, ids in enumerate(t.encode_all([x or "" for x in b.column(1).to_pylist()])):
                 n.append(len(ids))
                 coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(t.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], names=names)
+                if with_ids:
+                    held.append(np.array(ids, np.int32))
+                    size += len(ids)
+                    if size > 1 << 21:
+                        yield flush(first, row + 1)
+                        n, coded, decoded, held, size, first = [], [], [], [], 0, row + 1
+            yield flush(first, b.num_rows)
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     kind = src.schema[0].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return src.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -113,3 +113,27 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", name: str = "dropped") -> DataFrame:
+    """docs but the rows whose id is among ids(id): an anti-join that shuffles only rows that a bounded filter can't clear.
+
+    Rows with a null id stay.
+    """
+    gone = cut(ids.select(F.col("id").cast("long").alias("__gone")).where("__gone is not null").distinct(), name)
+    hit = F.coalesce(maybe_in(docs.sparkSession, F.col(id_col), bloom(gone, "__gone")), F.lit(False))
+    marked = docs.withColumn("__hit", hit)
+    rest = marked.where("__hit").drop("__hit").join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    return marked.where("not __hit").drop("__hit").unionByName(rest)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of those that repeat an id and its text. Only rows of repeated ids are shuffled; null ids stay."""
+    often = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__often")).count().where("count > 1")
+    bitmap = bloom(often, "__often")
+    if not bitmap.any():
+        return docs
+    hit = F.coalesce(maybe_in(docs.sparkSession, F.col(id_col), bitmap), F.lit(False))
+    marked = docs.withColumn("__hit", hit)
+    rest = marked.where("__hit").withColumn("__h", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).dropDuplicates([id_col, "__h"])
+    return marked.where("not __hit").drop("__hit").unionByName(rest.drop("__hit", "__h"))

@@ -182,3 +182,21 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, score double")
+
+
+def keep_clean(docs: DataFrame, machine: Machine, limit: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all columns, whose score is below limit. Null and empty texts score the prior. No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            out = np.zeros(b.num_rows)
+            for row, n, doc, slot in terms(b.column(at)):
+                term = m.slot[slot]
+                doc, term = distinct(doc[term >= 0], term[term >= 0].astype(np.int64))
+                out[row : row + n] = m.score(doc, term, n)
+            yield b.filter(pa.array(out < limit))
+
+    return docs.mapInArrow(run, docs.schema)
