@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct pre-tokens whose ids a worker keeps, and the longest of them in characters. Only speed depends on these.
-CACHE_ITEMS = 400_000
+CACHE_ITEMS = 250_000
 CACHE_CHARS = 48
 #: Pre-tokens that share a queue, and characters of texts taken at once: larger numbers only leave the CPU's caches.
 QUEUED, TAKEN = 500, 1 << 16
@@ -181,8 +181,12 @@ class Tokenizer:
                 del cache[x]
         return out
 
-    def encode_all(self, texts: list[str], most: int = TAKEN):
-        """Ids of each text, a few texts at a time."""
+    def encode_all(self, column: pa.Array, rows: int = 500):
+        """Ids of each text of a column, a few texts at a time; a null is empty."""
+        for a in range(0, len(column), rows):
+            yield from self._some([x or "" for x in column.slice(a, rows).to_pylist()])
+
+    def _some(self, texts: list[str], most: int = TAKEN):
         at = 0
         while at < len(texts):
             to, size = at, 0
@@ -232,7 +236,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         t = tokenizer(shared.value, pattern)
         for b in batches:
-            ids = list(t.encode_all([x or "" for x in b.column(1).to_pylist()]))
+            ids = list(t.encode_all(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
@@ -275,14 +279,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 cols += [pa.array(held, pa.list_(pa.int32()))] * with_ids  # noqa: B023
                 return pa.RecordBatch.from_arrays(cols, names=names)
 
-            for row, ids in enumerate(t.encode_all([x or "" for x in b.column(1).to_pylist()])):
+            for row, ids in enumerate(t.encode_all(b.column(1))):
                 n.append(len(ids))
                 coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(t.decode(ids)).hexdigest())
                 if with_ids:
                     held.append(np.array(ids, np.int32))
                     size += len(ids)
-                    if size > 1 << 21:
+                    if size > 1 << 18:
                         yield flush(first, row + 1)
                         n, coded, decoded, held, size, first = [], [], [], [], 0, row + 1
             yield flush(first, b.num_rows)

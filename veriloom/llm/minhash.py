@@ -8,15 +8,15 @@ independent minima.
 
 Links: documents of equal sets are one node. Coordinates are banded into buckets; each node of a bucket
 is verified on full sets against the bucket's smallest node, which connects most of it without a pair
-of others; then only nodes of one bucket whose components still differ are paired, in blocks of bounded
-size, where a coordinate count drops hopeless pairs and full sets verify the rest. What is left unpaired
-is in one component already, so no link between components is lost.
+of others; then only a bucket's stragglers, nodes of another component than its first node's, meet its
+nodes, in blocks of bounded size, on full sets. What isn't compared is in one component already, so no
+link between components is lost.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil, floor, log, sqrt
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.llm import textkit
-from veriloom.llm.shared import bloom, components, cut, forget, maybe_in
+from veriloom.llm.shared import bloom, components, cut, flagged, forget
 
 U = np.uint64
 MAX = U(0xFFFFFFFFFFFFFFFF)
@@ -48,12 +48,6 @@ class Plan:
     def size(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def least_equal(self) -> int:
-        """Equal coordinates below which a pair is hopeless: six standard deviations under the threshold."""
-        j = self.percent / 100
-        return max(0, floor(self.size * j - 6 * sqrt(self.size * j * (1 - j))))
-
 
 def shingle_sets(w: textkit.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of runs of k words of each document, ascending, and the documents' offsets.
@@ -104,10 +98,10 @@ def _sum(x: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, d1, d2, bands array<long>, sig binary): set size, a 128-bit digest of the set, band keys, a byte a coordinate."""
+    """(id, n, d1, d2, bands array<long>): set size, a 128-bit digest of the set, band keys."""
     b, r, t = p.bands, p.rows, p.size
     seeds = textkit.mix(np.arange(7, 7 + b, dtype=U) * U(0xA24BAED4963EE407))
-    names = ["id", "n", "d1", "d2", "bands", "sig"]
+    names = ["id", "n", "d1", "d2", "bands"]
 
     def run(batches):
         for batch in batches:
@@ -122,7 +116,6 @@ def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "
                 has = np.diff(off) > 0
                 sizes = np.where(has, b, 0)
                 bands = textkit.long_list(key[has].ravel(), np.concatenate([[0], np.cumsum(sizes)]))
-                sig = (textkit.mix(c) & U(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[w.row : w.row + n],
@@ -130,18 +123,16 @@ def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "
                         pa.array(_sum(textkit.mix(s ^ U(0x5851F42D4C957F2D)), off).view(np.int64)),
                         pa.array(_sum(textkit.mix(s ^ U(0x14057B7EF767814F)), off).view(np.int64)),
                         bands,
-                        pa.array([x.tobytes() for x in sig], pa.binary()),
                     ],
                     names=names,
                 )
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>, sig binary")
+    return src.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
     """(id, s array<long>): the full shingle sets of wanted(id), computed again from the texts."""
-    spark = docs.sparkSession
     known = bloom(wanted, "id")
 
     def run(batches):
@@ -151,7 +142,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, p: Plan, id_col: str, text_col:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[w.row : w.row + len(off) - 1], textkit.long_list(s, off)], names=["id", "s"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return src.where(maybe_in(spark, F.col("id"), known)).mapInArrow(run, "id long, s array<long>").join(wanted, "id", "left_semi")
+    return flagged(src, F.col("id"), known, "hit").where("hit").select("id", "text").mapInArrow(run, "id long, s array<long>").join(wanted, "id", "left_semi")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
@@ -165,23 +156,56 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col:
     return links
 
 
-def _block_pairs(p: Plan):
-    """Pairs of different labels in each (key, i, j) group of a partition sorted by them; a group's rows may span batches."""
-    least, percent = p.least_equal, p.percent
+def _block_links(percent: int):
+    """Links between stragglers (side 0) and members (side 1) of each (key, i, j) block of a partition sorted by them.
+
+    A block's intersections are one product of two 0/1 matrices over the shingles that both sides have; of its links
+    only those that join labels not joined yet in the block are returned. A block's rows may span batches.
+    """
 
-    def group(part: np.ndarray, ids, label, n, sig, out) -> None:
-        if (label[0] == label).all():
+    def links(side, ids, label, n, sets, out) -> None:
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(a) or not len(b):
             return
-        for x in range(len(ids) - 1):
-            rest = slice(x + 1, None)
-            ok = (label[rest] != label[x]) & (100 * np.minimum(n[rest], n[x]) >= percent * np.maximum(n[rest], n[x]))
-            if part[0] != part[-1]:
-                ok &= part[rest] != part[x]
-            at = np.flatnonzero(ok) + x + 1
-            if len(at):
-                at = at[(sig[at] == sig[x]).sum(1) >= least]
-                out[0].append(np.minimum(ids[at], ids[x]))
-                out[1].append(np.maximum(ids[at], ids[x]))
+        sizes = np.array([len(x) for x in sets])
+        values = np.concatenate(sets)
+        row = np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, row = values[order], row[order]
+        new = np.ones(len(values), bool)
+        new[1:] = values[1:] != values[:-1]
+        col = np.cumsum(new) - 1
+        on = side[row]
+        both = (np.bincount(col, on == 0) > 0) & (np.bincount(col, on == 1) > 0)
+        place = np.cumsum(both) - 1
+        keep = both[col]
+        col, row = place[col[keep]], row[keep]
+        at = np.zeros(len(ids), np.int64)
+        at[a], at[b] = np.arange(len(a)), np.arange(len(b))
+        same = np.zeros((len(a), len(b)), np.float32)
+        width = 1 << 14
+        for lo in range(0, int(both.sum()), width):
+            x, y = np.searchsorted(col, [lo, lo + width])
+            m = [np.zeros((len(t), width), np.float32) for t in (a, b)]
+            r, c = row[x:y], col[x:y] - lo
+            for k in (0, 1):
+                mine = side[r] == k
+                m[k][at[r[mine]], c[mine]] = 1
+            same += m[0] @ m[1].T
+        ok = (100 * same >= percent * (n[a][:, None] + n[b][None, :] - same)) & (label[a][:, None] != label[b][None, :])
+        top: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        for i, j in zip(*(z.tolist() for z in np.nonzero(ok)), strict=True):
+            p, q = root(int(label[a[i]])), root(int(label[b[j]]))
+            if p != q:
+                top[max(p, q)] = min(p, q)
+                out[0].append(int(ids[a[i]]))
+                out[1].append(int(ids[b[j]]))
 
     def run(batches):
         held = None
@@ -194,37 +218,44 @@ def _block_pairs(p: Plan):
             if not len(new):
                 held = t
                 continue
-            yield pairs(t.slice(0, new[-1]), np.concatenate([[0], new]))
+            yield blocks(t.slice(0, new[-1]), np.concatenate([[0], new]))
             held = t.slice(new[-1])
         if held is not None and held.num_rows:
-            yield pairs(held, np.array([0, held.num_rows]))
+            yield blocks(held, np.array([0, held.num_rows]))
 
-    def pairs(t: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
-        part, ids, label, n = (t.column(c).to_numpy() for c in ("part", "id", "label", "n"))
-        raw = b"".join(t.column("sig").to_pylist())
-        sig = np.frombuffer(raw, np.uint8).reshape(len(ids), -1)
+    def blocks(t: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        side, ids, label, n = (t.column(c).to_numpy() for c in ("side", "id", "label", "n"))
+        lists = t.column("s").combine_chunks()
+        off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         out: tuple[list, list] = ([], [])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if b - a > 1:
-                o = np.argsort(part[a:b], kind="stable") + a
-                group(part[o], ids[o], label[o], n[o], sig[o], out)
-        cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["u", "v"])
+            links(side[a:b], ids[a:b], label[a:b], n[a:b], [flat[off[x] : off[x + 1]] for x in range(a, b)], out)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["u", "v"])
 
     return run
 
 
-def rest_pairs(rows: DataFrame, tagged: DataFrame, p: Plan) -> DataFrame:
-    """Pairs (u, v) that are left to verify: of one bucket, of different labels. rows: (key, id, label)."""
-    mixed = rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("c")).where("l <> m").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("parts"))
-    some = rows.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    some = some.join(tagged.select("id", "n", "sig"), "id")
-    blocks = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "label", "n", "sig"
-    )
+def rest_links(rows: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) that join buckets' stragglers: nodes of another label than their bucket's first node. rows: (key, id, n, label).
+
+    Each straggler meets every node of its bucket, in blocks of about BLOCK by BLOCK nodes.
+    """
+    lead = rows.groupBy("key").agg(F.min(F.struct("id", "label")).alias("f"), F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("c")).where("l <> m")
+    some = rows.join(lead.select("key", F.col("f.label").alias("first"), "c"), "key")
+    some = cut(some.select("key", "id", "n", "label", (F.col("label") != F.col("first")).alias("odd"), "c"), "mixed")
+    sets = cut(sets_of(docs, some.select("id").distinct(), p, id_col, text_col).dropDuplicates(["id"]), "sets")
+    parts = some.where("odd").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("na"), F.ceil(F.max("c") / BLOCK).cast("int").alias("nb"))
+    known = some.join(parts, "key")
+    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["key", "i", "j", "side", "id", "label", "n"]
+    odd = known.where("odd").withColumns({"i": deal("na", 1), "side": F.lit(0)}).withColumn("j", upto("nb")).select(*cols)
+    every = known.withColumns({"j": deal("nb", 2), "side": F.lit(1)}).withColumn("i", upto("na")).select(*cols)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = blocks.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_block_pairs(p), "u long, v long").distinct()
+    dealt = odd.unionByName(every).join(sets, "id").select(*cols, "s").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = cut(dealt.mapInArrow(_block_links(p.percent), "u long, v long").distinct(), "links")
+    forget(some, sets)
+    return found
 
 
 def groups(docs: DataFrame, p: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,7 +269,7 @@ def groups(docs: DataFrame, p: Plan = Plan(), id_col: str = "doc_id", text_col:
     s = cut(sketches(docs, p, id_col, text_col), "sketches")
     usable = s.where("n > 0 and id is not null")
     equal = usable.groupBy("d1", "d2").agg(F.min("id").alias("node"))
-    tagged = cut(usable.join(equal, ["d1", "d2"]).select("id", "node", "n", *[F.when(F.col("id") == F.col("node"), F.col(c)).alias(c) for c in ("bands", "sig")]), "tagged")
+    tagged = cut(usable.join(equal, ["d1", "d2"]).select("id", "node", "n", F.when(F.col("id") == F.col("node"), F.col("bands")).alias("bands")), "tagged")
     none = s.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     nodes = tagged.where("id = node")
     rows = nodes.select("id", "n", F.explode("bands").alias("key")).distinct()
@@ -247,10 +278,9 @@ def groups(docs: DataFrame, p: Plan = Plan(), id_col: str = "doc_id", text_col:
     star = cut(rows.join(first, "key").where("id <> u").where(close).select("u", F.col("id").alias("v")).distinct(), "star")
     links = verified(star, docs, p, id_col, text_col)
     found = cut(components(links), "components")
-    labelled = rows.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
-    more = cut(rest_pairs(labelled, nodes, p).join(star, ["u", "v"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        again = verified(more, docs, p, id_col, text_col)
+    labelled = rows.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
+    again = rest_links(labelled, docs, p, id_col, text_col)
+    if not again.isEmpty():
         edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v").unionByName(again)
         found = cut(components(edges), "components")
     out = tagged.join(found, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))

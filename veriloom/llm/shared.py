@@ -5,8 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,37 +45,36 @@ def remove(spark: SparkSession, path: str) -> None:
 BLOOM_BITS = 22
 
 
-def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A one-hash filter over a long column, as 2**bits bits whatever the input's size (512 KB by default).
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+    """Arrow batches small enough that a few of long texts fit a worker beside its executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
-    Only the bitmap's words reach the driver: at most 2**bits / 64 rows of 12 bytes. False positives
-    grow with the input, false negatives don't exist, and every user confirms by an exact join.
+
+def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> DataFrame:
+    """A one-hash filter over a long column: (__w, __m), 64-bit words of a bitmap of 2**bits bits, written to the shared folder.
+
+    At most 2**bits / 64 rows of 12 bytes, whatever the input's size (65,536 by default), which is what makes it fit
+    to broadcast. False positives grow with the input, false negatives don't exist, and every user confirms
+    by an exact join.
     """
     slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits))
     words = (
-        ids.select(slot.alias("s"))
-        .groupBy((F.col("s") / 64).cast("int").alias("w"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("m"))
-        .collect()
+        ids.where(F.col(column).isNotNull())
+        .select(slot.alias("s"))
+        .groupBy(F.expr("cast(s div 64 as int)").alias("__w"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("__m"))
     )
-    out = np.zeros((1 << bits) // 64, np.int64)
-    for w, m in words:
-        out[w] = m
-    return out
-
-
-def maybe_in(spark: SparkSession, value: Column, bitmap: np.ndarray, bits: int = BLOOM_BITS) -> Column:
-    """A Column that is false only for longs that were not in the bitmap's input. The bitmap's size is fixed by bits."""
-    if not bitmap.any():
-        return F.lit(False)
-    shared = spark.sparkContext.broadcast(bitmap)
+    return cut(words.coalesce(1), "bloom")
 
-    @F.pandas_udf("boolean")
-    def test(slots: pd.Series) -> pd.Series:
-        s = slots.to_numpy().astype(np.int64)
-        return pd.Series(((shared.value[s >> 6] >> (s & 63)) & 1).astype(bool))
 
-    return test(F.pmod(F.xxhash64(value.cast("long")), F.lit(1 << bits)))
+def flagged(df: DataFrame, value: Column, words: DataFrame, flag: str, bits: int = BLOOM_BITS) -> DataFrame:
+    """df with a boolean column that is false only for longs that were not in the filter's input, and for nulls."""
+    s = F.pmod(F.xxhash64(value.cast("long")), F.lit(1 << bits))
+    w = words.select(F.col("__w").alias(f"__w_{flag}"), F.col("__m").alias(f"__m_{flag}"))
+    out = df.withColumn(f"__s_{flag}", s).join(F.broadcast(w), F.expr(f"cast(__s_{flag} div 64 as int) = __w_{flag}"), "left")
+    hit = F.expr(f"coalesce((shiftright(__m_{flag}, cast(__s_{flag} % 64 as int)) & 1) = 1, false)") & value.isNotNull()
+    return out.withColumn(flag, hit).drop(f"__s_{flag}", f"__w_{flag}", f"__m_{flag}")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -121,8 +118,7 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", name: str =
     Rows with a null id stay.
     """
     gone = cut(ids.select(F.col("id").cast("long").alias("__gone")).where("__gone is not null").distinct(), name)
-    hit = F.coalesce(maybe_in(docs.sparkSession, F.col(id_col), bloom(gone, "__gone")), F.lit(False))
-    marked = docs.withColumn("__hit", hit)
+    marked = flagged(docs, F.col(id_col), bloom(gone, "__gone"), "__hit")
     rest = marked.where("__hit").drop("__hit").join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
     return marked.where("not __hit").drop("__hit").unionByName(rest)
 
@@ -130,10 +126,9 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", name: str =
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of those that repeat an id and its text. Only rows of repeated ids are shuffled; null ids stay."""
     often = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__often")).count().where("count > 1")
-    bitmap = bloom(often, "__often")
-    if not bitmap.any():
+    words = bloom(often, "__often")
+    if words.isEmpty():
         return docs
-    hit = F.coalesce(maybe_in(docs.sparkSession, F.col(id_col), bitmap), F.lit(False))
-    marked = docs.withColumn("__hit", hit)
+    marked = flagged(docs, F.col(id_col), words, "__hit")
     rest = marked.where("__hit").withColumn("__h", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).dropDuplicates([id_col, "__h"])
     return marked.where("not __hit").drop("__hit").unionByName(rest.drop("__hit", "__h"))

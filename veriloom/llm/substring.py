@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.llm import textkit
-from veriloom.llm.shared import bloom, cut, forget, maybe_in
+from veriloom.llm.shared import bloom, cut, flagged, forget
 
 U = np.uint64
 MAX = U(0xFFFFFFFFFFFFFFFF)
@@ -196,10 +196,8 @@ def dedup(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str
     that repeat an id each lose the words at the id's positions, so ids should be unique. Other columns are
     ignored. digest=True returns SHA-256 of kept, in hex. Only texts with something to remove are shuffled.
     """
-    spark = docs.sparkSession
     found = repeats(docs, size, id_col, text_col)
-    hit = bloom(found, "id")
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("hit", F.coalesce(maybe_in(spark, F.col("id"), hit), F.lit(False)))
+    src = flagged(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), F.col("id"), bloom(found, "id"), "hit")
     none = F.lit(None).cast("array<int>")
     schema = "id long, n_words long, n_removed long, kept string"
     whole = src.where("not hit").select("id", "text", none.alias("starts")).mapInArrow(_strip(size, digest), schema)

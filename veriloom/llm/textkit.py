@@ -25,7 +25,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: All ASCII characters but letters and digits part these; other characters are taken as letters.
 NO_LETTER = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 

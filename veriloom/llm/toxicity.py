@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.llm import textkit
+from veriloom.llm.shared import cut, forget
 
 BITS = 18
 U = np.uint64
@@ -29,8 +30,8 @@ class Settings:
     id hashes; class weights restore the labels' true shares). terms, least_z: slots kept, at most and by the
     z-score of their log odds between the classes. factors: length of a term's vector."""
 
-    positives: int = 12_000
-    negatives: int = 24_000
+    positives: int = 8_000
+    negatives: int = 16_000
     terms: int = 16_384
     least_z: float = 2.6
     factors: int = 8
@@ -79,26 +80,25 @@ def distinct(doc: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key >> 20, key & ((1 << 20) - 1)
 
 
-def train(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, weight: np.ndarray, s: Settings) -> Machine:
-    """Adagrad on weighted logistic loss. doc ascending from 0; slot: distinct in a document."""
-    n = len(y)
-    share = weight / weight.sum()
-    prior = float(np.clip((share * y).sum(), 1e-4, 1 - 1e-4))
-    slots = np.full(1 << BITS, -1, np.int32)
-    if not len(slot):
-        return Machine(slots, np.log(prior / (1 - prior)), np.zeros(1), np.zeros((1, s.factors)))
-    pos, neg = (np.bincount(slot, (y[doc] == k).astype(float), 1 << BITS) + 0.5 for k in (1, 0))
-    odds = np.log(pos / ((y == 1).sum() + 1)) - np.log(neg / ((y == 0).sum() + 1))
+def choose(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, s: Settings) -> np.ndarray:
+    """Compact places of slots, -1 for those left out, from the number of documents of either class that have each slot."""
+    pos, neg = pos + 0.5, neg + 0.5
+    odds = np.log(pos / (n_pos + 1)) - np.log(neg / (n_neg + 1))
     z = np.abs(odds) / np.sqrt(1 / pos + 1 / neg)
     best = np.sort(np.argpartition(-z, min(s.terms, len(z) - 1))[: s.terms])
     best = best[z[best] >= s.least_z]
+    slots = np.full(1 << BITS, -1, np.int32)
     slots[best] = np.arange(len(best))
-    term = slots[slot]
-    keep = term >= 0
-    doc, term = doc[keep], term[keep]
+    return slots
+
+
+def train(doc: np.ndarray, term: np.ndarray, y: np.ndarray, weight: np.ndarray, slots: np.ndarray, s: Settings) -> Machine:
+    """Adagrad on weighted logistic loss. doc ascending from 0; term: compact, distinct in a document."""
+    n = len(y)
+    prior = float(np.clip((weight * y).sum() / weight.sum(), 1e-4, 1 - 1e-4))
     start = np.searchsorted(doc, np.arange(n + 1))
     rng = np.random.default_rng(s.seed)
-    m = max(1, len(best))
+    m = max(1, int(slots.max()) + 1)
     w, v = np.zeros(m), rng.normal(0, 0.01, (m, s.factors))
     w0, g0, gw, gv = np.log(prior / (1 - prior)), 1.0, np.full(m, 1.0), np.full((m, s.factors), 1.0)
     weight = weight / weight.mean()
@@ -130,7 +130,7 @@ def train(doc: np.ndarray, slot: np.ndarray, y: np.ndarray, weight: np.ndarray,
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Machine:
     """A machine from labels(id_col, label_col). Null ids and labels are ignored; an id labelled twice is toxic if one label says so.
 
-    At most s.positives + s.negatives rows reach the driver, as term slots.
+    At most s.positives + s.negatives rows reach the driver, as lists of chosen terms, and 2**BITS counts.
     """
     one = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y"))
     totals = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -141,26 +141,48 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     sample = rows.join(F.broadcast(chosen), "id")  # at most positives + negatives rows of 12 bytes
 
-    def run(batches):
+    sample = cut(sample.select("id", "y", "text"), "labelled")
+
+    def count(batches):
+        held = np.zeros((2, 1 << BITS), np.int32)
         for b in batches:
-            ids, y = b.column("id"), b.column("y")
+            y = b.column("y").to_numpy()
             for row, n, doc, slot in terms(b.column("text")):
                 doc, slot = distinct(doc, slot)
+                toxic = y[row + doc] > 0
+                held[1] += np.bincount(slot[toxic], minlength=1 << BITS).astype(np.int32)
+                held[0] += np.bincount(slot[~toxic], minlength=1 << BITS).astype(np.int32)
+        at = np.flatnonzero(held.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[1][at]), pa.array(held[0][at])], names=["slot", "pos", "neg"])
+
+    counts = sample.mapInArrow(count, "slot int, pos int, neg int").groupBy("slot").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toPandas()
+    by = np.zeros((2, 1 << BITS))
+    for i, c in enumerate(("neg", "pos")):
+        by[i][counts["slot"].to_numpy(int)] = counts[c].to_numpy(float)
+    slots = choose(by[1], by[0], min(totals.get(1, 0), s.positives), min(totals.get(0, 0), s.negatives), s)
+    shared = docs.sparkSession.sparkContext.broadcast(slots)
+
+    def chosen_terms(batches):
+        for b in batches:
+            ids, y = b.column("id"), b.column("y")
+            for row, n, doc, slot in terms(b.column("text")):
+                term = shared.value[slot]
+                doc, term = distinct(doc[term >= 0], term[term >= 0].astype(np.int64))
                 off = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([ids[row : row + n], y[row : row + n], pa.ListArray.from_arrays(off, pa.array(slot.astype(np.int32)))], names=["id", "y", "slots"])
+                yield pa.RecordBatch.from_arrays([ids[row : row + n], y[row : row + n], pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32)))], names=["id", "y", "terms"])
 
-    got = sample.mapInArrow(run, "id long, y int, slots array<int>").toArrow().combine_chunks().sort_by([("id", "ascending")])
+    got = sample.mapInArrow(chosen_terms, "id long, y int, terms array<int>").toArrow().combine_chunks().sort_by([("id", "ascending")])
+    forget(sample)
     y = got["y"].to_numpy().astype(float)
-    lists = got["slots"].combine_chunks() if got.num_rows else None
-    slot = lists.flatten().to_numpy().astype(np.int64) if lists is not None else np.zeros(0, np.int64)
-    size = np.diff(lists.offsets.to_numpy()) if lists is not None else np.zeros(0, np.int64)
+    if not len(y):
+        return Machine(slots, -4.0, np.zeros(1), np.zeros((1, s.factors)))
+    lists = got["terms"].combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
     weight = np.ones(len(y))
     for k in (0, 1):
         if (y == k).any():
             weight[y == k] = totals[k] / (y == k).sum()
-    if not len(y):
-        y, weight = np.zeros(1), np.ones(1)
-    return train(np.repeat(np.arange(len(size)), size), slot, y, weight, s)
+    return train(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy().astype(np.int64), y, weight, slots, s)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm.shared import bloom, maybe_in
+from veriloom.llm.shared import bloom, flagged
 
 END = "\r\n\r\n"
 #: An archive file holds at most this many bytes of payload (or one record), as a reader's task takes a file as a whole.
@@ -57,9 +57,8 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
         F.col(id_col).cast("long").alias("id"), _line(F.col(url_col).cast("string")).alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")
     ).withColumn("digest", base32_sha1(F.col("payload")))
     groups = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    spark = pages.sparkSession
     again = bloom(groups.select(F.xxhash64("digest").alias("h")), "h", bits)
-    marked = rows.withColumn("maybe", maybe_in(spark, F.xxhash64("digest"), again, bits))
+    marked = flagged(rows, F.xxhash64("digest"), again, "maybe", bits)
     alone = marked.where("not maybe").withColumn("first", F.col("id"))
     known = marked.where("maybe").join(groups, "digest", "left").withColumn("first", F.coalesce("first", "id"))
     both = alone.unionByName(known)
