@@ -148,7 +148,7 @@ def code_change(pairs: DataFrame, commits: DataFrame | None) -> DataFrame:
     else:
         c = commits.select(F.col("hash").alias("__h"), F.col("date").alias("__d"))
         j = p.join(c, c["__d"].between(p["since"], p["until"]), "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("__d", "__h"))).alias("c"))
-        found = p.join(j.select("id", F.transform("c", lambda x: x["__h"]).alias("hashes")), "id")
+        found = p.join(j.select("id", F.filter(F.transform("c", lambda x: x["__h"]), lambda h: h.isNotNull()).alias("hashes")), "id")
     stamped = F.col("a").isNotNull() & F.col("b").isNotNull()
     said = (
         F.when(stamped & (F.col("a") == F.col("b")), None)

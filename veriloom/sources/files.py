@@ -67,7 +67,7 @@ def manifest(spark: SparkSession, path: str, slug: str | None = None) -> DataFra
 
     Files are read whole, as Spark gives lines no order. slug prunes files before they are opened.
     """
-    raw = spark.read.option("wholetext", True).text(f"{path}/{slug or '*'}/manifest.jsonl")
+    raw = spark.read.text(f"{path}/{slug or '*'}/manifest.jsonl", wholetext=True)
     name = F.regexp_extract("_metadata.file_path", r"([^/]+)/manifest\.jsonl$", 1)
     rows = raw.select(name.alias("slug"), F.posexplode(F.split("value", "\n")).alias("seq", "line")).where(F.trim("line") != "")
     return rows.select("slug", "seq", F.from_json("line", MANIFEST).alias("r")).select("slug", "seq", "r.*")

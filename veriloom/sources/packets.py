@@ -23,7 +23,7 @@ END_SOURCE = r"(?m)(?d)^(?:END SOURCE\b|END OF PACKET\b).*$"
 
 def files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """(path, raw) of text files below a path, each whole."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
 
 
 def header_part(c: Column | str) -> Column:
