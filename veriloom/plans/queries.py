@@ -689,3 +689,102 @@ def code_digest(t):
     f = t("region").select(F.col("r_name").alias("path"), F.col("r_name").cast("binary").alias("content"))
     d = history.code_digest(f)
     return d.crossJoin(t("pages").agg(F.count("*").alias("pages"))).crossJoin(t("documents").agg(F.count("*").alias("documents"))).select("pages", "documents", "digest")
+
+
+# ---- more of the log and of pairing
+
+
+@query("""
+WITH q AS (SELECT conv_id, turn, text, CASE turn % 6 WHEN 0 THEN 'a' || conv_id || ':law:' || turn WHEN 1 THEN NULL WHEN 2 THEN 'Bad Id' WHEN 3 THEN 'b' || conv_id || ':law:1' WHEN 4 THEN 'a' || conv_id || ':law:999' ELSE 'a' || conv_id || ':law:0' END AS id
+FROM conversations WHERE length(text) >= 15 AND NOT contains(text, '"'))
+SELECT conv_id, turn, CASE WHEN id IS NULL THEN 'UNPAIRED' WHEN id = 'Bad Id' THEN 'MALFORMED' WHEN id LIKE 'b%' THEN 'CROSS-STATE' WHEN id LIKE '%:999' THEN 'UNKNOWN' END AS verdict, id AS qid FROM q""")
+def quote_pairs(t):
+    """Each quoted turn beside the id that follows it: what is wrong with the pairing."""
+    c = t("conversations").where("length(text) >= 15 and not contains(text, '\"')").withColumn("s", F.concat(F.lit("a"), F.col("conv_id").cast("string")))
+    law = lambda tail: F.concat("s", F.lit(":law:"), tail)
+    k = F.col("turn") % 6
+    right, mark = F.col("turn").cast("string"), lambda x: F.concat(F.lit("[["), x, F.lit("]]"))
+    said = (
+        F.when(k == 0, mark(law(right))).when(k == 1, "").when(k == 2, '<i data-quote-id="Bad Id">').when(k == 3, mark(F.concat(F.lit("b"), F.substr("s", F.lit(2)), F.lit(":law:1")))).when(k == 4, mark(law(F.lit("999")))).otherwise(mark(law(F.lit("0"))))
+    )
+    p = c.select("conv_id", "turn", F.concat("s", F.lit("-"), "turn").alias("slug"), "s", F.concat(F.lit('"'), "text", F.lit('" '), said).alias("raw"))
+    q = p.select("*", F.explode(C.quotes("raw")).alias("q")).select("conv_id", "turn", "s", "raw", "q.pos", "q.text", "slug")
+    index = c.where("turn % 6 in (0, 5)").select(F.when(k == 0, law(right)).otherwise(law(F.lit("0"))).alias("id"))
+    # A page here is one turn, so that ids don't recur on it.
+    return fidelity.pair_quotes(q.withColumn("state", F.col("s")), index, "raw", "state").withColumn("verdict", F.when(F.col("verdict") != "DUPLICATE", F.col("verdict"))).select("conv_id", "turn", "verdict", "qid")
+
+
+@query(
+    _LOG
+    + """, s AS (SELECT slug, seq % 4 AS n, seq, CAST(floor(value / 15) AS BIGINT) AS artifact, seq % 9 AS lines FROM log),
+o AS (SELECT * FROM s WHERE seq % 8 < 4 QUALIFY row_number() OVER (PARTITION BY slug, n ORDER BY seq DESC) = 1), w AS (SELECT * FROM s WHERE seq % 8 >= 4 QUALIFY row_number() OVER (PARTITION BY slug, n ORDER BY seq DESC) = 1)
+SELECT slug, n, o.lines AS was, w.lines AS now FROM o JOIN w USING (slug, n, artifact) WHERE w.lines < o.lines"""
+)
+def shrunk_sources(t):
+    """Sources of the same artifact whose text got shorter between two captures."""
+    s = log(t).select("slug", (F.col("seq") % 4).alias("n"), "seq", F.floor(F.col("value") / 15).alias("artifact"), (F.col("seq") % 9).alias("lines"))
+    last = lambda w: history.latest(s.where(w), ["slug", "n"])
+    return history.shorter_sources(last("seq % 8 < 4"), last("seq % 8 >= 4")).select("slug", "n", "was", "now")
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 13 = 0 THEN 'missing' ELSE 'changed' END AS status FROM documents WHERE doc_id % 13 = 0 OR doc_id % 7 = 0""")
+def manifest_changes(t):
+    """Files of a manifest that are missing or differ in a tree."""
+    d = t("documents").select("doc_id", F.col("doc_id").cast("string").alias("path"), F.sha2(F.col("text"), 256).alias("sha256"))
+    lines = d.select(F.concat("sha256", F.lit("  "), "path").alias("value"))
+    tree = d.where("doc_id % 13 <> 0").select("path", F.when(F.col("doc_id") % 7 == 0, F.sha2(F.col("path"), 256)).otherwise(F.col("sha256")).alias("sha256"))
+    return history.manifest_status(history.manifest_lines(lines), tree)
+
+
+@query("""
+WITH l AS (SELECT user_id, event_id, 'curl, recipe ' || left(sha256(CAST(CAST(floor(value / 12) AS BIGINT) AS VARCHAR)), 12) || CASE WHEN event_id % 2 = 0 THEN ' by hand' ELSE '' END AS t, CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS bare FROM events),
+p AS (SELECT *, CASE WHEN bare = 1 THEN 'by hand' ELSE t END AS x, lag(CASE WHEN bare = 1 THEN 'by hand' ELSE t END) OVER (PARTITION BY user_id ORDER BY event_id) AS y FROM l)
+SELECT user_id, event_id, CASE WHEN x = y THEN true WHEN y IS NULL THEN false ELSE coalesce(nullif(regexp_extract(x, 'recipe ([0-9a-f]{12})', 1), '') = nullif(regexp_extract(y, 'recipe ([0-9a-f]{12})', 1), ''), false) END AS held FROM p""")
+def methods_held(t):
+    """Whether the capture method held since the key's row before: equal notes, or equal recipe digests."""
+    from pyspark.sql.window import Window
+
+    note = F.concat(F.lit("curl, recipe "), F.substring(F.sha2(F.floor(F.col("value") / 12).cast("string"), 256), 1, 12), F.when(F.col("event_id") % 2 == 0, " by hand").otherwise(""))
+    e = t("events").select("user_id", "event_id", F.when(F.col("event_id") % 11 == 0, "by hand").otherwise(note).alias("x"))
+    e = e.withColumn("y", F.lag("x").over(Window.partitionBy("user_id").orderBy("event_id")))
+    return e.select("user_id", "event_id", compare.method_held(F.col("y"), F.col("x")).alias("held"))
+
+
+@query("""
+SELECT event_type AS kind, user_id, n FROM (SELECT event_type, user_id, count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY count(*) DESC, user_id) AS r FROM events GROUP BY 1, 2) WHERE r <= 3""")
+def busiest_keys(t):
+    """The three busiest keys of each kind: a top-k report."""
+    from pyspark.sql.window import Window
+
+    n = t("events").groupBy(F.col("event_type").alias("kind"), "user_id").agg(F.count("*").alias("n"))
+    return n.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "user_id"))).where("r <= 3").drop("r")
+
+
+@query("""
+WITH p AS (SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_name) - 1 AS place FROM nation) SELECT n_name, place FROM p WHERE (place - 23 + 25) % 25 < 4""")
+def night_rotation(t):
+    """A round robin's next four of the dimension, from its cursor around the end."""
+    from veriloom.streaming.logs import night
+
+    return night(t("nation").select("n_name"), "n_name", 4, 23).withColumn("place", F.col("place").cast("long"))
+
+
+@query("""
+SELECT page_id, host FROM (SELECT DISTINCT page_id, lower(regexp_extract(url, '^https?://([^/]+)', 1)) AS host, html FROM pages) WHERE NOT contains(lower(html), regexp_replace(host, '^www\\.', '')) AND NOT contains(lower(html), host)""")
+def hosts_unsupported(t):
+    """Pages that don't name their own host (all do, and none may stop to)."""
+    p = t("pages").select("page_id", F.concat(F.lit('<a href="'), "url", F.lit('">')).alias("raw"))
+    ev = t("pages").select("page_id", F.col("html").alias("body"))
+    return fidelity.missing_hosts(p, ev, "page_id").withColumnRenamed("value", "host")
+
+
+@query("""
+SELECT slug, coalesce(a, 0) AS needed, coalesce(b, 0) AS recorded FROM (SELECT c_nationkey AS slug, count(*) AS a FROM customer WHERE c_custkey < 150 GROUP BY 1) LEFT JOIN
+(SELECT c_nationkey AS slug, count(*) AS b FROM customer WHERE c_custkey < 150 AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1) USING (slug)""")
+def recorded_links(t):
+    """Links needed per key, and those that an attempt has captured."""
+    c = t("customer").where("c_custkey < 150").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))
+    led = t("events").where("event_type = 'view'").select(F.col("user_id").cast("string").alias("url"), F.lit("OK").alias("last_result"), F.lit("c").alias("capture")).distinct()
+    done = queue.recordable(led, c).join(c, "url").groupBy("slug").agg(F.count("*").alias("b"))
+    return c.groupBy("slug").agg(F.count("*").alias("needed")).join(done, "slug", "left").select("slug", "needed", F.coalesce("b", F.lit(0)).alias("recorded"))
