@@ -188,5 +188,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+f AS (SELECT s, min(page_id) AS m FROM p GROUP BY s)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(s, CAST(1 + 10 * (i // 8) AS INT), 10) AS UBIGINT) >> CAST(5 * (7 - i % 8) AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to
+FROM p JOIN f USING (s)
+"""
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
-ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_chat_format": OP7_SQL}
+ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_chat_format": OP7_SQL, "op10_warc": OP10_SQL}
