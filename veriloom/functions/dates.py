@@ -35,4 +35,4 @@ def stamp(c: Column | str) -> Column:
 
 def assembled(header: Column | str) -> Column:
     """The assembly date in the first 4000 characters of a capture's header, in either spelling; null if absent."""
-    return F.nullif(F.regexp_extract(F.substring(_col(header), 1, 4000), r"(?mi)^(?:ASSEMBLED|Assembly date):?\s*(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.substring(_col(header), 1, 4000), r"(?mi)^\s*(?:ASSEMBLED|ASSEMBLY DATE)\s*:?\s*(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
