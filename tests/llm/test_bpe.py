@@ -23,7 +23,7 @@ def test_every_code_point_between_letters_digits_and_spaces(both):
     points = [chr(c) for c in range(0x3200) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0xF900, 0x10000, 7)] + [chr(c) for c in range(0x10000, 0x20000, 97)]
     for c in points:
         t = f"a{c}b 1{c} {c}{c} x"
-        assert ours.encode([t])[0] == theirs.encode_ordinary(t), hex(ord(c))
+        assert ours.encode([t])[0].tolist() == theirs.encode_ordinary(t), hex(ord(c))
 
 
 @settings(max_examples=300, deadline=None)
@@ -31,7 +31,7 @@ def test_every_code_point_between_letters_digits_and_spaces(both):
 def test_same_ids_as_the_library_and_exact_round_trip(both, t):
     ours, theirs = both
     t = t.encode("utf-8", "ignore").decode()
-    ids = ours.encode([t])[0]
+    ids = ours.encode([t])[0].tolist()
     assert ids == theirs.encode_ordinary(t)
     assert ours.decode(ids) == t.encode()
 
@@ -39,7 +39,7 @@ def test_same_ids_as_the_library_and_exact_round_trip(both, t):
 @pytest.mark.parametrize("t", ["a" * 30_000, "ab" * 9_000, "é" * 5_000, "=" * 20_000, " " * 9_000 + "x", "the" * 4_000])
 def test_very_long_pretokens(both, t):
     ours, theirs = both
-    assert ours.encode([t])[0] == theirs.encode_ordinary(t)
+    assert ours.encode([t])[0].tolist() == theirs.encode_ordinary(t)
 
 
 def test_queue_gives_ranks_in_order_and_is_reusable():
@@ -55,7 +55,7 @@ def test_a_pair_of_smaller_rank_goes_first():
     ours = bpe.Tokenizer(ranks, P.PATTERN)
     theirs = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     for t in ("abcdabab ababcd", "abababcab", "xabcabcdabab"):
-        assert ours.encode([t])[0] == theirs.encode_ordinary(t)
+        assert ours.encode([t])[0].tolist() == theirs.encode_ordinary(t)
 
 
 def test_operator_nulls_repeats_and_clashing_columns(spark):

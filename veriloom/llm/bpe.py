@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -22,8 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pre-tokens whose ids a worker keeps, and the longest of them in characters. Only speed depends on these.
-CACHE_ITEMS = 250_000
+#: Distinct pre-tokens in each of a worker's two generations of known ids, and the longest of them in characters. Only speed depends on these.
+CACHE_ITEMS = 180_000
 CACHE_CHARS = 48
 #: Pre-tokens that share a queue, and characters of texts taken at once: larger numbers only leave the CPU's caches.
 QUEUED, TAKEN = 500, 1 << 16
@@ -80,7 +81,8 @@ class Tokenizer:
         self.split = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # ids as packed 32-bit integers; what is used moves here from the older generation
+        self.old: dict[str, bytes] = {}
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
         self.double = np.full(1 << 16, -1, np.int64)
         for k, v in ranks.items():
@@ -164,18 +166,23 @@ class Tokenizer:
             out[w] = tuple(ids)
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as 32-bit integers."""
         split = [self.split(x) for x in texts]
-        cache = self.cache
-        new = list(set(chain.from_iterable(split)).difference(cache))
-        if len(cache) + len(new) > CACHE_ITEMS:
-            cache.clear()
-            new = list(set(chain.from_iterable(split)))
+        used = set(chain.from_iterable(split))
+        if len(self.cache) + len(used) > CACHE_ITEMS:
+            self.old, self.cache = self.cache, {}
+        cache, old = self.cache, self.old
+        new = []
+        for x in used.difference(cache):
+            if (ids := old.get(x)) is not None:
+                cache[x] = ids
+            else:
+                new.append(x)
         for at in range(0, len(new), QUEUED):
             part = new[at : at + QUEUED]
-            cache.update(zip(part, self.merge([x.encode() for x in part]), strict=True))
-        out = [list(chain.from_iterable(map(cache.__getitem__, x))) for x in split]
+            cache.update(zip(part, [array("i", ids).tobytes() for ids in self.merge([x.encode() for x in part])], strict=True))
+        out = [np.frombuffer(b"".join(map(cache.__getitem__, x)), np.int32) for x in split]
         for x in new:
             if len(x) > CACHE_CHARS:
                 del cache[x]
@@ -201,7 +208,7 @@ class Tokenizer:
             yield from out
             at = to
 
-    def decode(self, ids) -> bytes:
+    def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -281,10 +288,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
             for row, ids in enumerate(t.encode_all(b.column(1))):
                 n.append(len(ids))
-                coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(t.decode(ids)).hexdigest())
+                listed = ids.tolist()
+                coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, listed)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(t.decode(listed)).hexdigest())
                 if with_ids:
-                    held.append(np.array(ids, np.int32))
+                    held.append(ids)
                     size += len(ids)
                     if size > 1 << 18:
                         yield flush(first, row + 1)

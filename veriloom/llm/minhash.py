@@ -278,11 +278,13 @@ def groups(docs: DataFrame, p: Plan = Plan(), id_col: str = "doc_id", text_col:
     star = cut(rows.join(first, "key").where("id <> u").where(close).select("u", F.col("id").alias("v")).distinct(), "star")
     links = verified(star, docs, p, id_col, text_col)
     found = cut(components(links), "components")
+    forget(star, links)
     labelled = rows.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
     again = rest_links(labelled, docs, p, id_col, text_col)
     if not again.isEmpty():
         edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v").unionByName(again)
         found = cut(components(edges), "components")
+    forget(again)
     out = tagged.join(found, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
     return out.unionByName(none).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")

@@ -22,7 +22,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends here and a lost executor costs nothing before."""
+    """Write df to the shared folder and read it back: lineage ends here and a lost executor costs nothing before.
+
+    Tables that a returned DataFrame still reads stay in the folder, which is the cluster's to clean; forget() deletes the others.
+    """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -101,7 +104,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .distinct()
         )
         nxt = cut(small, name)
-        now = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
+        now = nxt.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         forget(e)
         e = nxt
         if now == before:
