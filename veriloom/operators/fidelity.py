@@ -16,30 +16,39 @@ from veriloom.functions import claims as C
 from veriloom.functions import text as T
 
 
+#: Claims that one pass of a keyless search broadcasts.
+CLAIMS = 200_000
+
+
 def evidence(packets: DataFrame, key: str = "slug", order: str = "path", text: str = "body") -> DataFrame:
-    """(key, body): the texts of each key joined by line feeds in order; a key's packets are one row."""
+    """(key, body): the texts of each key joined by line feeds in order. A key's packets become one row, as a quotation may
+    run over them: their number is the bound on a task's memory."""
     return packets.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("t")).select(key, F.array_join(F.transform("t", lambda x: x[text]), "\n").alias("body"))
 
 
 def contained(claims: DataFrame, texts: DataFrame, claim: str, body: str, key: str | None = None) -> DataFrame:
     """claims with texts that contain them, both in normal form. Without a key every claim meets every text.
 
-    For keyless search the claims' words are the key: a text is looked at only for claims whose longest
-    word it has, so that the join is an equi-join of words instead of a nested loop.
+    For keyless search words are the key: a text is looked at only for claims whose longest inner word it has
+    (a claim may begin or end inside a word of the text). The claims are broadcast, CLAIMS of them in a pass over the
+    texts, which are never shuffled.
     """
     c = claims.withColumn("__c", T.norm(claim))
     t = texts.withColumn("__t", T.norm(body))
     if key:
         return c.join(t, key).where(F.contains("__t", "__c")).drop("__c", "__t")
-    words = lambda x: F.array_distinct(F.split(x, " "))
-    # Inner words only: a claim may begin or end inside a word of the text.
-    inner = F.slice(F.split("__c", " "), F.lit(2), F.greatest(F.size(F.split("__c", " ")) - 2, F.lit(0)))
+    words = F.split("__c", " ")
+    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
     longest = F.get(F.reverse(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), 0)["w"]
     c = c.withColumn("__w", longest)
-    keyed = t.withColumn("__w", F.explode(words("__t")))
-    found = c.where("__w is not null").join(keyed, "__w")
-    short = c.where("__w is null").join(t)  # claims of two words or fewer have no inner word
-    return found.unionByName(short).where(F.contains("__t", "__c")).drop("__c", "__t", "__w")
+    passes = max(1, -(-c.count() // CLAIMS))
+    keyed = t.withColumn("__w", F.explode(F.array_distinct(F.split("__t", " "))))
+    found = []
+    for k in range(passes):
+        part = c.where(F.pmod(F.xxhash64("__c"), F.lit(passes)) == k)
+        found.append(keyed.join(F.broadcast(part.where("__w is not null")), "__w"))
+        found.append(t.withColumn("__w", F.lit("")).join(F.broadcast(part.where("__w is null").drop("__w"))))  # of two words or fewer
+    return reduce(DataFrame.unionByName, found).where(F.contains("__t", "__c")).drop("__c", "__t", "__w")
 
 
 def unsupported_quotes(quotes: DataFrame, ev: DataFrame, key: str = "slug", quote: str = "text", body: str = "body") -> DataFrame:

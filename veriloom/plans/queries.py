@@ -788,3 +788,28 @@ def recorded_links(t):
     led = t("events").where("event_type = 'view'").select(F.col("user_id").cast("string").alias("url"), F.lit("OK").alias("last_result"), F.lit("c").alias("capture")).distinct()
     done = queue.recordable(led, c).join(c, "url").groupBy("slug").agg(F.count("*").alias("b"))
     return c.groupBy("slug").agg(F.count("*").alias("needed")).join(done, "slug", "left").select("slug", "needed", F.coalesce("b", F.lit(0)).alias("recorded"))
+
+
+# ---- the log as a stream
+
+
+def retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read as a file stream and retained with keyed state, in one run over what is there."""
+    from veriloom.session import scratch
+    from veriloom.streaming.logs import retained
+
+    at = scratch(spark, "retention")
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = log(lambda _: source).where("capture is not null")
+    events = rows.select(F.col("slug").cast("string").alias("slug"), "kind", "seq", "hash", "result", "capture")
+    retained(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").select(F.col("slug").cast("long").alias("slug"), "kind", "seq", "stored", "supersedes")
+
+
+QUERIES["retention_stream"] = retention_stream
+ORACLE_SQL["retention_stream"] = (
+    _LOG
+    + """, c AS (SELECT *, coalesce(hash <> lag(hash) OVER w OR result = 'drift', lag(hash) OVER w IS NULL OR coalesce(hash <> lag(hash) OVER w, false)) AS stored FROM log WHERE capture IS NOT NULL WINDOW w AS (PARTITION BY slug, kind ORDER BY seq))
+SELECT slug, kind, seq, stored, CASE WHEN stored THEN last_value(CASE WHEN stored THEN capture END IGNORE NULLS) OVER (PARTITION BY slug, kind ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS supersedes FROM c"""
+)
