@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, substring, topk, toxicity, warc
-from veriloom.llm.shared import scratch, small_batches
+from veriloom.llm.shared import small_batches
+from veriloom.session import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 

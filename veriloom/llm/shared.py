@@ -1,24 +1,11 @@
-"""What several operators need: the shared folder, cut lineage, bounded Bloom filters, components."""
+"""What several operators need: cut lineage, bounded Bloom filters, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, the folder that all machines of a cluster share.
-
-    Where that setting is absent (tests, one machine), a folder of this process is set for the session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="veriloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/veriloom/{name}-{uuid.uuid4().hex}"
+from veriloom.session import scratch
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
