@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from veriloom.llm.shared import bloom, flagged
 
 END = "\r\n\r\n"
-#: An archive file holds at most this many bytes of payload (or one record), as a reader's task takes a file as a whole.
-FILE_BYTES = 32 << 20
+#: Payload bytes of an archive file, as a reader's task takes a file as a whole: on average, and at most whatever the order (or one record).
+FILE_BYTES, FILE_BYTES_MOST = 32 << 20, 128 << 20
 _HEX32, _RFC32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -79,10 +79,11 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", **more) -> None:
-    """Write the records of pages as archives below path. Files hold FILE_BYTES of payload at most, or one record."""
-    most = pages.agg(F.max(F.octet_length(F.col(payload_col).cast("string")))).first()[0] or 0
-    out = records(pages, id_col, url_col, payload_col, **more)
-    out.write.option("lineSep", END).option("maxRecordsPerFile", max(1, FILE_BYTES // (most + 1024))).text(path)
+    """Write the records of pages as archives below path, in files of FILE_BYTES or so, FILE_BYTES_MOST at most."""
+    size = F.octet_length(F.col(payload_col).cast("string"))
+    most, mean = pages.agg(F.max(size), F.avg(size)).first()
+    n = min(FILE_BYTES // (int(mean or 0) + 1024), FILE_BYTES_MOST // ((most or 0) + 1024))
+    records(pages, id_col, url_col, payload_col, **more).write.option("lineSep", END).option("maxRecordsPerFile", max(1, n)).text(path)
 
 
 class Bad(Exception):
