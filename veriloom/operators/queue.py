@@ -32,12 +32,19 @@ def expired(now: Column, submitted: Column, attempted: Column) -> Column:
 
 
 def queue(candidates: DataFrame, ledger: DataFrame, now: Column, retry_blocked: bool = False) -> DataFrame:
-    """candidates(slug, url) with state and place: fresh ones first, then due ones, each by slug and url; others have no place."""
+    """candidates(slug, url) with state and place: fresh ones first, then due ones, each by slug and url; others have no place.
+
+    A place is the number of waiting links of earlier slugs plus the link's place in its own, so that no task sorts the whole queue.
+    """
     led = ledger.select("url", "last_result", "last_attempt", "capture", "consecutive_hard_failures")
     c = F.col
     out = candidates.join(led, "url", "left").withColumn("state", state(now, c("last_result"), c("last_attempt"), c("capture"), c("consecutive_hard_failures"), retry_blocked))
-    place = F.row_number().over(Window.partitionBy(c("state").isin("fresh", "due")).orderBy(c("state") == "due", "slug", "url"))
-    return out.select("slug", "url", "state", F.when(c("state").isin("fresh", "due"), place).alias("place"))
+    out = out.withColumn("tier", F.when(c("state") == "fresh", 0).when(c("state") == "due", 1))
+    waiting = out.where("tier is not null").groupBy("tier", "slug").agg(F.count("*").alias("n"))
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy("tier", "slug").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = waiting.select("tier", "slug", ahead.alias("ahead"))  # a row a slug and tier
+    place = c("ahead") + F.row_number().over(Window.partitionBy("tier", "slug").orderBy("url"))
+    return out.join(before, ["tier", "slug"], "left").select("slug", "url", "state", F.when(c("tier").isNotNull(), place).alias("place"))
 
 
 def streaks(attempts: DataFrame, keys: list[str], order: str, outcome: str = "outcome") -> DataFrame:
