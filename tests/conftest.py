@@ -19,5 +19,8 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from veriloom.session import ship
+
+    ship(s)
     yield s
     s.stop()

@@ -16,6 +16,7 @@ from veriloom.functions import claims as C
 from veriloom.functions import dates as D
 from veriloom.functions import text as T
 from veriloom.operators import compare, coverage, fidelity, gates, history, queue
+from veriloom.session import scratch, ship
 from veriloom.sources import files, html, packets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,7 @@ def query(sql: str | None = None):
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
@@ -795,9 +797,9 @@ def recorded_links(t):
 
 def retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read as a file stream and retained with keyed state, in one run over what is there."""
-    from veriloom.session import scratch
     from veriloom.streaming.logs import retained
 
+    ship(spark)
     at = scratch(spark, "retention")
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

@@ -1,9 +1,11 @@
-"""The session's shared folder."""
+"""What a session needs of a cluster: a shared folder, and this package on its workers."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +20,21 @@ def scratch(spark: SparkSession, name: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="veriloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/veriloom/{name}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once a SparkContext: a zip of its sources goes through Spark's own file server.
+
+    A cluster where the package is installed needs no call.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_veriloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="veriloom-code-"), "veriloom_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.join("veriloom", os.path.relpath(os.path.join(folder, name), root)))
+    sc.addPyFile(path)
+    sc._veriloom_shipped = True
