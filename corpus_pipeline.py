@@ -11,19 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriloom.llm import bpe, decontam, minhash, secretscan, toxicity
-from veriloom.llm.shared import cut, one_of_each, small_batches, without
+from veriloom.llm.shared import cut, one_of_each, prepare, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a machine trained on the labelled ones among them scores below 0.5."""
-    small_batches(spark)
+    prepare(spark)
     machine = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, machine)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, of the smallest id, of each group linked by five-word shingles of similarity 0.8 or more."""
-    small_batches(spark)
+    prepare(spark)
     found = minhash.groups(docs, minhash.Plan(words=5, percent=80))
     gone = found.where("not kept").select(F.col("doc_id").alias("id"))
     return one_of_each(without(docs, gone, name="near-copies"))
@@ -31,20 +31,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, in any order of its parts."""
-    small_batches(spark)
+    prepare(spark)
     found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, found.select(F.col("doc_id").alias("id")), name="contaminated")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark and n_chars counted again."""
-    small_batches(spark)
+    prepare(spark)
     return secretscan.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of what they decode to, and the ids."""
-    small_batches(spark)
+    prepare(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, substring, topk, toxicity, warc
-from veriloom.llm.shared import small_batches
+from veriloom.llm.shared import prepare
 from veriloom.session import scratch
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

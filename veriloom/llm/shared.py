@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.session import scratch
+from veriloom.session import scratch, ship
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -35,8 +35,9 @@ def remove(spark: SparkSession, path: str) -> None:
 BLOOM_BITS = 22
 
 
-def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
-    """Arrow batches small enough that a few of long texts fit a worker beside its executor."""
+def prepare(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+    """This package on the workers, and Arrow batches small enough that a few of long texts fit a worker beside its executor."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
