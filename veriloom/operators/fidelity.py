@@ -41,8 +41,10 @@ def contained(claims: DataFrame, texts: DataFrame, claim: str, body: str, key: s
     inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
     longest = F.get(F.reverse(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), 0)["w"]
     c = c.withColumn("__w", longest)
-    passes = max(1, -(-c.count() // CLAIMS))
-    keyed = t.withColumn("__w", F.explode(F.array_distinct(F.split("__t", " "))))
+    n, shortest = c.agg(F.count("*"), F.min(F.length("__w"))).first()
+    passes = max(1, -(-n // CLAIMS))
+    long = F.filter(F.split("__t", " "), lambda w: F.length(w) >= (shortest or 0))  # no claim is found by a shorter word
+    keyed = t.withColumn("__w", F.explode(F.array_distinct(long)))
     found = []
     for k in range(passes):
         part = c.where(F.pmod(F.xxhash64("__c"), F.lit(passes)) == k)
