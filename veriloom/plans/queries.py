@@ -497,12 +497,16 @@ def store_verification(t):
 SELECT o_custkey AS id, string_agg(CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber, ',' ORDER BY l_shipdate, l_orderkey, l_linenumber) AS within FROM
 (SELECT o_custkey, min(o_orderdate) AS a, min(o_orderdate) + INTERVAL 30 DAY AS b FROM orders WHERE o_custkey % 50 = 0 GROUP BY 1) p JOIN lineitem ON l_shipdate BETWEEN a AND b AND l_suppkey % 50 = 1 GROUP BY 1""")
 def commits_in_window(t):
-    """Rows of a log within each key's window of days: a range join of few keys."""
-    o = t("orders").where("o_custkey % 50 = 0").groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderdate").alias("a")).withColumn("b", F.expr("a + interval 30 days"))
-    li = t("lineitem").where("l_suppkey % 50 = 1").select("l_shipdate", "l_orderkey", "l_linenumber")
-    j = o.join(li, F.col("l_shipdate").between(F.col("a"), F.col("b")))
-    said = F.array_sort(F.collect_list(F.struct("l_shipdate", "l_orderkey", "l_linenumber")))
-    return j.groupBy("id").agg(F.array_join(F.transform(said, lambda x: F.concat(x["l_orderkey"].cast("string"), F.lit("/"), x["l_linenumber"].cast("string"))), ",").alias("within"))
+    """Rows of a log within each key's window of days: a day's rows are listed once, and each different window joins the lists of its days."""
+    o = t("orders").groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderdate").alias("a")).withColumn("b", F.expr("a + interval 30 days"))
+    line = lambda x: F.concat(x["l_orderkey"].cast("string"), F.lit("/"), x["l_linenumber"].cast("string"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber"))), line), ",")
+    days = t("lineitem").groupBy("l_shipdate").agg(lines.alias("lines")).withColumn("day", F.to_date("l_shipdate"))
+    windows = o.select("a", "b").distinct().withColumn("day", F.explode(F.sequence(F.to_date("a"), F.to_date("b"))))
+    j = windows.join(days, "day").where(F.col("l_shipdate").between(F.col("a"), F.col("b")))
+    said = F.array_sort(F.collect_list(F.struct("l_shipdate", "lines")))
+    within = j.groupBy("a").agg(F.array_join(F.transform(said, lambda x: x["lines"]), ",").alias("within"))
+    return o.join(within, "a").select("id", "within")
 
 
 # ---- comparison of captures
