@@ -31,3 +31,12 @@ def test_every_key_and_row_is_met_by_its_window(run):
         a = min(d for c, d in orders if c == k)
         want[k] = ",".join(f"{o}/{n}" for _, o, n in sorted((d, o, n) for o, n, _, d in lines if a <= d <= a + dt.timedelta(days=30)))
     assert {r.id: r.within for r in got} == want and len(got) == len(want)
+
+
+def test_long_documents_and_those_of_unknown_length_have_a_similarity(run):
+    long = "\n\n".join(f"Of the {i} parts the {i * 7 % 13}th is the last" for i in range(200))
+    rows = [(1, "the short one", 13), (2, long, len(long)), (3, "of the unknown length", None), (4, None, None)]
+    got = {r.doc_id: (r.similarity, r.segments) for r in run("similar_bodies", documents=("doc_id long, text string, n_chars long", rows))}
+    squash = lambda t: re.sub("[^a-z0-9]+", "", t.lower())
+    want = {i: round(difflib.SequenceMatcher(a=squash(t), b=squash(re.sub(r"\bthe\b", "", t))).ratio(), 4) for i, t, _ in rows if t}
+    assert {i: x for i, (x, _) in got.items()} == want | {4: None} and {i: n for i, (_, n) in got.items()} == {1: 1, 2: 1, 3: 1, 4: 0}

@@ -568,7 +568,7 @@ def header_changes(t):
 @query()
 def similar_bodies(t):
     """Similarity of a document to its capture with words dropped, and the paragraphs that changed."""
-    d = t("documents").where("n_chars < 3000").select("doc_id", "text", F.regexp_replace("text", r"\bthe\b", "").alias("other"))
+    d = t("documents").select("doc_id", "text", F.regexp_replace("text", r"\bthe\b", "").alias("other"))
     return d.select("doc_id", compare.similarity(T.squash("text"), T.squash("other")).alias("similarity"), F.size(compare.paragraph_changes(F.col("text"), F.col("other"))).alias("segments"))
 
 
