@@ -40,3 +40,22 @@ def test_long_documents_and_those_of_unknown_length_have_a_similarity(run):
     squash = lambda t: re.sub("[^a-z0-9]+", "", t.lower())
     want = {i: round(difflib.SequenceMatcher(a=squash(t), b=squash(re.sub(r"\bthe\b", "", t))).ratio(), 4) for i, t, _ in rows if t}
     assert {i: x for i, (x, _) in got.items()} == want | {4: None} and {i: n for i, (_, n) in got.items()} == {1: 1, 2: 1, 3: 1, 4: 0}
+
+
+CUSTOMER = "c_custkey long, c_nationkey long"
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def event(i, user, kind="view", props="{}"):
+    return (i, dt.datetime(2024, 1, 30), user, kind, 1.0, props)
+
+
+def test_all_customers_are_candidates(run):
+    customer = (CUSTOMER, [(k, k % 3) for k in range(1, 1001)])
+    events = (EVENTS, [event(k, k) for k in range(1, 1001, 4)])
+    queued = run("retry_queue", customer=customer, events=events)
+    assert {int(r.url) for r in queued} == set(range(1, 1001))
+    places = [r.place for r in sorted((r for r in queued if r.place), key=lambda r: (r.state == "due", r.slug, r.url))]
+    assert places == list(range(1, len(places) + 1))
+    assert {r.slug: r.needed for r in run("queue_totals")} == {k: len(range(k or 3, 1001, 3)) for k in range(3)}
+    assert {r.slug: (r.needed, r.recorded) for r in run("recorded_links")} == {k: (len(range(k or 3, 1001, 3)), sum(x % 3 == k for x in range(1, 1001, 4))) for k in range(3)}

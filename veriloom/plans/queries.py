@@ -426,7 +426,7 @@ WHEN o IN ('hard', 'soft') AND epoch(TIMESTAMP '{NOW}') - floor(epoch(ts)) < 604
 
 
 def queued(t) -> DataFrame:
-    c = t("customer").where("c_custkey < 400").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))
+    c = t("customer").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))
     return queue.queue(c, ledger(t), F.lit(NOW).cast("timestamp"))
 
 
@@ -790,7 +790,7 @@ SELECT slug, coalesce(a, 0) AS needed, coalesce(b, 0) AS recorded FROM (SELECT c
 (SELECT c_nationkey AS slug, count(*) AS b FROM customer WHERE c_custkey < 150 AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1) USING (slug)""")
 def recorded_links(t):
     """Links needed per key, and those that an attempt has captured."""
-    c = t("customer").where("c_custkey < 150").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))
+    c = t("customer").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))
     led = t("events").where("event_type = 'view'").select(F.col("user_id").cast("string").alias("url"), F.lit("OK").alias("last_result"), F.lit("c").alias("capture")).distinct()
     done = queue.recordable(led, c).join(c, "url").groupBy("slug").agg(F.count("*").alias("b"))
     return c.groupBy("slug").agg(F.count("*").alias("needed")).join(done, "slug", "left").select("slug", "needed", F.coalesce("b", F.lit(0)).alias("recorded"))
