@@ -59,3 +59,16 @@ def test_all_customers_are_candidates(run):
     assert places == list(range(1, len(places) + 1))
     assert {r.slug: r.needed for r in run("queue_totals")} == {k: len(range(k or 3, 1001, 3)) for k in range(3)}
     assert {r.slug: (r.needed, r.recorded) for r in run("recorded_links")} == {k: (len(range(k or 3, 1001, 3)), sum(x % 3 == k for x in range(1, 1001, 4))) for k in range(3)}
+
+
+def test_all_events_are_read(run):
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    # Key 0 has every kind, key 1 none but clicks on odd ids, key 2 a kind on each side.
+    rows = [event(i, 0, kinds[i % 5]) for i in range(1, 40)] + [event(i, 1, "click") for i in range(41, 80, 2)] + [event(83, 2, "view"), event(84, 2, "error"), event(88, 2, "view")]
+    rows = [(*r[:5], f'{{"k": {r[0]}, "p{r[0]}": 1}}') for r in rows]
+    gaps = {(r.user_id, r.missing) for r in run("surface_gaps", events=(EVENTS, rows))}
+    assert gaps == {(1, k) for k in kinds[1:]} | {(2, k) for k in ("click", "purchase", "signup")}
+    changes = {r.user_id: (r.gone, r.new, r.kept, r.all_kinds) for r in run("header_changes")}
+    assert changes == {0: ("", "", ",".join(kinds), 5), 1: ("", "click", "", 1), 2: ("error", "", "view", 2)}
+    names = sorted((r.event_id, r.name) for r in run("json_map"))
+    assert names == sorted((r[0], n) for r in rows for n in ("k", f"p{r[0]}"))
