@@ -72,3 +72,19 @@ def test_all_events_are_read(run):
     assert changes == {0: ("", "", ",".join(kinds), 5), 1: ("", "click", "", 1), 2: ("error", "", "view", 2)}
     names = sorted((r.event_id, r.name) for r in run("json_map"))
     assert names == sorted((r[0], n) for r in rows for n in ("k", f"p{r[0]}"))
+
+
+def test_every_document_is_in_a_capture(run):
+    big = 2_000_000_000
+    ids = [*range(1, 121), 442, big, big + 1, big + 25]
+    docs = [(i, f"Text {i} is here") for i in ids]
+    state = {r.n: r.state for r in run("source_compare", documents=("doc_id long, text string", docs))}
+    want = {i: "new" if i % 26 == 0 else "gone" if i % 34 == 0 else "respaced" if i % 6 == 0 else "grew" if i % 10 == 0 else "shrank" if i % 14 == 0 else "same" for i in ids}
+    assert state == want and {s for s in want.values()} == {"new", "gone", "respaced", "grew", "shrank", "same"}
+
+    def verdict(i):
+        if want[i] in ("gone", "new", "grew", "shrank"):
+            return {"gone": "source dropped", "new": "source added"}.get(want[i], "text changed")
+        return "document moved" if i % 11 == 0 else "revision date changed" if i % 4 == 0 else "extractor respacing" if want[i] == "respaced" else None
+
+    assert {r.n: r.verdict for r in run("verdict_ladder")} == {i: v for i in ids if (v := verdict(i))}

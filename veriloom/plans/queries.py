@@ -513,14 +513,15 @@ def commits_in_window(t):
 
 
 def halves(t) -> tuple[DataFrame, DataFrame]:
-    """Documents as two captures: (source, n) of an even document against the odd one after it, a few respaced or dropped."""
-    d = t("documents").where("doc_id < 2000000000")
-    even = d.where("doc_id % 2 = 0 and doc_id % 26 <> 0").select((F.col("doc_id") / 2).cast("long").alias("n"), F.col("text").alias("body"))
-    odd = d.where("doc_id % 2 = 0 and doc_id % 34 <> 0").select(
-        (F.col("doc_id") / 2).cast("long").alias("n"),
-        F.when(F.col("doc_id") % 6 == 0, F.replace("text", F.lit(" "), F.lit("  "))).when(F.col("doc_id") % 10 == 0, F.concat(F.col("text"), F.lit(" more"))).when(F.col("doc_id") % 14 == 0, F.substr("text", F.lit(1), F.length("text") - 2)).otherwise(F.col("text")).alias("body"),
+    """Two captures (n, body) of every document; the second has some respaced, longer or shorter, and each lacks a few that the other has."""
+    d = t("documents").withColumn("n", F.col("doc_id"))
+    k = F.col("n")
+    old = d.where("n % 26 <> 0").select("n", F.col("text").alias("body"))
+    new = d.where("n % 34 <> 0 or n % 26 = 0").select(
+        "n",
+        F.when(k % 6 == 0, F.replace("text", F.lit(" "), F.lit("  "))).when(k % 10 == 0, F.concat(F.col("text"), F.lit(" more"))).when(k % 14 == 0, F.substr("text", F.lit(1), F.length("text") - 2)).otherwise(F.col("text")).alias("body"),
     )
-    return even, odd
+    return old, new
 
 
 _HALVES = """WITH a AS (SELECT doc_id // 2 AS n, text AS body FROM documents WHERE doc_id % 2 = 0 AND doc_id % 26 <> 0),
