@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from veriloom.llm import substring
@@ -44,3 +45,18 @@ def test_null_ids_and_empty_tables(spark):
     assert substring.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     with pytest.raises(ValueError):
         substring.repeats(spark.createDataFrame([(1, t)], "doc_id long, text string"), 10)
+
+
+def test_tables_of_one_short_document(spark):
+    size = 20
+    for n in range(1, size):
+        text = " ".join(f"w{i}" for i in range(n))
+        got = substring.dedup(spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1), size).collect()
+        assert [(r.n_words, r.n_removed, r.kept) for r in got] == [(n, 0, text)]
+
+
+def test_least_in_window_of_few_values():
+    for n in range(20):
+        h = np.random.default_rng(n).integers(0, 1 << 60, n).astype(np.uint64)
+        for span in range(1, 20):
+            assert substring.least_in_window(h, span).tolist() == [min(h[i : i + span].tolist()) for i in range(n)]

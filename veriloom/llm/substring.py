@@ -28,7 +28,7 @@ MAX = U(0xFFFFFFFFFFFFFFFF)
 def least_in_window(h: np.ndarray, span: int) -> np.ndarray:
     """The least of each `span` consecutive values, from each place; places too near the end take what is there."""
     m, have = h, 1
-    while have < span:
+    while have < min(span, len(m)):  # once it reaches the end from every place, nothing is left to take
         step = min(have, span - have)
         nxt = m.copy()
         np.minimum(m[: len(m) - step], m[step:], out=nxt[: len(m) - step])
