@@ -66,3 +66,10 @@ def test_empty_tables(spark):
     d, b = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated(d, b).count() == 0
     assert decontam.contaminated(spark.createDataFrame([(1, "a b c d e f"), (None, "x")], "doc_id long, text string"), b).count() == 0
+
+
+def test_items_of_few_words_are_caught_whole(spark):
+    items = [(1, "Four words of it"), (2, "lone"), (3, "two words"), (4, "two words"), (5, "five words are long enough"), (6, "")]
+    docs = [(1, "a b FOUR words\nof it"), (2, "four words of"), (3, "it lone two"), (4, "words"), (5, "two words two words"), (6, "it has five words are long enough"), (7, None)]
+    got = {(r.doc_id, r.item_id, r.tiles, r.tiled_words, r.item_words, r.coverage) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 1, 1, 4, 4, 1.0), (3, 2, 1, 1, 1, 1.0), (5, 3, 1, 2, 2, 1.0), (5, 4, 1, 2, 2, 1.0), (6, 5, 1, 5, 5, 1.0)}

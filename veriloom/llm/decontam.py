@@ -26,7 +26,10 @@ PASS_SEEDS = 1_000_000
 
 @dataclass
 class Seeds:
-    """Seeds of some items: hash (ascending), item (place in ids) and position of each; item i has words first[i]:first[i + 1]."""
+    """Seeds of some items: hash (ascending), item (place in ids) and position of each; item i has words first[i]:first[i + 1].
+
+    short has the items of fewer than `least` words: number of words, hash (ascending) and item of each.
+    """
 
     ids: np.ndarray
     words: np.ndarray
@@ -36,6 +39,7 @@ class Seeds:
     pos: np.ndarray
     filter: np.ndarray
     least: int
+    short: list[tuple[int, np.ndarray, np.ndarray]]
 
 
 def _filter(h: np.ndarray) -> np.ndarray:
@@ -46,7 +50,7 @@ def _filter(h: np.ndarray) -> np.ndarray:
 
 def seeds(ids: list[int], texts: list[str | None], least: int) -> Seeds:
     """Items with fewer words than `least` are one seed of all their words, found by their own length."""
-    hashes, items, pos, words, first = [], [], [], [], [0]
+    hashes, items, pos, words, first, short = [], [], [], [], [0], []
     for w in textkit.words(pa.array(texts, pa.string()), lower=True, most=1 << 60):
         h, whole = textkit.grams(w, least)
         at = np.flatnonzero(whole)
@@ -56,10 +60,16 @@ def seeds(ids: list[int], texts: list[str | None], least: int) -> Seeds:
         pos.append(at - w.first[d])
         words.append(w.hash)
         first = w.first
+        for n in range(1, least):
+            d = np.flatnonzero(np.diff(w.first) == n)
+            if len(d):
+                h = textkit.grams(w, n)[0][w.first[d]]
+                order = np.argsort(h, kind="stable")
+                short.append((n, h[order], d[order]))
     cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
     h, i, p = cat(hashes, U), cat(items, np.int64), cat(pos, np.int64)
     order = np.argsort(h, kind="stable")
-    return Seeds(np.array(ids, np.int64), cat(words, U), np.asarray(first), h[order], i[order], p[order], _filter(h), least)
+    return Seeds(np.array(ids, np.int64), cat(words, U), np.asarray(first), h[order], i[order], p[order], _filter(h), least, short)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
@@ -111,11 +121,22 @@ def _hits(w: textkit.Words, s: Seeds):
     return doc, at, lo, n
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", floor: float = 0.0) -> DataFrame:
+def _short_hits(w: textkit.Words, s: Seeds):
+    """(document, item, words) of every document that holds a short item."""
+    for n, hashes, items in s.short:
+        h, whole = textkit.grams(w, n)
+        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        at = np.flatnonzero(whole & (hi > lo))
+        for d, x, y in sorted(set(zip(w.doc[at].tolist(), lo[at].tolist(), hi[at].tolist(), strict=True))):
+            yield from ((d, int(i), n) for i in items[x:y])
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", floor: float = 0.0, short: bool = False) -> DataFrame:
     """(id_col, item_id, tiles, tiled_words, item_words, coverage) of each text and item that share a seed, coverage at least floor.
 
     Words are runs of characters other than space and TAB to CR, A-Z lower-cased. Null or empty texts and
-    items overlap with nothing, nor do items of fewer than `least` words. A row with a null id is left out of
+    items overlap with nothing, nor do items of fewer than `least` words, unless short=True: then a text that
+    holds one whole overlaps with it in one tile. A row with a null id is left out of
     docs' output and benchmark; repeated rows of docs give repeated rows. Other columns are ignored.
     The documents are not shuffled. The benchmark is read in parts of PASS_SEEDS seeds, each broadcast
     for one pass, so that its size isn't assumed.
@@ -128,12 +149,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 5, id_col: str
     out = None
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).distinct().collect()
-        one = _one_pass(src, seeds([r[0] for r in part], [r[1] for r in part], least), id_col, floor)
+        one = _one_pass(src, seeds([r[0] for r in part], [r[1] for r in part], least), id_col, floor, short)
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def _one_pass(src: DataFrame, s: Seeds, id_col: str, floor: float) -> DataFrame:
+def _one_pass(src: DataFrame, s: Seeds, id_col: str, floor: float, short: bool) -> DataFrame:
     shared = src.sparkSession.sparkContext.broadcast(s)
     names = [id_col, "item_id", "tiles", "tiled_words", "item_words", "coverage"]
     kinds = [pa.int64()] * 5 + [pa.float64()]
@@ -145,6 +166,8 @@ def _one_pass(src: DataFrame, s: Seeds, id_col: str, floor: float) -> DataFrame:
             ids = b.column(0).to_numpy()
             rows: list[tuple] = []
             for w in textkit.words(b.column(1), lower=True):
+                if short:
+                    rows += [(int(ids[w.row + d]), int(s.ids[i]), 1, n, n, 1.0) for d, i, n in _short_hits(w, s)]
                 doc, at, lo, n = _hits(w, s)
                 if not len(doc):
                     continue
@@ -177,5 +200,5 @@ def _most(a_pos: np.ndarray, size: int, least: int) -> int:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.6, least: int = 5, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The overlaps whose tiles cover at least `coverage` of an item's words."""
-    return overlaps(docs, benchmark, least, id_col, text_col, floor=coverage, **more)
+    """The overlaps whose tiles cover at least `coverage` of an item's words, and the texts that hold an item of fewer than `least` words whole."""
+    return overlaps(docs, benchmark, least, id_col, text_col, floor=coverage, short=True, **more)
