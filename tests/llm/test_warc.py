@@ -71,3 +71,17 @@ def test_null_ids_repeats_and_empty_tables(spark, tmp_path):
     assert got == [("<urn:x-page:5>", "response", None), ("<urn:x-page:5>", "response", None), ("<urn:x-page:null>", "revisit", "<urn:x-page:5>")]
     write(spark, [], f"{tmp_path}/c")
     assert warc.read(spark, f"{tmp_path}/c").count() == 0
+
+
+def test_salvage_recovers_records_inside_a_gzip_member():
+    a, b, c = record(1), record(2, b"text"), record(3)
+    ids, gaps = found(gzip.compress(a + b.replace(b"text", b"tExt") + c) + record(4))
+    assert ids == [1, 3, 4] and [w for _, _, w in gaps] == [f"block digest differs: bytes {len(a)} to {len(a) + len(b)} of the member's content"]
+    noise = [record(i, hashlib.sha512(b"%d" % i).hexdigest().encode() * 9) for i in range(400)]
+    whole = gzip.compress(b"".join(noise))
+    ids, gaps = found(whole[: len(whole) // 2] + record(900))
+    assert ids[-1] == 900 and 100 < len(ids) < 400 and ids[:-1] == list(range(len(ids) - 1)) and "gzip" in gaps[-1][2]
+    ids, gaps = found(whole[:-5])
+    assert ids == list(range(400)) and [w for _, _, w in gaps] == ["gzip member cut off"]
+    ids, gaps = found(whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:] + gzip.compress(record(901)))
+    assert ids == [*range(400), 901] and len(gaps) == 1

@@ -8,7 +8,7 @@ revisit records that hold HTTP headers only.
 Reader: each file is parsed record by record (plain, or gzip members). A record is valid if its version
 line, headers, length, terminator and digests hold. After a failed check the reader searches for the
 next gzip member or version line that begins a valid record, goes on there, and logs the bytes between
-as a quarantined gap.
+as a quarantined gap. Inside a gzip member, broken ones up to the break, records are salvaged the same way.
 """
 
 from __future__ import annotations
@@ -143,55 +143,83 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     return head, end + 4
 
 
-def member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at a place, and the place after it."""
+def member(data: bytes, at: int) -> tuple[bytes, int | None, str | None]:
+    """The content of the gzip member at a place, and the place after it; of a broken member the content before the break, no place, and the reason."""
     d, view, parts, n = zlib.decompressobj(31), memoryview(data), [], at
-    try:
-        while not d.eof and n < len(data):
+    while not d.eof and n < len(data):
+        before = d.copy()
+        try:
             parts.append(d.decompress(view[n : n + (1 << 16)]))
-            n += 1 << 16
-    except zlib.error as e:
-        raise Bad(f"gzip: {e}") from None
+        except zlib.error as e:
+            try:
+                for k in range(n, n + (1 << 16)):  # up to the byte that fails
+                    parts.append(before.decompress(view[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), None, f"gzip: {e}"
+        n += 1 << 16
     if not d.eof:
-        raise Bad("gzip member cut off")
-    return b"".join(parts), min(n, len(data)) - len(d.unused_data)
+        return b"".join(parts), None, "gzip member cut off"
+    return b"".join(parts), min(n, len(data)) - len(d.unused_data), None
+
+
+def _inside(inner: bytes) -> Iterator[tuple[dict | None, str | None]]:
+    """(record, None) of every valid record of a member's content, and (None, reason) of every gap, in order."""
+    at = 0
+    while at < len(inner):
+        try:
+            rec, at = parse(inner, at)
+            yield rec, None
+        except Bad as e:
+            end = _next(inner, at, _VERSION, parse)
+            yield None, f"{e}: bytes {at} to {end} of the member's content"
+            at = end
+
 
+def _valid(data: bytes, at: int) -> tuple[list[tuple[dict | None, str | None]], int | None]:
+    """What the record or gzip member at a place holds, and the place after it; None if a member is broken. Bad if there is no valid record.
 
-def _valid(data: bytes, at: int) -> tuple[list[tuple[int, dict]], int]:
+    A broken member of one record is set aside as a whole.
+    """
     if data[at : at + 2] == b"\x1f\x8b":
-        inner, end = member(data, at)
-        out, k = [], 0
-        while k < len(inner):
-            rec, k = parse(inner, k)
-            out.append((at, rec))
-        return out, end
+        inner, end, broken = member(data, at)
+        out = list(_inside(inner))
+        valid = sum(rec is not None for rec, _ in out)
+        if broken and (not valid or len(out) == 1):
+            raise Bad(broken)
+        if out and not valid:
+            raise Bad(out[0][1].rpartition(": bytes ")[0])
+        return out + [(None, broken)] * bool(broken), end
     rec, end = parse(data, at)
-    return [(at, rec)], end
+    return [(rec, None)], end
+
+
+def _next(data: bytes, at: int, begins: re.Pattern, valid) -> int:
+    """The next place after `at` that begins something valid, or the end."""
+    for m in begins.finditer(data, at + 1):
+        try:
+            valid(data, m.start())
+            return m.start()
+        except Bad:
+            continue
+    return len(data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
-    """(start, end, record, None) of every valid record, and (start, end, None, reason) of every gap, in order."""
+    """(start, end, record, None) of every valid record, and (start, end, None, reason) of every gap, in order.
+
+    Records and gaps inside a gzip member have the member's place; a broken member ends where something valid begins.
+    """
     at = 0
     while at < len(data):
         try:
             found, end = _valid(data, at)
         except Bad as e:
-            reason, look = str(e), at
-            while True:
-                m = _NEXT.search(data, look + 1)
-                if not m:
-                    yield at, len(data), None, reason
-                    return
-                look = m.start()
-                try:
-                    found, end = _valid(data, look)
-                    break
-                except Bad:
-                    continue
-            yield at, look, None, reason
-            at = look
-        for start, rec in found:
-            yield start, end, rec, None
+            found, end = [(None, str(e))], None
+        if end is None:
+            end = _next(data, at, _NEXT, _valid)
+        for rec, why in found:
+            yield at, end, rec, why
         at = end
 
 
@@ -202,7 +230,7 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """Every record and every quarantined gap of the archives below path, one row each.
 
     gap is null for a record, else the reason why the bytes from start to end were set aside; they
-    hold no valid record. payload=True adds the payload (null for revisits and gaps). An empty file
+    hold no valid record but those of the same gzip member. payload=True adds the payload (null for revisits and gaps). An empty file
     gives no row.
     """
 
