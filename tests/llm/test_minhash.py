@@ -88,3 +88,78 @@ def test_sketch_fills_and_estimates():
     assert (c != textkit.U(0xFFFFFFFFFFFFFFFF)).all()
     assert abs((c[0] == c[1]).mean() - 2 / 3) < 0.08
     assert minhash.Plan(words=3, percent=85).bands == 22
+
+
+def thue_morse(n):
+    """Two words that polynomial hashes modulo 2 ** 64 can't tell apart."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_fool_polynomial_hashes(spark):
+    a, b = thue_morse(1024)
+    rows = [(1, a), (2, b), (3, f"x {a} y"), (4, f"x {b} y"), (5, a.upper())]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Plan(words=3, percent=85)).collect()}
+    assert got == brute(rows, 3, 85) and got[2] == (1, 2, True)
+
+
+def test_equal_hashes_are_no_link(spark, monkeypatch):
+    """Sketches and buckets only choose candidates: with all hashes equal, words still decide."""
+    monkeypatch.setattr(minhash, "sketch", lambda values, offsets, t: np.zeros((len(offsets) - 1, t), np.uint64))
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    rows = corpus(8)[:60]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Plan(words=3, percent=85)).collect()}
+    assert got == brute(rows, 3, 85)
+
+
+def test_exact_runs_number_words_not_hashes():
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(5 if i % 2 else 5000)}" for _ in range(rng.choice((0, 1, 2, 4, 6, 300)))) for i in range(40)] + ["a b", "b a", "a b"]
+    for k in (1, 3, 5, 20):
+        exact = textkit.Exact()
+        got = exact.runs(exact.words([t.encode() for t in texts]), k)
+        for i, x in enumerate(texts):
+            assert len(got[i]) == len(shingles(x, k))
+            for j, y in enumerate(texts):
+                assert len(np.intersect1d(got[i], got[j])) == len(shingles(x, k) & shingles(y, k))
+
+
+def test_repeated_ids_of_other_texts_and_a_long_text(spark):
+    long = " ".join(f"w{i % 7001}x{i}" for i in range(60_000))
+    rows = [(4, long), (7, "p q r s"), (7, long + " tail"), (9, "p q r s"), (11, "u v w x y z")]
+    got = sorted((r.doc_id, r.component_id) for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Plan(words=3, percent=85)).collect())
+    assert got == [(4, 4), (7, 4), (7, 4), (9, 4), (11, 11)]
+
+
+def test_hot_keys_join_by_broadcast(spark, monkeypatch):
+    from veriloom.llm import shared
+
+    monkeypatch.setattr(shared, "HOT_LEAST", 5)
+    monkeypatch.setattr(shared, "HOT_KEYS", 4)
+    rows = spark.createDataFrame([(i, 0 if i % 2 else i % 40) for i in range(200)] + [(900, None)], "id long, k long")
+    keyed = rows.where("k is not null and k <> 6").groupBy("k").count().withColumn("v", rows.k + 1)
+    for how, n in (("inner", 200 - 5), ("left", 201)):
+        got = shared.join_spread(rows, keyed, ["k"], "count", how).collect()
+        assert len(got) == n and all(r.v == (None if r.k in (6, None) else r.k + 1) for r in got)
+
+
+def test_a_full_filter_only_passes_more(spark, monkeypatch):
+    from veriloom.llm import shared
+
+    docs = spark.range(3000).selectExpr("id as doc_id", "cast(id as string) as text")
+    gone = spark.range(0, 3000, 3)
+    monkeypatch.setattr(shared, "BLOOM_LEAST", 6)
+    words = shared.bloom(gone, "id", 6)
+    assert words.count() == 1 and shared.flagged(docs, docs.doc_id, words, "hit").where("hit").count() == 3000
+    monkeypatch.setattr(shared, "BLOOM_MOST", 6)
+    assert {r.doc_id for r in shared.without(docs, gone).collect()} == {i for i in range(3000) if i % 3}
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from veriloom.session import scratch
+
+    conf = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    with pytest.raises(ValueError):
+        scratch(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")), "x")

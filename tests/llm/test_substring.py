@@ -60,3 +60,35 @@ def test_least_in_window_of_few_values():
         h = np.random.default_rng(n).integers(0, 1 << 60, n).astype(np.uint64)
         for span in range(1, 20):
             assert substring.least_in_window(h, span).tolist() == [min(h[i : i + span].tolist()) for i in range(n)]
+
+
+def test_words_that_fool_polynomial_hashes(spark):
+    a = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    side = [" ".join(f"{s}{i}" for i in range(15)) for s in "lr"]
+    rows = [(1, f"{side[0]} {a} {side[1]}"), (2, f"{side[0]} {b} {side[1]}")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 20) and got[2][1] == 0
+
+
+def test_equal_hashes_remove_nothing(spark, monkeypatch):
+    """Hashes only choose candidates: with all of them equal, words still decide."""
+    from veriloom.llm import textkit
+
+    monkeypatch.setattr(textkit, "grams", lambda w, k: (np.zeros(len(w.hash), np.uint64), textkit.in_one(w, k)))
+    rng = random.Random(4)
+    same = " ".join(f"s{i}" for i in range(33))
+    rows = [(i, " ".join([*(f"w{rng.randrange(900)}" for _ in range(rng.randrange(60))), same if i % 3 == 0 else "", *(f"x{rng.randrange(900)}" for _ in range(25))])) for i in range(12)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 20)
+
+
+def test_a_long_text_and_repeated_ids(spark):
+    rng = random.Random(6)
+    many = [f"v{rng.randrange(40_000)}" for _ in range(50_000)]
+    rows = [(5, " ".join(many)), (6, " ".join(["new", *many[20_000:20_500], "end"])), (9, " ".join([*many[:30], *many[:30]]))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 20)
+    t = " ".join(many[:40])
+    twice = substring.dedup(spark.createDataFrame([(1, t), (2, t), (2, "a b c")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in twice) == [(1, 40, 0), (2, 3, 3), (2, 40, 40)]

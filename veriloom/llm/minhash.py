@@ -6,11 +6,12 @@ t + i all shingles go to bin i. So every coordinate fills, after O(t log t + set
 agree in a coordinate with a probability of their Jaccard similarity, more concentrated than with
 independent minima.
 
-Links: documents of equal sets are one node. Coordinates are banded into buckets; each node of a bucket
-is verified on full sets against the bucket's smallest node, which connects most of it without a pair
-of others; then only a bucket's stragglers, nodes of another component than its first node's, meet its
-nodes, in blocks of bounded size, on full sets. What isn't compared is in one component already, so no
-link between components is lost.
+Links: documents of equal word sequences (by a 128-bit cryptographic digest) are one node. Coordinates are
+banded into buckets; each node of a bucket meets the bucket's smallest node, which connects most of it without a
+pair of others; then only a bucket's stragglers, nodes of another component than its first node's, meet those of its nodes
+whose sizes allow a link. All these meet in blocks of bounded size that hold whole texts: a link is confirmed on the full sets of
+shingles, word by word, and no hash stands for a word there. What isn't compared is in one component already, so
+no link between components is lost.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.llm import textkit
-from veriloom.llm.shared import bloom, components, cut, flagged, forget
+from veriloom.llm.shared import bloom, components, cut, flagged, forget, join_spread
 
 U = np.uint64
 MAX = U(0xFFFFFFFFFFFFFFFF)
-BLOCK = 256
+#: Nodes of a side of a block, and shingles of a side, both on average and at most.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -92,13 +94,8 @@ def sketch(values: np.ndarray, offsets: np.ndarray, t: int) -> np.ndarray:
     return out.reshape(n, t)
 
 
-def _sum(x: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros(1, U), np.cumsum(x, dtype=U)])
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
 def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, d1, d2, bands array<long>): set size, a 128-bit digest of the set, band keys."""
+    """(id, n, d1, d2, bands array<long>): set size, a 128-bit digest of the words in order, band keys."""
     b, r, t = p.bands, p.rows, p.size
     seeds = textkit.mix(np.arange(7, 7 + b, dtype=U) * U(0xA24BAED4963EE407))
     names = ["id", "n", "d1", "d2", "bands"]
@@ -113,6 +110,7 @@ def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "
                 key = np.broadcast_to(seeds, (n, b)).copy()
                 for i in range(r):
                     key = textkit.mix(key * U(3) + c.reshape(n, b, r)[:, :, i])
+                d = textkit.digests(w.normal())
                 has = np.diff(off) > 0
                 sizes = np.where(has, b, 0)
                 bands = textkit.long_list(key[has].ravel(), np.concatenate([[0], np.cumsum(sizes)]))
@@ -120,8 +118,8 @@ def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "
                     [
                         ids[w.row : w.row + n],
                         pa.array(np.diff(off).astype(np.int64)),
-                        pa.array(_sum(textkit.mix(s ^ U(0x5851F42D4C957F2D)), off).view(np.int64)),
-                        pa.array(_sum(textkit.mix(s ^ U(0x14057B7EF767814F)), off).view(np.int64)),
+                        pa.array(d[:, 0]),
+                        pa.array(d[:, 1]),
                         bands,
                     ],
                     names=names,
@@ -131,45 +129,23 @@ def sketches(docs: DataFrame, p: Plan, id_col: str = "doc_id", text_col: str = "
     return src.mapInArrow(run, "id long, n long, d1 long, d2 long, bands array<long>")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
-    """(id, s array<long>): the full shingle sets of wanted(id), computed again from the texts."""
-    known = bloom(wanted, "id")
-
-    def run(batches):
-        for batch in batches:
-            for w in textkit.words(batch.column(1), lower=True):
-                s, off = shingle_sets(w, p.words)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[w.row : w.row + len(off) - 1], textkit.long_list(s, off)], names=["id", "s"])
-
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return flagged(src, F.col("id"), known, "hit").where("hit").select("id", "text").mapInArrow(run, "id long, s array<long>").join(wanted, "id", "left_semi")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
-    """pairs(u, v) whose full sets are similar enough."""
-    wanted = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    sets = cut(sets_of(docs, wanted, p, id_col, text_col), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("s").alias("b")), "v")
-    same = F.size(F.array_intersect("a", "b")).cast("long")
-    links = cut(both.select("u", "v", same.alias("i"), (F.size("a") + F.size("b")).alias("m")).where(f"100 * i >= {p.percent} * (m - i)").select("u", "v"), "links")
-    forget(sets)
-    return links
-
+def _block_links(percent: int, k: int):
+    """Links between sides 0 and 1 of each (key, cls, i, j) block of a partition sorted by them; rows have id, label and text.
 
-def _block_links(percent: int):
-    """Links between stragglers (side 0) and members (side 1) of each (key, i, j) block of a partition sorted by them.
-
-    A block's intersections are one product of two 0/1 matrices over the shingles that both sides have; of its links
-    only those that join labels not joined yet in the block are returned. A block's rows may span batches.
+    Sets are those of whole texts' words, compared as words. A block's intersections are one product of two 0/1 matrices over the
+    shingles that both sides have; of its links only those that join labels not joined yet in the block are returned. A
+    block's rows may span batches.
     """
 
-    def links(side, ids, label, n, sets, out) -> None:
+    def links(side, ids, label, texts, out) -> None:
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(a) or not len(b):
             return
-        sizes = np.array([len(x) for x in sets])
+        exact = textkit.Exact()
+        sets = exact.runs(exact.words([t.lower() for t in texts]), k)
+        n = np.array([len(x) for x in sets])
         values = np.concatenate(sets)
-        row = np.repeat(np.arange(len(ids)), sizes)
+        row = np.repeat(np.arange(len(ids)), n)
         order = np.argsort(values, kind="stable")
         values, row = values[order], row[order]
         new = np.ones(len(values), bool)
@@ -182,16 +158,16 @@ def _block_links(percent: int):
         col, row = place[col[keep]], row[keep]
         at = np.zeros(len(ids), np.int64)
         at[a], at[b] = np.arange(len(a)), np.arange(len(b))
-        same = np.zeros((len(a), len(b)), np.float32)
-        width = 1 << 14
+        same = np.zeros((len(a), len(b)), np.int64)
+        width = 1 << 13
         for lo in range(0, int(both.sum()), width):
             x, y = np.searchsorted(col, [lo, lo + width])
             m = [np.zeros((len(t), width), np.float32) for t in (a, b)]
             r, c = row[x:y], col[x:y] - lo
-            for k in (0, 1):
-                mine = side[r] == k
-                m[k][at[r[mine]], c[mine]] = 1
-            same += m[0] @ m[1].T
+            for s in (0, 1):
+                mine = side[r] == s
+                m[s][at[r[mine]], c[mine]] = 1
+            same += (m[0] @ m[1].T).astype(np.int64)
         ok = (100 * same >= percent * (n[a][:, None] + n[b][None, :] - same)) & (label[a][:, None] != label[b][None, :])
         top: dict[int, int] = {}
 
@@ -208,53 +184,106 @@ def _block_links(percent: int):
                 out[1].append(int(ids[b[j]]))
 
     def run(batches):
-        held = None
+        held, size = [], 0  # batches of a block that isn't whole yet
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            if held is not None and held.num_rows:
-                t = pa.concat_tables([held, t])
-            k, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-            new = np.flatnonzero((np.diff(k) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+            keys = [batch.column(c).to_numpy() for c in ("key", "cls", "i", "j")]
+            new = np.flatnonzero(np.any([np.diff(c) != 0 for c in keys], 0)) + 1
+            if held and any(c[0] != h.column(n)[h.num_rows - 1].as_py() for c, n, h in zip(keys, ("key", "cls", "i", "j"), [held[-1]] * 4, strict=True)):
+                new = np.concatenate([[0], new])
             if not len(new):
-                held = t
+                held.append(batch)
                 continue
-            yield blocks(t.slice(0, new[-1]), np.concatenate([[0], new]))
-            held = t.slice(new[-1])
-        if held is not None and held.num_rows:
-            yield blocks(held, np.array([0, held.num_rows]))
+            t = pa.Table.from_batches([*held, batch.slice(0, int(new[-1]))])
+            before = sum(h.num_rows for h in held)
+            yield blocks(t, np.concatenate([[0], before + new]))
+            held = [batch.slice(int(new[-1]))]
+        if held:
+            t = pa.Table.from_batches(held)
+            yield blocks(t, np.array([0, t.num_rows]))
 
     def blocks(t: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
-        side, ids, label, n = (t.column(c).to_numpy() for c in ("side", "id", "label", "n"))
-        lists = t.column("s").combine_chunks()
-        off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        side, ids, label = (t.column(c).to_numpy() for c in ("side", "id", "label"))
+        texts = t.column("text")
         out: tuple[list, list] = ([], [])
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            links(side[a:b], ids[a:b], label[a:b], n[a:b], [flat[off[x] : off[x + 1]] for x in range(a, b)], out)
+            if a < b:
+                links(side[a:b], ids[a:b], label[a:b], [x.as_buffer().to_pybytes() for x in texts[a:b]], out)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["u", "v"])
 
     return run
 
 
+def _met(dealt: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) found inside the blocks of dealt(key, cls, i, j, side, id, label), written to the shared folder.
+
+    A text is taken once for each block that its row is dealt to. Of rows that repeat an id each text counts.
+    """
+    dealt = cut(dealt, "dealt")
+    known = bloom(dealt.select("id"), "id")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")).where("id is not null")
+    texts = flagged(src, F.col("id"), known, "hit").where("hit").select("id", "text")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = dealt.join(texts, "id").select("key", "cls", "i", "j", "side", "id", "label", "text").repartition(n, "key", "cls", "i", "j").sortWithinPartitions("key", "cls", "i", "j")
+    found = cut(blocks.mapInArrow(_block_links(p.percent, p.words), "u long, v long").distinct(), "links")
+    forget(dealt, known)
+    return found
+
+
+def _deal(n: str, seed: int):
+    """A block below column n for each id."""
+    return F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+
+
+def _upto(n: str):
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def _blocks_of(count, shingles):
+    """How many blocks hold so many nodes of so many shingles."""
+    return F.ceil(F.greatest(F.lit(1), count / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def star_links(rows: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) of buckets' first nodes with their others. rows: (key, id, n), a table; one bucket or more a node."""
+    first = rows.groupBy("key").agg(F.min(F.struct("id", "n")).alias("f"), F.max("id").alias("m"), F.count("*").alias("c")).where("f.id <> m")
+    first = cut(first.select("key", F.col("f.id").alias("u"), F.col("f.n").alias("un"), "c"), "first")
+    close = f"100 * least(un, n) >= {p.percent} * greatest(un, n)"
+    if first.isEmpty():
+        return first.select("u", F.col("key").alias("v"))
+    star = cut(join_spread(rows, first, ["key"], "c").where("id <> u").where(close).select("u", "id", "n").distinct(), "star")
+    parts = cut(star.groupBy("u").agg(_blocks_of(F.count("*"), F.sum("n")).alias("nb"), F.count("*").alias("c")), "parts")
+    zero = lambda c: F.lit(0).alias(c)
+    lead = parts.select(F.col("u").alias("key"), zero("cls"), zero("i"), _upto("nb").alias("j"), zero("side"), F.col("u").alias("id"), F.col("u").alias("label"))
+    rest = join_spread(star, parts, ["u"], "c").select(F.col("u").alias("key"), zero("cls"), zero("i"), _deal("nb", 2).alias("j"), F.lit(1).alias("side"), "id", F.col("id").alias("label"))
+    found = _met(lead.unionByName(rest), docs, p, id_col, text_col)
+    forget(first, star, parts)
+    return found
+
+
 def rest_links(rows: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col: str) -> DataFrame:
-    """Links (u, v) that join buckets' stragglers: nodes of another label than their bucket's first node. rows: (key, id, n, label).
+    """Links (u, v) that join buckets' stragglers: nodes of another label than their bucket's first node. rows: (key, id, n, label), a table.
 
-    Each straggler meets every node of its bucket, in blocks of about BLOCK by BLOCK nodes.
+    A bucket's nodes are classed by the logarithm of their sizes, so that sizes that allow a link lie in one class or in
+    neighbouring ones; a straggler meets the nodes of its own class and of its neighbours, in blocks of about BLOCK by BLOCK nodes.
     """
     lead = rows.groupBy("key").agg(F.min(F.struct("id", "label")).alias("f"), F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("c")).where("l <> m")
-    some = rows.join(lead.select("key", F.col("f.label").alias("first"), "c"), "key")
-    some = cut(some.select("key", "id", "n", "label", (F.col("label") != F.col("first")).alias("odd"), "c"), "mixed")
-    sets = cut(sets_of(docs, some.select("id").distinct(), p, id_col, text_col).dropDuplicates(["id"]), "sets")
-    parts = some.where("odd").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("na"), F.ceil(F.max("c") / BLOCK).cast("int").alias("nb"))
-    known = some.join(parts, "key")
-    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["key", "i", "j", "side", "id", "label", "n"]
-    odd = known.where("odd").withColumns({"i": deal("na", 1), "side": F.lit(0)}).withColumn("j", upto("nb")).select(*cols)
-    every = known.withColumns({"j": deal("nb", 2), "side": F.lit(1)}).withColumn("i", upto("na")).select(*cols)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = odd.unionByName(every).join(sets, "id").select(*cols, "s").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = cut(dealt.mapInArrow(_block_links(p.percent), "u long, v long").distinct(), "links")
-    forget(some, sets)
+    lead = cut(lead.select("key", F.col("f.label").alias("first"), "c"), "lead")
+    width = log(100 / p.percent) * (1 + 1e-9) if p.percent < 100 else 1e-9  # wider than the widest gap of two sizes that link
+    cls = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
+    if lead.isEmpty():
+        return lead.selectExpr("key as u", "first as v")
+    some = cut(join_spread(rows, lead, ["key"], "c").select("key", "id", "n", "label", (F.col("label") != F.col("first")).alias("odd"), cls.alias("cls")), "mixed")
+    near = some.where("odd").withColumn("cls", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)))
+    both = cut(some.withColumn("side", F.lit(1)).unionByName(near.withColumn("side", F.lit(0))), "sides")
+    odd = F.col("side") == 0
+    size = lambda on: _blocks_of(F.count_if(on), F.sum(F.when(on, F.col("n"))))
+    parts = both.groupBy("key", "cls").agg(F.count("*").alias("c"), F.count_if(odd).alias("odds"), size(odd).alias("na"), size(~odd).alias("nb")).where("odds > 0 and odds < c").drop("odds")
+    known = cut(join_spread(both, cut(parts, "parts"), ["key", "cls"], "c"), "known")
+    cols = ["key", "cls", "i", "j", "side", "id", "label"]
+    dealt = known.where(odd).withColumn("i", _deal("na", 1)).withColumn("j", _upto("nb")).select(*cols)
+    every = known.where(~odd).withColumn("j", _deal("nb", 2)).withColumn("i", _upto("na")).select(*cols)
+    found = _met(dealt.unionByName(every), docs, p, id_col, text_col)
+    forget(lead, some, both, known)
     return found
 
 
@@ -268,24 +297,24 @@ def groups(docs: DataFrame, p: Plan = Plan(), id_col: str = "doc_id", text_col:
     """
     s = cut(sketches(docs, p, id_col, text_col), "sketches")
     usable = s.where("n > 0 and id is not null")
-    equal = usable.groupBy("d1", "d2").agg(F.min("id").alias("node"))
-    tagged = cut(usable.join(equal, ["d1", "d2"]).select("id", "node", "n", F.when(F.col("id") == F.col("node"), F.col("bands")).alias("bands")), "tagged")
+    equal = cut(usable.groupBy("d1", "d2").agg(F.min("id").alias("node"), F.count("*").alias("c")).where("c > 1"), "equal")
+    node = F.coalesce("node", "id")
+    tagged = cut(join_spread(usable, equal, ["d1", "d2"], "c", "left").select("id", node.alias("node"), "n", F.when(F.col("id") == node, F.col("bands")).alias("bands")), "tagged")
     none = s.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
-    nodes = tagged.where("id = node")
-    rows = nodes.select("id", "n", F.explode("bands").alias("key")).distinct()
-    first = rows.groupBy("key").agg(F.min(F.struct("id", "n")).alias("f"), F.max("id").alias("m")).where("f.id <> m").select("key", F.col("f.id").alias("u"), F.col("f.n").alias("un"))
-    close = f"100 * least(un, n) >= {p.percent} * greatest(un, n)"
-    star = cut(rows.join(first, "key").where("id <> u").where(close).select("u", F.col("id").alias("v")).distinct(), "star")
-    links = verified(star, docs, p, id_col, text_col)
+    rows = cut(tagged.where("id = node").select("id", "n", F.explode("bands").alias("key")), "rows")
+    links = star_links(rows, docs, p, id_col, text_col)
     found = cut(components(links), "components")
-    forget(star, links)
-    labelled = rows.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label"))
+    labelled = cut(rows.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("label")), "labelled")
+    forget(rows)
     again = rest_links(labelled, docs, p, id_col, text_col)
     if not again.isEmpty():
         edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v").unionByName(again)
         found = cut(components(edges), "components")
-    forget(again)
-    out = tagged.join(found, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
+        forget(again)
+    forget(labelled)
+    copies = equal.groupBy("node").agg(F.sum("c").alias("c"))
+    found = cut(found.join(copies, "node", "left").select("node", "component", F.coalesce("c", F.lit(1)).alias("c")), "found")
+    out = join_spread(tagged.select("id", "node", "n"), found, ["node"], "c", "left").select("id", "n", F.coalesce("component", "node").alias("component"))
     return out.unionByName(none).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")
     )

@@ -1,4 +1,4 @@
-"""What several operators need: cut lineage, bounded Bloom filters, components."""
+"""What several operators need: cut lineage, bounded Bloom filters, joins that spread hot keys, components."""
 
 from __future__ import annotations
 
@@ -32,7 +32,10 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-BLOOM_BITS = 22
+#: Bits of a filter, least and most: 2 ** 25 is 524,288 rows of a broadcast table.
+BLOOM_LEAST, BLOOM_MOST = 16, 25
+#: Keys that a join sets aside as hot, at most, and the rows below which none is.
+HOT_KEYS, HOT_LEAST = 4096, 1000
 
 
 def prepare(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
@@ -42,37 +45,57 @@ def prepare(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def bloom(ids: DataFrame, column: str, bits: int = BLOOM_BITS) -> DataFrame:
-    """A one-hash filter over a long column: (__w, __m), 64-bit words of a bitmap of 2**bits bits, written to the shared folder.
+def bloom(ids: DataFrame, column: str, most: int = BLOOM_MOST) -> DataFrame:
+    """A one-hash filter over a long column: (__w, __m, __bits), 64-bit words of a bitmap, written to the shared folder.
 
-    At most 2**bits / 64 rows of 12 bytes, whatever the input's size (65,536 by default), which is what makes it fit
-    to broadcast. False positives grow with the input, false negatives don't exist, and every user confirms
-    by an exact join.
+    The bitmap has sixteen bits an id, 2**most at most, that is, at most 2**most / 64 rows of 16 bytes (524,288 by default)
+    whatever the input's size, which is what makes it fit to broadcast. Beyond 2**most / 16 ids it fills up: more rows than need be
+    pass it, in the end all of them, and are shuffled; none is lost or taken in wrongly, as every user confirms by an exact join.
     """
-    slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits))
+    known = cut(ids.where(F.col(column).isNotNull()).select(F.xxhash64(F.col(column).cast("long")).alias("h")), "ids")
+    bits = min(most, max(BLOOM_LEAST, (16 * known.count()).bit_length()))
+    slot = F.pmod(F.col("h"), F.lit(1 << bits))
     words = (
-        ids.where(F.col(column).isNotNull())
-        .select(slot.alias("s"))
+        known.select(slot.alias("s"))
         .groupBy(F.expr("cast(s div 64 as int)").alias("__w"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("__m"))
     )
-    return cut(words.coalesce(1), "bloom")
+    out = cut(words, "bloom")
+    forget(known)
+    out._veriloom_bits = bits
+    return out
 
 
-def flagged(df: DataFrame, value: Column, words: DataFrame, flag: str, bits: int = BLOOM_BITS) -> DataFrame:
+def flagged(df: DataFrame, value: Column, words: DataFrame, flag: str) -> DataFrame:
     """df with a boolean column that is false only for longs that were not in the filter's input, and for nulls."""
-    s = F.pmod(F.xxhash64(value.cast("long")), F.lit(1 << bits))
+    s = F.pmod(F.xxhash64(value.cast("long")), F.lit(1 << words._veriloom_bits))
     w = words.select(F.col("__w").alias(f"__w_{flag}"), F.col("__m").alias(f"__m_{flag}"))
     out = df.withColumn(f"__s_{flag}", s).join(F.broadcast(w), F.expr(f"cast(__s_{flag} div 64 as int) = __w_{flag}"), "left")
     hit = F.expr(f"coalesce((shiftright(__m_{flag}, cast(__s_{flag} % 64 as int)) & 1) = 1, false)") & value.isNotNull()
     return out.withColumn(flag, hit).drop(f"__s_{flag}", f"__w_{flag}", f"__m_{flag}")
 
 
+def join_spread(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """rows joined with keyed, one row a key, whose column `weight` says how many of rows have the key; inner or left.
+
+    No key meets in one task: those of more rows than HOT_LEAST and than a HOT_KEYS-th of all are joined by broadcast, which is at most
+    HOT_KEYS rows since the weights add up to all rows; the rest is shuffled, and none of it is hot.
+    rows and keyed are read more than once, so they should be tables.
+    """
+    total, most = keyed.agg(F.sum(weight), F.max(weight)).first()
+    limit = max(HOT_LEAST, (total or 0) // HOT_KEYS)
+    if (most or 0) <= limit:
+        return rows.join(keyed, on, how)
+    hot = F.broadcast(keyed.where(F.col(weight) > limit))
+    rest = rows.join(hot, on, "left_anti").join(keyed.where(F.col(weight) <= limit), on, how)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges(u, v): (node, component), component the smallest reachable node.
 
     Alternating large-star and small-star rounds: each is a grouped minimum with map-side combine and
-    a join that AQE may split, so that a node with very many neighbours needs no single task. A round's
+    a join that spreads hot keys, so that a node with very many neighbours needs no single task. A round's
     edges are written to the shared folder; rounds stop when the edge set no longer changes.
     Nodes without an edge to another node aren't returned.
     """
@@ -82,11 +105,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("c"))
+        large = join_spread(both, low, ["u"], "c").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
         small = (
-            large.join(low, "u")
+            join_spread(large, low, ["u"], "c")
             .select(F.expr("stack(2, u, m, v, m) as (u, v)"))
             .where("u <> v")
             .distinct()

@@ -71,7 +71,7 @@ def terms(column: pa.Array):
         for k in (4, 6):
             long = size > k
             docs.append(doc[long])
-            slots.append((w.part(w.start[long], w.start[long] + k) * U(2 * k + 1)) >> U(64 - BITS))
+            slots.append(w.begin(w.start[long], k) >> U(64 - BITS))
         yield w.row, len(w.first) - 1, np.concatenate(docs), np.concatenate(slots).astype(np.int64)
 
 

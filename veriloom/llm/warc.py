@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm.shared import bloom, flagged
+from veriloom.llm.shared import bloom, cut, flagged, join_spread
 
 END = "\r\n\r\n"
 #: Payload bytes of an archive file, as a reader's task takes a file as a whole: on average, and at most whatever the order (or one record).
@@ -46,21 +46,21 @@ def _line(c: Column) -> Column:
     return F.regexp_replace(out, r"[\x00-\x1F\x7F]", "%00")
 
 
-def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z", bits: int = 24) -> DataFrame:
+def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """(record string): one WARC/1.1 record per row, without its terminator.
 
     Of rows with equal payloads (the null payload is empty) those of the smallest id are responses and
     the others revisits of it; a null id is larger than any other. Other columns are ignored.
-    A payload is shuffled only if a filter of 2**bits bits says that its digest may occur again.
+    A payload is shuffled only if a filter of bounded size says that its digest may occur again.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), _line(F.col(url_col).cast("string")).alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")
     ).withColumn("digest", base32_sha1(F.col("payload")))
-    groups = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = bloom(groups.select(F.xxhash64("digest").alias("h")), "h", bits)
-    marked = flagged(rows, F.xxhash64("digest"), again, "maybe", bits)
+    groups = cut(rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "payloads")
+    again = bloom(groups.select(F.xxhash64("digest").alias("h")), "h")
+    marked = flagged(rows, F.xxhash64("digest"), again, "maybe")
     alone = marked.where("not maybe").withColumn("first", F.col("id"))
-    known = marked.where("maybe").join(groups, "digest", "left").withColumn("first", F.coalesce("first", "id"))
+    known = join_spread(marked.where("maybe"), groups, ["digest"], "n", "left").drop("n").withColumn("first", F.coalesce("first", "id"))
     both = alone.unionByName(known)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit(END))
     urn = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
