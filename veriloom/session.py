@@ -13,10 +13,14 @@ from pyspark.sql import SparkSession
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir, the folder that all machines of a cluster share.
 
-    Where that setting is absent (tests, one machine), a folder of this process is set for the session.
+    Where that setting is absent, a local master (tests, one machine) gets a folder of this process, set for the session;
+    on a cluster, whose executors don't see such a folder, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="veriloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/veriloom/{name}-{uuid.uuid4().hex}"
