@@ -8,11 +8,12 @@ a list of names in the given order, which matters.
 from __future__ import annotations
 
 import functools
+import sys
 import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WS = r"[\s\x1c-\x1f]"
@@ -30,6 +31,8 @@ APOSTROPHES = {"’": "'", "‘": "'", "ʼ": "'"}
 ZERO_WIDTH = "​﻿⁠"
 BULLETS = "•▪●◦·⁃∙o*–"
 WIDTH_FLOOR, WIDTH_SLACK = 40, 12
+SENTENCE_END = r"""(?U)[.:;?!]["')\]]?[\s\x1c-\x1f]*$"""
+LIST_ITEM = r"(?U)^[\s\x1c-\x1f]*(?:[-•]|\(?[a-zA-Z0-9]{1,3}[.)])[\s\x1c-\x1f]"
 HEAD_REPEATS, HEAD_EDGE, HEAD_CHARS = 3, 2, 3
 # End of fixed values.
 
@@ -43,6 +46,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def fields(columns: list) -> str:
+    """A schema text of fields, or of texts "name type"."""
+    return ", ".join(c if isinstance(c, str) else f"`{c.name}` {c.dataType.simpleString()}" for c in columns)
+
+
 def replace_all(c: Column, pairs: dict[str, str]) -> Column:
     """One pass of translate() for one-to-one pairs, then replace() for the rest."""
     one = {k: v for k, v in pairs.items() if len(k) == 1 and len(v) <= 1}
@@ -116,8 +124,8 @@ def normalize_apostrophes(c: Column) -> Column:
 
 @functools.cache
 def _compat() -> dict[str, str]:
-    """Code points of the basic plane whose decomposition is tagged compat, and their NFKC form."""
-    return {ch: unicodedata.normalize("NFKC", ch) for ch in map(chr, range(0x80, 0x10000)) if unicodedata.decomposition(ch).startswith("<compat>")}
+    """Code points whose decomposition is tagged compat, and their NFKC form."""
+    return {ch: unicodedata.normalize("NFKC", ch) for ch in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.decomposition(ch).startswith("<compat>")}
 
 
 def normalize_ligatures(c: Column) -> Column:
@@ -159,12 +167,10 @@ def width_of(c: Column | str) -> Column:
 def unwrap_hard_wraps(c: Column, width: Column | None = None) -> Column:
     """Join a line to the text before it if that fills the column, ends no sentence and neither is a list item or a table row."""
     has = lambda x: x.rlike(f"{U}[^\\s\\x1c-\\x1f]")
-    ends = r"""(?U)[.:;?!]["')\]]?[\s\x1c-\x1f]*$"""
-    item = r"(?U)^[\s\x1c-\x1f]*(?:[-•]|\(?[a-zA-Z0-9]{1,3}[.)])[\s\x1c-\x1f]"
 
     def step(w: Column, acc: Column, line: Column) -> Column:
         s, prev = rstrip(line), F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))
-        joins = has(prev) & has(s) & (F.length(prev) >= w) & ~prev.rlike(ends) & ~s.rlike(item) & ~F.contains(prev, F.lit("|")) & ~F.contains(s, F.lit("|"))
+        joins = has(prev) & has(s) & (F.length(prev) >= w) & ~prev.rlike(SENTENCE_END) & ~s.rlike(LIST_ITEM) & ~F.contains(prev, F.lit("|")) & ~F.contains(s, F.lit("|"))
         joined = F.concat(rstrip(prev), F.lit(" "), strip(s))
         return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(s)))
 
@@ -176,6 +182,12 @@ def collapse_blank_runs(c: Column) -> Column:
     return F.regexp_replace(c, "\n{3,}", "\n\n")
 
 
+def repeated_lines(texts: DataFrame, key: str, text: str = "text", floor: int = HEAD_REPEATS) -> DataFrame:
+    """(key, line, times): lines, trimmed and not blank, that a text holds `floor` times or more. Lines are counted before they are shuffled."""
+    rows = texts.select(key, F.explode(lines(text)).alias("line")).select(key, strip("line").alias("line")).where("line <> ''")
+    return rows.groupBy(key, "line").agg(F.count("*").alias("times")).where(F.col("times") >= floor)
+
+
 def trim_lines(c: Column) -> Column:
     return F.array_join(F.transform(lines(c), rstrip), "\n")
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Days a review lap may take, days after which a supplement is old, days the newest pass may be old.
 LAP_DAYS, SUPPLEMENT_DAYS, NEWEST_DAYS = 25, 120, 2
@@ -100,5 +101,28 @@ def sitemap_xml(urls: DataFrame, base: str) -> DataFrame:
     return urls.agg(F.concat(F.lit(head), F.array_join(F.transform(ordered, lambda x: x["x"]), "\n"), F.lit("\n</urlset>\n")).alias("xml"))
 
 
+def ratio(required: DataFrame, present: DataFrame, key: str, by: str) -> DataFrame:
+    """(by, required, present, share): of what is required, by group, how much is there."""
+    have = present.select(key).distinct().withColumn("__has", F.lit(True))
+    g = required.join(have, key, "left").groupBy(by)
+    return g.agg(F.count("*").alias("required"), F.count("__has").alias("present"), (F.count("__has") / F.count("*")).alias("share"))
+
+
+def busiest(rows: DataFrame, kind: str, key: str, most: int) -> DataFrame:
+    """(kind, key, n): the `most` keys of each kind with the most rows, ties to the smaller key."""
+    n = rows.groupBy(kind, key).agg(F.count("*").alias("n"))
+    return n.withColumn("__r", F.row_number().over(Window.partitionBy(kind).orderBy(F.desc("n"), key))).where(F.col("__r") <= most).drop("__r")
+
+
+def priority(path: Column) -> Column:
+    """How much a sitemap makes of a page: home, then section indexes, then the rest."""
+    return F.when(path == "index.html", "1.0").when(path.endswith("/index.html"), "0.8").otherwise("0.6")
+
+
+def robots(base: str, closed: list[str] | None = None) -> str:
+    """A robots.txt that opens everything but the closed paths and names the sitemap."""
+    return "User-agent: *\n" + ("".join(f"Disallow: {p}\n" for p in closed or []) or "Allow: /\n") + f"\nSitemap: {base}/sitemap.xml\n"
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,8 +17,10 @@ from veriloom.functions import claims as C
 from veriloom.functions import text as T
 
 
-#: Claims that one pass of a keyless search broadcasts.
-CLAIMS = 200_000
+#: Bytes of claims, in normal form, that one pass of a keyless search broadcasts; and of claims of two words or fewer, whose automaton is larger.
+CLAIM_BYTES, SHORT_BYTES = 32 << 20, 1 << 20
+#: Words of a claim that a text is searched for first.
+SEED = 4
 
 
 def evidence(packets: DataFrame, key: str = "slug", order: str = "path", text: str = "body") -> DataFrame:
@@ -26,37 +29,90 @@ def evidence(packets: DataFrame, key: str = "slug", order: str = "path", text: s
     return packets.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("t")).select(key, F.array_join(F.transform("t", lambda x: x[text]), "\n").alias("body"))
 
 
-def contained(claims: DataFrame, texts: DataFrame, claim: str, body: str, key: str | None = None) -> DataFrame:
+class Needles:
+    """Claims to be found in texts that are parted by single blanks.
+
+    A claim may begin or end inside a word of the text, but its inner words are whole ones: the first SEED of them are its seed. Claims without
+    inner words are sought by an automaton over all of them.
+    """
+
+    def __init__(self, claims: list[str]):
+        self.seeds: dict[int, dict[tuple, list[str]]] = {}
+        self.short = [c for c in claims if c.count(" ") < 2]
+        for c in claims:
+            inner = tuple(c.split(" ")[1:-1])[:SEED]
+            if inner:
+                self.seeds.setdefault(len(inner), {}).setdefault(inner, []).append(c)
+        self.automaton = None
+
+    def found(self, text: str, known: set[str] | None = None) -> list[str]:
+        """The claims that a text holds, each once, but those known already."""
+        words = text.split(" ")
+        out = []
+        for k, table in self.seeds.items():
+            for seed in table.keys() & zip(*(words[i:] for i in range(k)), strict=False):
+                out += [c for c in table[seed] if (known is None or c not in known) and c in text]
+        if self.short:
+            if self.automaton is None:
+                import ahocorasick
+
+                self.automaton = ahocorasick.Automaton()
+                for c in self.short:
+                    if c:
+                        self.automaton.add_word(c, c)
+                self.automaton.make_automaton()
+            hits = {c for _, c in self.automaton.iter(text)} if len(self.automaton) else set()
+            out += [c for c in (hits | {""} if "" in self.short else hits) if known is None or c not in known]
+        return out
+
+
+def contained(claims: DataFrame, texts: DataFrame, claim: str, body: str, key: str | None = None, once: bool = False) -> DataFrame:
     """claims with texts that contain them, both in normal form. Without a key every claim meets every text.
 
-    For keyless search words are the key: a text is looked at only for claims whose longest inner word it has
-    (a claim may begin or end inside a word of the text). The claims are broadcast, CLAIMS of them in a pass over the
-    texts, which are never shuffled.
+    A keyless search reads the texts once for each CLAIM_BYTES of claims, which are broadcast; texts are never shuffled. once=True: each
+    task reports a claim for one of its texts only, which is all that asking whether it is supported takes. Null claims and texts meet nothing.
     """
     c = claims.withColumn("__c", T.norm(claim))
     t = texts.withColumn("__t", T.norm(body))
     if key:
         return c.join(t, key).where(F.contains("__t", "__c")).drop("__c", "__t")
-    words = F.split("__c", " ")
-    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.get(F.reverse(F.array_sort(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))), 0)["w"]
-    c = c.withColumn("__w", longest)
-    n, shortest = c.agg(F.count("*"), F.min(F.length("__w"))).first()
-    passes = max(1, -(-n // CLAIMS))
-    long = F.filter(F.split("__t", " "), lambda w: F.length(w) >= (shortest or 0))  # no claim is found by a shorter word
-    keyed = t.withColumn("__w", F.explode(F.array_distinct(long)))
+    size = F.octet_length("__c")
+    long, short = c.agg(F.sum(size), F.sum(F.when(F.size(F.split("__c", " ")) < 3, size))).first()
+    passes = max(1, -(-(long or 0) // CLAIM_BYTES), -(-(short or 0) // SHORT_BYTES))
+    c = c.where("__c is not null")
     found = []
     for k in range(passes):
         part = c.where(F.pmod(F.xxhash64("__c"), F.lit(passes)) == k)
-        found.append(keyed.join(F.broadcast(part.where("__w is not null")), "__w"))
-        found.append(t.withColumn("__w", F.lit("")).join(F.broadcast(part.where("__w is null").drop("__w"))))  # of two words or fewer
-    return reduce(DataFrame.unionByName, found).where(F.contains("__t", "__c")).drop("__c", "__t", "__w")
+        needles = Needles([r[0] for r in part.select("__c").distinct().toLocalIterator()])
+        hits = t.mapInArrow(_search(claims.sparkSession.sparkContext.broadcast(needles), once), T.fields([*texts.schema, "__c string"]))
+        found.append(hits.join(F.broadcast(part), "__c"))
+    return reduce(DataFrame.unionByName, found).drop("__c")
+
+
+def _search(shared, once: bool):
+    """Rows of a text table whose last column is its normal form, by the claims that they hold."""
+
+    def run(batches):
+        known: set[str] | None = set() if once else None
+        for b in batches:
+            rows: list[int] = []
+            hits: list[str] = []
+            for i, text in enumerate(b.column(b.num_columns - 1)):
+                got = shared.value.found(text.as_py(), known) if text.is_valid else []
+                rows += [i] * len(got)
+                hits += got
+                if known is not None:
+                    known.update(got)
+            part = b.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(hits, pa.string())], names=[*b.schema.names[:-1], "__c"])
+
+    return run
 
 
 def unsupported_quotes(quotes: DataFrame, ev: DataFrame, key: str = "slug", quote: str = "text", body: str = "body") -> DataFrame:
     """quotes that the evidence of their key doesn't contain, or whose key has none."""
     e = ev.select(F.col(key).alias("__k"), T.norm(body).alias("__e"))
-    return quotes.join(e, (F.col(key) == F.col("__k")) & F.contains("__e", T.norm(quote)), "left_anti")
+    return quotes.join(e, (F.col(key) == F.col("__k")) & F.contains("__e", T.strip(T.norm(quote))), "left_anti")
 
 
 def missing_values(claimed: DataFrame, ev: DataFrame, key: str = "slug", value: str = "value", allow: list[str] | None = None) -> DataFrame:
@@ -123,26 +179,55 @@ def pair_quotes(quotes: DataFrame, index: DataFrame | None, text: str = "raw", s
     return ids.withColumn("verdict", F.when(F.col("verdict").isNull() & (use > 1), "DUPLICATE").otherwise(F.col("verdict")))
 
 
-def check(pages: DataFrame, packets: DataFrame, allow_hosts: list[str] | None = None, allow_emails: list[str] | None = None) -> DataFrame:
-    """(slug, tag, detail): what is unsupported on pages(slug, raw), given packets(slug, path, body). Distinct messages, quotations cut to 80 characters.
+def check(pages: DataFrame, packets: DataFrame, index: DataFrame | None = None, allow_hosts: list[str] | None = None, allow_emails: list[str] | None = None) -> DataFrame:
+    """(slug, tag, detail): what is unsupported on pages(slug, raw[, lang]), given packets(slug, path, body). Distinct messages, quotations cut to 80 characters.
 
-    Quotations are read before the change log only, contact facts on the whole page.
+    PACKET: notes in captured text. QUOTE, PHONE, EMAIL, ADDRESS, HOSTNAME: not in the packets. ADVISORY: advice outside quotations, on English
+    pages. On pages of another lang (null: en) each quotation must name an id of the quote index(id): UNPAIRED, MALFORMED, CROSS-STATE,
+    UNKNOWN or DUPLICATE says what is wrong with it, INDEX that there is no index. Quotations are read before the change log only, contact
+    facts on the whole page; the block that restates a page for search engines is left out.
     """
     from veriloom.sources.packets import source_bodies, source_region
 
-    whole = evidence(packets)
-    bodies = evidence(packets.withColumn("body", source_bodies("body")))
     region = evidence(packets.withColumn("body", source_region("body")))
-    p = pages.withColumn("text", T.mask_tags("raw"))
-    q = p.select("slug", F.explode(C.quotes(C.live_part("text"))).alias("q")).select("slug", "q.pos", "q.text")
-    say = lambda df, tag, c: df.select("slug", F.lit(tag).alias("tag"), c.alias("detail"))
+    bodies = evidence(packets.withColumn("body", source_bodies("body")))
+    lang = F.coalesce("lang", F.lit("en")) if "lang" in pages.columns else F.lit("en")
+    raw = T.mask_block("raw", "<!-- search-head -->", "<!-- /search-head -->")
+    p = pages.select("slug", lang.alias("lang"), raw.alias("raw")).withColumns({"text": T.mask_tags("raw"), "live": T.mask_tags(C.live_part("raw"))})
+    q = p.select("slug", "lang", F.col("text").alias("window"), F.explode(C.quotes("live")).alias("q")).select("slug", "lang", "window", "q.pos", "q.text")
+    say = lambda df, tag, c: df.select("slug", (F.lit(tag) if isinstance(tag, str) else tag).alias("tag"), c.alias("detail"))
     found = [
-        say(whole.select("slug", F.explode(C.annotations(source_region("body"))).alias("a")), "PACKET", F.substring("a", 1, 90)),
+        say(region.select("slug", F.explode(C.source_notes("body")).alias("a")), "PACKET", F.substring("a", 1, 90)),
         say(unsupported_quotes(q, bodies), "QUOTE", F.substring("text", 1, 80)),
-        say(missing_values(explode_values(p, "slug", C.phones("text")), explode_values(bodies, "slug", C.phones("body"))), "PHONE", F.col("value")),
-        say(missing_values(explode_values(p, "slug", C.emails("text")), explode_values(bodies, "slug", C.emails("body")), allow=allow_emails), "EMAIL", F.col("value")),
+        say(missing_values(explode_values(p, "slug", C.page_phones("text", "raw")), explode_values(bodies, "slug", C.phones("body"))), "PHONE", F.col("value")),
+        say(missing_values(explode_values(p, "slug", C.page_emails("text", "raw")), explode_values(bodies, "slug", C.emails("body")), allow=allow_emails), "EMAIL", F.col("value")),
         say(missing_addresses(p, bodies, page="text"), "ADDRESS", F.col("value")),
         say(missing_hosts(p, region, allow=allow_hosts), "HOSTNAME", F.col("value")),
-        say(advisory(p, text="text"), "ADVISORY", F.col("phrase")),
+        say(advisory(p.where("lang = 'en'"), text="text"), "ADVISORY", F.col("phrase")),
     ]
+    other = p.where("lang <> 'en'")
+    if index is None:
+        found.append(say(other, "INDEX", F.lit("there is no quote index")))
+    paired = pair_quotes(q.where("lang <> 'en'"), index, "window", "slug").where("verdict is not null")
+    found.append(say(paired, F.col("verdict"), F.when(F.col("verdict") == "UNPAIRED", F.substring("text", 1, 70)).otherwise(F.col("qid"))))
     return reduce(DataFrame.unionByName, found).distinct()
+
+
+def coverage(pages: DataFrame, index: DataFrame) -> DataFrame:
+    """(slug, paired, in_scope): how many of the index's spans(id, state, in_scope) pages of another language carry, of those in scope."""
+    text = pages.where("lang <> 'en'").withColumns({"window": T.mask_tags("raw"), "live": T.mask_tags(C.live_part("raw"))})
+    q = text.select("slug", "window", F.explode(C.quotes("live")).alias("q")).select("slug", "window", "q.pos", "q.text")
+    n = pair_quotes(q, index, "window", "slug").where("verdict is null").groupBy("slug").agg(F.count_distinct("qid").alias("paired"))
+    wanted = index.where("in_scope").groupBy(F.col("state").alias("slug")).agg(F.count_distinct("id").alias("in_scope"))
+    return text.select("slug").distinct().join(n, "slug", "left").join(wanted, "slug", "left").select("slug", F.coalesce("paired", F.lit(0)).alias("paired"), F.coalesce("in_scope", F.lit(0)).alias("in_scope"))
+
+
+def quote_index(text: DataFrame, column: str = "value") -> DataFrame:
+    """(id, state, in_scope, text) of an index's JSON lines; of lines that repeat an id the last in order of text counts, blank lines don't."""
+    r = text.where(F.trim(column) != "").select(F.from_json(column, "id string, state string, in_scope boolean, text string", {"mode": "FAILFAST"}).alias("r"), F.col(column).alias("line"))
+    return r.groupBy("r.id").agg(F.max_by("r", "line").alias("r")).select("r.*")
+
+
+def exit_code(findings: DataFrame) -> int:
+    """0: nothing is unsupported; 1: something is."""
+    return 0 if findings.isEmpty() else 1

@@ -19,6 +19,10 @@ ROOTED = ("http://", "https://", "//", "/", "#", "mailto:", "tel:", "data:", "ja
 LEAKED = r"\[[^\]\n]{2,80}\]\([^)\n]{1,80}\)"
 ALLOWED_EXT = "html|css|js|svg|png|ico|jpg|jpeg|gif|webp|avif|woff|woff2|ttf|pdf|txt|md|json|jsonl|xml|webmanifest"
 ALLOWED_NAME = "LICENSE|_redirects|_headers|CNAME"
+ALWAYS_NAMED = (".assetsignore", ".DS_Store", "wrangler.toml", "predeploy-check.sh")
+SKIPPED_FOLDERS = r"(?:^|/)(?:\.wrangler|node_modules|anchors|\.git)/"
+ADVICE = ("you should", "we recommend", "your deadline", "be sure to", "you qualify", "we advise", "you need to file")
+MUST_IGNORE = ("wrangler.toml", ".assetsignore", ".wrangler", "predeploy-check.sh")
 # End of fixed values.
 
 
@@ -34,7 +38,7 @@ def advice(html: Column) -> Column:
     """Phrases of advice outside quotations of either kind, tags out first."""
     bare = F.replace(F.regexp_replace(html, "<[^>]*>", " "), F.lit("&quot;"), F.lit('"'))
     masked = F.lower(F.regexp_replace(F.regexp_replace(bare, "“[^”]*”", ""), '"[^"]*"', ""))
-    return F.filter(F.array(*[F.lit(p) for p in C.ADVISORY]), lambda p: F.contains(masked, p))
+    return F.filter(F.array(*[F.lit(p) for p in ADVICE]), lambda p: F.contains(masked, p))
 
 
 def relative_refs(html: Column) -> Column:
@@ -69,10 +73,11 @@ def violations(pages: DataFrame, own_hosts: list[str], required: dict[str, str]
 
 
 def stray_files(files: DataFrame, ignored: list[str], path: str = "path") -> DataFrame:
-    """Files of a kind that isn't published."""
+    """Files of a kind that isn't published. ignored: names or paths that are kept out of what is published; some names and folders always are."""
     name = F.substring_index(path, "/", -1)
     fine = F.when(F.contains(name, F.lit(".")), F.substring_index(name, ".", -1).rlike(f"^(?:{ALLOWED_EXT})$")).otherwise(name.rlike(f"^(?:{ALLOWED_NAME})$"))
-    return files.where(~fine & ~name.isin(*ignored, ".assetsignore", ".DS_Store")).select(F.lit("stray").alias("gate"), F.col(path).alias("page"), name.alias("detail"))
+    kept_out = name.isin(*ignored, *ALWAYS_NAMED) | F.regexp_replace(path, r"^\./", "").isin(*ignored, "") | F.col(path).rlike(SKIPPED_FOLDERS)
+    return files.where(~fine & ~kept_out).select(F.lit("stray").alias("gate"), F.col(path).alias("page"), name.alias("detail"))
 
 
 def missing_markers(pages: DataFrame, markers: list[str], page: str = "path", html: str = "html") -> DataFrame:
@@ -80,6 +85,29 @@ def missing_markers(pages: DataFrame, markers: list[str], page: str = "path", ht
     return pages.select(F.lit("marker").alias("gate"), F.col(page).alias("page"), F.explode(need).alias("detail"))
 
 
+def ignore_gaps(lines: DataFrame, line: str = "value", must: tuple[str, ...] = MUST_IGNORE) -> DataFrame:
+    """What a list of ignored files has to name and doesn't; lines(value) are those of the list."""
+    need = lines.sparkSession.range(1).select(F.explode(F.array(*[F.lit(m) for m in must])).alias("detail"))
+    return need.join(lines.select(F.col(line).alias("detail")).distinct(), "detail", "left_anti").select(F.lit("ignored").alias("gate"), F.lit(".assetsignore").alias("page"), "detail")
+
+
+def skip_links(pages: DataFrame, page: str = "path", html: str = "html") -> DataFrame:
+    """Pages whose skip link or its target is missing, and those whose link doesn't lead to the target that they have."""
+    h = F.col(html)
+    tag = F.regexp_extract(h, r'(?i)<a\b[^>]*\bclass="(?:[^"]* )?skip-link(?: [^"]*)?"[^>]*>', 0)
+    to = F.regexp_extract(tag, r'(?i)\bhref="#([^"]+)"', 1)
+    held = F.contains(h, F.concat(F.lit('id="'), to, F.lit('"')))
+    why = F.when(tag == "", "no skip link").when(~F.contains(h, F.lit('id="main"')), 'no id="main"').when((to == "") | ~held, "the skip link leads nowhere")
+    return pages.select(F.lit("skip").alias("gate"), F.col(page).alias("page"), why.alias("detail")).where("detail is not null")
+
+
+def not_current(committed: DataFrame, derived: DataFrame, gate: str, path: str = "path", content: str = "content") -> DataFrame:
+    """Derived files that the committed copy lacks or has otherwise, and committed ones that nothing derives any more."""
+    a, b = committed.select(path, F.col(content).alias("__c")), derived.select(path, F.col(content).alias("__d"))
+    why = F.when(F.col("__c").isNull(), "not committed").when(F.col("__d").isNull(), "no longer derived").when(F.col("__c") != F.col("__d"), "differs")
+    return a.join(b, path, "full_outer").select(F.lit(gate).alias("gate"), F.col(path).alias("page"), why.alias("detail")).where("detail is not null")
+
+
 def stale_renders(pages: DataFrame, fresh: DataFrame, page: str = "path", html: str = "html") -> DataFrame:
     """Pages that differ from a fresh rendering of their source, or have none."""
     f = fresh.select(page, F.col(html).alias("__fresh"))

@@ -38,8 +38,8 @@ def exempt(rows: DataFrame, results: tuple[str, ...] = ("drift", "accepted")) ->
 def retain(captures: DataFrame, rows: DataFrame) -> DataFrame:
     """Manifest rows for new captures(slug, kind, date, result, hash, headers): stored if the hash moved or the result is drift, else an alias.
 
-    One new capture a slug and kind at a time. Stored captures get a free name (day, day-b, day-c...) and name
-    what they supersede.
+    One new capture a slug and kind at a time. Stored captures get a free name (day, day-b, day-c... and the characters after z)
+    and name what they supersede; a day whose names are all taken fails the query.
     """
     prev = newest_stored(rows).select("slug", "kind", F.col("hash").alias("prev_hash"), F.col("capture").alias("prev_capture"), F.col("headers").alias("prev_headers"))
     new = captures.withColumn("kind", kind()).join(prev, ["slug", "kind"], "left")
@@ -47,8 +47,10 @@ def retain(captures: DataFrame, rows: DataFrame) -> DataFrame:
     base = F.concat("date", F.when(F.col("kind") == "main", "").otherwise(F.concat(F.lit("-"), "kind")))
     taken = rows.where("capture is not null").groupBy("slug").agg(F.collect_set("capture").alias("taken"))
     new = new.join(taken, "slug", "left").withColumn("stored", stored)
-    letters = F.array(F.lit(""), *[F.lit(f"-{chr(98 + i)}") for i in range(25)])
-    free = F.get(F.filter(F.transform(letters, lambda x: F.concat(base, x, F.lit(".txt"))), lambda n: ~F.coalesce(F.array_contains("taken", n), F.lit(False))), 0)
+    # Of as many names as are taken and one more, one is free.
+    tails = F.transform(F.sequence(F.lit(0), F.coalesce(F.size("taken"), F.lit(0))), lambda i: F.when(i == 0, "").when(i < 159, F.concat(F.lit("-"), F.chr(i + 97))))
+    names = F.transform(tails, lambda x: F.concat(base, x, F.lit(".txt")))
+    free = F.coalesce(F.get(F.filter(names, lambda n: ~F.coalesce(F.array_contains("taken", n), F.lit(False))), 0), F.raise_error(F.lit("no free name")))
     both = lambda c: F.when(F.col("prev_headers").isNotNull() & (F.col("prev_headers") != F.col("headers")), c)
     return new.select(
         "slug", "kind", "date", "result", "hash", "headers",
@@ -60,6 +62,18 @@ def retain(captures: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def captures(rows: DataFrame, key: str = "slug") -> DataFrame:
+    """(key, captures, first_date, last_date): how many captures a key's history holds, and of which days."""
+    return rows.groupBy(key).agg(F.count_distinct("capture").alias("captures"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+def unknown_results(rows: DataFrame) -> DataFrame:
+    """(slug, seq, result) of rows whose result none of the vocabulary is."""
+    from veriloom.sources.files import RESULTS
+
+    return rows.where(F.col("result").isNull() | ~F.col("result").isin(*RESULTS)).select("slug", "seq", "result")
+
+
 def promote(rows: DataFrame) -> DataFrame:
     """The current capture of each slug and kind: that of its last confirmed, rebuilt or accepted row."""
     return latest(rows.withColumn("kind", kind()).where(F.col("result").isin("confirmed", "rebuild", "accepted")), ["slug", "kind"]).select("slug", "kind", "capture", "hash", "seq")

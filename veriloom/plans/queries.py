@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veriloom.functions import claims as C
 from veriloom.functions import dates as D
@@ -60,7 +61,7 @@ WHERE contains(regexp_replace(d.text, '\\s+', ' ', 'g'), regexp_replace(b.text,
 def unsupported_claims(t):
     """Passages that no document supports."""
     b = t("benchmark").select("item_id", F.col("text").alias("claim"))
-    found = fidelity.contained(b, t("documents").select("doc_id", "text"), "claim", "text")
+    found = fidelity.contained(b, t("documents").select("doc_id", "text"), "claim", "text", once=True)
     return b.join(found.select("item_id").distinct(), "item_id", "left_anti").select("item_id")
 
 
@@ -78,8 +79,12 @@ def unsupported_quotes(t):
     return fidelity.unsupported_quotes(q, ev, "conv_id").select("conv_id", "turn", F.length("text").cast("long").alias("n_chars"))
 
 
+# The shapes of contact facts, as above.
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _PHONE = r"(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]?\d{4}"
+# End of fixed values.
+
+
 def _phones_of(key: str, src: str) -> str:
     return rf"""
 SELECT {key}, CASE WHEN length(d) = 11 AND d LIKE '1%' THEN substr(d, 2) ELSE d END AS value
@@ -110,13 +115,17 @@ def missing_contacts(t):
     return fidelity.missing_values(of(1), of(0), "source")
 
 
-@query("""
-SELECT DISTINCT conv_id, p AS phrase FROM (
-  SELECT conv_id, lower(regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '"[^"]*"', ' ', 'g')) AS x, unnest(['the', 'you should', 'file by', 'of the', 'we advise', 'your deadline', 'be sure to']) AS p FROM conversations
-) WHERE contains(x, p) AND p NOT IN ('the', 'of the')""")
+_PHRASES = "['you should', 'we recommend', 'your deadline', 'be sure to', 'you qualify', 'we advise', 'you have grounds', 'file by']"
+
+
+@query(f"""
+WITH x AS (SELECT conv_id, 'Note: ' || upper({_PHRASES}[CAST(1 + conv_id % 8 AS INT)]) || ' x. "' || {_PHRASES}[CAST(1 + turn % 8 AS INT)] || '" ' || replace(text, '"', '') AS x FROM conversations)
+SELECT DISTINCT conv_id, p AS phrase FROM (SELECT conv_id, lower(regexp_replace(regexp_replace(x, '\\s+', ' ', 'g'), '"[^"]*"', ' ', 'g')) AS x, unnest({_PHRASES}) AS p FROM x) WHERE contains(x, p)""")
 def advisory_phrases(t):
-    """Advice outside quotation marks (there is none in these conversations, and none may appear)."""
-    return fidelity.advisory(t("conversations"), "conv_id", "text").distinct()
+    """Advice outside quotation marks; a phrase between them doesn't count."""
+    at = lambda k: F.get(F.array(*[F.lit(p) for p in C.ADVISORY]), (F.col(k) % 8).cast("int"))
+    x = F.concat(F.lit("Note: "), F.upper(at("conv_id")), F.lit(' x. "'), at("turn"), F.lit('" '), F.replace("text", F.lit('"'), F.lit("")))
+    return fidelity.advisory(t("conversations").select("conv_id", x.alias("text")), "conv_id", "text").distinct()
 
 
 # ---- bodies and lines
@@ -156,8 +165,7 @@ def repeated_lines(t):
 SELECT doc_id, trim(line) AS line, count(*) AS times FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 WHERE trim(line) <> '' GROUP BY 1, 2 HAVING count(*) >= 3""")
 def line_histogram(t):
-    lines = t("documents").select("doc_id", F.explode(T.lines("text")).alias("line")).select("doc_id", T.strip("line").alias("line")).where("line <> ''")
-    return lines.groupBy("doc_id", "line").agg(F.count("*").alias("times")).where("times >= 3")
+    return T.repeated_lines(t("documents"), "doc_id")
 
 
 @query(r"""
@@ -170,17 +178,41 @@ def page_number_lines(t):
     return t("documents").select("doc_id", lost.cast("long").alias("numbered")).where("numbered > 0")
 
 
+#: Glyphs, bullets, blank runs, split words, cells and form feeds put into a text, in order.
+_PUT = [("a ", "a’ "), (", ", " — "), (". ", ".\n\n\n\n• "), ("e ", "e\u200b "), ("n ", "n-\n"), ("o ", "o \t\n"), ("s ", "s |"), ("r ", "r\f"), ("i ", "i “ﬁ” "), ("u ", "u\u00a0")]
+
+
+def _carrying(c):
+    for a, b in _PUT:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+_CARRYING = "text"
+for _a, _b in _PUT:
+    _CARRYING = "replace(" + _CARRYING + ", '" + _a + "', '" + _b + "')"
 _FILTERED = r'''
 SELECT doc_id, left(sha256(x), 16) AS hash FROM (SELECT doc_id, replace(regexp_replace(regexp_replace(regexp_replace(
-  array_to_string(list_transform(string_split(regexp_replace(translate(replace(text, '—', '--'), '‘’‚“”„–− ​﻿⁠', repeat(chr(39), 3) || repeat(chr(34), 3) || '-- '), '(?m)^[ \t]*[•▪●◦·⁃∙o*–]\s+', '- ', 'g'), chr(10)), lambda l: rtrim(l)), chr(10)),
-  '-\n([a-z])', '-\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '\s*\|\s*', ' | ', 'g'), chr(12), chr(10)) AS x FROM documents)'''
+  array_to_string(list_transform(string_split(regexp_replace(translate(replace(CARRYING, '—', '--'), '‘’‚“”„–− ​﻿⁠', repeat(chr(39), 3) || repeat(chr(34), 3) || '-- '), '(?m)^[ \t]*[•▪●◦·⁃∙o*–]\s+', '- ', 'g'), chr(10)), lambda l: regexp_replace(l, '\s+$', '')), chr(10)),
+  '-\n([a-z])', '-\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '\s*\|\s*', ' | ', 'g'), chr(12), chr(10)) AS x FROM documents)'''.replace("CARRYING", _CARRYING)
 
 
 @query(_FILTERED)
 def text_filters(t):
-    """A chain of filters: glyphs, zero-width characters, bullets, line ends, wrapped hyphens, blank runs, table cells, form feeds."""
+    """A chain of filters over texts that carry what they look for: glyphs, zero-width characters, bullets, line ends, wrapped hyphens, blank runs, table cells, form feeds."""
     names = ["normalize-apostrophes", "strip-zero-width", "normalize-bullets", "trim-lines", "join-wrap-hyphens", "collapse-blank-runs", "pipe-table-cells"]
-    return t("documents").select("doc_id", T.body_hash(T.apply_filters("text", names)).alias("hash"))
+    return t("documents").select("doc_id", T.body_hash(T.apply_filters(_carrying(F.col("text")), names)).alias("hash"))
+
+
+@query(f"""
+SELECT doc_id, left(sha256(regexp_replace(translate(replace(replace({_CARRYING}, 'ﬁ', 'fi'), 'ﬀ', 'ff'), '‘’ʼ', repeat(chr(39), 3)), '[\\s ]+', ' ', 'g')), 16) AS normal,
+left(sha256(replace({_CARRYING}, 'ﬁ', 'fi') || 'x (A) B office'), 16) AS folded, left(sha256('retrieved: X and RETRIEVED:' || chr(10) || 'X, not retrieved 2026-01-02 ' || text), 16) AS undated FROM documents""")
+def folded_texts(t):
+    """Comparison form, compatibility characters by their letters (beyond the basic plane too), and retrieval dates as X."""
+    c = _carrying(F.col("text"))
+    dated = F.concat(F.lit("retrieved: 2026-01-02 and RETRIEVED:\n2025-12-31, not retrieved 2026-01-02 "), "text")
+    folded = T.normalize_ligatures(F.concat(c, F.lit("x \U0001f110 B oﬃce")))
+    return t("documents").select("doc_id", T.body_hash(T.norm(c)).alias("normal"), T.body_hash(folded).alias("folded"), T.body_hash(T.flatten_retrieved(dated)).alias("undated"))
 
 
 @query()
@@ -253,12 +285,27 @@ def long_links(t):
     return t("pages").select("page_id", F.explode(F.array_distinct(F.filter(C.hrefs("html"), lambda h: F.length(h) > 8))).alias("href"))
 
 
-@query("""
-SELECT DISTINCT page_id, lower(regexp_extract(r, '^[a-z]+://([^/]+)', 1)) AS host FROM (
-  SELECT page_id, unnest(regexp_extract_all(html, '(?i)<(?:script|link|img|iframe|source|video|audio|embed|object)\\b[^>]*?\\b(?:src|href|data)\\s*=\\s*"([^"]+)"', 1)) AS r FROM pages)
-WHERE r LIKE '%://%'""")
+#: What is put before a page, by its key: loads, advice, placeholders and links that gates look for.
+_BROKEN = """concat('<p>"you should" is quoted</p>', case when page_id % 5 = 0 then '<p>You need to file.</p>' when page_id % 5 = 1 then '<p>Be sure to ask.</p>' else '' end, case when page_id % 11 = 0 then '[reviewer name]' else '' end,
+case when page_id % 13 = 0 then '<i>Review-pending</i>' else '' end, case when page_id % 7 = 0 then '<img alt="" src="https://cdn' || (page_id % 3) || '.example.net:8443/x.png"><script src="//own.js"></script>' else '' end,
+case when page_id % 7 = 1 then '<style>@import "http://css.example.org/a.css"; b{background:url(data:x)}</style><link rel="canonical" href="https://nav.example.org/">' else '' end,
+case when page_id % 9 = 0 then '<a href="docs/x.html">' else '<a href="/docs/x.html">' end, case when page_id % 17 = 0 then '<b>[text](page.md)</b><script>[not](this)</script>' else '' end, case when page_id % 4 = 0 then '<p>licence</p>"licence"' else '""' end)"""
+
+
+def broken(t) -> DataFrame:
+    return t("pages").withColumn("html", F.concat(F.expr(_BROKEN), "html"))
+
+
+_BROKEN_PAGES = f"p AS (SELECT page_id, url, {_BROKEN} || html AS html FROM pages)"
+
+
+@query(f"""
+WITH {_BROKEN_PAGES} SELECT DISTINCT page_id, split_part(lower(regexp_extract(r, '^[A-Za-z]+://([^/]+)', 1)), ':', 1) AS host FROM (
+  SELECT page_id, unnest(list_concat(regexp_extract_all(replace(html, '<link rel="canonical" href="https://nav.example.org/">', ''), '(?i)<(?:script|link|img|iframe|source|video|audio|embed|object)\\b[^>]*?\\b(?:src|href|data)\\s*=\\s*"([^"]+)"', 1),
+  regexp_extract_all(html, '(?i)(?:@import\\s+|url\\()\\s*["'']?(https?://[^"'')\\s]+)', 1))) AS r FROM p)
+WHERE regexp_matches(r, '^[A-Za-z]+://')""")
 def third_party_loads(t):
-    return t("pages").select("page_id", F.explode(gates.loads(F.col("html"), [])).alias("r")).select("page_id", C.bare_host("r").alias("host")).distinct()
+    return broken(t).select("page_id", F.explode(gates.loads(F.col("html"), [])).alias("r")).select("page_id", C.bare_host("r").alias("host")).distinct()
 
 
 @query(r"""
@@ -291,7 +338,7 @@ def page_text(t):
 @query()
 def page_text_dom(t):
     """Visible text of articles by structure: hidden parts dropped, table rows as cells."""
-    return t("pages").where("html rlike '<body'").select("page_id", T.body_hash(html.html_text(F.col("html"), "article")).alias("hash"))
+    return t("pages").select("page_id", T.body_hash(html.html_text(F.col("html"), "article")).alias("hash"))
 
 
 @query(r"""
@@ -301,32 +348,36 @@ def hidden_blocks(t):
     return t("pages").select("page_id", n(r"(?is)<script\b.*?</script\s*>").alias("scripts"), n(r"(?s)<!--.*?-->").alias("comments"))
 
 
-@query(r"""
-WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '\b(?:href|src)="([^"]*)"', 1)) AS x FROM pages)
+@query(rf"""
+WITH {_BROKEN_PAGES}, r AS (SELECT page_id, unnest(regexp_extract_all(html, '\b(?:href|src)="([^"]*)"', 1)) AS x FROM p)
 SELECT 'relative' AS gate, page_id AS page, x AS detail FROM r WHERE x <> '' AND NOT regexp_matches(x, '^(https?://|/|#|mailto:|tel:|data:|javascript:)')
-UNION ALL SELECT 'leaked', page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>', ' ', 'g'), '\[[^\]\n]{2,80}\]\([^)\n]{1,80}\)')) FROM pages
-UNION ALL SELECT 'description', page_id, 'missing' FROM pages WHERE NOT contains(html, 'name="description"')
-UNION ALL SELECT 'placeholder', page_id, 'reviewer placeholder' FROM pages WHERE regexp_matches(html, '\[named human reviewer|\[pending review before publication|\[reviewer')""")
+UNION ALL SELECT 'leaked', page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>', ' ', 'g'), '\[[^\]\n]{{2,80}}\]\([^)\n]{{1,80}}\)')) FROM p
+UNION ALL SELECT 'description', page_id, 'missing' FROM p WHERE NOT contains(html, 'name="description"')
+UNION ALL SELECT 'placeholder', page_id, 'reviewer placeholder' FROM p WHERE regexp_matches(html, '\[named human reviewer|\[pending review before publication|\[reviewer')
+UNION ALL SELECT 'pending', page_id, 'review pending' FROM p WHERE regexp_matches(html, '(?i)review[- ]pending')
+UNION ALL SELECT 'external', page_id, 'https://cdn' || (page_id % 3) || '.example.net:8443/x.png' FROM p WHERE page_id % 7 = 0
+UNION ALL SELECT 'external', page_id, 'http://css.example.org/a.css' FROM p WHERE page_id % 7 = 1
+UNION ALL SELECT 'advice', page_id, CASE page_id % 5 WHEN 0 THEN 'you need to file' ELSE 'be sure to' END FROM p WHERE page_id % 5 < 2
+UNION ALL SELECT 'spelling', page_id, 'licence' FROM p WHERE page_id % 4 = 0""")
 def gate_violations(t):
-    found = gates.violations(t("pages"), ["example.com"], {"description": 'name="description"'}, page="page_id")
-    return found.where("gate in ('relative', 'leaked', 'description', 'placeholder')")
+    """All gates over pages that break each of them by a rule."""
+    return gates.violations(broken(t), ["example.com"], {"description": 'name="description"'}, {"licence": "license"}, page="page_id")
 
 
-@query("""
-SELECT * FROM (VALUES ('placeholder', 0, true), ('pending', 0, true)) v(gate, violations, passed)
-UNION ALL SELECT 'viewport', count(*), count(*) = 0 FROM pages WHERE NOT contains(html, 'viewport')""")
+@query(f"""
+WITH {_BROKEN_PAGES}, n AS (SELECT 'placeholder' AS gate, count(*) AS n FROM p WHERE contains(html, '[reviewer') UNION ALL SELECT 'pending', count(*) FROM p WHERE regexp_matches(html, '(?i)review[- ]pending')
+UNION ALL SELECT 'viewport', count(*) FROM p WHERE NOT contains(html, 'viewport') UNION ALL SELECT 'quoted', count(*) FROM p WHERE NOT contains(html, 'is quoted'))
+SELECT gate, n AS violations, n = 0 AS passed FROM n""")
 def gate_summary(t):
-    found = gates.violations(t("pages"), [], {"viewport": "viewport"}, page="page_id")
-    return gates.passed(found, ["placeholder", "pending", "viewport"])
+    found = gates.violations(broken(t), [], {"viewport": "viewport", "quoted": "is quoted"}, page="page_id")
+    return gates.passed(found, ["placeholder", "pending", "viewport", "quoted"])
 
 
-@query("SELECT page_id, CASE WHEN page_id % 50 = 0 THEN 'excluded by name' WHEN page_id % 7 = 0 THEN 'recorded as drift, awaiting rebuild' END AS reason FROM pages")
+@query("SELECT page_id, CASE WHEN page_id = 50 THEN 'excluded by name' WHEN page_id % 7 = 0 THEN 'recorded as drift, awaiting rebuild' WHEN page_id % 3 = 0 THEN 'declares noindex' END AS reason FROM pages")
 def sitemap_reasons(t):
-    p = t("pages").select(F.col("page_id").cast("string").alias("path"), "html", "page_id")
-    drifted = p.where("page_id % 7 = 0")
-    named = F.when(F.col("page_id") % 50 == 0, F.lit("excluded by name"))
-    out = coverage.sitemap(p, [], drifted).join(p.select("path", "page_id"), "path")
-    return out.select("page_id", F.coalesce(named, "reason").alias("reason"))
+    tag = F.expr("""if(page_id % 3 = 0, '<meta name="robots" content="noindex,follow">', '<meta name="robots" content="noindexed">')""")
+    p = t("pages").select(F.col("page_id").cast("string").alias("path"), F.concat(tag, "html").alias("html"), "page_id")
+    return coverage.sitemap(p, ["50"], p.where("page_id % 7 = 0")).select(F.col("path").cast("long").alias("page_id"), "reason")
 
 
 # ---- the log
@@ -386,7 +437,7 @@ def attendance_by_month(t):
 
 @query(_LOG + "SELECT slug, count(DISTINCT capture) AS captures, min(date) AS first_date, max(date) AS last_date FROM log GROUP BY 1")
 def captures_by_slug(t):
-    return log(t).groupBy("slug").agg(F.count_distinct("capture").alias("captures"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return history.captures(log(t))
 
 
 @query(
@@ -420,7 +471,7 @@ _LEDGER = f"""WITH a AS (SELECT user_id, event_id, ts, {_OUTCOME} AS o FROM even
 i AS (SELECT *, sum(CASE WHEN o IN ('OK', 'PENDING') THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM a),
 s AS (SELECT *, sum(CASE WHEN o = 'hard' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, i ORDER BY event_id) AS streak FROM i),
 led AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
-cand AS (SELECT c_custkey AS u, c_nationkey AS slug FROM customer WHERE c_custkey < 400),
+cand AS (SELECT c_custkey AS u, c_nationkey AS slug FROM customer),
 st AS (SELECT slug, CAST(u AS VARCHAR) AS url, CASE WHEN o = 'PENDING' THEN 'pending' WHEN coalesce(streak, 0) >= 3 THEN 'blocked'
 WHEN o IN ('hard', 'soft') AND epoch(TIMESTAMP '{NOW}') - floor(epoch(ts)) < 604800 THEN 'cooling' WHEN ts IS NOT NULL THEN 'due' ELSE 'fresh' END AS state FROM cand LEFT JOIN led ON u = user_id) """
 
@@ -458,8 +509,6 @@ c AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'broken' ELSE lag(h) OVER (PART
 SELECT user_id, event_id, p AS prev, lag(h) OVER (PARTITION BY user_id ORDER BY event_id) AS expected FROM c QUALIFY p IS DISTINCT FROM lag(h) OVER (PARTITION BY user_id ORDER BY event_id)""")
 def chain_links(t):
     """Links of hash chains that don't name the entry before."""
-    from pyspark.sql.window import Window
-
     h = t("events").select("user_id", "event_id", T.body_hash(F.col("event_id").cast("string")).alias("h"))
     link = F.lag("h").over(Window.partitionBy("user_id").orderBy("event_id"))
     e = h.withColumn("prev", F.when(F.col("event_id") % 97 == 0, "broken").otherwise(link))
@@ -495,7 +544,7 @@ def store_verification(t):
 
 @query("""
 SELECT o_custkey AS id, string_agg(CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber, ',' ORDER BY l_shipdate, l_orderkey, l_linenumber) AS within FROM
-(SELECT o_custkey, min(o_orderdate) AS a, min(o_orderdate) + INTERVAL 30 DAY AS b FROM orders WHERE o_custkey % 50 = 0 GROUP BY 1) p JOIN lineitem ON l_shipdate BETWEEN a AND b AND l_suppkey % 50 = 1 GROUP BY 1""")
+(SELECT o_custkey, min(o_orderdate) AS a, min(o_orderdate) + INTERVAL 30 DAY AS b FROM orders GROUP BY 1) p JOIN lineitem ON l_shipdate BETWEEN a AND b GROUP BY 1""")
 def commits_in_window(t):
     """Rows of a log within each key's window of days: a day's rows are listed once, and each different window joins the lists of its days."""
     o = t("orders").groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderdate").alias("a")).withColumn("b", F.expr("a + interval 30 days"))
@@ -524,8 +573,8 @@ def halves(t) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-_HALVES = """WITH a AS (SELECT doc_id // 2 AS n, text AS body FROM documents WHERE doc_id % 2 = 0 AND doc_id % 26 <> 0),
-b AS (SELECT doc_id // 2 AS n, CASE WHEN doc_id % 6 = 0 THEN replace(text, ' ', '  ') WHEN doc_id % 10 = 0 THEN text || ' more' WHEN doc_id % 14 = 0 THEN left(text, greatest(length(text) - 2, 0)) ELSE text END AS body FROM documents WHERE doc_id % 2 = 0 AND doc_id % 34 <> 0),
+_HALVES = """WITH a AS (SELECT doc_id AS n, text AS body FROM documents WHERE doc_id % 26 <> 0),
+b AS (SELECT doc_id AS n, CASE WHEN doc_id % 6 = 0 THEN replace(text, ' ', '  ') WHEN doc_id % 10 = 0 THEN text || ' more' WHEN doc_id % 14 = 0 THEN left(text, greatest(length(text) - 2, 0)) ELSE text END AS body FROM documents WHERE doc_id % 34 <> 0 OR doc_id % 26 = 0),
 j AS (SELECT n, a.body AS x, b.body AS y, regexp_replace(a.body, '\\s+', '', 'g') AS p, regexp_replace(b.body, '\\s+', '', 'g') AS q FROM a FULL JOIN b USING (n)),
 s AS (SELECT n, x, y, CASE WHEN y IS NULL THEN 'gone' WHEN x IS NULL THEN 'new' WHEN x = y THEN 'same' WHEN p = q THEN 'respaced' WHEN length(q) >= length(p) THEN 'grew' ELSE 'shrank' END AS state, length(p) AS lp, length(q) AS lq FROM j) """
 
@@ -553,7 +602,7 @@ def verdict_ladder(t):
 
 @query(
     """
-WITH d AS (SELECT user_id, list(DISTINCT event_type) FILTER (event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (event_id % 2 = 1) AS b FROM events WHERE event_id % 5 < 2 GROUP BY 1)
+WITH d AS (SELECT user_id, list(DISTINCT event_type) FILTER (event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (event_id % 2 = 1) AS b FROM events GROUP BY 1)
 SELECT user_id, array_to_string(list_sort(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x))), ',') AS gone, array_to_string(list_sort(list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))), ',') AS new,
 array_to_string(list_sort(list_intersect(coalesce(a, []), coalesce(b, []))), ',') AS kept, len(list_distinct(list_concat(coalesce(a, []), coalesce(b, [])))) AS all_kinds FROM d"""
 )
@@ -636,7 +685,7 @@ def surface_disagreements(t):
 
 
 @query("""
-WITH h AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 40 = 0), k AS (SELECT DISTINCT user_id FROM h), n AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS missing)
+WITH h AS (SELECT DISTINCT user_id, event_type FROM events), k AS (SELECT DISTINCT user_id FROM h), n AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS missing)
 SELECT k.user_id, n.missing FROM k CROSS JOIN n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.user_id = k.user_id AND h.event_type = n.missing)""")
 def surface_gaps(t):
     return coverage.gaps(t("events"), "user_id", "event_type", ["click", "error", "purchase", "signup", "view"])
@@ -653,10 +702,9 @@ def status_rollup(t):
 
 
 @query("""
-SELECT source, count(*) AS documents, count(l.doc_id) AS labelled, count(*) FILTER (toxic = 1) AS toxic, count(l.doc_id) / count(*) AS share FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY 1""")
+SELECT source, count(*) AS required, count(l.doc_id) AS present, count(l.doc_id) / count(*) AS share FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY 1""")
 def coverage_ratio(t):
-    d = t("documents").join(t("labels").withColumn("has", F.lit(True)), "doc_id", "left").groupBy("source")
-    return d.agg(F.count("*").alias("documents"), F.count("has").alias("labelled"), F.count_if(F.col("toxic") == 1).alias("toxic"), (F.count("has") / F.count("*")).alias("share"))
+    return coverage.ratio(t("documents"), t("labels"), "doc_id", "source")
 
 
 @query("""
@@ -677,7 +725,7 @@ def json_paths(t):
     return t("events").select(files.json_texts(F.col("props"), ["k"]).cast("int").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, unnest(json_keys(props)) AS name FROM events WHERE event_id % 3 = 0")
+@query("SELECT event_id, unnest(json_keys(props)) AS name FROM events")
 def json_map(t):
     m = F.from_json("props", "map<string,string>")
     return t("events").select("event_id", F.explode(F.map_keys(m)).alias("name"))
@@ -702,23 +750,22 @@ def code_digest(t):
 
 
 @query("""
-WITH q AS (SELECT conv_id, turn, text, CASE turn % 6 WHEN 0 THEN 'a' || conv_id || ':law:' || turn WHEN 1 THEN NULL WHEN 2 THEN 'Bad Id' WHEN 3 THEN 'b' || conv_id || ':law:1' WHEN 4 THEN 'a' || conv_id || ':law:999' ELSE 'a' || conv_id || ':law:0' END AS id
-FROM conversations WHERE length(text) >= 15 AND NOT contains(text, '"'))
-SELECT conv_id, turn, CASE WHEN id IS NULL THEN 'UNPAIRED' WHEN id = 'Bad Id' THEN 'MALFORMED' WHEN id LIKE 'b%' THEN 'CROSS-STATE' WHEN id LIKE '%:999' THEN 'UNKNOWN' END AS verdict, id AS qid FROM q""")
+WITH q AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, CASE turn % 6 WHEN 0 THEN 'a' || conv_id || ':law:' || turn WHEN 1 THEN NULL WHEN 2 THEN 'Bad Id' WHEN 3 THEN 'b' || conv_id || ':law:1' WHEN 4 THEN 'a' || conv_id || ':law:999' ELSE 'a' || conv_id || ':law:0' END AS id
+FROM (SELECT conv_id, 2 * turn + k AS turn, text FROM conversations, (SELECT unnest([0, 1]) AS k)) WHERE length(text) >= 15),
+u AS (SELECT *, row_number() OVER (PARTITION BY conv_id, id ORDER BY n) AS uses FROM q)
+SELECT conv_id, n, CASE WHEN id IS NULL THEN 'UNPAIRED' WHEN id = 'Bad Id' THEN 'MALFORMED' WHEN id LIKE 'b%' THEN 'CROSS-STATE' WHEN id LIKE '%:999' THEN 'UNKNOWN' WHEN uses > 1 THEN 'DUPLICATE' END AS verdict, id AS qid FROM u""")
 def quote_pairs(t):
-    """Each quoted turn beside the id that follows it: what is wrong with the pairing."""
-    c = t("conversations").where("length(text) >= 15 and not contains(text, '\"')").withColumn("s", F.concat(F.lit("a"), F.col("conv_id").cast("string")))
-    law = lambda tail: F.concat("s", F.lit(":law:"), tail)
-    k = F.col("turn") % 6
-    right, mark = F.col("turn").cast("string"), lambda x: F.concat(F.lit("[["), x, F.lit("]]"))
-    said = (
-        F.when(k == 0, mark(law(right))).when(k == 1, "").when(k == 2, '<i data-quote-id="Bad Id">').when(k == 3, mark(F.concat(F.lit("b"), F.substr("s", F.lit(2)), F.lit(":law:1")))).when(k == 4, mark(law(F.lit("999")))).otherwise(mark(law(F.lit("0"))))
-    )
-    p = c.select("conv_id", "turn", F.concat("s", F.lit("-"), "turn").alias("slug"), "s", F.concat(F.lit('"'), "text", F.lit('" '), said).alias("raw"))
-    q = p.select("*", F.explode(C.quotes("raw")).alias("q")).select("conv_id", "turn", "s", "raw", "q.pos", "q.text", "slug")
-    index = c.where("turn % 6 in (0, 5)").select(F.when(k == 0, law(right)).otherwise(law(F.lit("0"))).alias("id"))
-    # A page here is one turn, so that ids don't recur on it.
-    return fidelity.pair_quotes(q.withColumn("state", F.col("s")), index, "raw", "state").withColumn("verdict", F.when(F.col("verdict") != "DUPLICATE", F.col("verdict"))).select("conv_id", "turn", "verdict", "qid")
+    """Pages that quote each turn of a conversation twice: the id that follows each quotation, and what is wrong with the pairing."""
+    c = t("conversations").select("conv_id", F.explode(F.array(F.col("turn") * 2, F.col("turn") * 2 + 1)).alias("turn"), F.replace("text", F.lit('"'), F.lit("'")).alias("text"))
+    c = c.withColumn("s", F.concat(F.lit("a"), F.col("conv_id").cast("string")))
+    said = F.expr("case turn % 6 when 0 then concat('[[', s, ':law:', turn, ']]') when 1 then '' when 2 then '<i data-quote-id=\"Bad Id\">' when 3 then concat('[[b', substr(s, 2), ':law:1]]') when 4 then concat('[[', s, ':law:999]]') else concat('[[', s, ':law:0]]') end")
+    said = F.when(F.length("text") >= 15, said).otherwise("")
+    one = F.concat(F.lit('"'), "text", F.lit('" '), F.replace(said, F.lit('"'), F.lit("\u0001")), F.repeat(F.lit(" ."), F.lit(110)))
+    pages = c.groupBy("conv_id", "s").agg(F.array_sort(F.collect_list(F.struct("turn", one.alias("x")))).alias("o")).withColumn("raw", F.array_join(F.transform("o", lambda x: x["x"]), "\n"))
+    q = pages.select("conv_id", "s", "raw", F.explode(C.quotes("raw")).alias("q")).select("conv_id", "s", F.replace("raw", F.lit("\u0001"), F.lit('"')).alias("raw"), "q.pos", "q.text")
+    index = c.where("turn % 6 in (0, 5)").select(F.when(F.col("turn") % 6 == 0, F.concat("s", F.lit(":law:"), F.col("turn").cast("string"))).otherwise(F.concat("s", F.lit(":law:0"))).alias("id"))
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("pos"))
+    return fidelity.pair_quotes(q, index, "raw", "s").select("conv_id", n.cast("long").alias("n"), "verdict", "qid")
 
 
 @query(
@@ -750,8 +797,6 @@ p AS (SELECT *, CASE WHEN bare = 1 THEN 'by hand' ELSE t END AS x, lag(CASE WHEN
 SELECT user_id, event_id, CASE WHEN x = y THEN true WHEN y IS NULL THEN false ELSE coalesce(nullif(regexp_extract(x, 'recipe ([0-9a-f]{12})', 1), '') = nullif(regexp_extract(y, 'recipe ([0-9a-f]{12})', 1), ''), false) END AS held FROM p""")
 def methods_held(t):
     """Whether the capture method held since the key's row before: equal notes, or equal recipe digests."""
-    from pyspark.sql.window import Window
-
     note = F.concat(F.lit("curl, recipe "), F.substring(F.sha2(F.floor(F.col("value") / 12).cast("string"), 256), 1, 12), F.when(F.col("event_id") % 2 == 0, " by hand").otherwise(""))
     e = t("events").select("user_id", "event_id", F.when(F.col("event_id") % 11 == 0, "by hand").otherwise(note).alias("x"))
     e = e.withColumn("y", F.lag("x").over(Window.partitionBy("user_id").orderBy("event_id")))
@@ -762,10 +807,7 @@ def methods_held(t):
 SELECT event_type AS kind, user_id, n FROM (SELECT event_type, user_id, count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY count(*) DESC, user_id) AS r FROM events GROUP BY 1, 2) WHERE r <= 3""")
 def busiest_keys(t):
     """The three busiest keys of each kind: a top-k report."""
-    from pyspark.sql.window import Window
-
-    n = t("events").groupBy(F.col("event_type").alias("kind"), "user_id").agg(F.count("*").alias("n"))
-    return n.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "user_id"))).where("r <= 3").drop("r")
+    return coverage.busiest(t("events"), "event_type", "user_id", 3).withColumnRenamed("event_type", "kind")
 
 
 @query("""
@@ -778,17 +820,18 @@ def night_rotation(t):
 
 
 @query("""
-SELECT page_id, host FROM (SELECT DISTINCT page_id, lower(regexp_extract(url, '^https?://([^/]+)', 1)) AS host, html FROM pages) WHERE NOT contains(lower(html), regexp_replace(host, '^www\\.', '')) AND NOT contains(lower(html), host)""")
+SELECT page_id, 'www.h' || (page_id % 9) || '.org' AS host FROM pages WHERE page_id % 4 > 1 UNION ALL SELECT page_id, 'b.example:80' FROM pages WHERE page_id % 3 = 0""")
 def hosts_unsupported(t):
-    """Pages that don't name their own host (all do, and none may stop to)."""
-    p = t("pages").select("page_id", F.concat(F.lit('<a href="'), "url", F.lit('">')).alias("raw"))
-    ev = t("pages").select("page_id", F.col("html").alias("body"))
-    return fidelity.missing_hosts(p, ev, "page_id").withColumnRenamed("value", "host")
+    """Hosts that a page links to and its evidence names neither as they are nor without www; some are allowed."""
+    link = F.expr("""concat('<a href="https://WWW.h', page_id % 9, '.org/x">[y](http://allowed.org/z) <a href="/local">', if(page_id % 3 = 0, '<a href="http://b.example:80">', ''))""")
+    said = F.expr("case page_id % 4 when 0 then concat('at https://www.H', page_id % 9, '.org') when 1 then concat('see h', page_id % 9, '.org') else concat('h', page_id % 9, ' org') end")
+    p = t("pages").select("page_id", link.alias("raw"), said.alias("body"))
+    return fidelity.missing_hosts(p.select("page_id", "raw"), p.select("page_id", "body"), "page_id", allow=["allowed.org"]).withColumnRenamed("value", "host")
 
 
 @query("""
-SELECT slug, coalesce(a, 0) AS needed, coalesce(b, 0) AS recorded FROM (SELECT c_nationkey AS slug, count(*) AS a FROM customer WHERE c_custkey < 150 GROUP BY 1) LEFT JOIN
-(SELECT c_nationkey AS slug, count(*) AS b FROM customer WHERE c_custkey < 150 AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1) USING (slug)""")
+SELECT slug, coalesce(a, 0) AS needed, coalesce(b, 0) AS recorded FROM (SELECT c_nationkey AS slug, count(*) AS a FROM customer GROUP BY 1) LEFT JOIN
+(SELECT c_nationkey AS slug, count(*) AS b FROM customer WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1) USING (slug)""")
 def recorded_links(t):
     """Links needed per key, and those that an attempt has captured."""
     c = t("customer").select(F.col("c_nationkey").alias("slug"), F.col("c_custkey").cast("string").alias("url"))

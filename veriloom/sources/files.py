@@ -131,14 +131,14 @@ def legacy_doc(content: Column) -> Column:
     return F.hex(F.substring(content, 1, 8)) == "D0CF11E0A1B11AE1"
 
 
-def draft(headers: DataFrame, header: str = "header") -> DataFrame:
-    """(n, title, url, source_date, extractor) drafted from header lines; the address tells the extractor."""
+def draft(headers: DataFrame, header: str = "header", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., n, title, url, source_date, extractor) drafted from header lines; the address tells the extractor."""
     h = F.col(header)
     part = lambda i: F.trim(F.get(F.split(h, r"\|"), i))
     url = F.regexp_extract(h, r"https?://[^\s|]+", 0)
     kind = F.when(F.contains(F.lower(url), F.lit("pdf")), "pdftotext-layout").when(F.lower(url).endswith(".docx"), "docx").otherwise("html-text")
     return headers.select(
-        F.regexp_extract(h, r"^SOURCE\s+(\d+)", 1).cast("int").alias("n"), F.regexp_replace(part(0), r"^SOURCE\s+\d+\s*[:|]?\s*", "").alias("title"), url.alias("url"),
+        *keep, F.regexp_extract(h, r"^SOURCE\s+(\d+)", 1).cast("int").alias("n"), F.regexp_replace(part(0), r"^SOURCE\s+\d+\s*[:|]?\s*", "").alias("title"), url.alias("url"),
         F.regexp_extract(h, r"(?i)source date:\s*([^|]*?)\s*(?:\||$)", 1).alias("source_date"), kind.alias("extractor"),
     )
 

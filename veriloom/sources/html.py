@@ -135,10 +135,14 @@ def clean(n: Node) -> None:
 
 
 def target(a: Node) -> str | None:
-    href = a.attrs.get("href", "").strip()
-    if href.startswith("mailto:"):
-        return href[7:].split("?")[0]
-    return href if href.startswith(("http://", "https://")) else None
+    """What a link cites: a web address as it is, a mail address alone; other schemes and relative links cite nothing."""
+    address = a.attrs.get("href", "").strip()
+    scheme, colon, rest = address.partition(":")
+    if not colon:
+        return None
+    if scheme == "mailto":
+        return rest.partition("?")[0]
+    return address if scheme in ("http", "https") and rest.startswith("//") else None
 
 
 def spaced(n: Node) -> str:

@@ -144,16 +144,14 @@ def joined_pages(rows: DataFrame, key: str, pos: str, url: str, body: str) -> Da
 def page_sections(pages: DataFrame, key: str = "slug", raw: str = "raw") -> DataFrame:
     """(key, section, heading, pos, line) of Markdown pages: lines with the running number of their ## section, 0 before the first.
 
-    The running number is kept in a fold over the row's lines, so that no window is needed.
+    A page is cut at its headings first and a section at its line ends, so that work is linear in the page.
     """
-    step = F.aggregate(
-        T.lines(raw),
-        F.struct(F.lit(0).alias("s"), F.lit("").alias("h"), F.expr("cast(array() as array<struct<section:int,heading:string,line:string>>)").alias("out")),
-        lambda a, x: F.when(
-            x.startswith("## "), F.struct((a["s"] + 1).alias("s"), F.substr(x, F.lit(4)).alias("h"), F.concat(a["out"], F.array(F.struct((a["s"] + 1).alias("section"), F.substr(x, F.lit(4)).alias("heading"), x.alias("line")))).alias("out"))
-        ).otherwise(F.struct(a["s"].alias("s"), a["h"].alias("h"), F.concat(a["out"], F.array(F.struct(a["s"].alias("section"), a["h"].alias("heading"), x.alias("line")))).alias("out"))),
-    )["out"]
-    return pages.select(key, F.posexplode(step).alias("pos", "l")).select(key, "l.section", "l.heading", "pos", "l.line")
+    parts = F.split(raw, r"(?m)(?d)^(?=## )", -1)
+    opens = F.startswith(F.col(raw), F.lit("## ")).cast("int")
+    heading = lambda p: F.when(p.startswith("## "), F.substr(F.get(F.split(p, "\n", 2), 0), F.lit(4))).otherwise("")
+    row = lambda p, i, x: F.struct((i + opens).alias("section"), heading(p).alias("heading"), x.alias("line"))
+    rows = F.flatten(T.let(parts, lambda v: F.transform(v, lambda p, i: F.transform(T.lines(F.when(i < F.size(v) - 1, F.substr(p, F.lit(1), F.length(p) - 1)).otherwise(p)), lambda x: row(p, i, x)))))
+    return pages.select(key, F.posexplode(rows).alias("pos", "l")).select(key, "l.section", "l.heading", "pos", "l.line")
 
 
 def docket(pages: DataFrame, key: str = "slug", raw: str = "raw") -> DataFrame:

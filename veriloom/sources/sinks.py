@@ -80,9 +80,11 @@ def checked_dates(pages: DataFrame, index: DataFrame, home: DataFrame) -> DataFr
     """(surface, slug, checked): dates of Markdown sources and rendered pages(slug, md, html), of the index's table rows and of the home page's records."""
     from veriloom.sources.files import island_records
 
+    # How these pages write their dates.
     md = F.nullif(F.regexp_extract("md", r"\*\*Sources last checked\.\*\*\s*(.+)", 1), F.lit(""))
     html = F.nullif(F.regexp_extract("html", r'class="docket-checked">([^<]+)<', 1), F.lit(""))
     row = r'(?s)<tr><td><a href="(?:/states/)?([a-z\-]+)(?:\.html|/)">.*?</td><td>([^<]*)</td></tr>'
+    # End of fixed values.
     rows = index.select(F.explode(F.regexp_extract_all("html", F.lit(row), F.lit(0))).alias("x"))
     parts = [
         pages.where(md.isNotNull()).select(F.lit("source").alias("surface"), "slug", D.display(T.strip(md)).alias("checked")),
