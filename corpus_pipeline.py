@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over documents, each written as Parquet and reread as the next one's docs.
 
 Every stage works on all that its predecessor kept and returns the columns of documents, but for the
-last, which returns token ids. Rows with null ids or texts pass through the filters.
+last, which returns token ids. Rows with null ids or texts pass through the filters. Texts are taken whole, of any
+length; further columns pass through the filters, also those that have names of an operator's own; empty tables give empty ones.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from veriloom.llm.shared import cut, one_of_each, prepare, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a machine trained on the labelled ones among them scores below 0.5."""
+    """Documents that a machine trained on the labelled ones among them scores below 0.5. Null and empty texts score the machine's prior;
+    repeated rows are scored alike; without labels nothing is rejected."""
     prepare(spark)
     machine = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, machine)
@@ -30,7 +32,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, in any order of its parts."""
+    """Documents that hold no benchmark item, in any order of its parts. Null and empty texts, and rows without an id, hold none; rows that
+    repeat an id go if the text of one of them holds an item."""
     prepare(spark)
     found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, found.select(F.col("doc_id").alias("id")), name="contaminated")
@@ -43,7 +46,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, digests of the ids and of what they decode to, and the ids."""
+    """doc_id, n_tokens, digests of the ids and of what they decode to, and the ids. A null text is empty; repeated rows are repeated."""
     prepare(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
