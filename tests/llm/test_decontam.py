@@ -73,3 +73,28 @@ def test_items_of_few_words_are_caught_whole(spark):
     docs = [(1, "a b FOUR words\nof it"), (2, "four words of"), (3, "it lone two"), (4, "words"), (5, "two words two words"), (6, "it has five words are long enough"), (7, None)]
     got = {(r.doc_id, r.item_id, r.tiles, r.tiled_words, r.item_words, r.coverage) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert got == {(1, 1, 1, 4, 4, 1.0), (3, 2, 1, 1, 1, 1.0), (5, 3, 1, 2, 2, 1.0), (5, 4, 1, 2, 2, 1.0), (6, 5, 1, 5, 5, 1.0)}
+
+
+def test_words_decide_where_hashes_are_equal(spark):
+    a = [b"%d" % i for i in range(30)]
+    b = list(a)
+    b[12] = b"x"
+    assert decontam.true_runs([(0, 0, 30), (2, 2, 5)], a, b, 5) == [(0, 0, 12), (13, 13, 17), (2, 2, 5)]
+    assert decontam.true_runs([(8, 8, 7)], a, b, 5) == [] and decontam.true_runs([(0, 1, 9)], a, b, 5) == []
+    got = {r.doc_id: (r.item_id, r.tiles, r.tiled_words) for r in decontam.overlaps(*_tables(spark), floor=0.5, short=True).collect()}
+    assert got == {1: (1, 1, 12), 2: (1, 2, 12), 5: (2, 1, 3)}
+
+
+def _tables(spark):
+    item = [f"w{i}" for i in range(12)]
+    docs = [(1, " ".join(["x", *item, "y"])), (2, " ".join([*item[6:], "z", *item[:6]])), (3, " ".join(f"v{i}" for i in range(30))), (4, None), (5, "q A b C r"), (6, "a b x c")]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item)), (2, "a B c")], "item_id long, text string")
+
+
+def test_repeated_rows_and_long_texts(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    long = "a " * 100_000 + item
+    docs = spark.createDataFrame([(1, long), (1, long), (2, "a " * 50_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "a a a a a a b b b b b b b")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.tiled_words) for r in decontam.contaminated(docs, bench).collect())
+    assert got == [(1, 1, 20), (1, 1, 20)]

@@ -51,3 +51,70 @@ def test_no_labels_empty_and_repeated_rows(spark):
     assert [r.lang for r in langid.detect(langid.of_documents(df), none, ["doc_id"]).collect()] == [None] * 3
     assert langid.detect(langid.of_documents(df), model(spark), ["doc_id"]).count() == 3
     assert langid.detect(langid.of_documents(df.limit(0)), model(spark), ["doc_id"]).count() == 0
+
+
+def plain(rows, model, share, strength=8.0, weight=0.25):
+    """Fused posteriors by plain loops. rows: (key, host, declared, log-likelihoods of the text)."""
+    from math import exp, log
+
+    n = range(len(model.languages))
+
+    def posterior(x):
+        e = [exp(v - max(x)) for v in x]
+        return [v / sum(e) for v in e]
+
+    soft = {k: posterior([t[i] + share[i] for i in n]) for k, _, _, t in rows}
+
+    def sums(of):
+        out = {}
+        for k, host, declared, _ in rows:
+            name = of(host, declared)
+            if name is not None:
+                out[name] = [a + b for a, b in zip(out.get(name, [0.0 for _ in n]), soft[k])]
+        return out
+
+    def smooth(c, parent):
+        return [(c[i] + strength * parent[i]) / (strength + sum(c)) for i in n]
+
+    total = sums(lambda h, d: 0)[0]
+    corpus = [(c + 1 / len(n)) / (sum(total) + 1) for c in total]
+    hosts, declared = sums(lambda h, d: h), sums(lambda h, d: d)
+    sites = sums(lambda h, d: h and ".".join(h.split(".")[-2:]))
+    suffixes = {k: smooth(c, corpus) for k, c in sums(lambda h, d: h and h.split(".")[-1]).items()}
+    out = {}
+    for k, h, d, t in rows:
+        x = list(t)
+        prior = smooth(hosts[h], smooth(sites[".".join(h.split(".")[-2:])], suffixes[h.split(".")[-1]])) if h else corpus
+        told = smooth(declared[d], corpus) if d else corpus
+        for i in n:
+            x[i] += log(prior[i]) + log(told[i]) - log(corpus[i]) + (weight * (log(suffixes[h.split(".")[-1]][i]) - log(corpus[i])) if h else 0)
+        out[k] = posterior(x)
+    return out
+
+
+def test_fusion_equals_plain_loops(spark, monkeypatch):
+    import pytest
+
+    from veriloom.llm import shared
+
+    rng = random.Random(5)
+    m = model(spark)
+    hosts = ["a.one.org", "b.one.org", "c.two.org", "d.two.de", "localhost", None]
+    rows = [(i, f"http://{h}/x" if (h := rng.choice(hosts)) else "no address", page(rng.choice(["en", "de", "xx"]), text(rng, rng.choice(list(WORDS)), rng.choice((0, 1, 3, 30))))) for i in range(150)]
+    seen = langid.evidence(langid.of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")), m, ["page_id"])
+    want = plain([(r.page_id, r.host, r.declared, r.text) for r in seen.collect()], m, m.share)
+    for least in (1000, 10):  # with and without hot hosts
+        monkeypatch.setattr(shared, "HOT_LEAST", least)
+        got = {r.page_id: r for r in langid.identify(shared.cut(seen, "seen"), m, ["page_id"]).collect()}
+        assert len(got) == 150
+        for k, p in want.items():
+            assert got[k].confidence == pytest.approx(max(p), abs=1e-9) and got[k].lang == m.languages[p.index(max(p))]
+
+
+def test_held_out_texts_and_long_ones(spark):
+    rng = random.Random(8)
+    m = model(spark)
+    langs = list(WORDS)
+    rows = [(i, f"s{i % 7}", text(rng, langs[i % 3], 12)) for i in range(300)] + [(900, "s", text(rng, "de", 200_000))]
+    got = {r.doc_id: r.lang for r in langid.detect(langid.of_documents(spark.createDataFrame(rows, "doc_id long, source string, text string")), m, ["doc_id"]).collect()}
+    assert sum(got[i] == langs[i % 3] for i in range(300)) >= 297 and got[900] == "de"

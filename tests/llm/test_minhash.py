@@ -103,13 +103,31 @@ def test_words_that_fool_polynomial_hashes(spark):
     assert got == brute(rows, 3, 85) and got[2] == (1, 2, True)
 
 
-def test_equal_hashes_are_no_link(spark, monkeypatch):
-    """Sketches and buckets only choose candidates: with all hashes equal, words still decide."""
-    monkeypatch.setattr(minhash, "sketch", lambda values, offsets, t: np.zeros((len(offsets) - 1, t), np.uint64))
-    monkeypatch.setattr(minhash, "BLOCK", 3)
-    rows = corpus(8)[:60]
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Plan(words=3, percent=85)).collect()}
-    assert got == brute(rows, 3, 85)
+def test_blocks_link_by_words_alone():
+    """A block's rows hold texts, no hashes; its links connect what brute force connects, however batches cut it."""
+    import pyarrow as pa
+
+    rows = [(i, t or "") for i, t in corpus(8)]
+    want = {i: c for i, (_, c, _) in brute(rows, 3, 85).items()}
+    cols = ("key", "cls", "i", "j", "side", "id", "label", "text")
+    table = [(k, 0, 0, 0, side, i, i, t.encode()) for k in (1, 2) for side in (0, 1) for i, t in rows]
+    arrays = [pa.array(c, pa.binary() if n == "text" else pa.int64()) for n, c in zip(cols, zip(*table, strict=True), strict=True)]
+    batch = pa.RecordBatch.from_arrays(arrays, names=cols)
+    for size in (len(table), 7, len(table) // 2):
+        batches = [batch.slice(a, size) for a in range(0, len(table), size)]
+        links = [(u, v) for b in minhash._block_links(85, 3)(iter(batches)) for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        comp = {i: i for i in want}
+
+        def root(x, comp=comp):
+            while comp[x] != x:
+                x = comp[x]
+            return x
+
+        for u, v in links:
+            assert want[u] == want[v]
+            x, y = sorted((root(u), root(v)))
+            comp[y] = x
+        assert {i: root(i) for i in comp} == want
 
 
 def test_exact_runs_number_words_not_hashes():

@@ -59,3 +59,20 @@ def test_stages_take_effect(spark, tmp_path):
         ids = enc.encode_ordinary(red[i] or "")
         assert list(r.ids) == ids and r.n_tokens == len(ids) and r.decoded_sha256 == hashlib.sha256((red[i] or "").encode()).hexdigest()
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(coded)
+
+
+def test_empty_tables_long_texts_and_further_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, hit string, component_id long, __gone long"
+    long = " ".join(f"w{i * 37 % 9001}" for i in range(60_000))
+    rows = [(1, long, "en", "s", len(long), "h", 5, 6), (2, None, None, None, None, None, None, None), (3, "short text", "en", "s", 10, "h", 5, 6), (3, "short text", "en", "s", 10, "h", 5, 6)]
+    for name, docs in (("some", rows), ("none", [])):
+        path = f"{tmp_path}/{name}"
+        spark.createDataFrame(docs, schema).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+        now = spark.read.parquet(f"{path}/documents.parquet")
+        for k, (stage, f) in enumerate(corpus_pipeline.STAGES):
+            f(spark, now, path).write.parquet(f"{path}/{k}")
+            now = spark.read.parquet(f"{path}/{k}")
+            assert k == 4 or now.columns == [c.split()[0] for c in schema.split(", ")], stage
+        assert sorted(r.doc_id for r in now.collect()) == ([1, 2, 3] if docs else [])

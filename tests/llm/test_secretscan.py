@@ -58,3 +58,38 @@ def test_operator(spark):
     red = s.redact(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
     assert [r.text for r in red] == ["[SECRET]", None, "", "[SECRET]", "🔑 [SECRET]"]
     assert s.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def plain_spans(text):
+    """All spans of a text by plain loops over whole windows."""
+    out = [(a, s.KINDS[k], b) for a, k, b in plain_base(text)]
+    allowed = lambda x: any(re.fullmatch(p, x) for p in s.ALLOW)
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        if len(m[0]) < 20 or allowed(m[0]):
+            continue
+        for w in s.WINDOWS:
+            for part in re.finditer(w.chars, m[0]):
+                hit = [*plain_windows(part[0], w.width, w.floor), False]
+                at = None
+                for i, h in enumerate(hit):
+                    if h and at is None:
+                        at = i
+                    elif not h and at is not None:
+                        if not allowed(part[0][at:i]):
+                            out.append((m.start() + part.start() + at, w.kind, m.start() + part.start() + i))
+                        at = None
+    out.sort(key=lambda x: (x[0], s.KINDS.index(x[1]), x[2]))
+    return ",".join(f"{k}:{a}:{b}" for a, k, b in out)
+
+
+def test_all_spans_equal_plain_loops(spark):
+    rng = random.Random(11)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hexes, base, low = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "abcdefghij"
+    parts = [
+        lambda: pick(hexes, rng.choice((8, 24, 31, 32, 60))), lambda: pick(base, rng.choice((10, 20, 24, 50))), lambda: pick(low, 30), lambda: "123e4567-e89b-12d3-a456-426614174000", lambda: "a" * 40,
+        lambda: "token=" + pick(base, rng.choice((4, 12))), lambda: "AKIA" + pick("ABCDEFG0123", rng.choice((5, 16))), lambda: pick("0123456789", 25), lambda: "word é", lambda: pick(base, 22) + "x" * 30 + pick(base, 22),
+    ]
+    rows = [(i, " ".join(rng.choice(parts)() for _ in range(rng.randrange(8)))) for i in range(150)] + [(900, "lorem ipsum " * 40_000 + pick(base, 40))]
+    got = {r.doc_id: r.spans for r in s.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: plain_spans(t) for i, t in rows} and sum("entropy" in x for x in got.values()) > 40

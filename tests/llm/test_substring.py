@@ -71,16 +71,31 @@ def test_words_that_fool_polynomial_hashes(spark):
     assert got == brute(rows, 20) and got[2][1] == 0
 
 
-def test_equal_hashes_remove_nothing(spark, monkeypatch):
-    """Hashes only choose candidates: with all of them equal, words still decide."""
+def test_digests_are_of_words(monkeypatch):
+    """Hashes only choose candidates: with all of them equal, stretches and windows still differ by their words."""
+    import pyarrow as pa
+
     from veriloom.llm import textkit
 
     monkeypatch.setattr(textkit, "grams", lambda w, k: (np.zeros(len(w.hash), np.uint64), textkit.in_one(w, k)))
     rng = random.Random(4)
-    same = " ".join(f"s{i}" for i in range(33))
-    rows = [(i, " ".join([*(f"w{rng.randrange(900)}" for _ in range(rng.randrange(60))), same if i % 3 == 0 else "", *(f"x{rng.randrange(900)}" for _ in range(25))])) for i in range(12)]
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == brute(rows, 20)
+    words = [[f"w{rng.randrange(9)}" for _ in range(n)] for n in (20, 31, 31, 8, 40)] + [[]]
+    words += [words[1], words[0] + words[1]]
+    text = pa.array(["  ".join(w) + "\n" for w in words])
+    ids = pa.array(range(len(words)))
+    batch = pa.RecordBatch.from_arrays([ids, text, pa.array([[0]] * len(words), pa.list_(pa.int64()))], names=["id", "text", "hs"])
+    got = next(substring._stretches(10, 20)(iter([batch]))).to_pylist()
+    assert [(r["id"], r["at"], r["n"]) for r in got] == [(i, 0, len(w) - 19) for i, w in enumerate(words) if len(w) >= 20]
+    for x in got:
+        for y in got:
+            assert (x["d1"] == y["d1"] and x["d2"] == y["d2"]) == (words[x["id"]] == words[y["id"]])
+    parts = pa.array([[{"at": 0, "n": len(w) - 19}] if len(w) >= 20 else [] for w in words], pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())])))
+    rows = [r for b in substring._windows(20)(iter([pa.RecordBatch.from_arrays([ids, text, parts], names=["id", "text", "parts"])])) for r in b.to_pylist()]
+    assert len(rows) == sum(max(0, len(w) - 19) for w in words)
+    for x in rows:
+        for y in rows:
+            same = words[x["id"]][x["at"] : x["at"] + 20] == words[y["id"]][y["at"] : y["at"] + 20]
+            assert (x["d1"] == y["d1"] and x["d2"] == y["d2"]) == same
 
 
 def test_a_long_text_and_repeated_ids(spark):

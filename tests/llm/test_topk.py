@@ -44,3 +44,31 @@ def test_the_walk_stops_early_when_the_bound_allows():
     ids, scores, depth = lists.search(-1, np.array([50.0, 1.0, 0.0]), 5)
     order = np.lexsort((np.arange(5000), -(x @ [50.0, 1.0, 0.0])))[:5]
     assert (ids == order).all() and depth < 1000
+
+
+def test_bounds_carry_over_blocks_and_streams(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) * (5 if i % 50 == 0 else 1) for _ in range(6)]) for i in range(700)] + [(i, [0.25] * 6) for i in range(700, 760)]
+    rows += [(i % 30, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(40)] + [(3, [0.5] * 4), (40, [9.0] * 9)]
+    least: dict = {}
+    for i, v in rows:
+        v = [math.floor(64 * x) / 64 for x in v]
+        least[i] = min(least.get(i, v), v)
+    want = brute([(i, [*v, *[0.0] * (9 - len(v))]) for i, v in least.items()], 5)
+    assert run(spark, rows, k=5, candidates_block=20, queries_block=7, stream=90) == want
+    assert run(spark, rows, k=5) == want
+
+
+def test_a_known_bound_ends_walks_at_once():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    near, far = np.floor(rng.normal(0, 60, (3000, 4))), np.floor(rng.normal(0, 3, (3000, 4)))
+    g = topk.Group(np.array([-1, -2]), np.array([[40.0, 1.0, 0.0, 2.0], [-3.0, 30.0, 1.0, 0.0]]), [None, None], 5)
+    g.meet(np.arange(3000), near)
+    walked = len(g.depths)
+    g.meet(np.arange(3000, 6000), far)
+    assert len(g.depths) == walked  # no list of the second block was walked
+    for r in range(2):
+        s = np.concatenate([near, far]) @ g.q[r]
+        assert g.best[r][0].tolist() == np.lexsort((np.arange(6000), -s))[:5].tolist()

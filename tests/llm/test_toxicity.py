@@ -50,3 +50,44 @@ def test_nulls_repeats_no_labels_and_empty(spark):
     assert tx.score(d, none).count() == 5 and tx.keep_clean(d, none).count() == 5
     odd = tx.fit(d, spark.createDataFrame([(None, 1), (1, None), (1, 0), (3, 1), (3, 0)], "doc_id long, toxic int"))
     assert tx.score(d, odd).count() == 5 and tx.score(d.limit(0), odd).count() == 0
+
+
+def test_training_equals_plain_loops():
+    rng = np.random.default_rng(2)
+    s = tx.Settings(epochs=3, factors=3)
+    terms = [np.sort(rng.choice(12, rng.integers(0, 6), replace=False)) for _ in range(300)]
+    y = rng.integers(0, 2, 300).astype(float)
+    weight = np.where(y > 0, 2.0, 1.0)
+    slots = np.full(1 << tx.BITS, -1, np.int32)
+    slots[:12] = np.arange(12)
+    doc = np.repeat(np.arange(300), [len(t) for t in terms])
+    m = tx.train(doc, np.concatenate(terms).astype(np.int64), y, weight, slots, s)
+    # The same steps, a document and a term at a time.
+    draw = np.random.default_rng(s.seed)
+    p = (weight * y).sum() / weight.sum()
+    w0, w, v, share = np.log(p / (1 - p)), np.zeros(12), draw.normal(0, 0.01, (12, 3)), weight / weight.mean()
+    g0, gw, gv = 1.0, np.ones(12), np.ones((12, 3))
+    for _ in range(3):
+        order = draw.permutation(300)
+        for a in range(0, 300, 256):
+            d0, dw, dv, used = 0.0, np.zeros(12), np.zeros((12, 3)), set()
+            rows = order[a : a + 256]
+            for r in rows:
+                t = terms[r]
+                z = w0 + sum(w[i] for i in t) + sum(v[i] @ v[j] for x, i in enumerate(t) for j in t[x + 1 :])
+                e = (1 / (1 + np.exp(-z)) - y[r]) * share[r]
+                d0 += e / len(rows)
+                for i in t:
+                    used.add(int(i))
+                    dw[i] += e
+                    dv[i] += e * sum(v[j] for j in t if j != i)
+            g0 += d0 * d0
+            w0 -= s.rate * d0 / np.sqrt(g0)
+            for i in used:
+                dw[i] += s.decay * 300 * w[i]
+                dv[i] += s.decay * 300 * v[i]
+                gw[i] += dw[i] ** 2
+                gv[i] += dv[i] ** 2
+                w[i] -= s.rate * dw[i] / np.sqrt(gw[i])
+                v[i] -= s.rate * dv[i] / np.sqrt(gv[i])
+    assert abs(m.w0 - w0) < 1e-9 and np.allclose(m.w, w, atol=1e-9) and np.allclose(m.v, v, atol=1e-9)

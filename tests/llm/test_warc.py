@@ -85,3 +85,23 @@ def test_salvage_recovers_records_inside_a_gzip_member():
     assert ids == list(range(400)) and [w for _, _, w in gaps] == ["gzip member cut off"]
     ids, gaps = found(whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:] + gzip.compress(record(901)))
     assert ids == [*range(400), 901] and len(gaps) == 1
+
+
+def test_a_member_is_inflated_within_a_bound():
+    whole = gzip.compress(b"".join(record(i, b"x" * 1000) for i in range(300)))
+    out = list(warc.salvage(whole + record(700), most=100_000))
+    ids = [int(r["warc-record-id"][5:-1]) for _, _, r, _ in out if r]
+    assert ids[-1] == 700 and ids[:-1] == list(range(len(ids) - 1)) and 60 < len(ids) < 100
+    assert any(w and w.startswith("gzip member of more than 100000 bytes") for *_, w in out)
+    assert found(gzip.compress(b"0" * (1 << 20)))[0] == []
+
+
+def test_a_huge_payload_leaves_the_files_of_small_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES_MOST", 1 << 20)
+    rows = [(i, "u", f"text {i}", "", "") for i in range(200)] + [(900, "u", "z" * (3 << 20), "", ""), (901, "u", "y" * 100_000, "", ""), (902, "u", "y" * 100_000, "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, payload string, digest string").coalesce(1)
+    warc.write(df, f"{tmp_path}/h")
+    got = warc.read(spark, f"{tmp_path}/h").collect()
+    assert sorted(int(r.record_id[12:-1]) for r in got) == sorted(r[0] for r in rows) and not any(r.gap for r in got)
+    assert {r.record_id: r.refers_to for r in got}["<urn:x-page:902>"] == "<urn:x-page:901>"
+    assert len({r.archive for r in got if int(r.record_id[12:-1]) < 200}) == 1

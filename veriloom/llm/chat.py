@@ -110,19 +110,16 @@ def segments(conversations: DataFrame, template: Template = CHATML) -> DataFrame
 
 def render(formatted: DataFrame) -> DataFrame:
     """Add formatted (the segments' texts joined) and loss_spans (array<struct<start, end>>, code points, end exclusive)."""
-    spans = F.filter(
-        F.aggregate(
-            "segments",
-            F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("out")),
-            lambda a, s: F.struct(
-                (a["at"] + F.length(s["text"])).alias("at"),
-                F.when(
-                    s["loss"], F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), (a["at"] + F.length(s["text"])).alias("end"))))
-                ).otherwise(a["out"]).alias("out"),
-            ),
-        )["out"],
-        lambda s: s["start"] <= s["end"],
-    )
+    spans = F.aggregate(
+        "segments",
+        F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("out")),
+        lambda a, s: F.struct(
+            (a["at"] + F.length(s["text"])).alias("at"),
+            F.when(
+                s["loss"], F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), (a["at"] + F.length(s["text"])).alias("end"))))
+            ).otherwise(a["out"]).alias("out"),
+        ),
+    )["out"]
     return formatted.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), "")).withColumn("loss_spans", spans)
 
 

@@ -28,7 +28,8 @@ PASS_SEEDS = 1_000_000
 class Seeds:
     """Seeds of some items: hash (ascending), item (place in ids) and position of each; item i has words first[i]:first[i + 1].
 
-    short has the items of fewer than `least` words: number of words, hash (ascending) and item of each.
+    short has the items of fewer than `least` words: number of words, hash (ascending) and item of each. texts has the items' words,
+    as hashes only choose candidates.
     """
 
     ids: np.ndarray
@@ -40,6 +41,7 @@ class Seeds:
     filter: np.ndarray
     least: int
     short: list[tuple[int, np.ndarray, np.ndarray]]
+    texts: list[bytes]
 
 
 def _filter(h: np.ndarray) -> np.ndarray:
@@ -50,7 +52,7 @@ def _filter(h: np.ndarray) -> np.ndarray:
 
 def seeds(ids: list[int], texts: list[str | None], least: int) -> Seeds:
     """Items with fewer words than `least` are one seed of all their words, found by their own length."""
-    hashes, items, pos, words, first, short = [], [], [], [], [0], []
+    hashes, items, pos, words, first, short, plain = [], [], [], [], [0], [], []
     for w in textkit.words(pa.array(texts, pa.string()), lower=True, most=1 << 60):
         h, whole = textkit.grams(w, least)
         at = np.flatnonzero(whole)
@@ -60,6 +62,7 @@ def seeds(ids: list[int], texts: list[str | None], least: int) -> Seeds:
         pos.append(at - w.first[d])
         words.append(w.hash)
         first = w.first
+        plain = list(w.normal())
         for n in range(1, least):
             d = np.flatnonzero(np.diff(w.first) == n)
             if len(d):
@@ -69,7 +72,7 @@ def seeds(ids: list[int], texts: list[str | None], least: int) -> Seeds:
     cat = lambda x, t: np.concatenate(x).astype(t) if x else np.zeros(0, t)
     h, i, p = cat(hashes, U), cat(items, np.int64), cat(pos, np.int64)
     order = np.argsort(h, kind="stable")
-    return Seeds(np.array(ids, np.int64), cat(words, U), np.asarray(first), h[order], i[order], p[order], _filter(h), least, short)
+    return Seeds(np.array(ids, np.int64), cat(words, U), np.asarray(first), h[order], i[order], p[order], _filter(h), least, short, plain)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], least: int) -> list[tuple[int, int, int]]:
@@ -110,6 +113,23 @@ def common_runs(a_pos: np.ndarray, b_pos: np.ndarray, least: int) -> list[tuple[
     return [(int(x), int(x + y), int(n) + least - 1) for x, y, n in zip(a[start], d[start], size, strict=True)]
 
 
+def true_runs(runs: list[tuple[int, int, int]], a: list[bytes], b: list[bytes], least: int) -> list[tuple[int, int, int]]:
+    """The parts of runs, of `least` words or more, whose words are equal, which equal hashes don't prove."""
+    out = []
+    for i, j, n in runs:
+        if a[i : i + n] == b[j : j + n]:
+            out.append((i, j, n))
+            continue
+        same = np.array([x == y for x, y in zip(a[i : i + n], b[j : j + n], strict=True)])
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
+        out += [(i + int(s), j + int(s), int(e - s)) for s, e in zip(edges[::2], edges[1::2], strict=True) if e - s >= least]
+    return out
+
+
+def _words_of(w: textkit.Words, d: int) -> list[bytes]:
+    return w.folded[w.offsets[d] : w.offsets[d + 1]].tobytes().split()
+
+
 def _hits(w: textkit.Words, s: Seeds):
     """(document, word in the document, entry of s) of every pair of equal seeds."""
     h, whole = textkit.grams(w, s.least)
@@ -122,13 +142,14 @@ def _hits(w: textkit.Words, s: Seeds):
 
 
 def _short_hits(w: textkit.Words, s: Seeds):
-    """(document, item, words) of every document that holds a short item."""
+    """(document, item, words) of every document that holds a short item, by its words."""
     for n, hashes, items in s.short:
         h, whole = textkit.grams(w, n)
         lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
         at = np.flatnonzero(whole & (hi > lo))
         for d, x, y in sorted(set(zip(w.doc[at].tolist(), lo[at].tolist(), hi[at].tolist(), strict=True))):
-            yield from ((d, int(i), n) for i in items[x:y])
+            text = b" " + b" ".join(_words_of(w, d)) + b" "
+            yield from ((d, int(i), n) for i in items[x:y] if b" " + s.texts[i] + b" " in text)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", floor: float = 0.0, short: bool = False) -> DataFrame:
@@ -168,30 +189,43 @@ def _one_pass(src: DataFrame, s: Seeds, id_col: str, floor: float, short: bool)
             for w in textkit.words(b.column(1), lower=True):
                 if short:
                     rows += [(int(ids[w.row + d]), int(s.ids[i]), 1, n, n, 1.0) for d, i, n in _short_hits(w, s)]
-                doc, at, lo, n = _hits(w, s)
-                if not len(doc):
-                    continue
-                entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                doc, at = np.repeat(doc, n), np.repeat(at, n)
-                key = doc * len(s.ids) + s.item[entry]
-                order = np.argsort(key, kind="stable")
-                key, at, entry = key[order], at[order], entry[order]
-                cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
-                for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                    d, i = divmod(int(key[x]), len(s.ids))
-                    a_pos, b_pos = s.pos[entry[x:y]], at[x:y] - w.first[d]
-                    if floor and _most(a_pos, size[i], s.least) < floor * size[i]:
-                        continue  # not even all seeds together cover enough
-                    got = tiles(s.words[s.first[i] : s.first[i + 1]], w.hash[w.first[d] : w.first[d + 1]], common_runs(a_pos, b_pos, s.least), s.least)
-                    covered = sum(t[2] for t in got)
-                    if covered >= floor * size[i]:
-                        rows.append((int(ids[w.row + d]), int(s.ids[i]), len(got), covered, int(size[i]), covered / int(size[i])))
+                for doc, at, entry in _pairs(*_hits(w, s)):
+                    key = doc * len(s.ids) + s.item[entry]
+                    order = np.argsort(key, kind="stable")
+                    key, at, entry = key[order], at[order], entry[order]
+                    cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
+                    of, text = -1, []
+                    for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                        d, i = divmod(int(key[x]), len(s.ids))
+                        a_pos, b_pos = s.pos[entry[x:y]], at[x:y] - w.first[d]
+                        if floor and _most(a_pos, size[i], s.least) < floor * size[i]:
+                            continue  # not even all seeds together cover enough
+                        if d != of:
+                            of, text = d, _words_of(w, d)
+                        runs = true_runs(common_runs(a_pos, b_pos, s.least), s.texts[i].split(), text, s.least)
+                        got = tiles(s.words[s.first[i] : s.first[i + 1]], w.hash[w.first[d] : w.first[d + 1]], runs, s.least)
+                        covered = sum(t[2] for t in got)
+                        if got and covered >= floor * size[i]:
+                            rows.append((int(ids[w.row + d]), int(s.ids[i]), len(got), covered, int(size[i]), covered / int(size[i])))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
     return src.mapInArrow(run, f"`{id_col}` long, item_id long, tiles long, tiled_words long, item_words long, coverage double")
 
 
+def _pairs(doc: np.ndarray, at: np.ndarray, lo: np.ndarray, n: np.ndarray, most: int = 1 << 21):
+    """(document, word, entry) of pairs of equal seeds, `most` at a time unless one document has more: a document's are never parted."""
+    ends = np.flatnonzero(np.diff(doc, append=-1)) + 1
+    total = np.concatenate([[0], np.cumsum(n)])
+    x = 0
+    while x < len(doc):
+        fit = ends[(ends > x) & (total[ends] - total[x] <= most)]
+        y = int(fit[-1]) if len(fit) else int(ends[ends > x][0])
+        m = n[x:y]
+        yield np.repeat(doc[x:y], m), np.repeat(at[x:y], m), np.repeat(lo[x:y] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+        x = y
+
+
 def _most(a_pos: np.ndarray, size: int, least: int) -> int:
     hit = np.zeros(size, bool)
     for j in range(least):

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veriloom.functions.text import let
 from veriloom.llm import textkit
-from veriloom.llm.shared import cut
+from veriloom.llm.shared import cut, join_spread
 
 BITS = 15
 EVIDENCE = 60.0
@@ -142,17 +143,25 @@ def evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+
+
 def _posterior(log: Column) -> Column:
-    """Normalised probabilities of an array of logs."""
-    e = F.transform(log, lambda x: F.exp(x - F.array_max(log)))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / total)
+    """Normalised probabilities of an array of logs, in time linear in it."""
+    powers = lambda log, top: F.transform(log, lambda x: F.exp(x - top))
+    shares = lambda e, total: F.transform(e, lambda x: x / total)
+    return let(log, lambda log: let(F.array_max(log), lambda top: let(powers(log, top), lambda e: let(_total(e), lambda total: shares(e, total)))))
+
+
+def _sums(p: Column, n: int) -> Column:
+    """An array of the n sums of an array column over a group: map-side combined."""
+    return F.array(*[F.sum(p[i]) for i in range(n)])
 
 
 def _counts(rows: DataFrame, key: Column, name: str, n: int) -> DataFrame:
-    """(name, counts array<double>): sums of p over the rows of a key; map-side combined. A null key has no row."""
-    sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
-    return rows.where(key.isNotNull()).groupBy(key.alias(name)).agg(*sums).select(name, F.array(*[f"s{i}" for i in range(n)]).alias("counts"))
+    """(name, counts array<double>, rows): sums of p over the rows of a key, and how many they are. A null key has no row."""
+    return rows.where(key.isNotNull()).groupBy(key.alias(name)).agg(_sums(F.col("p"), n).alias("counts"), F.count("*").alias("rows"))
 
 
 def site_of(host: Column) -> Column:
@@ -179,27 +188,30 @@ def identify(seen: DataFrame, model: Model, keys: list[str], strength: float = 8
     share = F.array(*[F.lit(float(x)) for x in model.share])
     own = seen.withColumn("p", _posterior(F.zip_with("text", share, lambda a, b: a + b)))
     small = own.select("host", site_of(F.col("host")).alias("site"), suffix_of(F.col("host")).alias("suffix"), "declared", "p")
-    smoothed = lambda counts, parent: F.zip_with(counts, parent, lambda c, q: (c + strength * q) / (strength + F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)))
-    total = _counts(small, F.lit(0), "zero", n).first()
-    corpus_counts = list(total["counts"]) if total else [0.0] * n
+    def smoothed(counts: Column, parent: Column) -> Column:
+        return let(_total(counts), lambda total: F.zip_with(counts, parent, lambda c, q: (c + strength * q) / (strength + total)))
+
+    corpus_counts = small.agg(_sums(F.col("p"), n)).first()[0]
+    corpus_counts = [c or 0.0 for c in corpus_counts]
     corpus = [(c + 1 / n) / (sum(corpus_counts) + 1) for c in corpus_counts]
     top = F.array(*[F.lit(x) for x in corpus])
-    suffixes = _counts(small, F.col("suffix"), "suffix", n).withColumn("by_suffix", smoothed(F.col("counts"), top))
-    hosts = (
-        _counts(small, F.col("host"), "host", n)
-        .withColumn("site", site_of(F.col("host")))
-        .withColumn("suffix", suffix_of(F.col("host")))
-        .join(suffixes.select("suffix", "by_suffix"), "suffix")
-        .join(_counts(small, F.col("site"), "site", n).withColumnRenamed("counts", "site_counts"), "site")
-        .select("host", smoothed(F.col("counts"), smoothed(F.col("site_counts"), F.col("by_suffix"))).alias("prior"), "by_suffix")
-    )
+    by_host = cut(_counts(small, F.col("host"), "host", n).withColumn("site", site_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    above = lambda key: by_host.groupBy(key).agg(_sums(F.col("counts"), n).alias("more"), F.count("*").alias("hosts"))
+    suffixes = cut(above("suffix").select("suffix", smoothed(F.col("more"), top).alias("by_suffix"), "hosts"), "suffixes")
+    sites = cut(above("site"), "sites")
+    placed = join_spread(by_host, suffixes, ["suffix"], "hosts").drop("hosts")
+    placed = join_spread(placed, sites, ["site"], "hosts")
+    hosts = cut(placed.select("host", smoothed(F.col("counts"), smoothed(F.col("more"), F.col("by_suffix"))).alias("prior"), "by_suffix", "rows"), "priors")
     # P(declared | language) from counts of language given what is declared: Bayes' rule up to a factor of the row.
-    said = _counts(small, F.col("declared"), "declared", n).select(
-        "declared", F.zip_with(smoothed(F.col("counts"), top), top, lambda a, b: F.log(a) - F.log(b)).alias("told")
+    said = cut(
+        _counts(small, F.col("declared"), "declared", n).select(
+            "declared", F.zip_with(smoothed(F.col("counts"), top), top, lambda a, b: F.log(a) - F.log(b)).alias("told"), F.col("rows").alias("declaring")
+        ),
+        "declared",
     )
     zero = F.array(*[F.lit(0.0)] * n)
     logs = lambda a: F.transform(a, lambda x: F.log(x))
-    fused = own.join(hosts, "host", "left").join(said, "declared", "left")
+    fused = join_spread(join_spread(own, hosts, ["host"], "rows", "left"), said, ["declared"], "declaring", "left")
     # P(suffix | language) / P(suffix) is by_suffix / corpus; the host prior has it already through its parents,
     # so that the suffix counts by itself only for rows whose host gives little.
     weight = F.lit(0.25)

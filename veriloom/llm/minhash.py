@@ -168,7 +168,8 @@ def _block_links(percent: int, k: int):
                 mine = side[r] == s
                 m[s][at[r[mine]], c[mine]] = 1
             same += (m[0] @ m[1].T).astype(np.int64)
-        ok = (100 * same >= percent * (n[a][:, None] + n[b][None, :] - same)) & (label[a][:, None] != label[b][None, :])
+        # An empty text, which another row of an id may have, is linked with nothing.
+        ok = (same > 0) & (100 * same >= percent * (n[a][:, None] + n[b][None, :] - same)) & (label[a][:, None] != label[b][None, :])
         top: dict[int, int] = {}
 
         def root(x: int) -> int:

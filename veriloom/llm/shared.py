@@ -46,22 +46,21 @@ def prepare(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
 
 
 def bloom(ids: DataFrame, column: str, most: int = BLOOM_MOST) -> DataFrame:
-    """A one-hash filter over a long column: (__w, __m, __bits), 64-bit words of a bitmap, written to the shared folder.
+    """A one-hash filter over a long column of a table: (__w, __m), 64-bit words of a bitmap, written to the shared folder.
 
     The bitmap has sixteen bits an id, 2**most at most, that is, at most 2**most / 64 rows of 16 bytes (524,288 by default)
     whatever the input's size, which is what makes it fit to broadcast. Beyond 2**most / 16 ids it fills up: more rows than need be
     pass it, in the end all of them, and are shuffled; none is lost or taken in wrongly, as every user confirms by an exact join.
     """
-    known = cut(ids.where(F.col(column).isNotNull()).select(F.xxhash64(F.col(column).cast("long")).alias("h")), "ids")
-    bits = min(most, max(BLOOM_LEAST, (16 * known.count()).bit_length()))
-    slot = F.pmod(F.col("h"), F.lit(1 << bits))
+    bits = min(most, max(BLOOM_LEAST, (16 * ids.count()).bit_length()))
+    slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits))
     words = (
-        known.select(slot.alias("s"))
+        ids.where(F.col(column).isNotNull())
+        .select(slot.alias("s"))
         .groupBy(F.expr("cast(s div 64 as int)").alias("__w"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("__m"))
     )
     out = cut(words, "bloom")
-    forget(known)
     out._veriloom_bits = bits
     return out
 
@@ -126,23 +125,29 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     )
 
 
+def _packed(docs: DataFrame, id_col: str) -> DataFrame:
+    """(row, id): docs' columns as one struct, so that no name of theirs clashes with one of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"))
+
+
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", name: str = "dropped") -> DataFrame:
     """docs but the rows whose id is among ids(id): an anti-join that shuffles only rows that a bounded filter can't clear.
 
     Rows with a null id stay.
     """
-    gone = cut(ids.select(F.col("id").cast("long").alias("__gone")).where("__gone is not null").distinct(), name)
-    marked = flagged(docs, F.col(id_col), bloom(gone, "__gone"), "__hit")
-    rest = marked.where("__hit").drop("__hit").join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    return marked.where("not __hit").drop("__hit").unionByName(rest)
+    gone = cut(ids.select(F.col("id").cast("long").alias("gone")).where("gone is not null").distinct(), name)
+    marked = flagged(_packed(docs, id_col), F.col("id"), bloom(gone, "gone"), "hit")
+    rest = marked.where("hit").join(gone, F.col("id") == F.col("gone"), "left_anti")
+    return marked.where("not hit").select("row.*").unionByName(rest.select("row.*"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of those that repeat an id and its text. Only rows of repeated ids are shuffled; null ids stay."""
-    often = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__often")).count().where("count > 1")
-    words = bloom(often, "__often")
-    if words.isEmpty():
+    packed = _packed(docs, id_col)
+    often = cut(packed.where("id is not null").groupBy("id").count().where("count > 1").select("id"), "often")
+    if often.isEmpty():
         return docs
-    marked = flagged(docs, F.col(id_col), words, "__hit")
-    rest = marked.where("__hit").withColumn("__h", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).dropDuplicates([id_col, "__h"])
-    return marked.where("not __hit").drop("__hit").unionByName(rest.drop("__hit", "__h"))
+    marked = flagged(packed, F.col("id"), bloom(often, "id"), "hit")
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    rest = marked.where("hit").withColumn("h", F.sha2(text.cast("binary"), 256)).dropDuplicates(["id", "h"])
+    return marked.where("not hit").select("row.*").unionByName(rest.select("row.*"))

@@ -32,7 +32,7 @@ class Settings:
 
     positives: int = 8_000
     negatives: int = 16_000
-    terms: int = 16_384
+    terms: int = 16_384  # at most 32,767, as they are sent as short integers
     least_z: float = 2.6
     factors: int = 8
     epochs: int = 12
@@ -93,7 +93,7 @@ def choose(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, s: Settings
 
 
 def train(doc: np.ndarray, term: np.ndarray, y: np.ndarray, weight: np.ndarray, slots: np.ndarray, s: Settings) -> Machine:
-    """Adagrad on weighted logistic loss. doc ascending from 0; term: compact, distinct in a document."""
+    """Adagrad on weighted logistic loss. doc ascending from 0; term: compact, distinct in a document. Both are held as they come, in six bytes a pair."""
     n = len(y)
     prior = float(np.clip((weight * y).sum() / weight.sum(), 1e-4, 1 - 1e-4))
     start = np.searchsorted(doc, np.arange(n + 1))
@@ -108,7 +108,7 @@ def train(doc: np.ndarray, term: np.ndarray, y: np.ndarray, weight: np.ndarray,
             rows = np.sort(order[a : a + 256])
             size = start[rows + 1] - start[rows]
             at = np.repeat(start[rows] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            t, r = term[at], np.repeat(np.arange(len(rows)), size)
+            t, r = term[at].astype(np.int64), np.repeat(np.arange(len(rows)), size)
             x = v[t]
             sums = np.stack([np.bincount(r, x[:, f], len(rows)) for f in range(s.factors)], 1)
             z = w0 + np.bincount(r, w[t], len(rows)) + 0.5 * ((sums * sums).sum(1) - np.bincount(r, (x * x).sum(1), len(rows)))
@@ -169,9 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
                 term = shared.value[slot]
                 doc, term = distinct(doc[term >= 0], term[term >= 0].astype(np.int64))
                 off = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([ids[row : row + n], y[row : row + n], pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32)))], names=["id", "y", "terms"])
+                yield pa.RecordBatch.from_arrays([ids[row : row + n], y[row : row + n], pa.ListArray.from_arrays(off, pa.array(term.astype(np.int16)))], names=["id", "y", "terms"])
 
-    got = sample.mapInArrow(chosen_terms, "id long, y int, terms array<int>").toArrow().combine_chunks().sort_by([("id", "ascending")])
+    got = sample.mapInArrow(chosen_terms, "id long, y int, terms array<smallint>").toArrow().combine_chunks().sort_by([("id", "ascending")])
     forget(sample)
     y = got["y"].to_numpy().astype(float)
     if not len(y):
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     for k in (0, 1):
         if (y == k).any():
             weight[y == k] = totals[k] / (y == k).sum()
-    return train(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy().astype(np.int64), y, weight, slots, s)
+    return train(np.repeat(np.arange(len(size), dtype=np.int32), size), lists.flatten().to_numpy(), y, weight, slots, s)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,6 +18,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,10 @@ from veriloom.llm.shared import bloom, cut, flagged, join_spread
 END = "\r\n\r\n"
 #: Payload bytes of an archive file, as a reader's task takes a file as a whole: on average, and at most whatever the order (or one record).
 FILE_BYTES, FILE_BYTES_MOST = 32 << 20, 128 << 20
+#: Payload bytes up to which a payload is of the first class, the second, and so on.
+CLASSES = (64 << 10, 2 << 20)
+#: Bytes that a reader inflates of one gzip member, unless told otherwise.
+INFLATED_MOST = 256 << 20
 _HEX32, _RFC32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -57,11 +62,14 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
         F.col(id_col).cast("long").alias("id"), _line(F.col(url_col).cast("string")).alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload")
     ).withColumn("digest", base32_sha1(F.col("payload")))
     groups = cut(rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1"), "payloads")
-    again = bloom(groups.select(F.xxhash64("digest").alias("h")), "h")
-    marked = flagged(rows, F.xxhash64("digest"), again, "maybe")
-    alone = marked.where("not maybe").withColumn("first", F.col("id"))
-    known = join_spread(marked.where("maybe"), groups, ["digest"], "n", "left").drop("n").withColumn("first", F.coalesce("first", "id"))
-    both = alone.unionByName(known)
+    if groups.isEmpty():
+        both = rows.withColumn("first", F.col("id"))
+    else:
+        again = bloom(groups.select(F.xxhash64("digest").alias("h")), "h")
+        marked = flagged(rows, F.xxhash64("digest"), again, "maybe")
+        alone = marked.where("not maybe").withColumn("first", F.col("id"))
+        known = join_spread(marked.where("maybe"), groups, ["digest"], "n", "left").drop("n").withColumn("first", F.coalesce("first", "id"))
+        both = alone.unionByName(known)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit(END))
     urn = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     revisit = ~F.col("id").eqNullSafe(F.col("first"))
@@ -79,11 +87,17 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", **more) -> None:
-    """Write the records of pages as archives below path, in files of FILE_BYTES or so, FILE_BYTES_MOST at most."""
-    size = F.octet_length(F.col(payload_col).cast("string"))
-    most, mean = pages.agg(F.max(size), F.avg(size)).first()
-    n = min(FILE_BYTES // (int(mean or 0) + 1024), FILE_BYTES_MOST // ((most or 0) + 1024))
-    records(pages, id_col, url_col, payload_col, **more).write.option("lineSep", END).option("maxRecordsPerFile", max(1, n)).text(path)
+    """Write the records of pages as archives below path, in files of FILE_BYTES or so, FILE_BYTES_MOST at most.
+
+    Payloads are written by classes of their sizes, as a class's files have as many records as its largest allows: one huge payload
+    leaves the files of small ones as they are. Equal payloads are of one class.
+    """
+    size = F.coalesce(F.octet_length(F.col(payload_col).cast("string")), F.lit(0))
+    cls = reduce(lambda c, k: c.when(size <= CLASSES[k], k), range(1, len(CLASSES)), F.when(size <= CLASSES[0], 0)).otherwise(len(CLASSES))
+    known = pages.groupBy(cls.alias("cls")).agg(F.max(size), F.avg(size)).collect()  # a row a class
+    for k, most, mean in known or [(0, 0, 0)]:
+        n = max(1, min(FILE_BYTES // (int(mean) + 1024), FILE_BYTES_MOST // (most + 1024)))
+        records(pages.where(cls == k), id_col, url_col, payload_col, **more).write.mode("append").option("lineSep", END).option("maxRecordsPerFile", n).text(path)
 
 
 class Bad(Exception):
@@ -143,13 +157,19 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     return head, end + 4
 
 
-def member(data: bytes, at: int) -> tuple[bytes, int | None, str | None]:
-    """The content of the gzip member at a place, and the place after it; of a broken member the content before the break, no place, and the reason."""
-    d, view, parts, n = zlib.decompressobj(31), memoryview(data), [], at
+def member(data: bytes, at: int, most: int = INFLATED_MOST) -> tuple[bytes, int | None, str | None]:
+    """The content of the gzip member at a place, and the place after it; of a broken member the content before the break, no place, and the reason.
+
+    A member of more than `most` bytes counts as broken where it exceeds them.
+    """
+    d, view, parts, n, size = zlib.decompressobj(31), memoryview(data), [], at, 0
     while not d.eof and n < len(data):
         before = d.copy()
         try:
-            parts.append(d.decompress(view[n : n + (1 << 16)]))
+            parts.append(d.decompress(view[n : n + (1 << 16)], most - size + 1))
+            size += len(parts[-1])
+            if size > most:
+                return b"".join(parts)[:most], None, f"gzip member of more than {most} bytes"
         except zlib.error as e:
             try:
                 for k in range(n, n + (1 << 16)):  # up to the byte that fails
@@ -176,13 +196,13 @@ def _inside(inner: bytes) -> Iterator[tuple[dict | None, str | None]]:
             at = end
 
 
-def _valid(data: bytes, at: int) -> tuple[list[tuple[dict | None, str | None]], int | None]:
+def _valid(data: bytes, at: int, most: int = INFLATED_MOST) -> tuple[list[tuple[dict | None, str | None]], int | None]:
     """What the record or gzip member at a place holds, and the place after it; None if a member is broken. Bad if there is no valid record.
 
     A broken member of one record is set aside as a whole.
     """
     if data[at : at + 2] == b"\x1f\x8b":
-        inner, end, broken = member(data, at)
+        inner, end, broken = member(data, at, most)
         out = list(_inside(inner))
         valid = sum(rec is not None for rec, _ in out)
         if broken and (not valid or len(out) == 1):
@@ -205,19 +225,20 @@ def _next(data: bytes, at: int, begins: re.Pattern, valid) -> int:
     return len(data)
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
+def salvage(data: bytes, most: int = INFLATED_MOST) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) of every valid record, and (start, end, None, reason) of every gap, in order.
 
-    Records and gaps inside a gzip member have the member's place; a broken member ends where something valid begins.
+    Records and gaps inside a gzip member have the member's place; a broken member ends where something valid begins. most: bytes
+    that are inflated of a member; what it holds beyond them is a gap.
     """
-    at = 0
+    at, valid = 0, partial(_valid, most=most)
     while at < len(data):
         try:
-            found, end = _valid(data, at)
+            found, end = valid(data, at)
         except Bad as e:
             found, end = [(None, str(e))], None
         if end is None:
-            end = _next(data, at, _NEXT, _valid)
+            end = _next(data, at, _NEXT, valid)
         for rec, why in found:
             yield at, end, rec, why
         at = end
@@ -226,12 +247,12 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
 _OUT = "archive string, start long, end long, gap string, record_id string, type string, target_uri string, refers_to string, payload_digest string, payload_bytes long"
 
 
-def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
+def read(spark: SparkSession, path: str, payload: bool = False, inflated_most: int = INFLATED_MOST) -> DataFrame:
     """Every record and every quarantined gap of the archives below path, one row each.
 
     gap is null for a record, else the reason why the bytes from start to end were set aside; they
     hold no valid record but those of the same gzip member. payload=True adds the payload (null for revisits and gaps). An empty file
-    gives no row.
+    gives no row. An archive is read as a whole; of a gzip member at most inflated_most bytes are inflated.
     """
 
     def run(batches):
@@ -239,7 +260,7 @@ def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
             for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows: list[tuple] = []
                 held = 0
-                for start, end, r, why in salvage(data.as_py() or b""):
+                for start, end, r, why in salvage(data.as_py() or b"", inflated_most):
                     get = r.get if r else (lambda *_: None)
                     row = (name, start, end, why, get("warc-record-id"), get("warc-type"), get("warc-target-uri"), get("warc-refers-to"), get("digest"), get("payload_bytes"))
                     rows.append((*row, get("payload")) if payload else row)
