@@ -40,6 +40,14 @@ def soft_or_hard(failures: DataFrame, exempt: DataFrame, key: str) -> DataFrame:
     return failures.join(e, key, "left").withColumn("soft", F.coalesce("soft", F.lit(False)))
 
 
+def run_totals(pages: DataFrame, failures: DataFrame, exempt: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """One row (pages, clean, soft, hard, passed) of a whole check: pages(key), failures(key), exempt(key). Soft failures only count under strict."""
+    bad = soft_or_hard(failures.select(key).distinct(), exempt, key)
+    n = pages.select(key).distinct().agg(F.count("*").alias("pages"))
+    out = n.crossJoin(totals(bad))
+    return out.select("pages", (F.col("pages") - F.col("soft") - F.col("hard")).alias("clean"), "soft", "hard", ((F.col("hard") == 0) & ((F.col("soft") == 0) | F.lit(not strict))).alias("passed"))
+
+
 def totals(failures: DataFrame) -> DataFrame:
     return failures.agg(F.count_if(F.col("soft")).alias("soft"), F.count_if(~F.col("soft")).alias("hard"))
 

@@ -14,7 +14,7 @@ from veriloom.functions import claims as C
 from veriloom.functions import dates as D
 from veriloom.functions import text as T
 from veriloom.operators import compare, coverage, fidelity, gates, health, history, queue
-from veriloom.plans.queries import _ENTITIES, _HALVES, _LEDGER, _LOG, _PACKET, halves, ledger, log, query, rendered
+from veriloom.plans.queries import _ENTITIES, _HALVES, _LEDGER, _LOG, ORACLE_SQL, QUERIES, halves, ledger, log, query, rendered
 from veriloom.session import scratch
 from veriloom.sources import files, html, packets, sinks
 
@@ -156,17 +156,17 @@ def artifact_bytes(t):
     return d.select("doc_id", files.legacy_doc(F.concat(start, body)).alias("legacy"), files.verified_bytes(pdf, told, pdf=True).alias("verified"), T.artifact_id(body).alias("artifact"))
 
 
-_RULES = ["", "no sources", "no recipe_version", "source without n", "source without title", "neither url nor urls", "both url and urls", "url is not http", "unknown transport", "unknown extractor", "html-text without scope", "unknown filter", "pages begin at 1", "pages is a pair", "pages end before they begin", "pages without a PDF", "slice without from", "occurrences begin at 1", "curl can't be attended", "n occurs twice", "a url of urls is not http"]
+_RULES = ["", "no sources", "no recipe_version", "source without n", "source without title", "neither url nor urls", "both url and urls", "url is not http", "unknown transport", "unknown extractor", "html-text without scope", "unknown filter", "pages begin at 1", "pages is a pair", "pages end before they begin", "pages without a PDF", "slice without from", "occurrences begin at 1", "urls can't be attended", "n occurs twice", "a url of urls is not http"]
 
 
-@query(f"SELECT 's' || c_custkey AS state, ({_RULES!r})[CAST(1 + c_custkey % 21 AS INT)] AS error FROM customer WHERE c_custkey % 21 > 0".replace('"curl can\'t be attended"', "'curl can''t be attended'"))
+@query(f"SELECT 's' || c_custkey AS state, ({_RULES!r})[CAST(1 + c_custkey % 21 AS INT)] AS error FROM customer WHERE c_custkey % 21 > 0".replace('"urls can\'t be attended"', "'urls can''t be attended'"))
 def recipe_lint(t):
     """Recipes with one fault each, or none."""
     s = lambda **more: dict({"n": "1", "title": '"t"', "url": '"https://x.org"', "transport": '"curl"', "extractor": '"pdftotext-raw"'}, **more)
     pdf, page = s(), s(extractor='"html-text"', scope='"main"')
     faults = [
         pdf, None, pdf, s(n="null"), s(title='""'), s(url="null"), s(urls='["https://y.org"]'), s(url='"ftp://x"'), s(transport='"post"'), s(extractor='"ocr"'), s(extractor='"html-text"'),
-        s(filters='["trim-lines", "shout"]'), s(pages="[0, 2]"), s(pages="[3]"), s(pages="[5, 2]"), page | {"pages": "[1, 2]"}, s(slice='{"to": "x"}'), s(slice='{"from": "a", "from_occurrence": 0}'), s(attended="true"), None, s(url="null", urls='["https://y.org", "y.org"]'),
+        s(filters='["trim-lines", "shout"]'), s(pages="[0, 2]"), s(pages="[3]"), s(pages="[5, 2]"), page | {"pages": "[1, 2]"}, s(slice='{"to": "x"}'), s(slice='{"from": "a", "from_occurrence": 0}'), s(url="null", urls='["https://y.org", "https://z.org"]', attended="true"), None, s(url="null", urls='["https://y.org", "y.org"]'),
     ]
     text = lambda d: "{" + ", ".join(f'"{k}": {v}' for k, v in d.items() if v != "null") + "}"
     whole = ["" if d is None else text(d) for d in faults]
@@ -675,3 +675,137 @@ def rotation_health(t):
     led = t("customer").select(F.col("c_custkey").cast("string").alias("url"), F.when(F.col("c_custkey") % 100 == 0, "submit-401").otherwise("404").alias("last_detail"), F.lit("FAILED").alias("last_result"))
     day = F.lit("2024-03-01").cast("date")
     return health.report(last, day, last.select(F.col("slug").cast("string").alias("slug")), "nowhere", True, sup.select("path", "stem", "head"), sup.where("n_nationkey % 3 <> 1 or n_nationkey % 5 = 0").select("stem"), led, ["submit-401"])
+
+
+# ---- extraction and reports
+
+
+@query(r"""
+SELECT doc_id, left(sha256(CASE doc_id % 6 WHEN 0 THEN x WHEN 1 THEN source || chr(10) || chr(10) || x WHEN 2 THEN 'part: ' || source || chr(10) || 'text: ' || x WHEN 3 THEN 'from  here on ' || x || ' ' WHEN 4 THEN replace(x, ',', chr(39)) ELSE ' A ' || doc_id || ' . ' || chr(10) || source || ' | b' || chr(10) END), 16) AS hash
+FROM (SELECT doc_id, source, regexp_replace(translate(coalesce(text, ''), '|"\<>&', '      '), '[^\x{21}-\x{7E}]+', ' ', 'g') AS x FROM documents)""")
+def extracted_sources(t):
+    """Bytes of six kinds of sources by the extractor, slice and filters that each recipe names."""
+    from veriloom.sources.extract import extract
+
+    d = t("documents").select("doc_id", "source", F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), '|"\\<>&', "      "), r"[^\x{21}-\x{7E}]+", " ").alias("x"))
+    k = F.col("doc_id") % 6
+    doc = F.to_json(F.struct(F.lit(None).cast("string").alias("no"), F.struct(F.col("source").alias("part"), F.col("x").alias("text")).alias("a")))
+    island = F.concat(F.lit('<p>x</p><script id="__NEXT_DATA__" type="application/json">'), doc, F.lit("</script>"))
+    page = F.concat(F.lit('<body><nav>no</nav><main><p> A <b hidden>no</b>'), F.col("doc_id").cast("string"), F.lit(' <span class="sr-only">no</span>. </p><table><tr><td>'), "source", F.lit("</td><td><i>b</i></td></tr></table></main></body>"))
+    raw = F.when(k == 0, F.col("x")).when(k == 1, island).when(k == 2, doc).when(k == 3, F.concat(F.lit("before from  here on "), "x", F.lit(" to  this end of it"))).when(k == 4, F.replace("x", F.lit(","), F.lit("\x92"))).otherwise(page)
+    scope = F.when(k == 1, '["a.part", "a.text"]').when(k == 2, "a").when(k == 5, "main")
+    kind = F.when(k == 1, "next-data").when(k == 2, "json-doc").when(k == 5, "html-text").otherwise("none")
+    cut = F.when(k == 3, F.struct(F.lit("from here on").alias("from"), F.lit("to this end").alias("to"), F.lit(1).alias("from_occurrence"), F.lit(None).cast("int").alias("to_occurrence")))
+    names = F.when(k == 3, F.array(F.lit("collapse-blank-runs"))).when(k == 4, F.array(F.lit("normalize-apostrophes"))).when(k == 5, F.array(F.lit("collapse-blank-runs")))
+    s = F.struct(kind.alias("extractor"), scope.alias("scope"), F.when(k == 4, "cp1252").alias("encoding"), F.lit(None).cast("boolean").alias("drop_icon_space"), F.lit(True).alias("drop_sr_only"), cut.alias("slice"), names.alias("filters"))
+    bytes_ = F.when(k == 4, F.encode(raw, "ISO-8859-1")).otherwise(F.encode(raw, "UTF-8"))
+    out = extract(d.select("doc_id", s.alias("s"), bytes_.alias("content")))
+    tidy = F.when(F.col("doc_id") % 6 == 5, F.regexp_replace("body", r"\n\n?", "\n")).otherwise(F.col("body"))
+    return out.select("doc_id", T.body_hash(F.when(F.col("doc_id") % 6 == 5, F.regexp_replace(tidy, r"^\n", "")).otherwise(tidy)).alias("hash"))
+
+
+@query("""
+SELECT page_id, 'Write to user' || page_id || '@x.org now' AS mail, 'in <https://x.org/' || page_id || '> | m@x.org | b' AS cells, 'Yes, no.' AS joined FROM pages""")
+def dom_texts(t):
+    """Coded addresses shown, hidden and read-aloud parts dropped, targets of links in cells, no blank where an icon stood."""
+    code = F.expr("concat('42', array_join(transform(split(concat('user', page_id, '@x.org'), ''), c -> lpad(lower(hex(ascii(c) ^ 66)), 2, '0')), ''))")
+    mail = F.concat(F.lit('<main>Write to <a data-cfemail="'), code, F.lit('">[email]</a><i style="display: none">x</i> <svg>x</svg><b hidden>no</b><!-- c -->now<div role="region" hidden></div></main>'))
+    cells = F.concat(F.lit('<main><table><tr><td>in <a href="https://x.org/'), F.col("page_id").cast("string"), F.lit('"></a></td><td><a href="mailto:m@x.org?s=1">m@x.org</a></td><td>b</td></tr></table></main>'))
+    joined = F.lit("<main>Yes <i class='icon'></i>, no<span class='sr-only'>!</span>.</main>")
+    p = t("pages").select("page_id", mail.alias("m"), cells.alias("c"), joined.alias("j"))
+    return p.select(
+        "page_id", T.strip(html.html_text(F.col("m"), "main")).alias("mail"), T.strip(html.html_text(F.col("c"), "main", links=True)).alias("cells"), T.strip(html.html_text(F.col("j"), "main", icon_space=True, sr_only=True)).alias("joined")
+    )
+
+
+@query("""
+SELECT count(*) AS pages, count(*) FILTER (doc_id % 5 > 1) AS clean, count(*) FILTER (doc_id % 5 < 2 AND doc_id % 3 = 0) AS soft, count(*) FILTER (doc_id % 5 < 2 AND doc_id % 3 > 0) AS hard, false AS passed FROM (SELECT DISTINCT doc_id FROM documents)
+UNION ALL SELECT count(*), count(*) FILTER (doc_id % 5 > 1), count(*) FILTER (doc_id % 5 < 2), 0, true FROM (SELECT DISTINCT doc_id FROM documents)
+UNION ALL SELECT count(*), count(*) FILTER (doc_id % 5 > 1), count(*) FILTER (doc_id % 5 < 2), 0, false FROM (SELECT DISTINCT doc_id FROM documents)""")
+def run_totals(t):
+    """Totals of a check: what exempt keys fail is soft, and counts under strict only."""
+    d = t("documents").select("doc_id")
+    bad, some = d.where("doc_id % 5 < 2"), d.where("doc_id % 3 = 0")
+    runs = [coverage.run_totals(d, bad, some, "doc_id"), coverage.run_totals(d, bad, d, "doc_id"), coverage.run_totals(d, bad, d, "doc_id", strict=True)]
+    return coverage.union(runs)
+
+
+@query("""
+SELECT sha256('**Baseline: ' || count(*) FILTER (n_nationkey % 2 = 0) || ' of 25 · Full: ' || count(*) FILTER (n_nationkey % 3 = 0) || ' of 25**' || chr(10) || chr(10) || '| Name | Baseline | Full | Last checked |' || chr(10) || '|---|:---:|:---:|---|' || chr(10) ||
+string_agg('| ' || n_name || ' | ' || CASE WHEN n_nationkey % 2 = 0 THEN '[x]' ELSE '[ ]' END || ' | ' || CASE WHEN n_nationkey % 3 = 0 THEN '[x]' ELSE '[ ]' END || ' | ' || CASE WHEN n_nationkey % 4 = 0 THEN 'May 1' ELSE '' END || ' |', chr(10) ORDER BY n_name) || chr(10)) AS status,
+sha256('<div class="state-picker" role="group" aria-label="Jump to a state page">' || chr(10) || string_agg(CASE WHEN n_nationkey % 2 = 0 THEN '<a class="state-pill" href="/states/s' || n_nationkey || '/" title="' || n_name || CASE WHEN n_nationkey % 4 = 0 THEN ' — sources last checked May 1' ELSE '' END || '">N&' || n_nationkey || '<span class="sr-only">' || n_name || '</span></a>'
+ELSE '<span class="state-pill state-pill--pending" title="' || n_name || ' — not yet published">N&' || n_nationkey || '<span class="sr-only">' || n_name || ' — not yet published</span></span>' END, chr(10) ORDER BY n_name) || chr(10) || '</div>') AS picker FROM nation""")
+def status_and_picker(t):
+    """The status table and the block of links of a dimension's members."""
+    k = F.col("n_nationkey")
+    n = t("nation").select(
+        F.col("n_name").alias("name"), F.concat(F.lit("s"), k.cast("string")).alias("slug"), F.concat(F.lit("N&"), k.cast("string")).alias("abbr"), (k % 2 == 0).alias("base"), (k % 3 == 0).alias("full"), (k % 2 == 0).alias("published"), F.when(k % 4 == 0, "May 1").alias("checked")
+    )
+    return sinks.status_table(n).select(F.sha2("text", 256).alias("status")).crossJoin(sinks.picker(n).select(F.sha2("html", 256).alias("picker")))
+
+
+_NOTED = "'2026-0' || (1 + n_nationkey % 9) || '-01'"
+
+
+@query(f"""
+WITH f AS (SELECT n_nationkey % 2 = 0 AS pub, {_NOTED} AS date, n_name AS slug, CASE WHEN n_nationkey % 4 > 0 THEN 'old' || n_nationkey ELSE 'none' END AS old FROM nation), a AS (SELECT string_agg(r || ' ' || n, ', ' ORDER BY r) AS by, CAST(sum(n) AS BIGINT) AS n, coalesce(sum(n) FILTER (r = 'confirmed'), 0) AS same FROM (SELECT event_type AS r, count(*) AS n FROM events GROUP BY 1))
+SELECT sha256('Changes from x to y' || chr(10) || a.n || ' pass(es): ' || a.by || chr(10) || chr(10) || 'Candidates (' || count(*) FILTER (pub) || ')' || chr(10) || string_agg('  ' || date || '  ' || slug || ' (main)  ' || old || ' -> new' || chr(10) || '    text changed; source added', chr(10) ORDER BY date, slug) FILTER (pub) ||
+chr(10) || chr(10) || 'Tooling, not news (' || count(*) FILTER (NOT pub) || ')' || chr(10) || string_agg('  ' || date || '  ' || slug || ' (main)  extractor respacing', chr(10) ORDER BY date, slug) FILTER (NOT pub) || chr(10)) AS report,
+sha256('# Change record, x to y' || chr(10) || chr(10) || '## What moved' || chr(10) || chr(10) || string_agg('- **' || slug || '** (' || date || ') — text changed; source added. TODO: what changed, in the words of ' || old || ' and new.', chr(10) ORDER BY date, slug) FILTER (pub) ||
+chr(10) || chr(10) || '## Corrections' || chr(10) || chr(10) || 'TODO' || chr(10) || chr(10) || '## Tooling notes' || chr(10) || chr(10) || count(*) FILTER (NOT pub) || ' drift(s) came from extraction or filters: ' || string_agg(slug, ', ' ORDER BY slug) FILTER (NOT pub) || '.' || chr(10)) AS draft FROM f, a GROUP BY a.n, a.by""")
+def change_reports(t):
+    """A window's digest as a text and as a draft."""
+    k = F.col("n_nationkey")
+    verdicts = F.when(k % 2 == 0, F.array(F.lit("text changed"), F.lit("source added"))).otherwise(F.array(F.lit("extractor respacing")))
+    f = t("nation").select(
+        F.col("n_name").alias("slug"), F.lit("main").alias("kind"), F.concat(F.lit("2026-0"), (k % 9 + 1).cast("string"), F.lit("-01")).alias("date"), F.when(k % 4 > 0, F.concat(F.lit("old"), k.cast("string"))).alias("supersedes"), F.lit("new").alias("capture"), verdicts.alias("verdicts"), (k % 2 == 0).alias("publishable")
+    )
+    seen = t("events").groupBy(F.col("event_type").alias("result")).agg(F.count("*").alias("passes"))
+    return sinks.report_text(f, seen, "x", "y").select(F.sha2("text", 256).alias("report")).crossJoin(sinks.report_draft(f, seen, "x", "y").select(F.sha2("text", 256).alias("draft")))
+
+
+@query("""
+SELECT o_custkey AS path, CASE WHEN o_custkey % 3 = 0 THEN '2025-05-05' WHEN count(*) FILTER (o_custkey % 3 = 1) > 0 THEN CAST(CAST(min(o_orderdate) AS DATE) AS VARCHAR) ELSE '2026-07-08' END AS assembled, CASE o_custkey % 3 WHEN 0 THEN 'header' WHEN 1 THEN 'git' ELSE 'mtime' END AS date_source FROM orders GROUP BY 1""")
+def assembly_dates(t):
+    """When captures were assembled: by their heads, else by their first commits, else by the files' own times."""
+    o = t("orders").select(F.col("o_custkey").cast("string").alias("path"), F.to_date("o_orderdate").alias("date"), F.lit("h").alias("hash"))
+    c = o.select("path").distinct().select("path", F.when(F.col("path") % 3 == 0, "x\nAssembly date 2025-05-05").otherwise("x").alias("head"), F.lit("2026-07-08 01:00:00").cast("timestamp").alias("modified"))
+    return files.assembly_dates(c, o.where("path % 3 < 2")).select(F.col("path").cast("long").alias("path"), "assembled", "date_source")
+
+
+@query("SELECT c_custkey, 'd' || c_custkey || '/x' AS path FROM customer WHERE c_custkey % 3 > 0")
+def listed_paths(t):
+    """Paths of a list, without its comments and blank lines."""
+    line = F.expr("case c_custkey % 3 when 0 then if(c_custkey % 2 = 0, concat('# d', c_custkey), ' ') when 1 then concat(' d', c_custkey, '/x/ # why') else concat('d', c_custkey, '/x') end")
+    p = files.path_list(t("customer").select(line.alias("value")))
+    return p.select(F.regexp_extract("path", r"^d(\d+)/", 1).cast("long").alias("c_custkey"), "path")
+
+
+def confirmation_stream(spark, sf_dir: str) -> DataFrame:
+    """Submissions and what is heard of them, as a file stream over the log, in one run over what is there."""
+    from veriloom.session import ship
+    from veriloom.streaming.logs import confirmations
+
+    ship(spark)
+    at = scratch(spark, "confirmations")
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    said = F.create_map(*[F.lit(x) for x in ("view", "submit", "click", "inconclusive", "error", "hard", "purchase", "soft", "signup", "confirmed")])
+    events = source.select(F.col("user_id").cast("string").alias("url"), F.col("event_id").alias("seq"), (F.col("event_id") * 3600).alias("at"), F.element_at(said, F.col("event_type")).alias("event"))
+    confirmations(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").select(F.col("url").cast("long").alias("url"), "seq", "outcome", F.col("failures").cast("long").alias("failures"), "status")
+
+
+QUERIES["confirmation_stream"] = confirmation_stream
+# A state machine over a key's rows, as a recursive walk: (since, failures) after each row.
+ORACLE_SQL["confirmation_stream"] = """
+WITH RECURSIVE e AS (SELECT user_id AS url, event_id AS seq, event_id * 3600 AS heard, CASE event_type WHEN 'view' THEN 'submit' WHEN 'click' THEN 'inconclusive' WHEN 'error' THEN 'hard' WHEN 'purchase' THEN 'soft' ELSE 'confirmed' END AS event, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+w AS (
+  SELECT url, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS since, CAST(0 AS BIGINT) AS failures, CAST(NULL AS BIGINT) AS seq, '' AS outcome FROM (SELECT DISTINCT url FROM e)
+  UNION ALL
+  SELECT e.url, e.k, CASE WHEN event = 'submit' THEN heard WHEN event = 'confirmed' OR (event = 'inconclusive' AND heard - since > 2592000) THEN NULL ELSE since END,
+    CASE WHEN event = 'submit' THEN 0 WHEN event = 'hard' THEN failures + 1 ELSE failures END, e.seq,
+    CASE WHEN event = 'submit' THEN 'pending' WHEN event = 'confirmed' AND since IS NOT NULL THEN 'confirmed' WHEN event = 'inconclusive' AND heard - since > 2592000 THEN 'expired' WHEN event IN ('hard', 'soft') THEN 'failed' ELSE 'left' END
+  FROM w JOIN e ON e.url = w.url AND e.k = w.k + 1
+)
+SELECT url, seq, outcome, failures, CASE WHEN failures >= 3 THEN 'blocked' WHEN since IS NOT NULL THEN 'pending' ELSE 'open' END AS status FROM w WHERE k > 0"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,10 @@ from pyspark.sql import types as T
 # The vocabularies and shapes of these files.
 TRANSPORTS = ("curl", "web_fetch", "chrome")
 EXTRACTORS = ("pdftotext-raw", "pdftotext-layout", "pdfplumber", "html-text", "next-data", "json-doc", "docx", "none")
+PDF_EXTRACTORS = ("pdftotext-raw", "pdftotext-layout", "pdfplumber")
+DOCX_SCOPES = ("paragraphs-and-tables", "paragraphs-only", "headers-paragraphs-and-tables", "headers-paragraphs-only")
+USER_AGENTS, ENCODINGS, HTTP_VERSIONS = ("none", "browser"), ("cp1252",), ("1.1",)
+RECIPE_VERSION, ANCHOR_LEAST = 1, 12
 RESULTS = ("baseline", "confirmed", "drift", "rebuild", "accepted")
 SOURCE = (
     "n int, title string, url string, urls array<string>, source_date string, transport string, extractor string, scope string, user_agent string, encoding string, http_version string, "
@@ -29,8 +34,41 @@ def recipes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECIPE).option("multiLine", True).json(path).withColumn("path", F.col("_metadata.file_path"))
 
 
-def lint(recipes: DataFrame) -> DataFrame:
-    """(state, n, error): everything that is wrong with recipes, a row each; sound ones have none."""
+def _option_rules(s: Column, i: Column, rule) -> list[Column]:
+    """What options of a source s, at place i from 0, say that means nothing or doesn't fit its transport or extractor."""
+    said = lambda name: F.coalesce(s[name], F.lit("")) != ""
+    curl, text = s["transport"] == "curl", F.coalesce(s["scope"], F.lit(""))
+    paths = F.from_json(text, "array<string>")
+    curl_only = [(n, said(n)) for n in ("user_agent", "http_version", "encoding", "ca_bundle")] + [("compressed", ~s["compressed"]), ("urls", s["urls"].isNotNull())]
+    out = [rule(on & ~F.coalesce(curl, F.lit(False)), f"{n} is for curl only") for n, on in curl_only]
+    out += [rule(s[n].isNotNull() & (s["extractor"] != "html-text"), f"{n} is for html-text only") for n in ("drop_sr_only", "drop_icon_space")]
+    known = {"user_agent": USER_AGENTS, "encoding": ENCODINGS, "http_version": HTTP_VERSIONS}
+    out += [rule(said(n) & ~s[n].isin(*values), f"unknown {n}") for n, values in known.items()]
+    slice_ = s["slice"]
+    out += [
+        rule(s["n"] != i + 1, "sources are not numbered in order"),
+        rule(F.size(s["urls"]) < 2, "urls takes two pages or more"),
+        rule(F.exists(s["urls"], lambda u: F.trim(u) == ""), "an empty url in urls"),
+        rule(F.size(F.array_distinct(s["urls"])) < F.size(s["urls"]), "urls has a page twice"),
+        rule(s["extractor"].isin("next-data", "json-doc") & (text == ""), "JSON without a path"),
+        rule(s["extractor"].isin("next-data", "json-doc") & text.startswith("[") & (F.coalesce(F.size(paths), F.lit(0)) < 1), "JSON paths are no list of paths"),
+        rule((s["extractor"] == "docx") & (text != "") & ~text.isin(*DOCX_SCOPES), "unknown scope of docx"),
+        rule((text != "") & ~s["extractor"].isin("html-text", "next-data", "json-doc", "docx"), "a scope means nothing here"),
+        rule(said("encoding") & s["extractor"].isin(*PDF_EXTRACTORS, "docx"), "encoding is for texts only"),
+        rule(F.length(F.trim(slice_["from"])).between(1, ANCHOR_LEAST - 1), "the from anchor is too short"),
+        rule(slice_["to"].isNotNull() & (F.trim(slice_["to"]) == ""), "the to anchor is empty"),
+        rule(F.length(F.trim(slice_["to"])).between(1, ANCHOR_LEAST - 1), "the to anchor is too short"),
+        rule(slice_["to_occurrence"].isNotNull() & slice_["to"].isNull(), "to_occurrence without to"),
+    ]
+    return out
+
+
+def lint(recipes: DataFrame, options: bool = False) -> DataFrame:
+    """(state, n, error): what is wrong with recipes, a row each; sound ones have none.
+
+    options=True also looks at options: those that don't fit the source's transport or extractor, unknown values, anchors too short, the order
+    of sources, the recipe's version and, where recipes have a path, whether the file bears the state's name.
+    """
     src = recipes.select("state", "recipe_version", F.posexplode_outer("sources").alias("i", "s"))
     s = F.col("s")
     rule = lambda bad, said: F.when(F.coalesce(bad, F.lit(False)), F.lit(said))
@@ -55,11 +93,18 @@ def lint(recipes: DataFrame) -> DataFrame:
             rule(s["pages"].isNotNull() & ~s["extractor"].startswith("pdf"), "pages without a PDF"),
             rule(s["slice"].isNotNull() & (F.coalesce(s["slice"]["from"], F.lit("")) == ""), "slice without from"),
             rule((s["slice"]["from_occurrence"] < 1) | (s["slice"]["to_occurrence"] < 1), "occurrences begin at 1"),
-            rule((s["transport"] == "curl") & s["attended"], "curl can't be attended"),
+            rule(s["urls"].isNotNull() & s["attended"], "urls can't be attended"),
+            *(_option_rules(s, F.col("i"), rule) if options else []),
         )
     )
+    if options:
+        of_file = [F.when(F.coalesce(F.col("recipe_version") != RECIPE_VERSION, F.lit(False)), "unknown recipe_version")]
+        if "path" in recipes.columns:
+            of_file.append(F.when(~F.col("state").eqNullSafe(F.regexp_extract("path", r"([^/]+)\.json$", 1)), "the file is not named after the state"))
+        whole = recipes.select("state", F.lit(None).cast("int").alias("n"), F.explode(F.array_compact(F.array(*of_file))).alias("error"))
     twice = recipes.select("state", F.explode("sources.n").alias("n")).groupBy("state", "n").count().where("count > 1").select("state", "n", F.lit("n occurs twice").alias("error"))
-    return src.select("state", s["n"].alias("n"), F.explode(errors).alias("error")).unionByName(twice)
+    found = src.select("state", s["n"].alias("n"), F.explode(errors).alias("error")).unionByName(twice)
+    return found.unionByName(whole) if options else found
 
 
 def manifest(spark: SparkSession, path: str, slug: str | None = None) -> DataFrame:
@@ -103,12 +148,24 @@ def next_data(html: Column, paths: list[str]) -> Column:
     return json_texts(island(html, "__NEXT_DATA__"), paths)
 
 
+#: What decode() of Spark knows; other encodings take an Arrow-batched function.
+SPARK_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32")
+
+
+def _decode(encoding: str):
+    @F.pandas_udf("string")
+    def run(blobs: pd.Series) -> pd.Series:
+        return blobs.map(lambda x: None if x is None else bytes(x).decode(encoding, "replace"))
+
+    return run
+
+
 def decode(content: Column, encoding: str = "UTF-8") -> Column:
     """struct(text, lossy): bytes as text; lossy if a replacement character came up."""
     if encoding.upper() == "UTF-8":
         text, lossy = F.make_valid_utf8(content.cast("string")), ~F.is_valid_utf8(content.cast("string"))
     else:
-        text = F.decode(content, encoding)
+        text = F.decode(content, encoding) if encoding.lower() in SPARK_CHARSETS else _decode(encoding)(content)
         lossy = F.contains(text, F.lit("�"))
     return F.struct(text.alias("text"), lossy.alias("lossy"))
 
@@ -148,6 +205,28 @@ def walk(spark: SparkSession, path: str, glob: str = "*", skip: str = r"/\.|__py
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).where(~F.col("path").rlike(skip)).select("path", "length", "content").orderBy("path")
 
 
+def path_list(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(path) of a list of paths: blank lines and comments are left out, trailing slashes too."""
+    p = F.regexp_replace(F.trim(F.regexp_replace(column, r"(^|\s)#.*$", "")), "/+$", "")
+    return lines.select(p.alias("path")).where("path <> ''")
+
+
+def commit_dates(log: DataFrame) -> DataFrame:
+    """(path, first_added, last_committed) from commits(hash, date, path)."""
+    return log.groupBy("path").agg(F.min("date").alias("first_added"), F.max("date").alias("last_committed"))
+
+
+def assembly_dates(captures: DataFrame, log: DataFrame) -> DataFrame:
+    """captures(path, head, modified) with assembled and date_source: the date that the header tells, else of the file's first commit, else of its last change."""
+    from veriloom.functions.dates import assembled
+
+    told = assembled("head")
+    c = captures.join(commit_dates(log).select("path", "first_added"), "path", "left")
+    source = F.when(told.isNotNull(), "header").when(F.col("first_added").isNotNull(), "git").when(F.col("modified").isNotNull(), "mtime")
+    date = F.coalesce(told, F.col("first_added").cast("string"), F.to_date("modified").cast("string"))
+    return c.select(*captures.columns, date.alias("assembled"), source.alias("date_source"))
+
+
 def commits(spark: SparkSession, path: str) -> DataFrame:
     """(hash, date, path) of an exported log."""
     return spark.read.schema(T.StructType([T.StructField("hash", T.StringType()), T.StructField("date", T.DateType()), T.StructField("path", T.StringType())])).json(path)

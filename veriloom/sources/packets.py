@@ -28,7 +28,8 @@ def files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
 
 def header_part(c: Column | str) -> Column:
     """What stands before the first source: description, never evidence. All of it if there is none."""
-    return F.get(F.split(_col(c), HEADER_AHEAD, 2), 0)
+    at = F.regexp_instr(_col(c), F.lit(HEADER))
+    return F.when(at > 0, F.substr(_col(c), F.lit(1), at - 1)).otherwise(_col(c))
 
 
 def blocks(c: Column | str) -> Column:

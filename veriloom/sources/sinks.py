@@ -138,6 +138,58 @@ def report(findings: DataFrame, attendance: DataFrame, start: str, end: str) ->
     return f.crossJoin(a).select(F.to_json(F.struct(window, "attendance", "passes", "findings")).alias("json"))
 
 
+def report_text(findings: DataFrame, attendance: DataFrame, start: str, end: str) -> DataFrame:
+    """One row, one text of a window's digest: what was done, and each of findings(slug, kind, date, supersedes, capture, verdicts, publishable), which
+    are a few a month, candidates first, then what only concerns tools."""
+    said = F.concat(F.lit("  "), "date", F.lit("  "), "slug", F.lit(" ("), "kind", F.lit(")  "))
+    line = F.when(F.col("publishable"), F.concat(said, F.coalesce("supersedes", F.lit("none")), F.lit(" -> "), "capture", F.lit("\n    "), F.array_join("verdicts", "; "))).otherwise(F.concat(said, F.array_join("verdicts", "; ")))
+    rows = F.array_sort(F.collect_list(F.struct("date", "slug", "kind", "publishable", line.alias("x"))))
+    f = findings.agg(rows.alias("f"))
+    passes = F.array_sort(F.collect_list(F.struct("result", "passes")))
+    a = attendance.agg(F.coalesce(F.sum("passes"), F.lit(0)).alias("n"), F.array_join(F.transform(passes, lambda x: F.concat(x["result"], F.lit(" "), x["passes"].cast("string"))), ", ").alias("by"))
+    part = lambda on: F.transform(F.filter("f", lambda x: x["publishable"] == on), lambda x: x["x"])
+    listed = lambda on: F.when(F.size(part(on)) > 0, F.array_join(part(on), "\n")).otherwise("  none")
+    text = F.concat(
+        F.lit(f"Changes from {start} to {end}\n"), F.col("n").cast("string"), F.lit(" pass(es): "), "by", F.lit("\n\nCandidates ("), F.size(part(True)).cast("string"), F.lit(")\n"), listed(True),
+        F.lit("\n\nTooling, not news ("), F.size(part(False)).cast("string"), F.lit(")\n"), listed(False), F.lit("\n"),
+    )
+    return f.crossJoin(a).select(text.alias("text"))
+
+
+def report_draft(findings: DataFrame, attendance: DataFrame, start: str, end: str) -> DataFrame:
+    """One row, one Markdown draft of a window's published change record: a line to be written for each candidate."""
+    line = F.concat(F.lit("- **"), "slug", F.lit("** ("), "date", F.lit(") — "), F.array_join("verdicts", "; "), F.lit(". TODO: what changed, in the words of "), F.coalesce("supersedes", F.lit("none")), F.lit(" and "), "capture", F.lit("."))
+    f = findings.where("publishable").agg(F.array_sort(F.collect_list(F.struct("date", "slug", "kind", line.alias("x")))).alias("f"))
+    tools = findings.where("not publishable").agg(F.array_join(F.array_sort(F.collect_set("slug")), ", ").alias("t"), F.count("*").alias("n"))
+    same = attendance.agg(F.coalesce(F.sum(F.when(F.col("result") == "confirmed", F.col("passes"))), F.lit(0)).alias("same"))
+    none = F.concat(F.lit("Nothing moved; "), F.col("same").cast("string"), F.lit(" pass(es) found the sources unchanged."))
+    text = F.concat(
+        F.lit(f"# Change record, {start} to {end}\n\n## What moved\n\n"), F.when(F.size("f") > 0, F.array_join(F.transform("f", lambda x: x["x"]), "\n")).otherwise(none),
+        F.lit("\n\n## Corrections\n\nTODO\n\n## Tooling notes\n\n"), F.col("n").cast("string"), F.lit(" drift(s) came from extraction or filters: "), F.when(F.col("t") != "", F.col("t")).otherwise("none"), F.lit(".\n"),
+    )
+    return f.crossJoin(tools).crossJoin(same).select(text.alias("text"))
+
+
+def status_table(rows: DataFrame) -> DataFrame:
+    """One row, one Markdown table of rows(name, base, full, checked): a dimension's few members, by name, under their counts."""
+    box = lambda c: F.when(F.col(c), "[x]").otherwise("[ ]")
+    line = F.concat(F.lit("| "), "name", F.lit(" | "), box("base"), F.lit(" | "), box("full"), F.lit(" | "), F.coalesce("checked", F.lit("")), F.lit(" |"))
+    agg = rows.agg(F.array_sort(F.collect_list(F.struct("name", line.alias("x")))).alias("r"), F.count("*").alias("n"), F.count_if(F.col("base")).alias("b"), F.count_if(F.col("full")).alias("f"))
+    head = F.format_string("**Baseline: %d of %d · Full: %d of %d**\n\n| Name | Baseline | Full | Last checked |\n|---|:---:|:---:|---|\n", "b", "n", "f", "n")
+    return agg.select(F.concat(head, F.array_join(F.transform("r", lambda x: x["x"]), "\n"), F.lit("\n")).alias("text"))
+
+
+def picker(rows: DataFrame) -> DataFrame:
+    """One row, one block of links to the pages of rows(name, slug, abbr, published, checked), a dimension's few members, by name; those not published aren't links."""
+    name = T.html_escape(F.col("name"))
+    title = F.when(F.col("checked").isNotNull(), F.concat(name, F.lit(" — sources last checked "), T.html_escape(F.col("checked")))).otherwise(name)
+    pill = F.concat(F.lit('<a class="state-pill" href="/states/'), "slug", F.lit('/" title="'), title, F.lit('">'), "abbr", F.lit('<span class="sr-only">'), name, F.lit("</span></a>"))
+    wait = F.concat(F.lit('<span class="state-pill state-pill--pending" title="'), name, F.lit(' — not yet published">'), "abbr", F.lit('<span class="sr-only">'), name, F.lit(" — not yet published</span></span>"))
+    ordered = F.array_sort(F.collect_list(F.struct("name", F.when(F.col("published"), pill).otherwise(wait).alias("x"))))
+    head = F.lit('<div class="state-picker" role="group" aria-label="Jump to a state page">\n')
+    return rows.agg(F.concat(head, F.array_join(F.transform(ordered, lambda x: x["x"]), "\n"), F.lit("\n</div>")).alias("html"))
+
+
 def method_digest(recipe: Column) -> Column:
     """12 digits over a recipe's JSON that its captured text depends on: titles and notes don't, and options count only if set."""
     always = ("n", "url", "transport", "extractor", "scope")

@@ -40,17 +40,23 @@ def retained(events: DataFrame) -> DataFrame:
     )
 
 
-def confirmations(events: DataFrame) -> DataFrame:
+def confirmations(events: DataFrame, timers: bool = False) -> DataFrame:
     """Stream of (url, seq, outcome, failures, status) from events(url, seq, at long seconds, event).
 
     event: submit, confirmed, unplayable, inconclusive, throttled, hard, soft or fault. A submission waits as pending; a
     confirmation or a refusal to play ends it; inconclusive looks leave it until its term counted from the submission is over,
     throttled ones never expire it. Hard failures in a row block; an account fault changes nothing, whatever came with it.
-    Confirmations don't count as attempts of their own.
+    Confirmations don't count as attempts of their own. timers=True: a submission of which nothing more is heard expires by the clock, in a
+    row without seq; a stream that runs once over what is there has no such clock.
     """
+    names = ["url", "seq", "outcome", "failures", "status"]
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         since, failures = state.get if state.exists else (None, 0)
+        if state.hasTimedOut:
+            state.update((None, failures))
+            yield pd.DataFrame([(key[0], None, "expired", failures, "blocked" if failures >= BLOCK_AFTER else "open")], columns=names)
+            return
         out = []
         for r in pd.concat(list(batches)).sort_values("seq").itertuples():
             outcome = "left"
@@ -68,9 +74,12 @@ def confirmations(events: DataFrame) -> DataFrame:
                 outcome = "failed"
             out.append((key[0], r.seq, outcome, failures, "blocked" if failures >= BLOCK_AFTER else "pending" if since is not None else "open"))
         state.update((since, failures))
-        yield pd.DataFrame(out, columns=["url", "seq", "outcome", "failures", "status"])
+        if timers and since is not None:
+            state.setTimeoutDuration(EXPIRY_DAYS * DAY * 1000)
+        yield pd.DataFrame(out, columns=names)
 
-    return events.groupBy("url").applyInPandasWithState(step, "url string, seq long, outcome string, failures int, status string", "since long, failures int", "append", GroupStateTimeout.NoTimeout)
+    clock = GroupStateTimeout.ProcessingTimeTimeout if timers else GroupStateTimeout.NoTimeout
+    return events.groupBy("url").applyInPandasWithState(step, "url string, seq long, outcome string, failures int, status string", "since long, failures int", "append", clock)
 
 
 def monthly(events: DataFrame, time: str = "ts", result: str = "result") -> DataFrame:
