@@ -188,7 +188,7 @@ def test_gates(spark):
     df = spark.createDataFrame([("p", page), ("q", '<p id="main">"you should"</p>')], "path string, html string")
     found = gates.violations(df, ["me.org"], {"main": 'id="main"'}, {"licence": "license"})
     assert rows(found, "gate", "page", "detail") == sorted([
-        ("pending", "p", "review pending"), ("external", "p", "https://cdn.z/x.js"), ("advice", "p", "you should"), ("advice", "p", "file by"), ("relative", "p", "rel.html"), ("leaked", "p", "[leak](y)"), ("main", "p", "missing"),
+        ("pending", "p", "review pending"), ("external", "p", "https://cdn.z/x.js"), ("advice", "p", "you should"), ("relative", "p", "rel.html"), ("leaked", "p", "[leak](y)"), ("main", "p", "missing"),
     ], key=str)
     assert rows(gates.passed(found, ["advice", "placeholder"]), "gate", "violations", "passed") == [("advice", 2, False), ("placeholder", 0, True)]
     stray = gates.stray_files(spark.createDataFrame([("a/x.html",), ("a/run.sh",), ("LICENSE",), ("Makefile",)], "path string"), [])
