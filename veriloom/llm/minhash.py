@@ -275,16 +275,18 @@ def rest_links(rows: DataFrame, docs: DataFrame, p: Plan, id_col: str, text_col:
         return lead.selectExpr("key as u", "first as v")
     some = cut(join_spread(rows, lead, ["key"], "c").select("key", "id", "n", "label", (F.col("label") != F.col("first")).alias("odd"), cls.alias("cls")), "mixed")
     near = some.where("odd").withColumn("cls", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)))
-    both = cut(some.withColumn("side", F.lit(1)).unionByName(near.withColumn("side", F.lit(0))), "sides")
+    both = some.withColumn("side", F.lit(1)).unionByName(near.withColumn("side", F.lit(0)))
     odd = F.col("side") == 0
     size = lambda on: _blocks_of(F.count_if(on), F.sum(F.when(on, F.col("n"))))
     parts = both.groupBy("key", "cls").agg(F.count("*").alias("c"), F.count_if(odd).alias("odds"), size(odd).alias("na"), size(~odd).alias("nb")).where("odds > 0 and odds < c").drop("odds")
-    known = cut(join_spread(both, cut(parts, "parts"), ["key", "cls"], "c"), "known")
-    cols = ["key", "cls", "i", "j", "side", "id", "label"]
-    dealt = known.where(odd).withColumn("i", _deal("na", 1)).withColumn("j", _upto("nb")).select(*cols)
-    every = known.where(~odd).withColumn("j", _deal("nb", 2)).withColumn("i", _upto("na")).select(*cols)
-    found = _met(dealt.unionByName(every), docs, p, id_col, text_col)
-    forget(lead, some, both, known)
+    parts = cut(parts, "parts")
+    known = join_spread(both, parts, ["key", "cls"], "c")
+    # A straggler lies in one block row and meets all block columns, a node the other way round.
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    known = known.withColumn("i", F.explode(F.when(odd, F.array(_deal("na", 1))).otherwise(upto("na"))))
+    known = known.withColumn("j", F.explode(F.when(odd, upto("nb")).otherwise(F.array(_deal("nb", 2)))))
+    found = _met(known.select("key", "cls", "i", "j", "side", "id", "label"), docs, p, id_col, text_col)
+    forget(lead, some, parts)
     return found
 
 

@@ -102,6 +102,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and -1, formatted and read back; rows that the table itself has under -1 would be turns of the added conversation."""
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")

@@ -74,13 +74,15 @@ def flagged(df: DataFrame, value: Column, words: DataFrame, flag: str) -> DataFr
     return out.withColumn(flag, hit).drop(f"__s_{flag}", f"__w_{flag}", f"__m_{flag}")
 
 
-def join_spread(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+def join_spread(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner", most: int | None = None) -> DataFrame:
     """rows joined with keyed, one row a key, whose column `weight` says how many of rows have the key; inner or left.
 
     No key meets in one task: those of more rows than HOT_LEAST and than a HOT_KEYS-th of all are joined by broadcast, which is at most
     HOT_KEYS rows since the weights add up to all rows; the rest is shuffled, and none of it is hot.
-    rows and keyed are read more than once, so they should be tables.
+    rows and keyed are read more than once, so they should be tables. most: what no key's weight is known to exceed.
     """
+    if most is not None and most <= HOT_LEAST:
+        return rows.join(keyed, on, how)
     total, most = keyed.agg(F.sum(weight), F.max(weight)).first()
     limit = max(HOT_LEAST, (total or 0) // HOT_KEYS)
     if (most or 0) <= limit:
@@ -105,10 +107,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("c"))
-        large = join_spread(both, low, ["u"], "c").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        most = low.agg(F.max("c")).first()[0] or 0
+        large = join_spread(both, low, ["u"], "c", most=most).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c"))
         small = (
-            join_spread(large, low, ["u"], "c")
+            join_spread(large, low, ["u"], "c", most=most)  # a node has no more edges than before
             .select(F.expr("stack(2, u, m, v, m) as (u, v)"))
             .where("u <> v")
             .distinct()
