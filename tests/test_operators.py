@@ -347,13 +347,14 @@ def test_current_table_and_round_robin(spark, tmp_path):
     assert logs.until_fault(t, "i", "bad").count() == 2 and logs.until_fault(t.where("not bad"), "i", "bad").count() == 2
 
 
-def test_entry_survives_without_the_subpackage(tmp_path):
+@pytest.mark.parametrize("pipeline_stays", [False, True])
+def test_entry_survives_without_the_subpackage(tmp_path, pipeline_stays):
     import os
     import shutil
     import subprocess
     import sys
 
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    shutil.copytree(top, tmp_path / "r", ignore=lambda d, n: [x for x in n if x in ("llm", "corpus_pipeline.py", ".git", "tests", "__pycache__")])
+    shutil.copytree(top, tmp_path / "r", ignore=lambda d, n: [x for x in n if x in ("llm", ".git", "tests", "__pycache__") or (x == "corpus_pipeline.py" and not pipeline_stays)])
     code = "import __spark_entry__ as e; q = e.queries(); assert 'verbatim_in_evidence' in q and not [k for k in q if k.startswith('op') or k == 'pipeline']; assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path / "r", check=True)

@@ -270,10 +270,10 @@ def anchor_entry(t):
 # ---- comparison
 
 
-@query(_HALVES + "SELECT n % 7 AS key, bool_or(state IN ('gone', 'shrank')) AS needs_review FROM s WHERE n % 5 = 3 OR n % 7 < 4 GROUP BY 1")
+@query(_HALVES + "SELECT n // 3 AS key, bool_or(state IN ('gone', 'shrank')) AS needs_review FROM s GROUP BY 1")
 def review_needed(t):
-    a, b = (x.where("n % 5 = 3 or n % 7 < 4") for x in halves(t))
-    return compare.needs_review(compare.compare(a, b, ["n"]).withColumn("key", F.col("n") % 7), "key")
+    """Groups of three sources of which any is gone or shrank."""
+    return compare.needs_review(compare.compare(*halves(t), ["n"]).withColumn("key", F.floor(F.col("n") / 3)), "key")
 
 
 _VERDICT = """CASE WHEN state = 'gone' THEN 'source dropped' WHEN state = 'new' THEN 'source added' WHEN state IN ('grew', 'shrank') AND regexp_replace(lower(x), '[^a-z0-9]+', '', 'g') <> regexp_replace(lower(y), '[^a-z0-9]+', '', 'g') THEN 'text changed'
@@ -577,11 +577,11 @@ def slice_notes(t):
 
 
 @query("""
-SELECT user_id, CASE WHEN a = b AND a = '2024-01-15' THEN 'this date' WHEN a = b THEN 'on ' || a ELSE 'between ' || a || ' and ' || b END AS said FROM (SELECT user_id, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS a, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS b FROM events WHERE event_id % 2 = 0 OR user_id % 2 = 0 GROUP BY 1)""")
+SELECT user_id, part, CASE WHEN a = b AND a = '2024-01-15' THEN 'this date' WHEN a = b THEN 'on ' || a ELSE 'between ' || a || ' and ' || b END AS said FROM (SELECT user_id, event_id // 500 AS part, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS a, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS b FROM events GROUP BY 1, 2)""")
 def request_dates(t):
     """When captures were requested, in words."""
-    e = t("events").where("event_id % 2 = 0 or user_id % 2 = 0").groupBy("user_id").agg(F.collect_set(F.to_date("ts").cast("string")).alias("d"))
-    return e.select("user_id", sinks.range_text(F.col("d"), F.lit("2024-01-15")).alias("said"))
+    e = t("events").groupBy("user_id", F.floor(F.col("event_id") / 500).alias("part")).agg(F.collect_set(F.to_date("ts").cast("string")).alias("d"))
+    return e.select("user_id", "part", sinks.range_text(F.col("d"), F.lit("2024-01-15")).alias("said"))
 
 
 @query(

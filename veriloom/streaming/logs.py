@@ -90,7 +90,7 @@ def monthly(events: DataFrame, time: str = "ts", result: str = "result") -> Data
 def current_by_key(spark: SparkSession, stream: DataFrame, path: str, keys: list[str], seq: str = "seq"):
     """A streaming query that keeps the newest row of each key in a table of versions below path; each batch writes the next one.
 
-    A batch that runs again writes the same version, so that its rows are counted once.
+    A batch that runs again writes the same version, so that its rows are counted once; versions older than the one it reads are deleted.
     """
     from veriloom.operators.history import latest
 
@@ -99,6 +99,9 @@ def current_by_key(spark: SparkSession, stream: DataFrame, path: str, keys: list
         if epoch:
             new = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/v={epoch - 1}"))
         latest(new, keys, seq).write.mode("overwrite").parquet(f"{path}/v={epoch}")
+        if epoch > 1:  # the version before stays, as this batch may run again
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={epoch - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}/_log").trigger(availableNow=True).start()
 
