@@ -305,6 +305,25 @@ def shortest_unique(c: Column | str, at: Column, least: int = 45, most: int = 20
     return F.get(F.filter(tries, lambda p: (F.length(p) >= least) & once(p)), 0)
 
 
+def locate(full: Column | str, body: Column | str, head: int = 120) -> Column:
+    """struct(start, end) of a body in a text, both in normal form, by its first characters; null if it is empty or not there."""
+    at = lambda f, b: F.instr(f, F.substr(b, F.lit(1), F.lit(head))) - 1
+    span = lambda f, b: F.when((b != "") & (at(f, b) >= 0), F.struct(at(f, b).alias("start"), (at(f, b) + F.length(b)).alias("end")))
+    return let(F.struct(norm(full).alias("f"), norm(body).alias("b")), lambda x: span(x["f"], x["b"]))
+
+
+def grow(c: Column | str, at: Column, least: int = 45, most: int = 200) -> Column:
+    """An anchor for a slice: whole words from a place on, `least` characters or more, as few as occur once in the text; if none does,
+    those that first exceed `most` characters, or all of the next 400."""
+    c = _col(c)
+    once = lambda p: (F.length(c) - F.length(F.replace(c, p, F.lit("")))) == F.length(p)
+    tries = lambda w: F.transform(F.sequence(F.lit(1), F.size(w)), lambda n: F.trim(F.array_join(F.slice(w, F.lit(1), n), " ")))
+    fit = lambda v: F.filter(v, lambda x, k: (F.length(x) >= least) & ((k == 0) | (F.length(F.get(v, k - 1)) <= most)))
+    last = lambda e: F.try_element_at(e, F.lit(-1))
+    pick = lambda v: let(fit(v), lambda e: F.coalesce(F.get(F.filter(e, once), 0), last(e), last(v)))
+    return let(F.split(F.substr(c, at + 1, F.lit(400)), " ", -1), lambda w: let(tries(w), pick))
+
+
 def outside_quotes(c: Column | str, change: Callable[[Column], Column]) -> Column:
     """Change only text outside ASCII double quotes; an open quote runs to the end."""
     return F.array_join(F.transform(F.split(_col(c), '"', -1), lambda x, i: F.when(i % 2 == 0, change(x)).otherwise(x)), '"')

@@ -32,6 +32,14 @@ def review_errors(reviews: DataFrame, standing: str) -> DataFrame:
     return reviews.select("slug", "path", error.alias("error")).where("error is not null")
 
 
+def with_reviews(standing: DataFrame, reviews: DataFrame, folder: str) -> DataFrame:
+    """A packet set (slug, kind, path) in which a slug's review capture(slug, path) stands for its main packet; a capture that can't fails the query."""
+    wrong = review_errors(reviews, folder).select("path", "error").distinct()
+    r = reviews.join(wrong, "path", "left").withColumn("path", F.when(F.col("error").isNull(), F.col("path")).otherwise(F.raise_error(F.concat(F.lit("a review capture is "), "error"))))
+    new = r.select("slug", F.lit("main").alias("kind"), "path")
+    return standing.join(reviews.select("slug", F.lit("main").alias("kind")).distinct(), ["slug", "kind"], "left_anti").unionByName(new)
+
+
 def report(
     latest: DataFrame, today: Column, slugs: DataFrame, cursor: str | None, cursor_before: bool, supplements: DataFrame, recipes: DataFrame, ledger: DataFrame, declared_faults: list[str]
 ) -> DataFrame:

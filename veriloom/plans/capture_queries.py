@@ -809,3 +809,26 @@ w AS (
   FROM w JOIN e ON e.url = w.url AND e.k = w.k + 1
 )
 SELECT url, seq, outcome, failures, CASE WHEN failures >= 3 THEN 'blocked' WHEN since IS NOT NULL THEN 'pending' ELSE 'open' END AS status FROM w WHERE k > 0"""
+
+
+@query(r"""
+WITH f AS (SELECT doc_id, regexp_replace('Intro  words ' || text, '[\s\xA0]+', ' ', 'g') AS f, regexp_replace(text, '[\s\xA0]+', ' ', 'g') AS b FROM documents WHERE text IS NOT NULL),
+l AS (SELECT *, position(left(b, 120) IN f) - 1 AS i FROM f), w AS (SELECT *, string_split(substr(f, i + 1, 400), ' ') AS w FROM l),
+c AS (SELECT *, list_transform(range(1, len(w) + 1), lambda n: trim(array_to_string(w[1:n], ' '))) AS c FROM w),
+e AS (SELECT *, list_filter(c, lambda x, k: length(x) >= 45 AND (k = 1 OR length(c[k - 1]) <= 200)) AS e FROM c)
+SELECT doc_id, CASE WHEN b <> '' AND i >= 0 THEN i END AS start, CASE WHEN b <> '' AND i >= 0 THEN i + length(b) END AS stop, CASE WHEN b <> '' AND i >= 0 THEN coalesce(list_filter(e, lambda x: length(f) - length(replace(f, x, '')) = length(x))[1], e[-1], c[-1]) END AS anchor FROM e""")
+def slice_proposals(t):
+    """Where a body lies in a text, and the words that a slice may begin with."""
+    full = F.concat(F.lit("Intro  words "), "text")
+    d = t("documents").where("text is not null").select("doc_id", T.norm(full).alias("f"), T.locate(full, "text").alias("span"))
+    return d.select("doc_id", F.col("span.start").cast("long").alias("start"), F.col("span.end").cast("long").alias("stop"), F.when(F.col("span").isNotNull(), T.grow("f", F.col("span.start"))).alias("anchor"))
+
+
+@query("""
+SELECT 'n' || n_nationkey AS slug, k AS kind, CASE WHEN k = 'main' AND n_nationkey % 3 = 0 THEN 'review/n' || n_nationkey || '-2026.txt' WHEN k = 'main' THEN 'packets/n' || n_nationkey || '-packet.txt' ELSE 'packets/n' || n_nationkey || '-packet-forms.txt' END AS path FROM nation, (SELECT unnest(['main', 'forms']) AS k)""")
+def reviewed_set(t):
+    """Packet sets in which review captures stand for main packets."""
+    s = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    n = t("nation").select("n_nationkey", s.alias("slug"))
+    f = n.select(F.explode(F.array(F.concat(F.lit("packets/"), "slug", F.lit("-packet.txt")), F.concat(F.lit("packets/"), "slug", F.lit("-packet-forms.txt")))).alias("path"))
+    return health.with_reviews(health.packet_set(f), n.where("n_nationkey % 3 = 0").select("slug", F.concat(F.lit("review/"), "slug", F.lit("-2026.txt")).alias("path")), "packets")

@@ -685,10 +685,12 @@ def surface_disagreements(t):
 
 
 @query("""
-WITH h AS (SELECT DISTINCT user_id, event_type FROM events), k AS (SELECT DISTINCT user_id FROM h), n AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS missing)
-SELECT k.user_id, n.missing FROM k CROSS JOIN n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.user_id = k.user_id AND h.event_type = n.missing)""")
+WITH h AS (SELECT DISTINCT user_id, event_id // 1000 AS part, event_type FROM events), k AS (SELECT DISTINCT user_id, part FROM h), n AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS missing)
+SELECT k.user_id, k.part, n.missing FROM k CROSS JOIN n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.user_id = k.user_id AND h.part = k.part AND h.event_type = n.missing)""")
 def surface_gaps(t):
-    return coverage.gaps(t("events"), "user_id", "event_type", ["click", "error", "purchase", "signup", "view"])
+    """Kinds that a key lacks in a stretch of the log in which it has another."""
+    e = t("events").withColumn("key", F.struct("user_id", F.floor(F.col("event_id") / 1000).alias("part")))
+    return coverage.gaps(e, "key", "event_type", ["click", "error", "purchase", "signup", "view"]).select("key.user_id", "key.part", "missing")
 
 
 @query("""
