@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import bpe, chat, decontam, langid, minhash, secretscan, substring, topk, toxicity, warc
+from veriloom.llm import bpe, chat, collocation, decontam, langid, minhash, quality, secretscan, substring, topk, toxicity, vectorcode, warc
 from veriloom.llm.shared import prepare
 from veriloom.session import scratch
 
@@ -61,9 +61,9 @@ FROM s LEFT JOIN node ON node.s = list_sort(s.s) AND len(s.s) > 0 LEFT JOIN comp
 """
 
 
-def in_fold(c: str = "doc_id"):
+def in_fold(folds: int = 5, fold: int = 0, c: str = "doc_id"):
     """Rows of the held-out fold; a null id is in none."""
-    return F.coalesce(F.crc32(F.col(c).cast("string")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(F.col(c).cast("string")) % folds == fold, F.lit(False))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,5 +199,82 @@ SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
 FROM p JOIN f USING (s)
 """
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc)}
-ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_chat_format": OP7_SQL, "op10_warc": OP10_SQL}
+
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranking = quality.fit(docs, table(spark, sf_dir, "labels").where(~in_fold(4, 2)))
+    return quality.score(docs, ranking).select("doc_id", in_fold(4, 2).alias("held_out"), "score", F.col("keep").cast("int").alias("predicted"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcode.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 6) -> str:
+    """Each round's assignment and means as tables of their own; distances and sums are whole numbers below 2**53, exact as doubles."""
+    step = """, a{i} AS MATERIALIZED (
+  SELECT v.row, v.p, arg_min(c.k, 16 * (v.xx - 2 * list_inner_product(v.x, c.c) + list_inner_product(c.c, c.c)) + c.k) AS k,
+    min(v.xx - 2 * list_inner_product(v.x, c.c) + list_inner_product(c.c, c.c)) AS d
+  FROM part v JOIN c{i} c ON c.p = v.p GROUP BY v.row, v.p
+)"""
+    move = """, m{i} AS MATERIALIZED (
+  SELECT p, k, list(m ORDER BY j) AS c FROM (
+    SELECT a.p, a.k, u.j, floor(sum(v.x[u.j]) / count(*)) AS m
+    FROM a{i} a JOIN part v ON v.row = a.row AND v.p = a.p, LATERAL (SELECT unnest(range(1, len(v.x) + 1)) AS j) u GROUP BY a.p, a.k, u.j
+  ) GROUP BY p, k
+), c{n} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN m{i} m ON m.p = c.p AND m.k = c.k
+)"""
+    sql = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, list_transform(embedding, lambda x: floor(4096 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT row, p, x, list_inner_product(x, x) AS xx FROM (SELECT row, p, e[p * (len(e) // 8) + 1 : (p + 1) * (len(e) // 8)] AS x FROM e, range(8) r(p))
+), c0 AS MATERIALIZED (
+  SELECT p, row - 1 AS k, x AS c FROM part WHERE row <= 16
+)"""
+    for i in range(rounds):
+        sql += step.format(i=i) + move.format(i=i, n=i + 1)
+    return sql + step.format(i=rounds) + f"""
+, code AS (
+  SELECT row, string_agg(printf('%02x', CAST(k AS INT)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, k)) FROM c{rounds}) AS codebooks_sha256
+FROM code JOIN e USING (row)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.mine(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH piece AS MATERIALIZED (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM piece GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, p, count(*) AS f FROM (SELECT lang, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i : i + m - 1])) AS p FROM piece, range(1, 6) r(m)) GROUP BY lang, p HAVING count(*) >= 100
+), cut AS (
+  SELECT c.lang, c.p, c.f AS a, k, l.f AS l, r.f AS r, t.n, CAST(1000 AS HUGEINT) * c.f * t.n // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1) c
+  JOIN f l ON l.lang = c.lang AND l.p = c.p[1:c.k] JOIN f r ON r.lang = c.lang AND r.p = c.p[c.k + 1:] JOIN total t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT lang, f, unnest([p[i : i + m - 1] FOR i IN range(1, len(p) - m + 2)]) AS p FROM f, range(2, 5) r(m) WHERE m < len(p)
+), kept AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best b WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.p = b.p AND i.f >= b.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_topk_search, op3_byte_bpe, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_chat_format, op8_decontaminate, op9_secret_scan, op10_warc, op11_quality, op12_vector_codes, op13_collocations)}
+ORACLE_SQL = {"op2_topk_search": OP2_SQL, "op4_minhash_near_dedup": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_chat_format": OP7_SQL, "op10_warc": OP10_SQL, "op12_vector_codes": OP12_SQL, "op13_collocations": OP13_SQL}
