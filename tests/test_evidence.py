@@ -11,7 +11,7 @@ from veriloom.functions import claims as C
 from veriloom.functions import text as T
 from veriloom.operators import coverage, fidelity, gates, history
 from veriloom.sources import packets
-from veriloom.sources.html import Node, target
+from veriloom.sources.html import target
 
 
 def one(spark, text, column):
@@ -50,9 +50,7 @@ def test_a_day_with_more_captures_than_letters(spark):
 
 
 def link(href):
-    n = Node.__new__(Node)
-    n.attrs = {"href": href} if href is not None else {}
-    return target(n)
+    return target({"href": href} if href is not None else {})
 
 
 def test_what_a_link_cites():

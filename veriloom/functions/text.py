@@ -63,12 +63,23 @@ def replace_all(c: Column, pairs: dict[str, str]) -> Column:
     return c
 
 
+def running(sizes: Column) -> Column:
+    """Sums of an array's elements before each one: 0 first. In pieces of the square root of its length, as an array that grows is copied at each step."""
+    none = F.expr("cast(array() as array<int>)")
+    fold = lambda v: F.aggregate(v, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))
+    step = lambda v: F.ceil(F.sqrt(F.size(v))).cast("int")
+    cut = lambda v: let(step(v), lambda n: F.transform(F.sequence(F.lit(1), F.size(v), n), lambda i: fold(F.slice(v, i, n))))
+    joined = lambda p: let(fold(F.transform(p, lambda x: x["at"]))["out"], lambda before: F.flatten(F.zip_with(p, before, lambda x, b: F.transform(x["out"], lambda y: y + b))))
+    return let(sizes, lambda v: F.when(F.size(v) > 0, let(cut(v), joined)).otherwise(none))
+
+
+# A run of blanks is taken whole, and only from its begin on, so that a long one inside a text is looked at once.
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"{U}^{WS}+|{WS}+$(?!\n)", "")
+    return F.regexp_replace(_col(c), f"{U}^{WS}++|(?<!{WS}){WS}++\\z", "")
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"{U}{WS}+\\z", "")
+    return F.regexp_replace(_col(c), f"{U}(?<!{WS}){WS}++\\z", "")
 
 
 def one_space(c: Column | str) -> Column:
@@ -148,7 +159,7 @@ def normalize_bullets(c: Column) -> Column:
 
 
 def strip_page_numbers(c: Column) -> Column:
-    number = r"(?i)(?U)^[\s\x1c-\x1f]*(?:page[\s\x1c-\x1f]+)?(?:[ivxlcdm]+|\d{1,4})[\s\x1c-\x1f]*(?:of[\s\x1c-\x1f]+\d{1,4})?[\s\x1c-\x1f]*$"
+    number = r"(?i)(?U)^[\s\x1c-\x1f]*+(?:page[\s\x1c-\x1f]++)?(?:[ivxlcdm]+|\d{1,4})[\s\x1c-\x1f]*+(?:of[\s\x1c-\x1f]++\d{1,4}[\s\x1c-\x1f]*+)?$"
     return F.array_join(F.filter(lines(c), lambda x: ~x.rlike(number)), "\n")
 
 
@@ -165,17 +176,26 @@ def width_of(c: Column | str) -> Column:
 
 
 def unwrap_hard_wraps(c: Column, width: Column | None = None) -> Column:
-    """Join a line to the text before it if that fills the column, ends no sentence and neither is a list item or a table row."""
+    """Join a line to the text before it if that fills the column, ends no sentence and neither is a list item or a table row.
+
+    A text that was joined fills the column ever after, so that a line joins by what it and the line before are, and either the line before is long or
+    it was joined itself. Each line is a letter by that: x (never), L (the line before is long), o (if the line before joined); an x or an o with the
+    L and what follows it are one line of the result. Linear: the letters are matched once, and lines are cut out by running sums.
+    """
     has = lambda x: x.rlike(f"{U}[^\\s\\x1c-\\x1f]")
 
-    def step(w: Column, acc: Column, line: Column) -> Column:
-        s, prev = rstrip(line), F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))
-        joins = has(prev) & has(s) & (F.length(prev) >= w) & ~prev.rlike(SENTENCE_END) & ~s.rlike(LIST_ITEM) & ~F.contains(prev, F.lit("|")) & ~F.contains(s, F.lit("|"))
-        joined = F.concat(rstrip(prev), F.lit(" "), strip(s))
-        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(s)))
+    def letter(s: Column, prev: Column, w: Column) -> Column:
+        joins = has(prev) & has(s) & ~prev.rlike(SENTENCE_END) & ~s.rlike(LIST_ITEM) & ~F.contains(prev, F.lit("|")) & ~F.contains(s, F.lit("|"))
+        return F.when(F.coalesce(joins, F.lit(False)), F.when(F.length(prev) >= w, "L").otherwise("o")).otherwise("x")
+
+    def joined(rows: Column, w: Column) -> Column:
+        letters = F.array_join(F.transform(rows, lambda s, i: letter(s, F.when(i > 0, F.get(rows, i - 1)), w)), "")
+        sizes = lambda g: F.transform(g, F.length)
+        line = lambda n, at: F.array_join(F.transform(F.slice(rows, at + 1, n), lambda x, k: F.when(k == 0, x).otherwise(strip(x))), " ")
+        return let(sizes(F.regexp_extract_all(letters, F.lit("([xo](?:L[Lo]*)?)"), F.lit(1))), lambda n: let(running(n), lambda at: F.array_join(F.zip_with(n, at, line), "\n")))
 
-    fold = lambda w: F.aggregate(lines(c), F.expr("cast(array() as array<string>)"), lambda acc, line: step(w, acc, line))
-    return F.array_join(let(width_of(c) if width is None else width, fold), "\n")
+    rows = lambda w: let(F.transform(lines(c), rstrip), lambda v: joined(v, w))
+    return let(width_of(c) if width is None else width, rows)
 
 
 def collapse_blank_runs(c: Column) -> Column:
@@ -193,7 +213,7 @@ def trim_lines(c: Column) -> Column:
 
 
 def pipe_table_cells(c: Column) -> Column:
-    return F.regexp_replace(c, f"{U}{WS}*\\|{WS}*", " | ")
+    return F.regexp_replace(c, f"{U}(?:(?<!{WS}){WS}++)?\\|{WS}*+", " | ")
 
 
 def join_wrap_hyphens(c: Column) -> Column:
@@ -332,17 +352,11 @@ def outside_quotes(c: Column | str, change: Callable[[Column], Column]) -> Colum
 def outside_quotes_html(c: Column | str, old: str, new: str) -> Column:
     """Replace a word outside tags and quotations of a page; tags are kept as they are."""
     parts = F.regexp_extract_all(_col(c), F.lit(r"(<[^>]*>|[^<]+|<)"), F.lit(1))
-    step = F.aggregate(
-        parts,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("quotes")),
-        lambda a, p: F.when(p.startswith("<"), F.struct(F.concat(a["out"], p).alias("out"), a["quotes"].alias("quotes"))).otherwise(
-            F.struct(
-                F.concat(a["out"], F.array_join(F.transform(F.split(p, '"', -1), lambda x, i: F.when((i + a["quotes"]) % 2 == 0, F.replace(x, F.lit(old), F.lit(new))).otherwise(x)), '"')).alias("out"),
-                (a["quotes"] + F.size(F.split(p, '"', -1)) - 1).alias("quotes"),
-            )
-        ),
-    )
-    return step["out"]
+    pieces = lambda p: F.split(p, '"', -1)
+    marks = lambda v: F.transform(v, lambda p: F.when(p.startswith("<"), 0).otherwise(F.size(pieces(p)) - 1))
+    spelled = lambda p, before: F.array_join(F.transform(pieces(p), lambda x, i: F.when((i + before) % 2 == 0, F.replace(x, F.lit(old), F.lit(new))).otherwise(x)), '"')
+    each = lambda v, seen: F.zip_with(v, seen, lambda p, before: F.when(p.startswith("<"), p).otherwise(spelled(p, before)))
+    return let(parts, lambda v: let(running(marks(v)), lambda seen: F.array_join(each(v, seen), "")))
 
 
 # Character entities that pages use, the ampersand last.

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from veriloom.functions import claims as C
 from veriloom.functions import dates as D
 from veriloom.functions import text as T
-from veriloom.operators import compare, coverage, fidelity, gates, history, queue
+from veriloom.operators import compare, coverage, fidelity, gates, gramindex, history, queue
 from veriloom.session import scratch, ship
 from veriloom.sources import files, html, packets
 
@@ -65,6 +65,18 @@ def unsupported_claims(t):
     return b.join(found.select("item_id").distinct(), "item_id", "left_anti").select("item_id")
 
 
+@query(r"""
+WITH t AS MATERIALIZED (SELECT doc_id, regexp_replace(text, '\s+', ' ', 'g') AS x FROM documents WHERE text IS NOT NULL),
+c AS (SELECT 'passage' AS kind, item_id AS id, regexp_replace(text, '\s+', ' ', 'g') AS x FROM benchmark UNION ALL SELECT 'document', doc_id, x FROM t)
+SELECT kind, id, count(t.doc_id) AS texts, min(t.doc_id) AS first FROM c LEFT JOIN t ON contains(t.x, c.x) GROUP BY kind, id""")
+def claims_by_rarest_gram(t):
+    """How many documents hold each passage, and each document, word for word, and the first that does: by an index of grams, nothing broadcast."""
+    docs = t("documents").where("text is not null").select("doc_id", "text")
+    claims = t("benchmark").select(F.struct(F.lit("passage").alias("kind"), F.col("item_id").cast("long").alias("id")).alias("claim"), "text")
+    claims = claims.unionByName(docs.select(F.struct(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("id")).alias("claim"), "text"))
+    return gramindex.support(claims, docs, "claim", "text", "doc_id", "text").select("claim.kind", "claim.id", "texts", "first")
+
+
 @query("""
 WITH p AS (SELECT conv_id, turn, 'It says "' || text || '" here' AS raw, text FROM conversations WHERE role = 'user'),
 e AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS body FROM conversations WHERE turn % 4 <> 2 GROUP BY conv_id)

@@ -36,10 +36,10 @@ def _structured(extractor: Column, scope: Column, content: Column, text: Column,
         if kind == "json-doc":
             return "\n\n".join(at(json.loads(text), p) for p in paths(scope))
         if kind == "next-data":
-            data = html.find(html.parse(text), "#__NEXT_DATA__")
+            data = html.text_of(html.parse(text), "#__NEXT_DATA__")
             if data is None:
                 raise ValueError("the page has no data island")
-            return "\n\n".join(at(json.loads(data.text()), p) for p in paths(scope))
+            return "\n\n".join(at(json.loads(data), p) for p in paths(scope))
         if kind == "docx":
             body = html.docx(blob, "tables" in (scope or "tables"))
             head = html.docx_headers(blob) if (scope or "").startswith("headers") else ""

@@ -25,81 +25,82 @@ PUNCTUATION = ",.;:)!?"
 # End of fixed values.
 
 
-class Node:
-    """An element; kids are elements and strings in document order."""
+OPEN, CLOSE, TEXT = 0, 1, 2
+#: Start tags that end an element which is still open, the elements that they end, and what they don't reach beyond.
+_PARAGRAPH = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split())
+_CELLS = frozenset("table td th caption html object template".split())
+_ENDS: dict[str, list[tuple[tuple[str, ...], frozenset[str]]]] = {
+    "li": [(("li",), frozenset(("ul", "ol", "table", "td", "th")))],
+    "dt": [(("dt", "dd"), frozenset(("dl", "table", "td", "th")))],
+    "dd": [(("dt", "dd"), frozenset(("dl", "table", "td", "th")))],
+    "td": [(("td", "th"), frozenset(("table",)))],
+    "th": [(("td", "th"), frozenset(("table",)))],
+    "tr": [(("tr",), frozenset(("table",))), (("td", "th"), frozenset(("table",)))],
+    "tbody": [(("tbody", "thead", "tfoot"), frozenset(("table",))), (("tr",), frozenset(("table",)))],
+    "option": [(("option",), frozenset(("select",)))],
+    "optgroup": [(("optgroup",), frozenset(("select",))), (("option",), frozenset(("select",)))],
+}
+_ENDS |= {"thead": _ENDS["tbody"], "tfoot": _ENDS["tbody"]}
+
+
+class _Reader(HTMLParser):
+    """Markup as a flat list of (OPEN, name, attributes), (CLOSE, name, None) and (TEXT, string, None), every element closed.
+
+    Comments and declarations are left out. An element that isn't closed ends where HTML says (p, li, dt, dd, td, th, tr, tbody, option), else with
+    its parent. Each tag costs a bounded number of lookups beside the elements that it ends, however many are open.
+    """
 
-    __slots__ = ("name", "attrs", "kids", "up")
-
-    def __init__(self, name: str, attrs: dict[str, str], up: Node | None):
-        self.name, self.attrs, self.up = name, attrs, up
-        self.kids: list[Node | str] = []
-
-    def text(self) -> str:
-        return "".join(k if isinstance(k, str) else k.text() for k in self.kids)
-
-    def all(self):
-        for k in self.kids:
-            if isinstance(k, Node):
-                yield k
-                yield from k.all()
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tokens: list[tuple] = []
+        self.open: list[str] = []
+        self.places: dict[str, list[int]] = {}
 
-    def fits(self, step: str) -> bool:
-        m = re.fullmatch(r"([a-zA-Z][\w-]*)?((?:[#.][\w-]+)*)", step)
-        if not m or not step:
-            raise ValueError(f"selector not understood: {step!r}")
-        marks = re.findall(r"([#.])([\w-]+)", m[2])
-        have = {"#": [self.attrs.get("id", "")], ".": self.attrs.get("class", "").split()}
-        return (not m[1] or self.name == m[1].lower()) and all(v in have[k] for k, v in marks)
+    def _place(self, name: str) -> int:
+        at = self.places.get(name)
+        return at[-1] if at else -1
 
+    def _end_at(self, place: int) -> None:
+        while len(self.open) > place:
+            name = self.open.pop()
+            self.places[name].pop()
+            self.tokens.append((CLOSE, name, None))
 
-class _Tree(HTMLParser):
-    """Builds nodes; comments and declarations are left out, an unclosed element ends with its parent."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
+    def _end_one_of(self, names, beyond: frozenset[str]) -> None:
+        place = max(self._place(n) for n in names)
+        if place >= 0 and place > max(self._place(n) for n in beyond):
+            self._end_at(place)
 
     def handle_starttag(self, tag, attrs):
-        n = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.kids.append(n)
-        if tag not in VOID:
-            self.at = n
+        for names, beyond in _ENDS.get(tag, ()):
+            self._end_one_of(names, beyond)
+        if tag in _PARAGRAPH:
+            self._end_one_of(("p",), _CELLS)
+        self.tokens.append((OPEN, tag, {k: v or "" for k, v in attrs}))
+        if tag in VOID:
+            self.tokens.append((CLOSE, tag, None))
+        else:
+            self.places.setdefault(tag, []).append(len(self.open))
+            self.open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        self.at.kids.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
+        self.tokens += [(OPEN, tag, {k: v or "" for k, v in attrs}), (CLOSE, tag, None)]
 
     def handle_endtag(self, tag):
-        n = self.at
-        while n is not None and n.name != tag:
-            n = n.up
-        if n is not None and n.up is not None:
-            self.at = n.up
+        place = self._place(tag)
+        if place >= 0:
+            self._end_at(place)
 
     def handle_data(self, data):
-        self.at.kids.append(data)
-
-
-def parse(markup: str) -> Node:
-    t = _Tree()
-    t.feed(markup)
-    t.close()
-    return t.root
+        self.tokens.append((TEXT, data, None))
 
 
-def find(root: Node, selector: str) -> Node | None:
-    """The first element under a selector of steps like main, #id, div.class, parted by blanks."""
-    steps = selector.split()
-    for n in root.all():
-        if not n.fits(steps[-1]):
-            continue
-        up, left = n.up, steps[:-1]
-        while up is not None and left:
-            if up.name and up.fits(left[-1]):
-                left = left[:-1]
-            up = up.up
-        if not left:
-            return n
-    return None
+def parse(markup: str) -> list[tuple]:
+    r = _Reader()
+    r.feed(markup)
+    r.close()
+    r._end_at(0)
+    return r.tokens
 
 
 def decode_email(code: str) -> str:
@@ -110,33 +111,88 @@ def decode_email(code: str) -> str:
     return "".join(chr(c ^ b[0]) for c in b[1:])
 
 
-def disclosed(n: Node) -> bool:
+def disclosed(attrs: dict[str, str]) -> bool:
     """A panel that is hidden only because it starts closed."""
-    return n.attrs.get("role", "").strip().lower() == "region" or bool(n.attrs.get("aria-labelledby")) or bool(DISCLOSURE.search(n.attrs.get("class", "")))
+    return attrs.get("role", "").strip().lower() == "region" or bool(attrs.get("aria-labelledby")) or bool(DISCLOSURE.search(attrs.get("class", "")))
+
 
+def unseen(name: str, attrs: dict[str, str]) -> bool:
+    """Whether no reader sees an element."""
+    hidden = "hidden" in attrs or HIDDEN.search(attrs.get("style", ""))
+    return name in DROPPED or bool(hidden and name not in ("html", "body") and not disclosed(attrs))
 
-def clean(n: Node) -> None:
-    """Drop what no reader sees, and show coded addresses."""
-    out: list[Node | str] = []
-    for k in n.kids:
-        if isinstance(k, Node):
-            hidden = "hidden" in k.attrs or HIDDEN.search(k.attrs.get("style", ""))
-            if k.name in DROPPED or (hidden and k.name not in ("html", "body") and not disclosed(k)):
+
+def seen(tokens: list[tuple]) -> list[tuple]:
+    """Tokens without what no reader sees, and with coded addresses shown."""
+    out: list[tuple] = []
+    depth = 0  # inside an element that is left out
+    for token in tokens:
+        kind, name, attrs = token
+        if depth:
+            depth += (kind == OPEN) - (kind == CLOSE)
+            continue
+        if kind == OPEN:
+            if unseen(name, attrs):
+                depth = 1
                 continue
-            if "data-cfemail" in k.attrs:
+            if "data-cfemail" in attrs:
                 try:
-                    out.append(decode_email(k.attrs["data-cfemail"]))
+                    out.append((TEXT, decode_email(attrs["data-cfemail"]), None))
+                    depth = 1
                     continue
                 except ValueError:
                     pass
-            clean(k)
-        out.append(k)
-    n.kids = out
+        out.append(token)
+    return out
+
+
+def closes(tokens: list[tuple]) -> list[int]:
+    """For each OPEN the place of its CLOSE."""
+    out, stack = [0] * len(tokens), []
+    for i, (kind, _, _) in enumerate(tokens):
+        if kind == OPEN:
+            stack.append(i)
+        elif kind == CLOSE:
+            out[stack.pop()] = i
+    return out
+
+
+def _step(step: str):
+    m = re.fullmatch(r"([a-zA-Z][\w-]*)?((?:[#.][\w-]+)*)", step)
+    if not m or not step:
+        raise ValueError(f"selector not understood: {step!r}")
+    tag, marks = (m[1] or "").lower(), re.findall(r"([#.])([\w-]+)", m[2])
+
+    def fits(name: str, attrs: dict[str, str]) -> bool:
+        return (not tag or name == tag) and all(v == attrs.get("id", "") if k == "#" else v in attrs.get("class", "").split() for k, v in marks)
+
+    return fits
+
+
+def find(tokens: list[tuple], selector: str) -> int | None:
+    """The place of the first element under a selector of steps like main, #id, div.class, parted by blanks."""
+    *steps, last = [_step(s) for s in selector.split()]
+    met = [0]  # how many steps the open elements have met, in order
+    for i, (kind, name, attrs) in enumerate(tokens):
+        if kind == OPEN:
+            n = met[-1]
+            if n == len(steps) and last(name, attrs):
+                return i
+            met.append(n + 1 if n < len(steps) and steps[n](name, attrs) else n)
+        elif kind == CLOSE:
+            met.pop()
+    return None
 
 
-def target(a: Node) -> str | None:
+def text_of(tokens: list[tuple], selector: str) -> str | None:
+    """All strings of the first element under a selector, as they are; None if there is none."""
+    at = find(tokens, selector)
+    return None if at is None else "".join(value for kind, value, _ in tokens[at : closes(tokens)[at]] if kind == TEXT)
+
+
+def target(attrs: dict[str, str]) -> str | None:
     """What a link cites: a web address as it is, a mail address alone; other schemes and relative links cite nothing."""
-    address = a.attrs.get("href", "").strip()
+    address = attrs.get("href", "").strip()
     scheme, colon, rest = address.partition(":")
     if not colon:
         return None
@@ -145,97 +201,86 @@ def target(a: Node) -> str | None:
     return address if scheme in ("http", "https") and rest.startswith("//") else None
 
 
-def spaced(n: Node) -> str:
-    """An element's strings, trimmed and joined by one space."""
-    parts: list[str] = []
-
-    def walk(x: Node) -> None:
-        for k in x.kids:
-            walk(k) if isinstance(k, Node) else parts.append(k)
-
-    walk(n)
-    return " ".join(" ".join(parts).split())
-
-
-def cell(n: Node, links: bool = False) -> str:
-    """A table cell's text, with targets of its links that the text doesn't show already."""
-    text = spaced(n)
-    extra: list[str] = []
-    for a in n.all() if links else ():
-        to = target(a) if a.name == "a" else None
-        seen = spaced(a).casefold()
-        if to is None or (seen and seen.rstrip("/") == to.casefold().rstrip("/")) or f"<{to}>" in extra:
-            continue
-        extra.append(f"<{to}>")
-    return " ".join([text, *extra]).strip() if extra else text
-
-
-def trim_icons(n: Node) -> None:
-    """No blank between a text and punctuation where only an empty element (an icon) stands between."""
-    flat: list[tuple[Node, int, Node | str]] = []
-
-    def walk(x: Node) -> None:
-        for i, k in enumerate(x.kids):
-            flat.append((x, i, k))
-            if isinstance(k, Node):
-                walk(k)
-
-    walk(n)
-    for at, (_, _, k) in enumerate(flat):
-        if not isinstance(k, str) or not k or k[0] not in PUNCTUATION:
-            continue
-        icon, blanks = False, []
-        for up, i, prev in reversed(flat[:at]):
-            if isinstance(prev, Node):
-                if prev.name in ICON_STOP:
-                    break
-                icon |= not prev.text()
-                continue
-            prev = up.kids[i]
-            if not prev.strip():
-                blanks.append((up, i))
-                continue
-            if icon:
-                for u, j in blanks:
-                    u.kids[j] = ""
-                up.kids[i] = prev.rstrip()
-            break
+def cell(tokens: list[tuple], links: bool) -> str:
+    """A table cell's strings, trimmed and joined by one space; then the targets of its links that their own text doesn't show, each once.
+
+    One pass: a link's text is what was collected between its ends.
+    """
+    words: list[str] = []
+    opened: list[tuple[str, dict, int]] = []
+    cited: list[tuple[str, str]] = []  # target and text of each link, in order of its begin
+    for kind, value, attrs in tokens:
+        if kind == TEXT:
+            words += value.split()
+        elif kind == OPEN:
+            opened.append((value, attrs, len(words)))
+            if links and value == "a":
+                opened[-1] = (value, {"at": len(cited)}, len(words))
+                cited.append((target(attrs) or "", ""))
+        else:
+            name, attrs, start = opened.pop()
+            if links and name == "a":
+                cited[attrs["at"]] = (cited[attrs["at"]][0], " ".join(words[start:]))
+    plain = lambda x: x.casefold().rstrip("/")
+    shown = dict.fromkeys(to for to, said in cited if to and not (said and plain(said) == plain(to)))
+    return " ".join([*words, *(f"<{to}>" for to in shown)])
+
+
+def trim_icons(tokens: list[tuple]) -> None:
+    """No blank between a text and punctuation where only an empty element (an icon) stands between. In one pass from the front."""
+    end = closes(tokens)
+    chars = [0]
+    for kind, value, _ in tokens:
+        chars.append(chars[-1] + (len(value) if kind == TEXT else 0))
+    text, blanks, icon = None, [], False  # the last text, the blank ones after it, and whether an empty element stands after it
+    for i, (kind, value, _) in enumerate(tokens):
+        if kind == OPEN:
+            if value in ICON_STOP:
+                text, blanks, icon = None, [], False
+            elif chars[end[i]] == chars[i]:
+                icon = True
+        elif kind == TEXT and value.strip():
+            if value[0] in PUNCTUATION and icon and text is not None:
+                for j in blanks:
+                    tokens[j] = (TEXT, "", None)
+                tokens[text] = (TEXT, tokens[text][1].rstrip(), None)
+            text, blanks, icon = i, [], False
+        elif kind == TEXT:
+            blanks.append(i)
 
 
 def page_text(markup: str, scope: str = "body", icon_space: bool = False, sr_only: bool = False, links: bool = False) -> str:
     """Visible text under a selector: blocks on their own lines, table rows as cells between pipes. A selector without match fails."""
-    root = parse(markup)
-    clean(root)
-    node = find(root, scope)
-    if node is None:
+    tokens = seen(parse(markup))
+    at = find(tokens, scope)
+    if at is None:
         raise ValueError(f"scope matched nothing: {scope!r}")
-    out: list[str] = []
-
-    def walk(n: Node) -> None:
-        for k in n.kids:
-            if isinstance(k, str):
-                out.append(k)
-            elif sr_only and SR_ONLY & set(k.attrs.get("class", "").split()):
-                continue
-            elif k.name == "tr":
-                out.append("\n" + " | ".join(cell(c, links) for c in k.all() if c.name in ("td", "th")) + "\n")
-            else:
-                edge = "\n" if k.name in BLOCK else ""
-                out.append(edge)
-                walk(k)
-                out.append(edge)
-
+    tokens = tokens[at : closes(tokens)[at] + 1]
     if icon_space:
-        trim_icons(node)
-    edge = "\n" if node.name in BLOCK else ""
-    out.append(edge)
-    walk(node)
-    out.append(edge)
+        inner = tokens[1:-1]
+        trim_icons(inner)
+        tokens[1:-1] = inner
+    end = closes(tokens)
+    out: list[str] = []
+    i = 0
+    while i < len(tokens):
+        kind, value, attrs = tokens[i]
+        if kind == TEXT:
+            out.append(value)
+        elif kind == OPEN and i and sr_only and SR_ONLY & set(attrs.get("class", "").split()):
+            i = end[i]
+        elif kind == OPEN and i and value == "tr":
+            cells = (j for j in range(i + 1, end[i]) if tokens[j][0] == OPEN and tokens[j][1] in ("td", "th"))
+            out.append("\n" + " | ".join(cell(tokens[j + 1 : end[j]], links) for j in cells) + "\n")
+            i = end[i]
+        elif value in BLOCK:
+            out.append("\n")
+        i += 1
     return re.sub(r"[ \t]+", " ", "".join(out))
 
 
 def html_text(c: Column, scope: str = "body", **options) -> Column:
-    """page_text of a column; null stays null."""
+    """page_text of a column; null stays null, and a page that the scope doesn't match fails the query."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
@@ -244,6 +289,22 @@ def html_text(c: Column, scope: str = "body", **options) -> Column:
     return run(c)
 
 
+def html_text_or_error(c: Column, scope: str = "body", **options) -> Column:
+    """struct(text, error) of a column: a page that can't be read has an error and loses no other. Both are null where the page is."""
+
+    def one(x: str | None) -> dict:
+        try:
+            return {"text": None if x is None else page_text(x, scope, **options), "error": None}
+        except ValueError as e:
+            return {"text": None, "error": str(e)}
+
+    @F.pandas_udf("text string, error string")
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(x) for x in s], columns=["text", "error"])
+
+    return run(c)
+
+
 def visible_text(c: Column) -> Column:
     """Text of a page by expressions alone: scripts, styles, comments and tags as line ends or blanks. No nesting is understood."""
     bare = F.regexp_replace(c, r"(?is)<(script|style|noscript|svg)\b.*?</\1\s*>|<!--.*?-->", "")
