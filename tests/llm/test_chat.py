@@ -47,3 +47,22 @@ def test_long_text_is_whole(spark):
     x = "é<|" * 100_000
     got = back(spark, [(1, 0, "user", "q", ""), (1, 1, "assistant", x, "")])
     assert hashlib.sha256(got[1]["loss_text"].encode()).digest() == hashlib.sha256(x.encode()).digest()
+
+
+def test_fifty_thousand_turns(spark):
+    import time
+
+    rows = [(1, i, "assistant" if i % 2 else "user", f"text {i} <|", "") for i in range(50_000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4).persist()
+    df.count()
+    began = time.time()
+    r = chat.read_back(chat.render(chat.segments(df))).first()
+    assert time.time() - began < 30
+    assert [t["text"] for t in r["turns"]] == [x[3] for x in rows] and r["loss_text"] == "".join(x[3] for x in rows if x[1] % 2) and r["valid"]
+    df.unpersist()
+
+
+def test_loss_mask_of_empty_and_like_texts(spark):
+    rows = [(1, 0, "user", "", ""), (1, 1, "assistant", "", ""), (1, 2, "user", "x", ""), (1, 3, "assistant", "x", ""), (1, 4, "user", "", ""), (1, 5, "assistant", "y<|", "")]
+    assert back(spark, rows)[1]["loss_text"] == "xy<|"
+    assert back(spark, [(2, 0, "user", "only asked", "")])[2]["loss_text"] == ""

@@ -84,10 +84,12 @@ def plain(rows, model, share, strength=8.0, weight=0.25):
     out = {}
     for k, h, d, t in rows:
         x = list(t)
-        prior = smooth(hosts[h], smooth(sites[".".join(h.split(".")[-2:])], suffixes[h.split(".")[-1]])) if h else corpus
-        told = smooth(declared[d], corpus) if d else corpus
+        others = lambda c: [max(0.0, a - b) for a, b in zip(c, soft[k])]  # noqa: B023, E731
+        prior = smooth(others(hosts[h]), smooth(sites[".".join(h.split(".")[-2:])], suffixes[h.split(".")[-1]])) if h else corpus
+        told = smooth(others(declared[d]), corpus) if d else corpus
+        own = weight * strength / (strength + sum(1 for _, host, _, _ in rows if host == h) - 1)
         for i in n:
-            x[i] += log(prior[i]) + log(told[i]) - log(corpus[i]) + (weight * (log(suffixes[h.split(".")[-1]][i]) - log(corpus[i])) if h else 0)
+            x[i] += log(prior[i]) + log(told[i]) - log(corpus[i]) + (own * (log(suffixes[h.split(".")[-1]][i]) - log(corpus[i])) if h else 0)
         out[k] = posterior(x)
     return out
 
@@ -118,3 +120,33 @@ def test_held_out_texts_and_long_ones(spark):
     rows = [(i, f"s{i % 7}", text(rng, langs[i % 3], 12)) for i in range(300)] + [(900, "s", text(rng, "de", 200_000))]
     got = {r.doc_id: r.lang for r in langid.detect(langid.of_documents(spark.createDataFrame(rows, "doc_id long, source string, text string")), m, ["doc_id"]).collect()}
     assert sum(got[i] == langs[i % 3] for i in range(300)) >= 297 and got[900] == "de"
+
+
+def test_hosts_of_one_page_lean_on_their_parents(spark):
+    rng = random.Random(11)
+    m = model(spark)
+    rows = [(i, f"http://h{i}.org{i % 2}.de/", page("", text(rng, "de"))) for i in range(60)] + [(i, f"http://h{i}.x.fr/", page("", text(rng, "fr"))) for i in range(60, 120)]
+    rows += [(500, "http://alone.new.de/", "<p>1</p>"), (501, "http://alone.new.fr/", "<p>1</p>")]
+    got = {r.page_id: r for r in langid.detect(langid.of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")), m, ["page_id"]).collect()}
+    assert got[500].lang == "de" and got[501].lang == "fr" and got[500].confidence > 0.6
+
+
+def test_markup_of_open_marks_is_linear():
+    import re
+    import time
+
+    rng = random.Random(3)
+    plain_drop = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    for _ in range(400):
+        x = "".join(rng.choice(["<!--", "-->", "<script>", "</script >", "<style x", "</STYLE>", "<b>", "<", ">", "a ", "\n"]) for _ in range(rng.randrange(14)))
+        assert langid.visible(x) == plain_drop.sub(" ", x), x
+    for part in ("<!--", "<script", "<style>", "<", "</script", "<html", "<body lang"):
+        began = time.time()
+        langid.visible(part * 250_000)
+        langid.declared(part * 250_000)
+        assert time.time() - began < 5, part
+
+
+def test_declarations():
+    said = {'<html lang="fr">': "fr", '<html data-lang="fr" lang="de">': "de", '<html data-lang="fr">': None, '<HTML xml:lang=EN-us>': "en", '<p lang="fr">': None, '<html><body class=x lang=es>': "es", '<html lang="fr"': "fr", "": None, '<html hreflang="fr">': None}
+    assert {k: langid.declared(k) for k in said} == said

@@ -72,3 +72,42 @@ def test_a_known_bound_ends_walks_at_once():
     for r in range(2):
         s = np.concatenate([near, far]) @ g.q[r]
         assert g.best[r][0].tolist() == np.lexsort((np.arange(6000), -s))[:5].tolist()
+
+
+def test_every_query_of_the_given_tables_is_answered_by_walks():
+    import os
+
+    import numpy as np
+    import pyarrow.parquet as pq
+    import pytest
+
+    for sf in ("sf0.01", "sf0.1"):
+        path = f"/root/testdata/{sf}/embeddings.parquet"
+        if not os.path.exists(path):
+            pytest.skip("no tables here")
+        t = pq.read_table(path).sort_by("vec_id")
+        ids = t["vec_id"].to_numpy()
+        x = np.floor(np.array(t["embedding"].to_pylist(), np.float64) * 64)
+        mine = ids % 20 == 0
+        g = topk.Group(ids[mine], x[mine], [None] * int(mine.sum()), 20)
+        g.meet(ids, x)
+        assert len(g.depths) == mine.sum() and g.stopped > 0  # one walk a query, some of them ended by their bounds
+        for r, i in enumerate(ids[mine]):
+            s = x @ x[mine][r]
+            order = [j for j in np.lexsort((ids, -s)) if ids[j] != i][:20]
+            assert g.best[r][0].tolist() == ids[order].tolist() and g.best[r][1].tolist() == s[order].tolist()
+
+
+def test_walks_in_step_end_one_by_one():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = np.floor(rng.normal(0, 30, (6000, 5)) * np.array([1, 1, 8, 1, 1]))
+    q = np.floor(rng.normal(0, 30, (40, 5)))
+    q[0], q[1] = 0, [0, 0, 90, 0, 0]
+    g = topk.Group(np.arange(-40, 0), q, [None] * 40, 7)
+    g.meet(np.arange(6000), x)
+    assert len(g.depths) == 40 and g.stopped >= 38 and len(set(g.depths)) > 2 and min(g.depths) < 100
+    for r in range(40):
+        s = x @ q[r]
+        assert g.best[r][0].tolist() == np.lexsort((np.arange(6000), -s))[:7].tolist()

@@ -91,3 +91,20 @@ def test_training_equals_plain_loops():
                 w[i] -= s.rate * dw[i] / np.sqrt(gw[i])
                 v[i] -= s.rate * dv[i] / np.sqrt(gv[i])
     assert abs(m.w0 - w0) < 1e-9 and np.allclose(m.w, w, atol=1e-9) and np.allclose(m.v, v, atol=1e-9)
+
+
+def test_terms_that_are_neutral_alone_are_kept_for_their_pairs(spark):
+    import random
+
+    rng = random.Random(13)
+    noise = lambda: " ".join(f"n{rng.randrange(40)}" for _ in range(6))
+    rows = []
+    for i in range(1600):
+        a, b = i % 2, i // 2 % 2
+        rows.append((i, f"{'alpha' if a else 'gamma'} {noise()} {'bravo' if b else 'delta'}", int(a == b)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 5], "doc_id long, toxic int")
+    machine = tx.fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in tx.score(docs, machine).collect()}
+    held = [(got[i] >= 0.5) == (y == 1) for i, _, y in rows if i % 5 == 0]
+    assert sum(held) >= 0.95 * len(held)

@@ -87,13 +87,31 @@ def test_salvage_recovers_records_inside_a_gzip_member():
     assert ids == [*range(400), 901] and len(gaps) == 1
 
 
-def test_a_member_is_inflated_within_a_bound():
-    whole = gzip.compress(b"".join(record(i, b"x" * 1000) for i in range(300)))
-    out = list(warc.salvage(whole + record(700), most=100_000))
-    ids = [int(r["warc-record-id"][5:-1]) for _, _, r, _ in out if r]
-    assert ids[-1] == 700 and ids[:-1] == list(range(len(ids) - 1)) and 60 < len(ids) < 100
-    assert any(w and w.startswith("gzip member of more than 100000 bytes") for *_, w in out)
-    assert found(gzip.compress(b"0" * (1 << 20)))[0] == []
+def test_members_of_any_size_stream_by(monkeypatch):
+    import tracemalloc
+
+    body = bytes(range(256)) * 40
+    n = 12_000
+    z = gzip.compress(b"".join(record(i, body) for i in range(n)), 1)  # 125 MB of content
+    data = z + record(n)
+    tracemalloc.start()
+    ids = [int(r["warc-record-id"][5:-1]) for _, _, r, why in warc.salvage(data) if not why]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == list(range(n + 1)) and peak < 30 << 20
+
+
+def test_streamed_members_salvage_as_kept_ones(monkeypatch):
+    a, b, c = record(1, b"x" * 5000), record(2, b"text" * 1000), record(3, b"y" * 70_000)
+    lies = b"WARC/1.1\r\nContent-Length: 90000\r\n\r\n"
+    inner = a + b.replace(b"text", b"tExt", 1) + c + lies + b"junk" * 300 + record(4) + b"z" * 100_000 + record(5) + b"WARC/1.1\r\nContent-Length: 999999999\r\n\r\n" + record(6) + b"WARC/1.1\r\nnever"
+    noise = b"".join(record(i, hashlib.sha512(b"%d" % i).hexdigest().encode() * 9) for i in range(10, 400))
+    cases = [gzip.compress(inner), gzip.compress(inner + noise)[:-6] + record(9), gzip.compress(noise)[:20_000] + gzip.compress(a), gzip.compress(b"0" * (1 << 20)), gzip.compress(a)[:-3] + b]
+    want = [found(x) for x in cases]
+    assert want[0][0] == [1, 3, 4, 5, 6]
+    monkeypatch.setattr(warc, "KEPT", 1000)
+    monkeypatch.setattr(warc, "LARGE", 2000)
+    assert [found(x) for x in cases] == want
 
 
 def test_a_huge_payload_leaves_the_files_of_small_ones(spark, tmp_path, monkeypatch):

@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veriloom.functions.text import let, running
+
 
 @dataclass(frozen=True)
 class Template:
@@ -110,30 +112,28 @@ def segments(conversations: DataFrame, template: Template = CHATML) -> DataFrame
 
 def render(formatted: DataFrame) -> DataFrame:
     """Add formatted (the segments' texts joined) and loss_spans (array<struct<start, end>>, code points, end exclusive)."""
-    spans = F.aggregate(
-        "segments",
-        F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("out")),
-        lambda a, s: F.struct(
-            (a["at"] + F.length(s["text"])).alias("at"),
-            F.when(
-                s["loss"], F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), (a["at"] + F.length(s["text"])).alias("end"))))
-            ).otherwise(a["out"]).alias("out"),
-        ),
-    )["out"]
+    span = lambda s, at: F.when(s["loss"], F.struct(at.cast("long").alias("start"), (at + F.length(s["text"])).cast("long").alias("end")))
+    spans = let(running(F.transform("segments", lambda s: F.length(s["text"]))), lambda at: F.filter(F.zip_with("segments", at, span), lambda x: x.isNotNull()))
     return formatted.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), "")).withColumn("loss_spans", spans)
 
 
 def read_back(rendered: DataFrame, template: Template = CHATML) -> DataFrame:
-    """(conv_id, turns array<struct<role, text>>, loss_text) read from formatted and loss_spans alone."""
+    """(conv_id, turns array<struct<role, text>>, loss_text) read from formatted and loss_spans alone.
+
+    A span of the mask is a turn's text: places of texts and spans are sorted together, so that each text finds its span beside it. Work
+    grows with the text and with n log n of n turns.
+    """
     cut = F.slice(F.split("formatted", "\\Q" + template.open + "\\E"), 2, 1 << 30)
-    turns = F.transform(
-        cut,
-        lambda p: F.struct(
-            unescape_role(F.substring_index(p, "\n", 1)).alias("role"),
-            unescape(
-                F.substring(p, F.instr(p, "\n") + 1, F.length(p) - F.instr(p, "\n") - len(template.close) - 1)
-            ).alias("text"),
-        ),
-    )
-    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    role = lambda p: F.substring_index(p, "\n", 1)
+    said = lambda p: F.substring(p, F.instr(p, "\n") + 1, F.length(p) - F.instr(p, "\n") - len(template.close) - 1)
+    turns = F.transform(cut, lambda p: F.struct(unescape_role(role(p)).alias("role"), unescape(said(p)).alias("text")))
+
+    # A turn begins with its mark, so that the first one's text is at the mark's and its role's length and a line end.
+    place = lambda p, at: F.struct((at + len(template.open) + F.length(role(p)) + 1).cast("long").alias("start"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("end"), said(p).alias("text"))
+    sizes = lambda v: running(F.transform(v, lambda p: F.length(p) + len(template.open)))
+    texts = let(cut, lambda v: let(sizes(v), lambda at: F.zip_with(v, at, place)))
+    spans = F.transform("loss_spans", lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("kind"), s["end"].alias("end"), F.lit(None).cast("string").alias("text")))
+    covers = lambda s, x: (s["kind"] == 0) & (s["start"] == x["start"]) & (s["end"] == x["start"] + F.length(x["text"]))
+    under = lambda v: F.transform(v, lambda x, i: F.when((x["kind"] == 1) & (i > 0) & covers(F.get(v, i - 1), x), unescape(x["text"])))
+    loss = let(F.array_sort(F.concat(spans, texts)), lambda v: F.array_join(under(v), ""))
     return rendered.select("conv_id", "valid", "bad_turn", "formatted", turns.alias("turns"), loss.alias("loss_text"))

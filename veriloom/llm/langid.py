@@ -33,6 +33,8 @@ BITS = 15
 EVIDENCE = 60.0
 #: Languages that a model may have; each has 2**BITS counts.
 MOST_LANGUAGES = 256
+#: How much an address suffix counts by itself, beside the prior, on a host of which nothing else is known.
+SUFFIX = 0.25
 U = np.uint64
 
 
@@ -95,16 +97,60 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     return Model(languages, logp, np.log(share))
 
 
-_DROP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"""(?i)<(?:html|body)\b[^>]*?\b(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})\b""")
+_RAW = re.compile(r"(?i)<(script|style)\b")
+_RAW_ENDS = {k: re.compile(rf"(?i)</{k}\s*>") for k in ("script", "style")}
+_ROOT = re.compile(r"(?i)<(?:html|body)\b")
+_DECLARED = re.compile(r"""(?i)(?<![\w:.-])(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})\b""")
 
 
 def visible(markup: str) -> str:
-    """Text of a page without tags, scripts, styles and comments."""
-    t = _DROP.sub(" ", markup)
+    """Text of a page without tags, scripts, styles and comments, each one blank.
+
+    One scan forward: an end mark that was looked for and isn't there isn't looked for again, so that a page of nothing but open marks takes
+    no longer than another. What has no end is text: an open comment or script is a tag if it has a ">", else its "<" stands for itself.
+    """
+    out: list[str] = []
+    at, absent = 0, set()
+
+    def end_of(mark: str, start: int) -> int:
+        """The place after the next end mark, or -1."""
+        if mark in absent:
+            return -1
+        m = _RAW_ENDS[mark].search(markup, start) if mark in _RAW_ENDS else None
+        k = (m.end() if m else -1) if mark in _RAW_ENDS else markup.find(mark, start)
+        if k < 0:
+            absent.add(mark)
+            return -1
+        return k if m else k + len(mark)
+
+    while (i := markup.find("<", at)) >= 0:
+        out.append(markup[at:i])
+        end = -1
+        if markup.startswith("<!--", i):
+            end = end_of("-->", i + 4)
+        elif m := _RAW.match(markup, i):
+            end = end_of(m[1].lower(), m.end())
+        if end < 0:
+            end = end_of(">", i + 1)
+        out.append(" " if end >= 0 else "<")
+        at = end if end >= 0 else i + 1
+    out.append(markup[at:])
+    t = "".join(out)
     return html_.unescape(t) if "&" in t else t
 
 
+def declared(markup: str) -> str | None:
+    """The language that a page's html or body tag declares by lang or xml:lang, lower-cased: the first that does."""
+    at = 0
+    while m := _ROOT.search(markup, at):
+        end = markup.find(">", m.end())
+        end = len(markup) if end < 0 else end
+        if d := _DECLARED.search(markup, m.end(), end):
+            return d[1].lower()
+        at = end
+    return None
+
+
 def evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """rows(keys..., host, body, is_markup) -> (keys..., host, declared, text array<double>): log-likelihoods of the text by language.
 
@@ -118,12 +164,11 @@ def evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            declared: list[str | None] = []
+            said: list[str | None] = []
             texts = []
             for x, markup in zip(b.column(n_keys + 1), b.column(n_keys + 2).to_pylist(), strict=True):
                 x = x.as_py() or ""
-                d = _DECLARED.search(x) if markup else None
-                declared.append(d[1].lower() if d else None)
+                said.append(declared(x) if markup else None)
                 texts.append(visible(x) if markup else x)
             out = np.zeros((b.num_rows, len(m.languages)))
             for row, n, offsets, data in textkit.slices(pa.array(texts, pa.large_string())):
@@ -138,7 +183,7 @@ def evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
                     out[row : row + n, i] = np.bincount(of, m.logp[i][k], n) * scale
             flat = pa.array(out.ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.__len__() + 1, max(1, len(m.languages)), dtype=np.int32)) if len(m.languages) else pa.array(np.zeros(b.num_rows + 1, np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([*b.columns[: n_keys + 1], pa.array(declared, pa.string()), lists], names=[*keys, "host", "declared", "text"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: n_keys + 1], pa.array(said, pa.string()), lists], names=[*keys, "host", "declared", "text"])
 
     return src.mapInArrow(run, schema)
 
@@ -201,22 +246,21 @@ def identify(seen: DataFrame, model: Model, keys: list[str], strength: float = 8
     sites = cut(above("site"), "sites")
     placed = join_spread(by_host, suffixes, ["suffix"], "hosts").drop("hosts")
     placed = join_spread(placed, sites, ["site"], "hosts")
-    hosts = cut(placed.select("host", smoothed(F.col("counts"), smoothed(F.col("more"), F.col("by_suffix"))).alias("prior"), "by_suffix", "rows"), "priors")
-    # P(declared | language) from counts of language given what is declared: Bayes' rule up to a factor of the row.
-    said = cut(
-        _counts(small, F.col("declared"), "declared", n).select(
-            "declared", F.zip_with(smoothed(F.col("counts"), top), top, lambda a, b: F.log(a) - F.log(b)).alias("told"), F.col("rows").alias("declaring")
-        ),
-        "declared",
-    )
+    hosts = cut(placed.select("host", "counts", smoothed(F.col("more"), F.col("by_suffix")).alias("parent"), "by_suffix", "rows"), "priors")
+    said = cut(_counts(small, F.col("declared"), "declared", n).select("declared", F.col("counts").alias("told"), F.col("rows").alias("declaring")), "declared")
     zero = F.array(*[F.lit(0.0)] * n)
     logs = lambda a: F.transform(a, lambda x: F.log(x))
-    fused = join_spread(join_spread(own, hosts, ["host"], "rows", "left"), said, ["declared"], "declaring", "left")
-    # P(suffix | language) / P(suffix) is by_suffix / corpus; the host prior has it already through its parents,
-    # so that the suffix counts by itself only for rows whose host gives little.
-    weight = F.lit(0.25)
-    suffix = F.zip_with("by_suffix", top, lambda a, b: weight * (F.log(a) - F.log(b)))
-    parts = ["text", F.coalesce(logs(F.col("prior")), logs(top)), F.coalesce("told", zero), F.coalesce(suffix, zero)]
+    fused = join_spread(join_spread(own, hosts, ["host"], "rows", "left").withColumnRenamed("rows", "of_host"), said, ["declared"], "declaring", "left")
+    # A row is no evidence for itself: its own posterior is left out of its host's counts and of its declaration's.
+    others = lambda c: F.zip_with(c, "p", lambda a, b: F.greatest(a - b, F.lit(0.0)))
+    prior = F.when(F.col("counts").isNotNull(), smoothed(others("counts"), F.col("parent"))).otherwise(top)
+    # P(declared | language) from counts of language given what is declared: Bayes' rule up to a factor of the row.
+    told = F.when(F.col("told").isNotNull(), F.zip_with(smoothed(others("told"), top), top, lambda a, b: F.log(a) - F.log(b))).otherwise(zero)
+    # P(suffix | language) / P(suffix) is by_suffix / corpus. The host prior has it through its parents already, the less so the more rows the host has
+    # (smoothed() gives the parents strength / (strength + rows)), so that the suffix counts by itself by what is left of SUFFIX.
+    weight = SUFFIX * strength / (strength + F.col("of_host") - 1)
+    suffix = F.when(F.col("by_suffix").isNotNull(), F.zip_with("by_suffix", top, lambda a, b: weight * (F.log(a) - F.log(b)))).otherwise(zero)
+    parts = ["text", logs(prior), told, suffix]
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
     log = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), cols)
     best = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))

@@ -2,12 +2,12 @@
 
 Candidates are hashed into streams and queries into groups; every group meets every stream in one task,
 which holds the group's queries and one block of candidates at a time, so that memory is bounded
-however many there are. A block has, for each dimension, the list of its vectors sorted by that component. A
-query walks all lists at once, from the end that its component's sign prefers, scores each vector when first
-seen, and stops as soon as the bound (the sum over dimensions of query component times the list's current
-value) is below its k-th best score. That score is carried from block to block, and from a first stream to all
-others, so that later walks end sooner or don't begin. A walk whose lists hold out until as many
-entries were met as the block has vectors is finished as one matrix product.
+however many there are. A block has, for each dimension, the list of its vectors sorted by that component. The group's
+queries walk all lists at once, step by step, from the ends that their components' signs prefer; a vector is scored for all queries
+that still walk when it is first met in any list. A query stops as soon as its bound (the sum over dimensions of query component times the
+next value of the list, the most that an unseen vector can score) is below its k-th best score. That score is carried from block to block, and
+from a first stream to all others, so that later walks end sooner or don't begin. No vector is scored twice for a query, so that a walk which
+meets the whole block costs what a scan does.
 """
 
 from __future__ import annotations
@@ -96,10 +96,12 @@ class Group:
     def __init__(self, ids: np.ndarray, q: np.ndarray, floor: list, k: int):
         self.ids, self.q, self.floor, self.k = ids, q, floor, k
         self.best = [(np.zeros(0, np.int64), np.zeros(0, q.dtype)) for _ in ids]
-        self.depths: list[int] = []
+        self.depths: list[int] = []  # how deep each walk went, and how many walks their bound ended
+        self.stopped = 0
 
-    def least(self) -> np.ndarray:
-        out = [_least(s, self.k, f) for (_, s), f in zip(self.best, self.floor, strict=True)]
+    def least(self, rows: np.ndarray | None = None) -> np.ndarray:
+        rows = range(len(self.ids)) if rows is None else rows.tolist()
+        out = [_least(self.best[r][1], self.k, self.floor[r]) for r in rows]
         return np.array([-np.inf if x is None else x for x in out], float)
 
     def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
@@ -116,45 +118,66 @@ class Group:
             for r in range(len(self.ids)):
                 self._walk(lists, r)
             return
-        lists, n = Lists(ids, x), len(ids)
-        least = self.least()
-        alive = np.flatnonzero(lists.bound(self.q, 0) >= least)
-        deep = lists.bound(self.q[alive], min(n - 1, n // max(1, width))) >= least[alive]
-        for r in alive[~deep].tolist():
-            self._walk(lists, r)
-        rows = alive[deep]
-        some = max(1, (1 << 22) // n)
-        for lo in range(0, len(rows), some):
-            self._all(lists, rows[lo : lo + some], least)
+        lists = Lists(ids, x)
+        self._walk_all(lists, np.flatnonzero(lists.bound(self.q, 0) >= self.least()))
 
     def _walk(self, lists: Lists, r: int) -> None:
         ids, scores, depth = lists.search(self.ids[r], self.q[r], self.k, 16, *self.best[r], self.floor[r])
         self.best[r] = ids, scores
-        self.depths.append(depth)
-
-    def _all(self, lists: Lists, rows: np.ndarray, least: np.ndarray) -> None:
-        """The ends of walks that see the whole block."""
-        s = self.q[rows] @ lists.x.T
-        n = s.shape[1]
-        at = np.searchsorted(lists.ids, self.ids[rows])
+        self._ended(np.array([depth]), depth < len(lists.ids))
+
+    def _walk_all(self, lists: Lists, rows: np.ndarray, step: int = 16) -> None:
+        """The walks of some queries, in step: each ends where its bound falls below its k-th best score, or with the block."""
+        n = len(lists.ids)
+        seen, done = np.zeros(n, bool), 0
+        while len(rows):
+            depth = min(n, done + step)
+            step *= 2
+            q = self.q[rows]
+            still = (q == 0).all(1).any()  # a query of zeros has no list of its own and scores all alike
+            down, rise = (q > 0).any(0) | still, (q < 0).any(0) | still
+            fresh = np.zeros(n, bool)
+            fresh[lists.order[down, n - depth : n - done].ravel()] = True
+            fresh[lists.order[rise, done:depth].ravel()] = True
+            new = np.flatnonzero(fresh & ~seen)
+            seen[new] = True
+            some = max(1, (1 << 22) // max(1, len(new)))
+            for lo in range(0, len(rows) if len(new) else 0, some):
+                self._score(lists, rows[lo : lo + some], new)
+            done = depth
+            if done == n or seen.all():
+                self._ended(np.full(len(rows), done), False)
+                return
+            ends = lists.bound(q, done) < self.least(rows)
+            self._ended(np.full(int(ends.sum()), done), True)
+            rows = rows[~ends]
+
+    def _ended(self, depths: np.ndarray, by_bound: bool) -> None:
+        self.depths += depths.tolist()
+        self.stopped += len(depths) if by_bound else 0
+
+    def _score(self, lists: Lists, rows: np.ndarray, new: np.ndarray) -> None:
+        """Score vectors that were met for the first time, and keep the best."""
+        s = self.q[rows] @ lists.x[new].T
+        n, ids_new, least = s.shape[1], lists.ids[new], self.least(rows)
+        at = np.searchsorted(ids_new, self.ids[rows])
         at[at == n] = 0
-        own = lists.ids[at] == self.ids[rows]
+        own = ids_new[at] == self.ids[rows]
         s[np.flatnonzero(own), at[own]] = -np.inf
-        low = least[rows]
         if n > self.k:
-            low = np.maximum(low, np.partition(s, n - self.k, axis=1)[:, n - self.k])
-        hit = (s >= low[:, None]) & (s > -np.inf)
-        for i, r in enumerate(rows.tolist()):
-            new = np.flatnonzero(hit[i])
-            if len(new):
-                ids, scores = self.best[r]
-                mine = s[i, new]
-                if len(new) > self.k:  # ids ascend, so that a stable sort leaves ties to smaller ones
-                    top = np.argsort(-mine, kind="stable")[: self.k]
-                    new, mine = new[top], mine[top]
-                ids, scores = np.concatenate([ids, lists.ids[new]]), np.concatenate([scores, mine])
-                best = np.lexsort((ids, -scores))[: self.k]
-                self.best[r] = ids[best], scores[best]
+            least = np.maximum(least, np.partition(s, n - self.k, axis=1)[:, n - self.k])
+        hit = (s >= least[:, None]) & (s > -np.inf)
+        for i in np.flatnonzero(hit.any(1)).tolist():
+            r = rows[i]
+            some = np.flatnonzero(hit[i])
+            ids, scores = self.best[r]
+            mine = s[i, some]
+            if len(some) > self.k:  # ids ascend, so that a stable sort leaves ties to smaller ones
+                top = np.argsort(-mine, kind="stable")[: self.k]
+                some, mine = some[top], mine[top]
+            ids, scores = np.concatenate([ids, ids_new[some]]), np.concatenate([scores, mine])
+            best = np.lexsort((ids, -scores))[: self.k]
+            self.best[r] = ids[best], scores[best]
 
     def result(self) -> pa.RecordBatch:
         sizes = [len(i) for i, _ in self.best]

@@ -21,18 +21,22 @@ from veriloom.llm import textkit
 from veriloom.llm.shared import cut, forget
 
 BITS = 18
+#: Toxic rows that a term must have to be kept for its pairs.
+PAIRED_LEAST = 8
 U = np.uint64
 
 
 @dataclass(frozen=True)
 class Settings:
     """positives, negatives: the most labelled rows of either class that training reads (those of the smallest
-    id hashes; class weights restore the labels' true shares). terms, least_z: slots kept, at most and by the
-    z-score of their log odds between the classes. factors: length of a term's vector."""
+    id hashes; class weights restore the labels' true shares). terms, least_z: slots kept by the z-score of their log odds between the classes, at most
+    so many and of so much. paired: further slots, those of the most toxic rows, whatever their odds, as a term that says nothing alone
+    may say much beside another. factors: length of a term's vector."""
 
     positives: int = 8_000
     negatives: int = 16_000
-    terms: int = 16_384  # at most 32,767, as they are sent as short integers
+    terms: int = 16_384  # terms and paired together at most 32,767, as they are sent as short integers
+    paired: int = 8_192
     least_z: float = 2.6
     factors: int = 8
     epochs: int = 12
@@ -82,11 +86,14 @@ def distinct(doc: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def choose(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, s: Settings) -> np.ndarray:
     """Compact places of slots, -1 for those left out, from the number of documents of either class that have each slot."""
+    common = np.argsort(-pos, kind="stable")[: s.paired + s.terms]
+    common = common[pos[common] >= PAIRED_LEAST]
     pos, neg = pos + 0.5, neg + 0.5
     odds = np.log(pos / (n_pos + 1)) - np.log(neg / (n_neg + 1))
     z = np.abs(odds) / np.sqrt(1 / pos + 1 / neg)
     best = np.sort(np.argpartition(-z, min(s.terms, len(z) - 1))[: s.terms])
     best = best[z[best] >= s.least_z]
+    best = np.sort(np.append(best, common[~np.isin(common, best)][: s.paired]))
     slots = np.full(1 << BITS, -1, np.int32)
     slots[best] = np.arange(len(best))
     return slots

@@ -17,8 +17,9 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
-from functools import partial, reduce
+from collections.abc import Generator, Iterator
+from functools import reduce
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +32,9 @@ END = "\r\n\r\n"
 FILE_BYTES, FILE_BYTES_MOST = 32 << 20, 128 << 20
 #: Payload bytes up to which a payload is of the first class, the second, and so on.
 CLASSES = (64 << 10, 2 << 20)
-#: Bytes that a reader inflates of one gzip member, unless told otherwise.
-INFLATED_MOST = 256 << 20
+#: Bytes of a member's content that are kept from the first inflation (more is inflated again), bytes of a member inflated at once, and bytes of a
+#: record from which its terminator is looked up before it is read.
+KEPT, STEP, LARGE = 8 << 20, 1 << 14, 32 << 20
 _HEX32, _RFC32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -112,13 +114,27 @@ def _sha1(data) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def parse(data: bytes, at: int) -> tuple[dict, int]:
-    """The record at a place (its headers, its payload under "payload") and the place after its terminator."""
+class More(Exception):
+    """A window that ends before the record does: bytes that are needed from the record's begin on."""
+
+    def __init__(self, need: int):
+        self.need = need
+
+
+def parse(data: bytes, at: int, left: int | None = None) -> tuple[dict, int]:
+    """The record at a place (its headers, its payload under "payload") and the place after its terminator.
+
+    left: bytes that there are from the place on, if data is a window that may end before them.
+    """
+    held = len(data) - at
+    left = held if left is None else left
     m = _VERSION.match(data, at)
     if not m:
         raise Bad("no version line")
     stop = data.find(b"\r\n\r\n", m.end() - 2)
     if stop < 0:
+        if held < left:
+            raise More(2 * held)
         raise Bad("headers without end")
     head: dict = {}
     for line in data[m.end() : stop].split(b"\r\n"):
@@ -130,8 +146,12 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     if not (size.isascii() and size.isdigit()):
         raise Bad("no content length")
     start, end = stop + 4, stop + 4 + int(size)
-    if end > len(data):
+    if end - at > left:
         raise Bad("cut off")
+    if end + 4 - at > left:
+        raise Bad("no terminator")
+    if end + 4 > len(data):
+        raise More(end + 4 - at)
     if data[end : end + 4] != b"\r\n\r\n":
         raise Bad("no terminator")
     block = data[start:end]
@@ -157,88 +177,161 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     return head, end + 4
 
 
-def member(data: bytes, at: int, most: int = INFLATED_MOST) -> tuple[bytes, int | None, str | None]:
-    """The content of the gzip member at a place, and the place after it; of a broken member the content before the break, no place, and the reason.
-
-    A member of more than `most` bytes counts as broken where it exceeds them.
-    """
-    d, view, parts, n, size = zlib.decompressobj(31), memoryview(data), [], at, 0
+def inflate(data: bytes, at: int) -> Generator[bytes, None, tuple[int | None, str | None]]:
+    """The content of the gzip member at a place in pieces; returns the place after it, or None and why it is broken after its last piece."""
+    d, view, n = zlib.decompressobj(31), memoryview(data), at
     while not d.eof and n < len(data):
         before = d.copy()
         try:
-            parts.append(d.decompress(view[n : n + (1 << 16)], most - size + 1))
-            size += len(parts[-1])
-            if size > most:
-                return b"".join(parts)[:most], None, f"gzip member of more than {most} bytes"
+            piece = d.decompress(view[n : n + STEP])
         except zlib.error as e:
-            try:
-                for k in range(n, n + (1 << 16)):  # up to the byte that fails
-                    parts.append(before.decompress(view[k : k + 1]))
-            except zlib.error:
-                pass
-            return b"".join(parts), None, f"gzip: {e}"
-        n += 1 << 16
+            for k in range(n, n + STEP):  # up to the byte that fails
+                try:
+                    piece = before.decompress(view[k : k + 1])
+                except zlib.error:
+                    break
+                yield piece
+            return None, f"gzip: {e}"
+        yield piece
+        n += STEP
     if not d.eof:
-        return b"".join(parts), None, "gzip member cut off"
-    return b"".join(parts), min(n, len(data)) - len(d.unused_data), None
+        return None, "gzip member cut off"
+    return min(n, len(data)) - len(d.unused_data), None
 
 
-def _inside(inner: bytes) -> Iterator[tuple[dict | None, str | None]]:
-    """(record, None) of every valid record of a member's content, and (None, reason) of every gap, in order."""
-    at = 0
-    while at < len(inner):
-        try:
-            rec, at = parse(inner, at)
-            yield rec, None
-        except Bad as e:
-            end = _next(inner, at, _VERSION, parse)
-            yield None, f"{e}: bytes {at} to {end} of the member's content"
-            at = end
+class Member:
+    """A gzip member: its content's size, the place after it (None: broken), and windows of its content."""
 
+    def __init__(self, data: bytes, at: int):
+        self.data, self.at, self.size = data, at, 0
+        kept: list[bytes] | None = []
+        pieces = inflate(data, at)
+        while True:
+            try:
+                piece = next(pieces)
+            except StopIteration as e:
+                self.end, self.broken = e.value
+                break
+            self.size += len(piece)
+            if kept is not None:
+                kept.append(piece)
+                if self.size > KEPT:
+                    kept = None
+        self.whole = kept is not None
+        self.buffer, self.base = bytearray(b"".join(kept or [])), 0
+        self.pieces = iter(()) if self.whole else inflate(data, at)
+
+    def window(self, low: int, high: int) -> bytes:
+        """Content from low to high, which must not begin before what was released."""
+        while self.base + len(self.buffer) < min(high, self.size):
+            self.buffer += next(self.pieces)
+        return bytes(self.buffer[low - self.base : high - self.base])
+
+    def release(self, low: int) -> None:
+        """What is before `low` isn't asked for again."""
+        if not self.whole and low - self.base > KEPT // 8:
+            del self.buffer[: low - self.base]
+            self.base = low
+
+    def _ends(self, at: int) -> bool:
+        """Whether a terminator stands at a place, without holding what is before it."""
+        seen, tail = 0, b""
+        for piece in inflate(self.data, self.at):
+            if seen + len(piece) > at:
+                tail += piece[max(0, at - seen) :]
+                if len(tail) >= 4:
+                    break
+            seen += len(piece)
+        return tail[:4] == b"\r\n\r\n"
+
+    def record(self, at: int) -> tuple[dict, int]:
+        """parse() at a place of the content."""
+        take = 1 << 16
+        while True:
+            try:
+                rec, end = parse(self.window(at, at + take), 0, self.size - at)
+                return rec, at + end
+            except More as m:
+                if m.need > LARGE and not self.whole and m.need > 2 * take and not self._ends(at + m.need - 4):
+                    raise Bad("no terminator") from None
+                take = max(m.need, 2 * take)
+
+    def next(self, at: int) -> int:
+        """The next place after `at` where a valid record begins, or the end of the content."""
+        low = at + 1
+        while low < self.size:
+            self.release(low)
+            window = self.window(low, low + (1 << 16))
+            m = _VERSION.search(window)
+            if not m:
+                low += max(1, len(window) - 16)  # a version line may lie across the edge
+                continue
+            low += m.start()
+            try:
+                self.record(low)
+                return low
+            except Bad:
+                low += 1
+        return self.size
+
+    def parts(self) -> Iterator[tuple[dict | None, str | None]]:
+        """(record, None) of every valid record of the content, and (None, reason) of every gap, in order."""
+        at = 0
+        while at < self.size:
+            self.release(at)
+            try:
+                rec, at = self.record(at)
+                yield rec, None
+            except Bad as e:
+                end = self.next(at)
+                yield None, f"{e}: bytes {at} to {end} of the member's content"
+                at = end
 
-def _valid(data: bytes, at: int, most: int = INFLATED_MOST) -> tuple[list[tuple[dict | None, str | None]], int | None]:
+
+def _valid(data: bytes, at: int) -> tuple[Iterator[tuple[dict | None, str | None]], int | None]:
     """What the record or gzip member at a place holds, and the place after it; None if a member is broken. Bad if there is no valid record.
 
     A broken member of one record is set aside as a whole.
     """
-    if data[at : at + 2] == b"\x1f\x8b":
-        inner, end, broken = member(data, at, most)
-        out = list(_inside(inner))
-        valid = sum(rec is not None for rec, _ in out)
-        if broken and (not valid or len(out) == 1):
-            raise Bad(broken)
-        if out and not valid:
-            raise Bad(out[0][1].rpartition(": bytes ")[0])
-        return out + [(None, broken)] * bool(broken), end
-    rec, end = parse(data, at)
-    return [(rec, None)], end
-
-
-def _next(data: bytes, at: int, begins: re.Pattern, valid) -> int:
+    if data[at : at + 2] != b"\x1f\x8b":
+        rec, end = parse(data, at)
+        return iter([(rec, None)]), end
+    m = Member(data, at)
+    parts = m.parts()
+    head = list(islice(parts, 2))  # gaps don't follow one another: of two parts one is a record
+    valid = any(rec is not None for rec, _ in head)
+    if m.broken and (not valid or len(head) == 1):
+        raise Bad(m.broken)
+    if head and not valid:
+        raise Bad(head[0][1].rpartition(": bytes ")[0])
+    return chain(head, parts, [(None, m.broken)] * bool(m.broken)), m.end
+
+
+def _next(data: bytes, at: int) -> int:
     """The next place after `at` that begins something valid, or the end."""
-    for m in begins.finditer(data, at + 1):
+    for m in _NEXT.finditer(data, at + 1):
         try:
-            valid(data, m.start())
+            _valid(data, m.start())
             return m.start()
         except Bad:
             continue
     return len(data)
 
 
-def salvage(data: bytes, most: int = INFLATED_MOST) -> Iterator[tuple[int, int, dict | None, str | None]]:
+def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) of every valid record, and (start, end, None, reason) of every gap, in order.
 
-    Records and gaps inside a gzip member have the member's place; a broken member ends where something valid begins. most: bytes
-    that are inflated of a member; what it holds beyond them is a gap.
+    Records and gaps inside a gzip member have the member's place; a broken member ends where something valid begins. A member's records are
+    yielded as its content goes by.
     """
-    at, valid = 0, partial(_valid, most=most)
+    at = 0
     while at < len(data):
         try:
-            found, end = valid(data, at)
+            found, end = _valid(data, at)
         except Bad as e:
-            found, end = [(None, str(e))], None
+            found, end = iter([(None, str(e))]), None
         if end is None:
-            end = _next(data, at, _NEXT, valid)
+            end = _next(data, at)
         for rec, why in found:
             yield at, end, rec, why
         at = end
@@ -247,12 +340,12 @@ def salvage(data: bytes, most: int = INFLATED_MOST) -> Iterator[tuple[int, int,
 _OUT = "archive string, start long, end long, gap string, record_id string, type string, target_uri string, refers_to string, payload_digest string, payload_bytes long"
 
 
-def read(spark: SparkSession, path: str, payload: bool = False, inflated_most: int = INFLATED_MOST) -> DataFrame:
+def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """Every record and every quarantined gap of the archives below path, one row each.
 
     gap is null for a record, else the reason why the bytes from start to end were set aside; they
     hold no valid record but those of the same gzip member. payload=True adds the payload (null for revisits and gaps). An empty file
-    gives no row. An archive is read as a whole; of a gzip member at most inflated_most bytes are inflated.
+    gives no row. An archive's own bytes are read as a whole (Spark fails on files of 2 GB and more); what its gzip members hold streams by, of any size.
     """
 
     def run(batches):
@@ -260,7 +353,7 @@ def read(spark: SparkSession, path: str, payload: bool = False, inflated_most: i
             for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows: list[tuple] = []
                 held = 0
-                for start, end, r, why in salvage(data.as_py() or b"", inflated_most):
+                for start, end, r, why in salvage(data.as_py() or b""):
                     get = r.get if r else (lambda *_: None)
                     row = (name, start, end, why, get("warc-record-id"), get("warc-type"), get("warc-target-uri"), get("warc-refers-to"), get("digest"), get("payload_bytes"))
                     rows.append((*row, get("payload")) if payload else row)
