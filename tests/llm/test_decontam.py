@@ -98,3 +98,96 @@ def test_repeated_rows_and_long_texts(spark):
     bench = spark.createDataFrame([(1, item), (2, "a a a a a a b b b b b b b")], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.tiled_words) for r in decontam.contaminated(docs, bench).collect())
     assert got == [(1, 1, 20), (1, 1, 20)]
+
+
+def runs_of(item, text, least):
+    """The operator's parts for one item and one text."""
+    import numpy as np
+    import pyarrow as pa
+
+    from veriloom.llm import textkit
+
+    s = decontam.seeds([1], [" ".join(item)], least)
+    (w,) = textkit.words(pa.array([" ".join(text)]), lower=True, most=1 << 60)
+    h, whole = textkit.grams(w, least)
+    at = np.flatnonzero(whole)
+    p = decontam.Places(h[at], at)
+    return s, p, p.find(s.hash)
+
+
+def test_runs_by_diagonals_are_all_runs(monkeypatch):
+    rng = random.Random(6)
+    every = lambda number, p: sorted(r for a, b, n in decontam.runs_between(number, p, 3) for r in zip(a.tolist(), b.tolist(), n.tolist()))
+    for k in range(60):
+        item, text = ([f"{rng.choice('abc' if k % 2 else 'ab')}" for _ in range(rng.randrange(5, 40))] for _ in range(2))
+        _, p, number = runs_of(item, text, 3)
+        want = []
+        for i in range(len(item)):
+            for j in range(len(text)):
+                if i and j and item[i - 1] == text[j - 1]:
+                    continue
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n]:
+                    n += 1
+                want += [(i, j, n)] if n >= 3 else []
+        for most in (1 << 20, 20, 1):
+            monkeypatch.setattr(decontam, "PAIRS", most)
+            assert every(number, p) == sorted(want)
+
+
+def test_bands_tile_as_all_runs_at_once(monkeypatch):
+    rng = random.Random(7)
+    for k in range(60):
+        item, text = ([rng.choice("abc" if k % 2 else "ab").encode() for _ in range(rng.randrange(5, 60))] for _ in range(2))
+        plain = ([x.decode() for x in item], [x.decode() for x in text])
+        _, p, number = runs_of(*plain, 3)
+        monkeypatch.setattr(decontam, "PAIRS", 1 << 20)
+        want = decontam.tile(item, text, number, p, 3)
+        assert sum(t[2] for t in want) == plain_tiling(*plain, 3)
+        monkeypatch.setattr(decontam, "PAIRS", 1)
+        monkeypatch.setattr(decontam, "BAND", rng.choice((1, 4, 50)))
+        assert sorted(decontam.tile(item, text, number, p, 3)) == sorted(want)
+
+
+def test_keys_never_miss_a_covering_text(spark):
+    rng = random.Random(12)
+    prompt = [f"p{i}" for i in range(8)]
+    items = [(k, prompt + [f"i{rng.randrange(30)}" for _ in range(rng.randrange(0, 40))]) for k in range(60)]
+    docs = [(d, rng.choice(items)[1][rng.randrange(12) :] + prompt[: rng.randrange(9)] + [f"i{rng.randrange(30)}" for _ in range(20)]) for d in range(60)]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"), spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()}
+    want = {(d, k) for d, t in docs for k, x in items if plain_tiling(x, t, 5) >= 0.6 * len(x)}
+    assert got == want and want
+
+
+def test_many_items_that_begin_alike_and_texts_that_repeat():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from veriloom.llm import textkit
+
+    n = 100_000
+    prompt = "answer the following question with one of these words"
+    s = decontam.seeds(list(range(n)), [f"{prompt} " + " ".join(f"i{i}w{j}" for j in range(25)) for i in range(n)], 5, 0.6)
+    (w,) = textkit.words(pa.array([prompt + " and more text that is of no item at all"]), lower=True)
+    h, whole = textkit.grams(w, 5)
+    at = np.flatnonzero(whole)
+    began = time.time()
+    p = decontam.Places(h[at], at)
+    for _ in range(20):
+        assert not len(decontam.covering(decontam.items_of(p, s), p, s, 0.6))
+    assert time.time() - began < 5
+
+    import tracemalloc
+
+    text = ["a", "b"] * 1_250_000 + ["c"]  # 5 MB
+    encoded = [x.encode() for x in text]
+    for item, n, covered in ((["a", "b"] * 1500, len(text), 3000), (["a", "b"] * 700 + ["x"] + ["b", "a"] * 800, 40_001, 3000)):
+        _, p, number = runs_of(item, text[:n], 5)
+        began = time.time()
+        tracemalloc.start()
+        got = decontam.tile([x.encode() for x in item], encoded[:n], number, p, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(t[2] for t in got) == covered and time.time() - began < 60 and peak < 400 << 20
