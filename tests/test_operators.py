@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veriloom.operators import compare, coverage, fidelity, gates, history, queue
 from veriloom.sources import files, html, packets
-from veriloom.streaming import logs
+from veriloom.streaming import logs, stateful
 
 HEAD = "Captured text.\nSTATE: ohio\nASSEMBLED: 2026-01-02\nCAPTURE NOTES:\n- SOURCE 1: transport curl; artifact sha256:0123456789abcdef.\n- Capture code 0123456789ab clean\n"
 
@@ -306,8 +306,9 @@ def stream(spark, tmp_path, schema, batches, f, mode="append"):
     got = []
     for i, b in enumerate(batches):
         (src_ / f"{i}.json").write_text("\n".join(map(json.dumps, b)))
-        q = f(spark.readStream.schema(schema).json(str(src_))).writeStream.outputMode(mode).foreachBatch(lambda d, _: got.extend(d.collect())).option("checkpointLocation", str(out)).trigger(availableNow=True).start()
-        q.awaitTermination(120)
+        with stateful.rocksdb(spark):
+            q = f(spark.readStream.schema(schema).json(str(src_))).writeStream.outputMode(mode).foreachBatch(lambda d, _: got.extend(d.collect())).option("checkpointLocation", str(out)).trigger(availableNow=True).start()
+            q.awaitTermination(120)
     return got
 
 
@@ -316,7 +317,7 @@ def test_retention_as_a_stream(spark, tmp_path):
     got = stream(spark, tmp_path, "slug string, kind string, seq long, hash string, result string, capture string", [
         [ev("a", None, 1, "h", "baseline", "c1"), ev("a", "main", 2, "h", "confirmed", "c2"), ev("b", "es", 1, "k", "baseline", "d1")],
         [ev("a", "main", 3, "h", "drift", "c3"), ev("a", "main", 4, "g", "rebuild", "c4"), ev("b", "es", 2, "k", "confirmed", "d2")],
-    ], logs.retained)
+    ], stateful.retained)
     assert sorted((r.slug, r.seq, r.stored, r.supersedes) for r in got) == [("a", 1, True, None), ("a", 2, False, None), ("a", 3, True, "c1"), ("a", 4, True, "c3"), ("b", 1, True, None), ("b", 2, False, None)]
 
 
@@ -326,7 +327,7 @@ def test_confirmation_as_a_stream(spark, tmp_path):
     got = stream(spark, tmp_path, "url string, seq long, at long, event string", [
         [ev("a", 1, 0, "submit"), ev("a", 2, 20, "inconclusive"), ev("b", 1, 0, "hard"), ev("b", 2, 1, "fault"), ev("b", 3, 2, "hard"), ev("b", 4, 3, "soft"), ev("c", 1, 0, "submit")],
         [ev("a", 3, 30, "inconclusive"), ev("a", 4, 31, "inconclusive"), ev("b", 5, 4, "hard"), ev("c", 2, 40, "throttled"), ev("c", 3, 41, "confirmed")],
-    ], logs.confirmations)
+    ], stateful.confirmations)
     assert sorted((r.url, r.seq, r.outcome, r.failures, r.status) for r in got) == [
         ("a", 1, "pending", 0, "pending"), ("a", 2, "left", 0, "pending"), ("a", 3, "left", 0, "pending"), ("a", 4, "expired", 0, "open"),
         ("b", 1, "failed", 1, "open"), ("b", 2, "skipped", 1, "open"), ("b", 3, "failed", 2, "open"), ("b", 4, "failed", 2, "open"), ("b", 5, "failed", 3, "blocked"),

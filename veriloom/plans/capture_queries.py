@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from veriloom.functions import claims as C
 from veriloom.functions import dates as D
 from veriloom.functions import text as T
-from veriloom.operators import compare, coverage, fidelity, gates, health, history, queue
+from veriloom.operators import compare, coverage, fidelity, gates, health, history, queue, ordered
 from veriloom.plans.queries import _ENTITIES, _HALVES, _LEDGER, _LOG, ORACLE_SQL, QUERIES, halves, ledger, log, query, rendered
 from veriloom.session import scratch
 from veriloom.sources import files, html, packets, sinks
@@ -507,8 +507,7 @@ SELECT page_id, CASE WHEN path = 'index.html' THEN '1.0' WHEN path LIKE '%/index
 def sitemap_order(t):
     """Home first, then section indexes, then the rest: the order of a site's pages."""
     p = _paths(t)
-    place = F.row_number().over(Window.orderBy(*coverage.page_order(F.col("path"))))  # a site's pages are few
-    return p.select("page_id", coverage.priority(F.col("path")).alias("priority"), place.cast("long").alias("place"))
+    return ordered.placed(p.select("page_id", "path"), coverage.page_order(F.col("path"))).select("page_id", coverage.priority(F.col("path")).alias("priority"), "place")
 
 
 @query("""
@@ -784,7 +783,7 @@ def listed_paths(t):
 def confirmation_stream(spark, sf_dir: str) -> DataFrame:
     """Submissions and what is heard of them, as a file stream over the log, in one run over what is there."""
     from veriloom.session import ship
-    from veriloom.streaming.logs import confirmations
+    from veriloom.streaming.stateful import confirmations, rocksdb
 
     ship(spark)
     at = scratch(spark, "confirmations")
@@ -792,7 +791,8 @@ def confirmation_stream(spark, sf_dir: str) -> DataFrame:
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     said = F.create_map(*[F.lit(x) for x in ("view", "submit", "click", "inconclusive", "error", "hard", "purchase", "soft", "signup", "confirmed")])
     events = source.select(F.col("user_id").cast("string").alias("url"), F.col("event_id").alias("seq"), (F.col("event_id") * 3600).alias("at"), F.element_at(said, F.col("event_type")).alias("event"))
-    confirmations(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    with rocksdb(spark):
+        confirmations(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out").select(F.col("url").cast("long").alias("url"), "seq", "outcome", F.col("failures").cast("long").alias("failures"), "status")
 
 

@@ -859,7 +859,7 @@ def recorded_links(t):
 
 def retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read as a file stream and retained with keyed state, in one run over what is there."""
-    from veriloom.streaming.logs import retained
+    from veriloom.streaming.stateful import retained, rocksdb
 
     ship(spark)
     at = scratch(spark, "retention")
@@ -867,7 +867,8 @@ def retention_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     rows = log(lambda _: source).where("capture is not null")
     events = rows.select(F.col("slug").cast("string").alias("slug"), "kind", "seq", "hash", "result", "capture")
-    retained(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    with rocksdb(spark):
+        retained(events).writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{at}/out").select(F.col("slug").cast("long").alias("slug"), "kind", "seq", "stored", "supersedes")
 
 

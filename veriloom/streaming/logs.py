@@ -1,85 +1,12 @@
-"""Append-only logs as streams: history as keyed state, capture confirmation with two clocks, monthly attendance.
+"""Append-only logs as streams: monthly attendance, a current table by batches, round robins. Histories with state of their own are in stateful.
 
 File order, not event time, decides what is latest, so there is no watermark; events carry seq.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from veriloom.operators.queue import BLOCK_AFTER, DAY, EXPIRY_DAYS
-
-
-def retained(events: DataFrame) -> DataFrame:
-    """Stream of (slug, kind, seq, hash, result, stored, supersedes) from events(slug, kind, seq, hash, result, capture).
-
-    State: the newest stored hash and capture of each slug and kind. An event is stored if its hash moved or it is a drift,
-    else it is an alias of what is stored.
-    """
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, capture = state.get if state.exists else (None, None)
-        rows = pd.concat(list(batches)).sort_values("seq")
-        out = []
-        for r in rows.itertuples():
-            stored = r.hash != held or r.result == "drift"
-            out.append((*key, r.seq, r.hash, r.result, stored, capture if stored else None))
-            if stored:
-                held, capture = r.hash, r.capture
-        state.update((held, capture))
-        yield pd.DataFrame(out, columns=["slug", "kind", "seq", "hash", "result", "stored", "supersedes"])
-
-    keyed = events.withColumn("kind", F.coalesce("kind", F.lit("main")))
-    return keyed.groupBy("slug", "kind").applyInPandasWithState(
-        step, "slug string, kind string, seq long, hash string, result string, stored boolean, supersedes string", "hash string, capture string", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def confirmations(events: DataFrame, timers: bool = False) -> DataFrame:
-    """Stream of (url, seq, outcome, failures, status) from events(url, seq, at long seconds, event).
-
-    event: submit, confirmed, unplayable, inconclusive, throttled, hard, soft or fault. A submission waits as pending; a
-    confirmation or a refusal to play ends it; inconclusive looks leave it until its term counted from the submission is over,
-    throttled ones never expire it. Hard failures in a row block; an account fault changes nothing, whatever came with it.
-    Confirmations don't count as attempts of their own. timers=True: a submission of which nothing more is heard expires by the clock, in a
-    row without seq; a stream that runs once over what is there has no such clock.
-    """
-    names = ["url", "seq", "outcome", "failures", "status"]
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        since, failures = state.get if state.exists else (None, 0)
-        if state.hasTimedOut:
-            state.update((None, failures))
-            yield pd.DataFrame([(key[0], None, "expired", failures, "blocked" if failures >= BLOCK_AFTER else "open")], columns=names)
-            return
-        out = []
-        for r in pd.concat(list(batches)).sort_values("seq").itertuples():
-            outcome = "left"
-            if r.event == "fault":
-                outcome = "skipped"
-            elif r.event == "submit":
-                since, failures, outcome = int(r.at), 0, "pending"
-            elif r.event in ("confirmed", "unplayable") and since is not None:
-                outcome, since = ("confirmed" if r.event == "confirmed" else "unplayable"), None
-            elif r.event == "inconclusive" and since is not None and r.at - since > EXPIRY_DAYS * DAY:
-                outcome, since = "expired", None
-            elif r.event == "hard":
-                failures, outcome = failures + 1, "failed"
-            elif r.event == "soft":
-                outcome = "failed"
-            out.append((key[0], r.seq, outcome, failures, "blocked" if failures >= BLOCK_AFTER else "pending" if since is not None else "open"))
-        state.update((since, failures))
-        if timers and since is not None:
-            state.setTimeoutDuration(EXPIRY_DAYS * DAY * 1000)
-        yield pd.DataFrame(out, columns=names)
-
-    clock = GroupStateTimeout.ProcessingTimeTimeout if timers else GroupStateTimeout.NoTimeout
-    return events.groupBy("url").applyInPandasWithState(step, "url string, seq long, outcome string, failures int, status string", "since long, failures int", "append", clock)
 
 
 def monthly(events: DataFrame, time: str = "ts", result: str = "result") -> DataFrame:
