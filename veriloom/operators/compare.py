@@ -18,24 +18,33 @@ PUBLISHABLE = VERDICTS[:5]
 MOVED, DATE, TEXT, DROPPED, ADDED, FILTER, RESPACED = VERDICTS
 
 
-def compare(old: DataFrame, new: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
-    """(keys..., state, was, now): gone, new, same, respaced, grew or shrank, with lengths without whitespace.
+def _both(old: DataFrame, new: DataFrame, keys: list[str], **columns: str) -> DataFrame:
+    """One full outer join on the keys, which sides hold once: a_<name>, b_<name> of each column, and in_a, in_b."""
+    a = old.select(*keys, *[F.col(c).alias(f"a_{k}") for k, c in columns.items()], F.lit(True).alias("in_a"))
+    b = new.select(*keys, *[F.col(c).alias(f"b_{k}") for k, c in columns.items()], F.lit(True).alias("in_b"))
+    return a.join(b, keys, "full_outer")
 
-    Equal lengths of different texts count as grew. One full outer join on the keys, which sides hold once.
-    """
-    a = old.select(*keys, F.col(body).alias("__a"), F.lit(True).alias("__in_a"))
-    b = new.select(*keys, F.col(body).alias("__b"), F.lit(True).alias("__in_b"))
-    na, nb = T.no_space("__a"), T.no_space("__b")
-    state = (
-        F.when(F.col("__in_b").isNull(), "gone")
-        .when(F.col("__in_a").isNull(), "new")
-        .when(F.col("__a").eqNullSafe(F.col("__b")), "same")
+
+def _state() -> Column:
+    """The state of a row of _both(body=...)."""
+    na, nb = T.no_space("a_body"), T.no_space("b_body")
+    return (
+        F.when(F.col("in_b").isNull(), "gone")
+        .when(F.col("in_a").isNull(), "new")
+        .when(F.col("a_body").eqNullSafe(F.col("b_body")), "same")
         .when(na == nb, "respaced")
         .when(F.length(nb) >= F.length(na), "grew")
         .otherwise("shrank")
     )
-    moved = state.isin("grew", "shrank")
-    return a.join(b, keys, "full_outer").select(*keys, state.alias("state"), F.when(moved, F.length(na)).alias("was"), F.when(moved, F.length(nb)).alias("now"))
+
+
+def compare(old: DataFrame, new: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
+    """(keys..., state, was, now): gone, new, same, respaced, grew or shrank, with lengths without whitespace.
+
+    Equal lengths of different texts count as grew. One full outer join on the keys, which sides hold once.
+    """
+    size = lambda c: F.when(F.col("state").isin("grew", "shrank"), F.length(T.no_space(c)))
+    return _both(old, new, keys, body=body).withColumn("state", _state()).select(*keys, "state", size("a_body").alias("was"), size("b_body").alias("now"))
 
 
 def needs_review(compared: DataFrame, key: str) -> DataFrame:
@@ -76,12 +85,10 @@ def verdict(state: Column, old_header: Column, new_header: Column, old_body: Col
 def classify(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., state, verdict, url) from sources(keys..., header, body) of two captures; sources without a verdict are left out."""
     flat = lambda df: df.withColumns({c: T.flatten_retrieved(c) for c in ("header", "body")})
-    old, new = flat(old), flat(new)
-    states = compare(old, new, keys)
-    full = states.join(old.select(*keys, F.col("header").alias("oh"), F.col("body").alias("ob")), keys, "left").join(new.select(*keys, F.col("header").alias("nh"), F.col("body").alias("nb")), keys, "left")
+    full = _both(flat(old), flat(new), keys, header="header", body="body").withColumn("state", _state())
     c = F.col
-    url = F.when(c("state") == "gone", header_fields(c("oh"))["url"]).otherwise(header_fields(c("nh"))["url"])
-    return full.select(*keys, "state", verdict(c("state"), c("oh"), c("nh"), c("ob"), c("nb")).alias("verdict"), url.alias("url")).where("verdict is not null")
+    url = F.when(c("state") == "gone", header_fields(c("a_header"))["url"]).otherwise(header_fields(c("b_header"))["url"])
+    return full.select(*keys, "state", verdict(c("state"), c("a_header"), c("b_header"), c("a_body"), c("b_body")).alias("verdict"), url.alias("url")).where("verdict is not null")
 
 
 def rank(v: Column) -> Column:

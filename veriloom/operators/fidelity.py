@@ -146,11 +146,16 @@ def missing_hosts(pages: DataFrame, ev: DataFrame, key: str = "slug", page: str
 
 def advisory(pages: DataFrame, key: str = "slug", text: str = "raw", curly: bool = False) -> DataFrame:
     """(key, phrase): phrases of advice outside quotation marks (ASCII ones; curly=True also masks curly ones)."""
+    return pages.select(key, F.explode(advice(text, curly)).alias("phrase"))
+
+
+def advice(text: str, curly: bool = False) -> Column:
+    """The phrases of advice outside a text's quotation marks."""
     masked = F.regexp_replace(T.norm(text), r'"[^"]*"', " ")
     if curly:
         masked = F.regexp_replace(masked, "“[^“”]*”", " ")
-    phrases = F.filter(F.array(*[F.lit(p) for p in C.ADVISORY]), lambda p: F.contains(F.lower(masked), p))
-    return pages.select(key, F.explode(phrases).alias("phrase"))
+    phrases = lambda x: F.filter(F.array(*[F.lit(p) for p in C.ADVISORY]), lambda p: F.contains(x, p))
+    return T.let(F.lower(masked), phrases)
 
 
 def pair_quotes(quotes: DataFrame, index: DataFrame | None, text: str = "raw", state: str = "slug", within: int = 200) -> DataFrame:
@@ -187,32 +192,63 @@ def check(pages: DataFrame, packets: DataFrame, index: DataFrame | None = None,
     UNKNOWN or DUPLICATE says what is wrong with it, INDEX that there is no index. Quotations are read before the change log only, contact
     facts on the whole page; the block that restates a page for search engines is left out.
     """
-    from veriloom.sources.packets import source_bodies, source_region
-
-    region = evidence(packets.withColumn("body", source_region("body")))
-    bodies = evidence(packets.withColumn("body", source_bodies("body")))
     lang = F.coalesce("lang", F.lit("en")) if "lang" in pages.columns else F.lit("en")
     raw = T.mask_block("raw", "<!-- search-head -->", "<!-- /search-head -->")
     p = pages.select("slug", lang.alias("lang"), raw.alias("raw")).withColumns({"text": T.mask_tags("raw"), "live": T.mask_tags(C.live_part("raw"))})
-    q = p.select("slug", "lang", F.col("text").alias("window"), F.explode(C.quotes("live")).alias("q")).select("slug", "lang", "window", "q.pos", "q.text")
-    say = lambda df, tag, c: df.select("slug", (F.lit(tag) if isinstance(tag, str) else tag).alias("tag"), c.alias("detail"))
-    found = [
-        say(region.select("slug", F.explode(C.source_notes("body")).alias("a")), "PACKET", F.substring("a", 1, 90)),
-        say(unsupported_quotes(q, bodies), "QUOTE", F.substring("text", 1, 80)),
-        say(missing_values(explode_values(p, "slug", C.page_phones("text", "raw")), explode_values(bodies, "slug", C.phones("body"))), "PHONE", F.col("value")),
-        say(missing_values(explode_values(p, "slug", C.page_emails("text", "raw")), explode_values(bodies, "slug", C.emails("body")), allow=allow_emails), "EMAIL", F.col("value")),
-        say(missing_addresses(p, bodies, page="text"), "ADDRESS", F.col("value")),
-        say(missing_hosts(p, region, allow=allow_hosts), "HOSTNAME", F.col("value")),
-        say(advisory(p.where("lang = 'en'"), text="text"), "ADVISORY", F.col("phrase")),
-    ]
+    ev = both_evidence(packets)
+    notes = ev.select("slug", F.lit("PACKET").alias("tag"), F.explode(F.transform(C.source_notes("region"), lambda a: F.substring(a, 1, 90))).alias("detail"))
+    found = [notes, p.join(ev, "slug", "left").select("slug", F.explode(findings(allow_hosts, allow_emails)).alias("f")).select("slug", "f.tag", "f.detail")]
     other = p.where("lang <> 'en'")
     if index is None:
-        found.append(say(other, "INDEX", F.lit("there is no quote index")))
-    paired = pair_quotes(q.where("lang <> 'en'"), index, "window", "slug").where("verdict is not null")
-    found.append(say(paired, F.col("verdict"), F.when(F.col("verdict") == "UNPAIRED", F.substring("text", 1, 70)).otherwise(F.col("qid"))))
+        found.append(other.select("slug", F.lit("INDEX").alias("tag"), F.lit("there is no quote index").alias("detail")))
+    q = other.select("slug", F.col("text").alias("window"), F.explode(C.quotes("live")).alias("q")).select("slug", "window", "q.pos", "q.text")
+    paired = pair_quotes(q, index, "window", "slug").where("verdict is not null")
+    found.append(paired.select("slug", F.col("verdict").alias("tag"), F.when(F.col("verdict") == "UNPAIRED", F.substring("text", 1, 70)).otherwise(F.col("qid")).alias("detail")))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def both_evidence(packets: DataFrame) -> DataFrame:
+    """(slug, region, bodies) of packets(slug, path, body): what evidence() makes of their source regions and of their source bodies, in one grouping."""
+    from veriloom.sources.packets import source_bodies, source_region
+
+    each = F.struct("path", source_region("body").alias("region"), source_bodies("body").alias("bodies"))
+    ordered = packets.groupBy("slug").agg(F.array_sort(F.collect_list(each)).alias("t"))
+    text = lambda k: F.array_join(F.transform("t", lambda x: x[k]), "\n").alias(k)
+    return ordered.select("slug", text("region"), text("bodies"))
+
+
+def findings(allow_hosts: list[str] | None, allow_emails: list[str] | None) -> Column:
+    """array<struct<tag, detail>> of a page's row (lang, raw, text, live) beside its evidence (region, bodies; null: none): each fact of the page against
+    those of the evidence, which are taken from it once."""
+    none = F.expr("cast(array() as array<string>)")
+    bodies, region = F.coalesce("bodies", F.lit("")), F.coalesce("region", F.lit(""))
+    known = F.struct(
+        T.norm("bodies").alias("normal"), C.phones(bodies).alias("phones"), C.emails(bodies).alias("emails"), C.addresses(bodies).alias("addresses"), F.lower(region).alias("lower"), F.col("bodies").isNull().alias("absent")
+    )
+    named = F.filter(F.transform(C.hrefs("raw"), C.host), lambda h: h.isNotNull())
+    but = lambda c, allowed: F.array_except(c, F.array(*[F.lit(x) for x in allowed])) if allowed else F.array_distinct(c)
+    quoted = F.transform(C.quotes("live"), lambda q: q["text"])
+    said = F.struct(
+        quoted.alias("quotes"), C.page_phones("text", "raw").alias("phones"), but(C.page_emails("text", "raw"), allow_emails).alias("emails"), C.addresses("text").alias("addresses"), but(named, allow_hosts).alias("hosts"),
+        F.when(F.col("lang") == "en", advice("text")).otherwise(none).alias("advice"),
+    )
+
+    def missing(s: Column, k: Column) -> Column:
+        held = lambda h: F.contains(k["lower"], h) | F.contains(k["lower"], F.regexp_replace(h, r"^www\.", ""))
+        of = {
+            "QUOTE": F.transform(F.filter(s["quotes"], lambda q: k["absent"] | ~F.contains(k["normal"], T.strip(T.norm(q)))), lambda q: F.substring(q, 1, 80)),
+            "PHONE": F.array_except(s["phones"], k["phones"]),
+            "EMAIL": F.array_except(s["emails"], k["emails"]),
+            "ADDRESS": F.filter(F.array_except(s["addresses"], k["addresses"]), lambda a: k["absent"] | ~C.address_in(a, F.coalesce("bodies", F.lit("")))),
+            "HOSTNAME": F.filter(s["hosts"], lambda h: k["absent"] | ~held(h)),
+            "ADVISORY": s["advice"],
+        }
+        tagged = lambda tag, c: F.transform(c, lambda d: F.struct(F.lit(tag).alias("tag"), d.alias("detail")))
+        return F.concat(*[tagged(tag, c) for tag, c in of.items()])
+
+    return T.let(known, lambda k: T.let(said, lambda s: missing(s, k)))
+
+
 def coverage(pages: DataFrame, index: DataFrame) -> DataFrame:
     """(slug, paired, in_scope): how many of the index's spans(id, state, in_scope) pages of another language carry, of those in scope."""
     text = pages.where("lang <> 'en'").withColumns({"window": T.mask_tags("raw"), "live": T.mask_tags(C.live_part("raw"))})
