@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from veriloom.operators import compare, coverage, fidelity, gates, history, queue
+from veriloom.operators import compare, coverage, fidelity, gates, history, queue, patience
 from veriloom.sources import files, html, packets
 from veriloom.streaming import logs, stateful
 
@@ -86,8 +86,11 @@ def test_method_code_similarity(spark):
     assert dict(rows(compare.code_change(p, c), "id", "code_changed")) == {1: None, 2: "changed: 0123456789ab -> aaaaaaaaaaaa", 3: "committed: h0, h1, h2, h3 and 2 more", 4: None}
     assert dict(rows(compare.code_change(p, None), "id", "code_changed"))[3] == "unrecorded"
     t = spark.createDataFrame([("one\n\ntwo", "one\n\n2!\n\nthree"), (None, "x")], "a string, b string")
-    got = t.select(compare.similarity(F.col("a"), F.col("b")), compare.paragraph_changes(F.col("a"), F.col("b"))).collect()
-    assert got[0][1][0].tag == "replace" and got[0][1][0].old == ["two"] and 0 < got[0][0] < 1 and got[1][0] is None
+    got = t.select(compare.similarity(F.col("a"), F.col("b"))).collect()
+    assert 0 < got[0][0] < 1 and got[1][0] is None
+    pairs = t.select(F.lit(1).alias("k"), patience.paragraphs("a").alias("o"), patience.paragraphs("b").alias("n")).where("o is not null")
+    (block,) = patience.blocks(pairs, "k", "o", "n").collect()
+    assert (block.tag, block.removed, block.added) == ("replace", ["two"], ["2!", "three"])
 
 
 LOG = "slug string, kind string, seq long, date string, result string, hash string, capture string, headers array<string>, transport string, supersedes string"

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import difflib
-import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.functions import text as T
+from veriloom.operators.nearby import points_in_ranges
 
 # Verdicts in their order; the last two concern tools, not documents.
 VERDICTS = ("document moved", "revision date changed", "text changed", "source dropped", "source added", "recipe filter changed", "extractor respacing")
@@ -116,22 +116,6 @@ def similarity(a: Column, b: Column) -> Column:
     return ratio(a, b)
 
 
-def paragraph_changes(a: Column, b: Column, most: int = 4) -> Column:
-    """Blocks of paragraphs that differ once spacing and punctuation are left out, the first `most` of them."""
-
-    def one(x: str | None, y: str | None) -> list[dict]:
-        old, new = ([p.strip() for p in re.split(r"\n\s*\n", t or "") if p.strip()] for t in (x, y))
-        keys = [[re.sub("[^a-z0-9]+", "", p.lower()) for p in t] for t in (old, new)]
-        blocks = difflib.SequenceMatcher(a=keys[0], b=keys[1]).get_opcodes()
-        return [{"tag": t, "old": old[i:j], "new": new[k:m]} for t, i, j, k, m in blocks if t != "equal"][:most]
-
-    @F.pandas_udf("array<struct<tag:string,old:array<string>,new:array<string>>>")
-    def changes(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)])
-
-    return changes(a, b)
-
-
 def method_held(was: Column, now: Column) -> Column:
     """Equal notes, or equal lists of recipe digests that both notes name."""
     digests = lambda c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"recipe ([0-9a-f]{12})"), F.lit(1))
@@ -147,15 +131,17 @@ def code_stamp(raw: Column) -> Column:
 def code_change(pairs: DataFrame, commits: DataFrame | None) -> DataFrame:
     """pairs(id, old_raw, new_raw, since, until) -> (id, code_changed): null if the capture code held, else what is known.
 
-    Without stamps, commits(hash, date) between the days, both included, decide: a range join of few rows.
+    Without stamps, commits(hash, date) between the days, both included, decide: a range join by months, crowded ones in cells.
     """
     p = pairs.withColumns({"a": code_stamp(F.col("old_raw")), "b": code_stamp(F.col("new_raw"))})
     if commits is None:
         found = p.withColumn("hashes", F.lit(None).cast("array<string>"))
     else:
-        c = commits.select(F.col("hash").alias("__h"), F.col("date").alias("__d"))
-        j = p.join(c, c["__d"].between(p["since"], p["until"]), "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("__d", "__h"))).alias("c"))
-        found = p.join(j.select("id", F.filter(F.transform("c", lambda x: x["__h"]), lambda h: h.isNotNull()).alias("hashes")), "id")
+        c = commits.select(F.col("hash").alias("__h"), F.unix_date(F.to_date("date")).alias("__d"))
+        spans = p.select("id", F.unix_date(F.to_date("since")).alias("__low"), F.unix_date(F.to_date("until")).alias("__high"))
+        j = points_in_ranges(c, spans, "__d", "__low", "__high", "__h", "id", 31).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("__d", "__h"))).alias("c"))
+        none = F.expr("cast(array() as array<string>)")
+        found = p.join(j.select("id", F.transform("c", lambda x: x["__h"]).alias("hashes")), "id", "left").withColumn("hashes", F.coalesce("hashes", none))
     stamped = F.col("a").isNotNull() & F.col("b").isNotNull()
     said = (
         F.when(stamped & (F.col("a") == F.col("b")), None)

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from veriloom.functions import claims as C
 from veriloom.functions import dates as D
 from veriloom.functions import text as T
-from veriloom.operators import compare, coverage, fidelity, gates, gramindex, history, queue
+from veriloom.operators import compare, coverage, fidelity, gates, gramindex, history, patience, queue
 from veriloom.session import scratch, ship
 from veriloom.sources import files, html, packets
 
@@ -227,10 +227,22 @@ def folded_texts(t):
     return t("documents").select("doc_id", T.body_hash(T.norm(c)).alias("normal"), T.body_hash(folded).alias("folded"), T.body_hash(T.flatten_retrieved(dated)).alias("undated"))
 
 
-@query()
+@query(r"""
+WITH d AS (SELECT doc_id, string_split(regexp_replace(text, '(.{50,70}) ', '\1' || chr(10), 'g'), chr(10)) AS s FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, list_sort(list_transform(list_filter(s, lambda x: trim(x) <> ''), lambda x: length(rtrim(x)))) AS n FROM d),
+w AS (SELECT doc_id, CASE WHEN len(n) = 0 THEN 40 ELSE greatest(40, 5 * round_even((n[least(len(n), CAST(floor(len(n) * 0.9) AS INT) + 1)] - 12) / 5, 0)) END AS width FROM n),
+r AS (SELECT doc_id, i, regexp_replace(s[i], '\s+$', '') AS x FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM d)),
+p AS (SELECT *, lag(x) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM r JOIN w USING (doc_id)),
+k AS (SELECT *, coalesce(prev <> '' AND x <> '' AND NOT regexp_matches(prev, '[.:;?!]["'')\]]?\s*$') AND NOT regexp_matches(x, '^\s*(?:[-•]|\(?[a-zA-Z0-9]{1,3}[.)])\s') AND NOT contains(prev, '|') AND NOT contains(x, '|'), false) AS ok, length(prev) >= width AS long FROM p),
+u AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM k),
+j AS (SELECT *, ok AND max(CASE WHEN ok AND long THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, run ORDER BY i) = 1 AS joined FROM u),
+g AS (SELECT *, sum(CASE WHEN joined THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS line FROM j),
+o AS (SELECT doc_id, line, string_agg(CASE WHEN joined THEN trim(x) ELSE x END, ' ' ORDER BY i) AS x FROM g GROUP BY 1, 2)
+SELECT doc_id, left(sha256(string_agg(x, chr(10) ORDER BY line)), 16) AS hash FROM o GROUP BY 1""")
 def unwrapped_lines(t):
-    """Hard-wrapped lines joined, at each text's own width."""
-    return t("documents").select("doc_id", T.body_hash(T.unwrap_hard_wraps(F.col("text"))).alias("hash"))
+    """Lines that were wrapped at fifty to seventy characters joined again, at each text's own width."""
+    wrapped = F.regexp_replace("text", "(.{50,70}) ", "$1\n")
+    return t("documents").where("text is not null").select("doc_id", T.body_hash(T.unwrap_hard_wraps(wrapped)).alias("hash"))
 
 
 @query()
@@ -629,9 +641,12 @@ def header_changes(t):
 
 @query()
 def similar_bodies(t):
-    """Similarity of a document to its capture with words dropped, and the paragraphs that changed."""
+    """Similarity of a document to its capture with words dropped, and the first four stretches of paragraphs that changed."""
     d = t("documents").select("doc_id", "text", F.regexp_replace("text", r"\bthe\b", "").alias("other"))
-    return d.select("doc_id", compare.similarity(T.squash("text"), T.squash("other")).alias("similarity"), F.size(compare.paragraph_changes(F.col("text"), F.col("other"))).alias("segments"))
+    pairs = d.select("doc_id", patience.paragraphs("text").alias("old"), patience.paragraphs("other").alias("new"))
+    changed = patience.blocks(pairs, "doc_id", "old", "new").groupBy("doc_id").agg(F.least(F.count("*"), F.lit(4)).cast("int").alias("n"))
+    alike = d.select("doc_id", compare.similarity(T.squash("text"), T.squash("other")).alias("similarity"))
+    return alike.join(changed, "doc_id", "left").select("doc_id", "similarity", F.coalesce("n", F.lit(0)).alias("segments"))
 
 
 # ---- packets
