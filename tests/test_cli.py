@@ -115,3 +115,41 @@ def test_paths_dates_of_commits_and_totals(spark):
     assert [tuple(map(str, r)) for r in files.commit_dates(log).collect()] == [("p", "2026-01-02", "2026-03-04")]
     c = spark.createDataFrame([("p", "ASSEMBLED: 2025-05-05", None), ("p", "x", None), ("q", "x", "2026-07-08 10:00:00"), ("r", "x", None)], "path string, head string, modified string").withColumn("modified", F.to_timestamp("modified"))
     assert [(r.assembled, r.date_source) for r in files.assembly_dates(c, log).orderBy("path", "head").collect()] == [("2025-05-05", "header"), ("2026-01-02", "git"), ("2026-07-08", "mtime"), (None, None)]
+
+
+def test_retaining_twice_writes_once(run, tmp_path):
+    tree(tmp_path, **{"p__ohio-packet_DOT_txt": PACKET})
+    at = (tmp_path / "p", tmp_path / "h")
+    assert run("retain-result", *at, "baseline", "2026-01-01") == (0, ["ohio  main  2026-01-01.txt  stored", "1 recorded"])
+    assert run("retain-result", *at, "baseline", "2026-01-01") == (0, ["0 recorded"])
+    assert run("retain", tmp_path / "h") == (0, [])
+    assert run("retain-result", *at, "confirmed", "2026-02-01") == (0, ["ohio  main  2026-01-01.txt  unchanged", "1 recorded"])
+    (tmp_path / "p/ohio-packet.txt").write_text(PACKET + "more words\n")
+    assert run("retain-result", *at, "drift", "2026-02-01")[1][0] == "ohio  main  2026-02-01.txt  stored"
+    rows = [json.loads(x) for x in (tmp_path / "h/ohio/manifest.jsonl").read_text().splitlines()]
+    assert [(r["result"], r["stored"], r.get("supersedes")) for r in rows] == [("baseline", True, None), ("confirmed", False, None), ("drift", True, "2026-01-01.txt")]
+    assert run("retain-result", *at, "nonsense", "2026-02-01")[0] == 2
+
+
+def test_anchor_runs_chain(run, tmp_path):
+    tree(tmp_path, t__a_DOT_txt="one", t__b_DOT_txt="two")
+    at = (tmp_path / "t", tmp_path / "anchors")
+    assert run("anchor-run", *at, "r1", "2026-01-01T00:00:00Z")[0] == 0
+    assert run("anchor", tmp_path / "t", tmp_path / "anchors/manifests/r1.txt") == (0, [])
+    (tmp_path / "t/b.txt").write_text("three")
+    code, said = run("anchor-run", *at, "r2", "2026-01-02T00:00:00Z", "--note", "n")
+    first, second = (json.loads((tmp_path / f"anchors/entries/{r}.json").read_text()) for r in ("r1", "r2"))
+    assert code == 0 and second["prev_entry_sha256"] == first["entry_sha256"] and said == [f"r2  {second['entry_sha256']}"] and second["file_count"] == 2
+    assert run("anchor", tmp_path / "t", tmp_path / "anchors/manifests/r1.txt") == (1, ["b.txt  changed"])
+    assert run("anchor-run", *at, "r2", "2026-01-02T00:00:00Z")[0] == 2
+    (tmp_path / "anchors/entries/r1.json").write_text(json.dumps(first | {"note": "forged"}))
+    assert run("anchor-run", *at, "r3", "2026-01-03T00:00:00Z") == (1, ["r1"])
+
+
+def test_dates_that_pages_derive(run, tmp_path):
+    tree(tmp_path, md__ohio_DOT_md="# x\n**Sources last checked.** 2026-11-02\n", html__ohio_DOT_html='<dd class="docket-checked">Nov 2, 2026</dd>')
+    tree(tmp_path, index_DOT_html='<tr><td><a href="/states/ohio/">x</a></td><td>y</td><td>Nov 1, 2026</td></tr>', home_DOT_html='<script id="state-index" type="application/json">[{"slug": "ohio", "checked": "Nov 2, 2026"}]</script>')
+    at = (tmp_path / "md", tmp_path / "html", tmp_path / "index.html", tmp_path / "home.html")
+    assert run("dates", *at) == (1, ["table  ohio  Nov 1, 2026  Nov 2, 2026"])
+    (tmp_path / "index.html").write_text("")
+    assert run("dates", *at) == (0, [])

@@ -6,8 +6,11 @@ Exit codes: 0 nothing is wrong, 1 something is, 2 the command can't be carried o
 from __future__ import annotations
 
 import argparse
+import json
+import os
 import sys
 from collections.abc import Callable
+from glob import glob
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 
 from veriloom.operators import compare, coverage, fidelity, health, history, queue
 from veriloom.sources import files, packets, sinks
+from veriloom.sources.html import canonical_digest
 
 Say = Callable[[str], None]
 
@@ -128,6 +132,78 @@ def anchor(spark: SparkSession, a, say: Say) -> int:
     return int(_tell(history.manifest_status(history.manifest_lines(spark.read.text(a.manifest)), tree), say) > 0)
 
 
+def retain_result(spark: SparkSession, a, say: Say) -> int:
+    """Retain the packets of a folder with a result of today: new captures are stored, unchanged ones named, and a line is appended to each manifest.
+
+    What is already the last line of a slug and kind is not recorded again, so that a second run writes nothing.
+    """
+    if a.result not in files.RESULTS:
+        say(f"unknown result: {a.result}")
+        return 2
+    part = packets.parts_of(F.col("path"))
+    found = _texts(spark, a.packets, "*.txt").select(
+        part["slug"].alias("slug"), F.regexp_replace(part["kind"], "^packet$", "main").alias("kind"), F.lit(a.date).alias("date"), F.lit(a.result).alias("result"),
+        packets.packet_hash("raw").alias("hash"), packets.headers("raw").alias("headers"), packets.urls("raw").alias("urls"), F.col("raw"),
+    )
+    known = files.manifest(spark, a.history) if glob(os.path.join(a.history, "*", "manifest.jsonl")) else spark.createDataFrame([], f"slug string, seq int, {files.MANIFEST}")
+    last = history.latest(known.withColumn("kind", F.coalesce("kind", F.lit("main"))), ["slug", "kind"]).select("slug", "kind", "date", "result", "hash")
+    new = found.join(last, ["slug", "kind", "date", "result", "hash"], "left_anti")
+    made = history.retain(new.select("slug", "kind", "date", "result", "hash", "headers"), known).join(new.select("slug", "kind", "urls", "raw"), ["slug", "kind"])
+    n = 0
+    for r in made.orderBy("slug", "kind").toLocalIterator():  # packets of one run: a file each
+        folder = os.path.join(a.history, r.slug)
+        os.makedirs(folder, exist_ok=True)
+        if r.stored:
+            with open(os.path.join(folder, r.capture), "x", encoding="utf-8") as f:
+                f.write(r.raw)
+        row = {"date": r.date, "result": r.result, "kind": r.kind, "hash": r.hash, "sources": len(r.headers), "urls": r.urls, "headers": r.headers, "capture": r.capture, "stored": r.stored, "supersedes": r.supersedes}
+        if r.headers_gone is not None:
+            row["header_changes"] = {"gone": r.headers_gone, "new": r.headers_new}
+        with open(os.path.join(folder, "manifest.jsonl"), "a", encoding="utf-8") as f:
+            f.write(json.dumps({k: v for k, v in sorted(row.items()) if v is not None}, ensure_ascii=False) + "\n")
+        say(f"{r.slug}  {r.kind}  {r.capture}  {'stored' if r.stored else 'unchanged'}")
+        n += 1
+    say(f"{n} recorded")
+    return 0
+
+
+def anchor_run(spark: SparkSession, a, say: Say) -> int:
+    """Anchor a tree: its digests as a manifest, and an entry that names the digest of the entry before. The chain is verified first; 1 if it is broken."""
+    entries = []
+    for path in sorted(glob(os.path.join(a.anchors, "entries", "*.json"))):  # an entry a run
+        with open(path, encoding="utf-8") as f:
+            entries.append(json.load(f))
+    if entries:
+        told = spark.createDataFrame([(e["id"], json.dumps({k: v for k, v in e.items() if k != "entry_sha256"}), e["entry_sha256"], e["prev_entry_sha256"]) for e in entries], "id string, entry string, entry_sha256 string, prev_entry_sha256 string")
+        bad = told.where(canonical_digest(F.col("entry")) != F.col("entry_sha256")).select("id").unionByName(history.chain_breaks(told).select("id")).distinct()
+        if _tell(bad, say):
+            return 1
+    if any(e["id"] >= a.run_id for e in entries):
+        say(f"a run must come after {entries[-1]['id']}")
+        return 2
+    root = "/" + a.tree.strip("/") + "/"
+    tree = files.walk(spark, a.tree).select(F.regexp_replace("path", "^(?:file:)?/*", "/").alias("path"), "content").withColumn("path", F.expr(f"substring(path, {len(root) + 1})"))
+    made = sinks.anchor_entry(tree, entries[-1]["entry_sha256"] if entries else None, a.run_id, a.utc, a.repo, [a.tree], a.note).first()
+    for folder in ("manifests", "entries"):
+        os.makedirs(os.path.join(a.anchors, folder), exist_ok=True)
+    with open(os.path.join(a.anchors, "manifests", f"{a.run_id}.txt"), "x", encoding="utf-8") as f:
+        f.write(made.manifest)
+    with open(os.path.join(a.anchors, "entries", f"{a.run_id}.json"), "x", encoding="utf-8") as f:
+        json.dump(json.loads(made.entry) | {"entry_sha256": made.entry_sha256}, f, indent=1, sort_keys=True)
+    say(f"{a.run_id}  {made.entry_sha256}")
+    return 0
+
+
+def dates(spark: SparkSession, a, say: Say) -> int:
+    """Dates that rendered pages, the index and the home page's records derive from Markdown sources and have wrong; 1 if any is."""
+    stem = F.regexp_extract("path", r"([^/]+)\.(?:html|md)$", 1).alias("slug")
+    md = _texts(spark, a.sources, "*.md").select(stem, F.col("raw").alias("md"))
+    html = _texts(spark, a.pages, "*.html").select(stem, F.col("raw").alias("html"))
+    one = lambda path: spark.read.text(path, wholetext=True).select(F.col("value").alias("html"))
+    found = sinks.checked_dates(md.join(html, "slug", "full_outer"), one(a.index_page), one(a.home))
+    return int(_tell(sinks.corrections(found.where("surface = 'source'"), found.where("surface <> 'source'")), say) > 0)
+
+
 def status(spark: SparkSession, a, say: Say) -> int:
     """How a retry queue stands: candidates are the pages' external links without a capture."""
     pages = _pages(spark, a.pages, "en").select("slug", F.col("raw").alias("html"))
@@ -175,6 +251,9 @@ def parser() -> argparse.ArgumentParser:
     add("check-all", check_all, "pages", "packets", strict=False, quiet=False, exempt=[], **page)
     add("packet-set", packet_set, "packets", lang="en")
     add("retain", retain, "history", log=False)
+    add("retain-result", retain_result, "packets", "history", "result", "date")
+    add("anchor-run", anchor_run, "tree", "anchors", "run_id", "utc", repo="", note=None)
+    add("dates", dates, "sources", "pages", "index_page", "home")
     add("digest", digest, "history", "start", "end", slug=None, json=False, draft=False)
     add("health", health_, "history", "packets", "recipes", "today", cursor=None, ledger=None)
     add("anchor", anchor, "tree", "manifest")
