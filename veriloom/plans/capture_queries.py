@@ -362,6 +362,13 @@ def fidelity_verdicts(t):
     return fidelity.check(*_fidelity(t))
 
 
+@query("SELECT DISTINCT 's' || conv_id AS slug, 'INDEX' AS tag, 'there is no quote index' AS detail FROM conversations WHERE conv_id % 2 = 1")
+def fidelity_without_index(t):
+    """Pages of another language, checked where there is no quote index: no id of theirs is unknown, and each page says that the index is missing."""
+    pages, known, _ = _fidelity(t)
+    return fidelity.check(pages, known).where("tag in ('INDEX', 'UNKNOWN')")
+
+
 def _fidelity(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pages that quote all turns and state facts by a rule, packets of three turns in four, and a quote index of one id a page."""
     c = t("conversations").select("conv_id", "turn", F.coalesce(F.replace("text", F.lit('"'), F.lit("'")), F.lit("")).alias("x")).withColumn("slug", F.concat(F.lit("s"), F.col("conv_id").cast("string")))

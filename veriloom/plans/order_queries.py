@@ -216,3 +216,33 @@ def docx_parts(t):
     f = t("documents").where("text is not null").select("doc_id", made("doc_id", lines).alias("content"))
     got = parts.parts(f, kinds=("paragraph", "row"))
     return got.select("doc_id", "kind", F.col("position").cast("long").alias("position"), F.substring(F.sha2("text", 256), 1, 16).alias("hash"), F.col("error").isNotNull().alias("failed"))
+
+
+@query("""
+WITH s AS (SELECT c_nationkey AS nation, c_custkey AS k, c_acctbal AS bal, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i FROM customer),
+f AS (SELECT *, CASE WHEN k % 13 = 0 THEN i + 100 ELSE i END AS n, k % 11 = 0 AS posted, k % 5 = 0 AS agent FROM s)
+SELECT 'n' || nation AS state, n, unnest(list_filter([
+  CASE WHEN n <> i THEN 'sources are not numbered in order' END, CASE WHEN k % 7 = 0 THEN 'source without title' END, CASE WHEN bal < 0 THEN 'url is not http' END, CASE WHEN posted THEN 'unknown transport' END,
+  CASE WHEN agent AND posted THEN 'user_agent is for curl only' END, CASE WHEN agent THEN 'unknown user_agent' END, CASE WHEN k % 17 = 0 THEN 'html-text without scope' END,
+  CASE WHEN k % 19 = 0 THEN 'pages end before they begin' END, CASE WHEN k % 19 = 0 THEN 'pages without a PDF' END, CASE WHEN k % 3 = 0 AND k % 2 = 0 THEN 'unknown filter' END,
+  CASE WHEN k % 23 = 0 THEN 'the from anchor is too short' END], lambda x: x IS NOT NULL)) AS error FROM f
+UNION ALL SELECT DISTINCT 'n' || nation, NULL, 'the file is not named after the state' FROM s""")
+def recipe_files(t):
+    """Recipes read from files and linted with their options: one of each nation, with a source of each customer that may have several faults at once."""
+    from veriloom.sources import files
+
+    spark = t("customer").sparkSession
+    k, place = F.col("c_custkey"), F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    c = t("customer").withColumn("i", place)
+    source = F.struct(
+        F.when(k % 13 == 0, F.col("i") + 100).otherwise(F.col("i")).alias("n"), F.when(k % 7 == 0, "").otherwise(F.col("c_name")).alias("title"),
+        F.concat(F.when(F.col("c_acctbal") < 0, "ftp").otherwise("https"), F.lit("://x.org/"), k.cast("string")).alias("url"), F.when(k % 11 == 0, "post").otherwise("curl").alias("transport"),
+        F.when(k % 5 == 0, "of my own").alias("user_agent"), F.lit("html-text").alias("extractor"), F.when(k % 17 != 0, "main").alias("scope"), F.when(k % 19 == 0, F.array(F.lit(3), F.lit(1))).alias("pages"),
+        F.array(F.lit("trim-lines"), F.when((k % 3 == 0) & (k % 2 == 0), "shout").otherwise("collapse-blank-runs")).alias("filters"), F.when(k % 23 == 0, F.struct(F.lit("abc").alias("from"))).alias("slice"),
+    )
+    whole = c.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("i", source.alias("s")))).alias("s"))
+    text = whole.select("c_nationkey", F.to_json(F.struct(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("state"), F.lit(files.RECIPE_VERSION).alias("recipe_version"), F.transform("s", lambda x: x["s"]).alias("sources"))).alias("value"))
+    path = scratch(spark, "recipes")
+    text.withColumn("file", F.col("c_nationkey")).select("file", "value").repartition("file").write.partitionBy("file").text(path)
+    found = files.lint(files.recipes(spark, path).withColumn("path", F.regexp_replace("path", r"\\.txt$", ".json")), options=True)
+    return found.select("state", F.col("n").cast("long").alias("n"), "error")
