@@ -43,8 +43,8 @@ class Sizes:
 
     held: int = 2_000_000
     held_bytes: int = 32 << 20
-    keys: int = 1 << 21
-    range: int = 1 << 21
+    keys: int = 1 << 20
+    range: int = 1 << 20
     fan: int = 1024
     sampled: int = 1 << 18
 
