@@ -293,6 +293,30 @@ def elastic(anchor: str) -> str:
     return "(?U)" + f"{WS}+".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in anchor.split())
 
 
+def elastic_of(anchor: Column) -> Column:
+    """elastic() of anchors that are a column."""
+    quoted = lambda w: F.concat(F.lit("\\Q"), F.replace(w, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    return F.concat(F.lit(U), F.array_join(F.transform(F.split(strip(anchor), f"{U}{WS}+"), quoted), f"{WS}+"))
+
+
+def slice_of(c: Column, start: Column, stop: Column, start_n: Column, stop_n: Column) -> Column:
+    """slice_between() by anchors and occurrences that are columns: each row its own. A null or empty stop is the text's end."""
+    cut = lambda t, anchor, n: let(F.split(t, elastic_of(anchor), n + 1), lambda v: F.when(F.size(v) > n, v))
+    # The text before the n-th occurrence is what is left once the rest and the match are taken off: pieces and matches, in turn.
+    found = lambda t, anchor, n: F.slice(F.regexp_extract_all(t, elastic_of(anchor), F.lit(0)), F.lit(1), n)
+    length = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + F.length(y))
+
+    def span(t: Column, what: str, anchor: Column, n: Column) -> Column:
+        missing = F.raise_error(F.concat(F.lit(f"{what} anchor "), anchor, F.lit(" has no occurrence "), n.cast("string")))
+        place = lambda v, m: F.struct((length(F.slice(v, F.lit(1), n)) + length(F.slice(m, F.lit(1), n - 1))).alias("start"), (length(F.slice(v, F.lit(1), n)) + length(m)).alias("end"))
+        return let(cut(t, anchor, n), lambda v: F.when(v.isNull(), missing).otherwise(let(found(t, anchor, n), lambda m: place(v, m))))
+
+    whole = F.coalesce(stop, F.lit("")) == ""
+    tail = lambda a: F.substr(c, a["end"] + 1)
+    between = lambda a: let(tail(a), lambda t: let(span(t, "to", stop, stop_n), lambda b: F.substr(c, a["start"] + 1, a["end"] - a["start"] + b["start"])))
+    return let(span(c, "from", start, start_n), lambda a: F.when(whole, F.substr(c, a["start"] + 1)).otherwise(between(a)))
+
+
 def nth_span(c: Column | str, pattern: str, n: int = 1) -> Column:
     """struct(start, end) of the n-th match, from 0, end exclusive; null if there are fewer.
 

@@ -739,15 +739,16 @@ def run_totals(t):
 @query("""
 SELECT sha256('**Baseline: ' || count(*) FILTER (n_nationkey % 2 = 0) || ' of 25 · Full: ' || count(*) FILTER (n_nationkey % 3 = 0) || ' of 25**' || chr(10) || chr(10) || '| Name | Baseline | Full | Last checked |' || chr(10) || '|---|:---:|:---:|---|' || chr(10) ||
 string_agg('| ' || n_name || ' | ' || CASE WHEN n_nationkey % 2 = 0 THEN '[x]' ELSE '[ ]' END || ' | ' || CASE WHEN n_nationkey % 3 = 0 THEN '[x]' ELSE '[ ]' END || ' | ' || CASE WHEN n_nationkey % 4 = 0 THEN 'May 1' ELSE '' END || ' |', chr(10) ORDER BY n_name) || chr(10)) AS status,
-sha256('<div class="state-picker" role="group" aria-label="Jump to a state page">' || chr(10) || string_agg(CASE WHEN n_nationkey % 2 = 0 THEN '<a class="state-pill" href="/states/s' || n_nationkey || '/" title="' || n_name || CASE WHEN n_nationkey % 4 = 0 THEN ' — sources last checked May 1' ELSE '' END || '">N&' || n_nationkey || '<span class="sr-only">' || n_name || '</span></a>'
-ELSE '<span class="state-pill state-pill--pending" title="' || n_name || ' — not yet published">N&' || n_nationkey || '<span class="sr-only">' || n_name || ' — not yet published</span></span>' END, chr(10) ORDER BY n_name) || chr(10) || '</div>') AS picker FROM nation""")
+sha256('<ul>' || chr(10) || string_agg(CASE WHEN n_nationkey % 2 = 0 THEN '<li><a href="/of/s' || n_nationkey || '" title="' || n_name || CASE WHEN n_nationkey % 4 = 0 THEN ', seen May 1' ELSE '' END || '">N&' || n_nationkey || ' ' || n_name || '</a></li>'
+ELSE '<li>N&' || n_nationkey || ' ' || n_name || '</li>' END, chr(10) ORDER BY n_name) || chr(10) || '</ul>') AS picker FROM nation""")
 def status_and_picker(t):
     """The status table and the block of links of a dimension's members."""
+    forms = ("<ul>\n{links}\n</ul>", '<li><a href="/of/{slug}" title="{title}">{abbr} {name}</a></li>', "<li>{abbr} {name}</li>", ", seen {checked}")
     k = F.col("n_nationkey")
     n = t("nation").select(
         F.col("n_name").alias("name"), F.concat(F.lit("s"), k.cast("string")).alias("slug"), F.concat(F.lit("N&"), k.cast("string")).alias("abbr"), (k % 2 == 0).alias("base"), (k % 3 == 0).alias("full"), (k % 2 == 0).alias("published"), F.when(k % 4 == 0, "May 1").alias("checked")
     )
-    return sinks.status_table(n).select(F.sha2("text", 256).alias("status")).crossJoin(sinks.picker(n).select(F.sha2("html", 256).alias("picker")))
+    return sinks.status_table(n).select(F.sha2("text", 256).alias("status")).crossJoin(sinks.picker(n, *forms).select(F.sha2("html", 256).alias("picker")))
 
 
 _NOTED = "'2026-0' || (1 + n_nationkey % 9) || '-01'"

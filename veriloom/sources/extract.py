@@ -57,8 +57,8 @@ def extract(fetched: DataFrame, content: str = "content") -> DataFrame:
     """fetched(..., s struct of a recipe's source, content binary) with body: extracted, then sliced, then filtered.
 
     Bytes that don't decode fail the query if they are left in the body. PDF files need pdf_text(), whose program may be absent, and are
-    passed through here as text that was extracted before. Recipes are few, so that each list of filters and each slice that occurs
-    becomes one branch of an expression. A source without an extractor's text has a null body.
+    passed through here as text that was extracted before. Slices are cut by anchors taken from each row; lists of filters are few, so that each
+    that occurs becomes one branch of an expression. A source without an extractor's text has a null body.
     """
     s = F.col("s")
     plain, western = files.decode(F.col(content)), files.decode(F.col(content), "cp1252")
@@ -68,10 +68,9 @@ def extract(fetched: DataFrame, content: str = "content") -> DataFrame:
     d = d.withColumn("__b", F.coalesce(body, F.col("__d.text")))
     binary = F.when(s["extractor"] == "docx", F.col("__b")).otherwise(files.refuse_lossy(F.col("__d"), F.col("__b")))
     d = d.withColumn("__b", binary)
-    cuts = [r[0] for r in d.select(s["slice"]).distinct().collect() if r[0] is not None]
-    for c in cuts:
-        same = F.col("s.slice").eqNullSafe(F.struct(*[F.lit(v).cast("string" if k in ("from", "to") else "int").alias(k) for k, v in c.asDict().items()]))
-        d = d.withColumn("__b", F.when(same, T.slice_between("__b", c["from"], c["to"], c["from_occurrence"] or 1, c["to_occurrence"] or 1)).otherwise(F.col("__b")))
+    once = lambda f: F.coalesce(s["slice"][f], F.lit(1))
+    sliced = T.slice_of(F.col("__b"), s["slice"]["from"], s["slice"]["to"], once("from_occurrence"), once("to_occurrence"))
+    d = d.withColumn("__b", F.when(s["slice"].isNull(), F.col("__b")).otherwise(sliced))
     out = F.when(F.coalesce(F.size(s["filters"]), F.lit(0)) < 1, T.form_feed_to_line(F.col("__b")))
     for (names,) in d.select(s["filters"]).distinct().collect():
         if names:

@@ -180,28 +180,25 @@ def status_table(rows: DataFrame) -> DataFrame:
     return agg.select(F.concat(head, F.array_join(F.transform("r", lambda x: x["x"]), "\n"), F.lit("\n")).alias("text"))
 
 
-# How links to a dimension's pages are written.
-PICKER = '<div class="state-picker" role="group" aria-label="Jump to a state page">\n{}\n</div>'
-PUBLISHED = '<a class="state-pill" href="/states/{slug}/" title="{title}">{abbr}<span class="sr-only">{name}</span></a>'
-AWAITED = '<span class="state-pill state-pill--pending" title="{name} — not yet published">{abbr}<span class="sr-only">{name} — not yet published</span></span>'
-CHECKED = " — sources last checked "
-# End of fixed values.
-
-
 def _filled(form: str, **values: Column) -> Column:
     """A form whose {names} are replaced by columns."""
     parts = re.split(r"\{(\w+)\}", form)
     return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)])
 
 
-def picker(rows: DataFrame) -> DataFrame:
-    """One row, one block of links to the pages of rows(name, slug, abbr, published, checked), a dimension's few members, by name; those not published aren't links."""
+def picker(rows: DataFrame, block: str, link: str, awaited: str, dated: str) -> DataFrame:
+    """One row, one block of links to the pages of rows(name, slug, abbr, published, checked), a dimension's few members, by name; those not published aren't links.
+
+    The forms are a site's own: block holds {links}, one a line; link {slug}, {title}, {abbr} and {name}, its title a name and, where it is known, dated with
+    {checked}; awaited {abbr} and {name}.
+    """
     name = T.html_escape(F.col("name"))
-    title = F.concat(name, F.coalesce(F.concat(F.lit(CHECKED), T.html_escape(F.col("checked"))), F.lit("")))
-    one = F.when(F.col("published"), _filled(PUBLISHED, slug=F.col("slug"), title=title, abbr=F.col("abbr"), name=name)).otherwise(_filled(AWAITED, abbr=F.col("abbr"), name=name))
+    title = F.concat(name, F.coalesce(_filled(dated, checked=T.html_escape(F.col("checked"))), F.lit("")))
+    known = {"slug": F.col("slug"), "title": title, "abbr": F.col("abbr"), "name": name}
+    one = F.when(F.col("published"), _filled(link, **known)).otherwise(_filled(awaited, **known))
     ordered = F.array_sort(F.collect_list(F.struct("name", one.alias("x"))))
-    head, tail = PICKER.split("{}")
-    return rows.agg(F.concat(F.lit(head), F.array_join(F.transform(ordered, lambda x: x["x"]), "\n"), F.lit(tail)).alias("html"))
+    return rows.agg(_filled(block, links=F.array_join(F.transform(ordered, lambda x: x["x"]), "\n")).alias("html"))
+
 
 
 def method_digest(recipe: Column) -> Column:
