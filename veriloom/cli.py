@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.operators import compare, coverage, fidelity, health, history, queue
+from veriloom.operators import compare, coverage, fidelity, gates, health, history, queue, worker
 from veriloom.sources import files, packets, sinks
 from veriloom.sources.html import canonical_digest
 
@@ -204,14 +204,89 @@ def dates(spark: SparkSession, a, say: Say) -> int:
     return int(_tell(sinks.corrections(found.where("surface = 'source'"), found.where("surface <> 'source'")), say) > 0)
 
 
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A ledger's rows; none if there is no file yet."""
+    text = spark.read.text(path, wholetext=True) if os.path.exists(path) else spark.createDataFrame([], "value string")
+    return files.ledger(text)
+
+
+def _keep(ledger: DataFrame, path: str) -> None:
+    """Write a ledger in place of the one before, whole or not at all."""
+    text = sinks.ledger_json(ledger).first()[0]
+    with open(path + ".new", "w", encoding="utf-8") as f:
+        f.write(text + "\n")
+    os.replace(path + ".new", path)
+
+
+def _wanted(spark: SparkSession, a) -> DataFrame:
+    return sinks.needed_links(_pages(spark, a.pages, "en").select("slug", F.col("raw").alias("html")))
+
+
 def status(spark: SparkSession, a, say: Say) -> int:
     """How a retry queue stands: candidates are the pages' external links without a capture."""
-    pages = _pages(spark, a.pages, "en").select("slug", F.col("raw").alias("html"))
-    led = files.ledger(spark.read.text(a.ledger, wholetext=True)).withColumn("last_attempt", F.try_to_timestamp("last_attempt"))
-    _tell(queue.totals(queue.queue(sinks.needed_links(pages), led, F.to_timestamp(F.lit(a.now))), ["slug"]), say)
+    led = _ledger(spark, a.ledger).withColumn("last_attempt", worker.when("last_attempt"))
+    _tell(queue.totals(queue.queue(_wanted(spark, a), led, F.to_timestamp(F.lit(a.now))), ["slug"]), say)
+    return 0
+
+
+def _planned(spark: SparkSession, a) -> DataFrame:
+    return worker.plan(_wanted(spark, a), _ledger(spark, a.ledger), F.to_timestamp(F.lit(a.now)), int(a.budget), int(a.most) if a.most else None, a.retry_blocked)
+
+
+def plan(spark: SparkSession, a, say: Say) -> int:
+    """What a run for so many captures would attempt, in order, and what is held back and why."""
+    for r in _planned(spark, a).orderBy(F.col("place").isNull(), "place", "part", "slug", "url").toLocalIterator():
+        say("  ".join(str(v) for v in (r.part, r.slug, r.last_detail, r.url) if v is not None))
+    return 0
+
+
+def run(spark: SparkSession, a, say: Say) -> int:
+    """Note in the ledger what a run attempted, by the recorded answers of the far side (JSON lines); 1 if an account fault ended it."""
+    answers = spark.read.schema("url string, at string, result string, detail string, message string, capture string").json(a.answers)
+    made = worker.run(_planned(spark, a), answers.where("url is not null"), int(a.budget), int(a.most) if a.most else None)
+    stored = tried = fault = 0
+    for r in made.orderBy("seq").toLocalIterator():  # a run's attempts, bounded by its budget
+        tried, stored, fault = tried + 1, stored + (r.result == "PENDING"), fault or (r.detail in worker.ACCOUNT)
+        say(f"{r.result}  {r.page}  {r.detail or ''}  {r.url}")
+    if tried:
+        _keep(worker.noted(_ledger(spark, a.ledger), made), a.ledger)
+    say(f"{stored} stored, {tried} attempted")
+    return int(bool(fault))
+
+
+def confirm(spark: SparkSession, a, say: Say) -> int:
+    """Note in the ledger which pending captures were read back, by recorded looks (JSON lines), until one was throttled."""
+    led, now = _ledger(spark, a.ledger), F.to_timestamp(F.lit(a.now))
+    looks = spark.read.schema("url string, seen string").json(a.looks)
+    found = worker.looked(led, looks.where("url is not null"), now)
+    _tell(found.select("outcome", "page", "url"), say)
+    _keep(worker.confirmed(led, found, F.date_format(now, "yyyy-MM-dd'T'HHmmss'Z'")), a.ledger)
     return 0
 
 
+def record(spark: SparkSession, a, say: Say) -> int:
+    """Enter confirmed captures that pages don't link yet in the logs of their Markdown sources; 1 if some must be entered by hand."""
+    html = _texts(spark, a.pages, "*.html").select(_name().alias("slug"), F.col("raw").alias("html"))
+    md = _texts(spark, a.sources, "*.md").select(_name().alias("slug"), F.col("raw").alias("md"), "path")
+    done = worker.recorded(html.join(md.drop("path"), "slug", "left"), _ledger(spark, a.ledger), a.today, a.heading.rstrip("\n") + "\n\n", a.entry)
+    missed = 0
+    for r in done.orderBy("slug").toLocalIterator():  # pages with something to record
+        missed += r.reason is not None
+        say(f"{'skipped' if r.reason else 'would record' if a.dry_run else 'recorded'}  {r.slug}  {r.reason or str(r.captures) + ' capture(s)'}")
+        if not r.reason and not a.dry_run:
+            path = os.path.join(a.sources, f"{r.slug}.md")
+            with open(path + ".new", "w", encoding="utf-8", newline="") as f:
+                f.write(r.md)
+            os.replace(path + ".new", path)
+    return int(missed > 0)
+
+
+def live(spark: SparkSession, a, say: Say) -> int:
+    """What copies of published pages load from hosts that aren't the site's own."""
+    pages = _texts(spark, a.pages, "*.html").select(_name().alias("slug"), "raw")
+    return int(_tell(pages.select("slug", F.explode(gates.loads(F.col("raw"), a.own)).alias("load")).distinct(), say) > 0)
+
+
 def sitemap(spark: SparkSession, a, say: Say) -> int:
     """A site's sitemap; with --check, 1 if the file differs from it."""
     root = "/" + a.site.strip("/") + "/"
@@ -258,6 +333,11 @@ def parser() -> argparse.ArgumentParser:
     add("health", health_, "history", "packets", "recipes", "today", cursor=None, ledger=None)
     add("anchor", anchor, "tree", "manifest")
     add("status", status, "pages", "ledger", "now")
+    add("plan", plan, "pages", "ledger", "now", "budget", most=None, retry_blocked=False)
+    add("run", run, "pages", "ledger", "answers", "now", "budget", most=None, retry_blocked=False)
+    add("confirm", confirm, "ledger", "looks", "now")
+    add("record", record, "pages", "sources", "ledger", "today", heading="## Change log", entry="{today} — Captures recorded, requested {when}: {items}.", dry_run=False)
+    add("live", live, "pages", own=[])
     add("sitemap", sitemap, "site", "base", "today", check=None, exclude=[])
     return p
 

@@ -180,7 +180,7 @@ def status_table(rows: DataFrame) -> DataFrame:
     return agg.select(F.concat(head, F.array_join(F.transform("r", lambda x: x["x"]), "\n"), F.lit("\n")).alias("text"))
 
 
-def _filled(form: str, **values: Column) -> Column:
+def filled(form: str, **values: Column) -> Column:
     """A form whose {names} are replaced by columns."""
     parts = re.split(r"\{(\w+)\}", form)
     return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)])
@@ -193,11 +193,11 @@ def picker(rows: DataFrame, block: str, link: str, awaited: str, dated: str) ->
     {checked}; awaited {abbr} and {name}.
     """
     name = T.html_escape(F.col("name"))
-    title = F.concat(name, F.coalesce(_filled(dated, checked=T.html_escape(F.col("checked"))), F.lit("")))
+    title = F.concat(name, F.coalesce(filled(dated, checked=T.html_escape(F.col("checked"))), F.lit("")))
     known = {"slug": F.col("slug"), "title": title, "abbr": F.col("abbr"), "name": name}
-    one = F.when(F.col("published"), _filled(link, **known)).otherwise(_filled(awaited, **known))
+    one = F.when(F.col("published"), filled(link, **known)).otherwise(filled(awaited, **known))
     ordered = F.array_sort(F.collect_list(F.struct("name", one.alias("x"))))
-    return rows.agg(_filled(block, links=F.array_join(F.transform(ordered, lambda x: x["x"]), "\n")).alias("html"))
+    return rows.agg(filled(block, links=F.array_join(F.transform(ordered, lambda x: x["x"]), "\n")).alias("html"))
 
 
 
