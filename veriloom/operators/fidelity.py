@@ -21,6 +21,8 @@ from veriloom.functions import text as T
 CLAIM_BYTES, SHORT_BYTES = 32 << 20, 1 << 20
 #: Words of a claim that a text is searched for first.
 SEED = 4
+#: Characters of an address that lead to where it may stand in evidence; address_in finds no shorter one.
+SEED_CHARS = 12
 
 
 def evidence(packets: DataFrame, key: str = "slug", order: str = "path", text: str = "body") -> DataFrame:
@@ -126,12 +128,25 @@ def explode_values(df: DataFrame, key: str, values) -> DataFrame:
 
 
 def missing_addresses(pages: DataFrame, ev: DataFrame, key: str = "slug", page: str = "raw", body: str = "body") -> DataFrame:
-    """Addresses of pages that evidence neither states as such nor holds once whitespace is gone."""
+    """Addresses of pages that evidence neither states as such nor holds once whitespace is gone.
+
+    An address begins with a number or ends with one, and address_in takes that number whole: an occurrence begins, or read backwards begins, where
+    a run of digits does. Each run's stretch of the longest address asked for is compared once a key, with addresses that share its first SEED_CHARS characters.
+    """
     claimed = explode_values(pages, key, C.addresses(page)).distinct()
     known = explode_values(ev, key, C.addresses(body)).distinct()
     left = claimed.join(known, [key, "value"], "left_anti")
-    e = ev.select(F.col(key).alias("__k"), F.col(body).alias("__e"))
-    return left.join(e, (F.col(key) == F.col("__k")) & C.address_in("value", "__e"), "left_anti")
+    a = left.withColumn("__a", T.no_space("value")).withColumn("back", ~F.col("__a").rlike("^[0-9]")).where(F.length("__a") >= SEED_CHARS)
+    longest = a.agg(F.max(F.length("__a"))).first()[0] or SEED_CHARS
+    facing = lambda x: F.when(F.col("back"), F.reverse(x)).otherwise(F.col(x))
+    sought = a.select(key, "value", "__a", "back", F.substring(facing("__a"), 1, SEED_CHARS).alias("seed"))
+    e = ev.select(key, T.no_space(F.lower(body)).alias("e")).where(F.col("e").rlike("[0-9]")).distinct()
+    e = e.select(key, F.explode(F.array(F.lit(False), F.lit(True))).alias("back"), "e")
+    runs = F.regexp_extract_all(facing("e"), F.lit(rf"(?s)(?<![0-9])(?=([0-9].{{{SEED_CHARS - 1},{longest}}}))"), F.lit(1))
+    stretches = e.select(key, "back", F.explode(runs).alias("s")).distinct()
+    met = sought.join(stretches.withColumn("seed", F.substring("s", 1, SEED_CHARS)), [key, "back", "seed"])
+    held = met.where(F.col("s").startswith(facing("__a"))).where(C.address_in("value", facing("s"))).select(key, "value").distinct()
+    return left.join(held, [key, "value"], "left_anti")
 
 
 def missing_hosts(pages: DataFrame, ev: DataFrame, key: str = "slug", page: str = "raw", body: str = "body", allow: list[str] | None = None) -> DataFrame:
