@@ -344,9 +344,14 @@ def slice_between(c: Column | str, start: str, stop: str | None = None, start_n:
 def shortest_unique(c: Column | str, at: Column, least: int = 45, most: int = 200) -> Column:
     """The shortest prefix, `least` to `most` characters, of the text from a place on that occurs once in the text; else null."""
     c = _col(c)
-    tries = F.transform(F.sequence(F.lit(least), F.lit(most)), lambda n: F.substr(c, at + 1, n))
-    once = lambda p: (F.length(c) - F.length(F.replace(c, p, F.lit("")))) == F.length(p)
-    return F.get(F.filter(tries, lambda p: (F.length(p) >= least) & once(p)), 0)
+    once = lambda n: let(F.substr(c, at + 1, n), lambda p: (F.length(c) - F.length(F.replace(c, p, F.lit("")))) == F.length(p))
+    # A longer prefix occurs no more often: the least that occurs once is found by halving, and most texts end at the first test.
+    top = F.least(F.lit(most), F.length(c) - at)
+    span = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+    halve = lambda s, _: let(F.floor((s["low"] + s["high"]) / 2), lambda m: F.when(s["low"] >= s["high"], s).when(once(m), span(s["low"], m)).otherwise(span(m + 1, s["high"])))
+    steps = F.sequence(F.lit(1), F.lit(max(1, (most - least).bit_length())))
+    longer = let(F.aggregate(steps, span(F.lit(least + 1), top), halve)["low"], lambda n: F.when(once(n), F.substr(c, at + 1, n)))
+    return F.when(top < least, None).when(once(F.lit(least)), F.substr(c, at + 1, F.lit(least))).when(top > least, longer)
 
 
 def locate(full: Column | str, body: Column | str, head: int = 120) -> Column:
