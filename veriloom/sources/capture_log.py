@@ -40,6 +40,8 @@ from veriloom.session import ship
 SCHEMA = "key string, path string, at long, text string"
 #: Bytes of a file that one task reads; rows that a batch holds are of so many bytes.
 RANGE, BATCH = 64 << 20, 4 << 20
+#: Tasks that a read is dealt to, at most, unless they would have more than RANGE bytes each.
+TASKS = 64
 TAIL = 1 << 16
 
 
@@ -66,6 +68,38 @@ class Range(InputPartition):
     high: int
 
 
+@dataclass
+class Share(InputPartition):
+    """What one task reads: ranges that follow one another, those that adjoin as one."""
+
+    ranges: list[Range]
+
+    @property
+    def key(self) -> str:
+        """The key of its first range."""
+        return self.ranges[0].key
+
+
+def shares(ranges: list[Range]) -> list[Share]:
+    """Ranges dealt to tasks in order, by bytes: small ranges don't make many tasks, large ones aren't put together."""
+    step = max(-(-sum(r.high - r.low for r in ranges) // TASKS), 1)
+    out: list[Share] = []
+    held = most = 0
+    for r in ranges:
+        size = r.high - r.low
+        if not out or held + size > most:
+            out.append(Share([r]))
+            held, most = size, max(min(step, RANGE), size)
+            continue
+        mine, last = out[-1].ranges, out[-1].ranges[-1]
+        held += size
+        if last.path == r.path and last.high == r.low and size:
+            mine[-1] = Range(r.path, r.key, last.low, r.high)
+        else:
+            mine.append(r)
+    return out
+
+
 class Folder:
     """The files of a source: options path, glob (of file names), key (a pattern whose first group is a path's key), whole (a file a row), range."""
 
@@ -158,10 +192,11 @@ class CaptureReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        return [r for path, key, size in self.folder.files(self.keys) for r in self.folder.ranges(path, key, 0, size)]
+        return shares([r for path, key, size in self.folder.files(self.keys) for r in self.folder.ranges(path, key, 0, size)])
 
-    def read(self, part: Range):
-        return self.folder.read(part)
+    def read(self, part: Share):
+        for r in part.ranges:
+            yield from self.folder.read(r)
 
 
 class CaptureStream(DataSourceStreamReader):
@@ -201,10 +236,11 @@ class CaptureStream(DataSourceStreamReader):
                 raise ValueError(f"{path} is not what it was: {low} bytes were read of it, it has {high}")
             if high > low or (self.folder.whole and path not in start):
                 out += self.folder.ranges(path, keys.get(path, self.folder.key.search(path)[1]), low, high)
-        return out
+        return shares(out)
 
-    def read(self, part: Range):
-        return self.folder.read(part)
+    def read(self, part: Share):
+        for r in part.ranges:
+            yield from self.folder.read(r)
 
     def commit(self, end: dict) -> None:
         """Nothing to give back: files stay."""
