@@ -41,11 +41,13 @@ def retain(captures: DataFrame, rows: DataFrame) -> DataFrame:
     One new capture a slug and kind at a time. Stored captures get a free name (day, day-b, day-c... and the characters after z)
     and name what they supersede; a day whose names are all taken fails the query.
     """
+    # Dealt by slug first: both aggregates then sort a partition's rows, not all that a few files give a task.
+    rows = rows.where("capture is not null").repartition("slug")
     prev = newest_stored(rows).select("slug", "kind", F.col("hash").alias("prev_hash"), F.col("capture").alias("prev_capture"), F.col("headers").alias("prev_headers"))
     new = captures.withColumn("kind", kind()).join(prev, ["slug", "kind"], "left")
     stored = ~(F.col("prev_hash").eqNullSafe(F.col("hash"))) | (F.col("result") == "drift")
     base = F.concat("date", F.when(F.col("kind") == "main", "").otherwise(F.concat(F.lit("-"), "kind")))
-    taken = rows.where("capture is not null").groupBy("slug").agg(F.collect_set("capture").alias("taken"))
+    taken = rows.groupBy("slug").agg(F.collect_set("capture").alias("taken"))
     new = new.join(taken, "slug", "left").withColumn("stored", stored)
     # Of as many names as are taken and one more, one is free.
     tails = F.transform(F.sequence(F.lit(0), F.coalesce(F.size("taken"), F.lit(0))), lambda i: F.when(i == 0, "").when(i < 159, F.concat(F.lit("-"), F.chr(i + 97))))
