@@ -64,10 +64,14 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def _left(side: DataFrame, matches: DataFrame, at: str) -> DataFrame:
-    """side's rows that have no match yet, with seg: how many matches of their key come before."""
-    m = matches.select("key", F.col(at).alias("at"), F.lit(1).alias("hit"))
-    w = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return side.join(m, ["key", "at"], "left").withColumn("seg", F.coalesce(F.sum("hit").over(w), F.lit(0))).where("hit is null").drop("hit")
+    """side's rows that have no match yet, with seg: how many matches of their key come before.
+
+    Both are dealt by key as one, which serves the groups and windows that follow too: a side goes over the network once a round.
+    """
+    both = side.withColumn("hit", F.lit(0)).unionByName(matches.select("key", F.col(at).alias("at"), F.lit(1).alias("hit")), allowMissingColumns=True)
+    w = Window.partitionBy("key").orderBy("at")
+    both = both.withColumns({"seg": F.sum("hit").over(w.rangeBetween(Window.unboundedPreceding, 0)), "here": F.sum("hit").over(w.rangeBetween(0, 0))})
+    return both.where("here = 0").drop("hit", "here")
 
 
 def _round(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -89,7 +93,7 @@ def matches(pairs: DataFrame, key: str, old: str, new: str, by: Column | None =
     by: what of an element must be equal, an expression of the column p (default: its letters and digits, lower-cased).
     """
     by = T.squash("p") if by is None else by
-    side = lambda c: _kept(pairs.select(F.col(key).alias("key"), F.posexplode(c).alias("at", "p")).select("key", "at", F.sha2(by, 256).alias("h")))
+    side = lambda c: _kept(pairs.select(F.col(key).alias("key"), F.posexplode(c).alias("at", "p")).select("key", "at", F.substring(F.unhex(F.sha2(by, 256)), 1, 16).alias("h")))
     a, b = side(old), side(new)
     kind = a.schema["key"].dataType.simpleString()
     done = pairs.sparkSession.createDataFrame([], f"key {kind}, i int, j int")
