@@ -81,3 +81,12 @@ def test_hot_keys_meet_in_cells(spark):
 def test_limits_bound_the_hot_keys():
     for rows in (0, 10, 8_192_000, 10**13):
         assert rows / spread.limit(rows) <= spread.HOT_KEYS
+
+
+def test_tables_grow_with_the_texts_not_with_their_grams(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    texts = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(600))) for i in range(300)]
+    made = []
+    monkeypatch.setattr(gramindex, "scratch", lambda _, name: made.append(name) or f"file://{tmp_path}/{len(made)}-{name}")
+    assert run(spark, texts, texts) == sorted(((i, 1, i) for i, _ in texts), key=str)
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 1.5 * sum(len(x) for _, x in texts)
