@@ -88,3 +88,28 @@ def test_nulls_repeats_one_label_and_empty(spark):
     got = quality.score(docs, quality.fit(docs, both)).collect()
     assert len(got) == 4 and len({r["score"] for r in got}) <= 2
     assert quality.score(docs.limit(0), quality.fit(docs, both)).count() == 0
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    rows = corpus(400, 5)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    s = quality.Settings(each=20, epochs=2)
+    ranking = quality.fit(docs, labels, s)
+    # Every word of a labelled row has a weight.
+    _, dense, _, slot = next(iter(quality.measures(pa.array([r[1] for r in rows]))))
+    assert (ranking.w[np.unique(slot)] != 0).all()
+    strength = np.sort([r["strength"] for r in quality.score(docs, ranking).collect()])
+    assert abs(strength[100] - ranking.quantile) < 1e-12  # 100 rows of label 0, of 400
+    edges = np.sort(dense, axis=0)
+    assert all(abs(ranking.edges[k][3] - edges[199, k]) < 1e-12 for k in range(len(quality.MEASURES)))
+    y = spark.createDataFrame([(i, y) for i, _, y in rows], "id long, y int")
+    for n in ({0: 100, 1: 300}, {0: 300, 1: 100}):
+        parts = {}
+        for r in quality.dealt(y if n[1] == 300 else y.selectExpr("id", "1 - y as y"), n, 20).collect():
+            parts.setdefault(r["part"], []).append((r["id"], r["y"]))
+        more = 1 if n[1] == 300 else 0
+        assert len(parts) == 15 and {i for p in parts.values() for i, _ in p} == set(range(400))
+        assert sum(k == more for p in parts.values() for _, k in p) == 300 and all(any(k != more for _, k in p) for p in parts.values())
+    again = quality.fit(docs, labels, s)
+    assert (again.w == ranking.w).all() and again.quantile == ranking.quantile and again.slope == ranking.slope

@@ -5,9 +5,10 @@ logistic(difference of strengths): the weights are learned from preference pairs
 intercept, so that a threshold comes after: the quantile of the labelled strengths at the share of label 0. A score is logistic in the distance
 from that quantile, which scores LIMIT.
 
-Features: how a text is made (MEASURES: shares of kinds of bytes, repeated words, runs and lines, lengths), each cut at quantiles of the sample
-into BINS steps so that a weight can rise and fall along it, and the presence of hashed words, of unit length together.
-Labels, languages, sources and ids are not among them. Training reads a bounded sample of labelled rows; scoring reads all rows, whole texts.
+Features: how a text is made (MEASURES: shares of kinds of bytes, repeated words, runs and lines, lengths), each cut at quantiles of the labelled
+rows into BINS steps so that a weight can rise and fall along it, and the presence of hashed words, of unit length together.
+Labels, languages, sources and ids are not among them. Training reads all labelled rows: they are dealt to parts of bounded size, each part's weights
+are learned by themselves, and the weights are the parts' mean; quantile and slope come from the strengths of all of them. Scoring reads all rows, whole texts.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.llm import textkit
-from veriloom.llm.shared import cut, forget
+from veriloom.llm.shared import bloom, cut, flagged, forget
 
 U = np.uint64
 #: The score of a document whose strength is the quantile: those of LIMIT and more are kept.
 LIMIT = 0.7
 #: Hash slots of words, and steps of a measure.
 WORD_BITS, BINS = 12, 8
+#: Slopes that are tried, and what a unit of a weight is when weights are summed as whole numbers, in any order alike.
+SLOPES, UNIT = np.geomspace(0.02, 20, 60), 1 << 40
 
 MEASURES = (
     "log words", "log bytes", "capitals", "letters", "digits", "blanks", "line ends", "stops", "other marks",
@@ -45,8 +48,8 @@ _KIND[[ord(c) for c in ".,;:!?'\"()-"]] = 6
 
 @dataclass(frozen=True)
 class Settings:
-    """each: labelled rows of either label that training reads, at most (those of the smallest id hashes; the share of label 0 is counted over
-    all labelled rows). A row of the larger class is in `epochs` pairs, one an epoch, with a partner drawn from the other."""
+    """each: rows of either label in a part, about. A row of the larger class is in one part and `epochs` pairs, one an epoch, with a partner drawn
+    from the other, whose rows are in as many parts as it takes to have so many, or all of them, in each."""
 
     each: int = 8_000
     epochs: int = 12
@@ -145,16 +148,9 @@ def pairs_of(y: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.nd
     return deal(up), deal(low)
 
 
-def train(dense: np.ndarray, doc: np.ndarray, slot: np.ndarray, y: np.ndarray, share: float, s: Settings) -> Ranking:
-    """Weights from pairs by Adagrad; then the quantile of strengths at `share` (of label 0), and the slope that fits the labels best."""
-    edges = np.quantile(dense, np.arange(1, BINS) / BINS, axis=0).T if len(dense) else np.zeros((len(MEASURES), BINS - 1))
+def weights(index: np.ndarray, value: np.ndarray, start: np.ndarray, y: np.ndarray, s: Settings) -> np.ndarray:
+    """Weights from pairs by Adagrad. start: where each document's features begin, and the end."""
     size = (1 << WORD_BITS) + len(MEASURES) * BINS
-    if not (y == 1).any() or not (y == 0).any():
-        return Ranking(edges, np.zeros(size), 0.0, 1.0, flat=1 - share)
-    at, index, value = entries(dense, doc, slot, edges)
-    order = np.argsort(at, kind="stable")
-    index, value = index[order], value[order]
-    start = np.searchsorted(at[order], np.arange(len(y) + 1))
     rng = np.random.default_rng(s.seed)
     w, held = np.zeros(size), np.full(size, 1e-2)
     for _ in range(s.epochs):
@@ -171,30 +167,68 @@ def train(dense: np.ndarray, doc: np.ndarray, slot: np.ndarray, y: np.ndarray, s
             g = np.bincount(i, np.concatenate([e, -e])[of] * x, size) + s.decay * w
             held += g * g
             w -= s.rate * g / np.sqrt(held)
+    return w
+
+
+def by_document(dense: np.ndarray, doc: np.ndarray, slot: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, value, where each document's begin, and the end)."""
+    at, index, value = entries(dense, doc, slot, edges)
+    order = np.argsort(at, kind="stable")
+    return index[order], value[order], np.searchsorted(at[order], np.arange(len(dense) + 1))
+
+
+def losses(y: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Logistic loss of each of SLOPES, for labels and strengths above the quantile, a row each."""
+    z = above[:, None] * SLOPES + np.log(LIMIT / (1 - LIMIT))
+    return np.logaddexp(0, np.where(y == 1, -1, 1)[:, None] * z)
+
+
+def train(dense: np.ndarray, doc: np.ndarray, slot: np.ndarray, y: np.ndarray, share: float, s: Settings) -> Ranking:
+    """Of rows in memory: weights, then the quantile of strengths at `share` (of label 0), and the slope that fits the labels best."""
+    edges = np.quantile(dense, np.arange(1, BINS) / BINS, axis=0).T if len(dense) else np.zeros((len(MEASURES), BINS - 1))
+    if not (y == 1).any() or not (y == 0).any():
+        return Ranking(edges, np.zeros((1 << WORD_BITS) + len(MEASURES) * BINS), 0.0, 1.0, flat=1 - share)
+    index, value, start = by_document(dense, doc, slot, edges)
+    w = weights(index, value, start, y, s)
     strength = np.add.reduceat(w[index] * value, start[:-1])
     weight = np.where(y == 1, (1 - share) / (y == 1).sum(), share / (y == 0).sum())
     order = np.argsort(strength, kind="stable")
     above = np.cumsum(weight[order]) > share * (1 + 1e-12)
     quantile = float(strength[order][min(int(np.argmax(above)), len(y) - 1)])
-    base = np.log(LIMIT / (1 - LIMIT))
-    slopes = np.geomspace(0.02, 20, 60)
-    loss = [(weight * np.logaddexp(0, np.where(y == 1, -1, 1) * (b * (strength - quantile) + base))).sum() for b in slopes]
-    return Ranking(edges, w, quantile, float(slopes[int(np.argmin(loss))]))
+    loss = (weight[:, None] * losses(y, strength - quantile)).sum(0)
+    return Ranking(edges, w, quantile, float(SLOPES[int(np.argmin(loss))]))
+
+
+def _held(table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(measures a document, doc, slot) of columns dense and slots."""
+    dense, slots = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (table.column("dense"), table.column("slots")))
+    size = np.diff(slots.offsets.to_numpy())
+    return dense.flatten().to_numpy(zero_copy_only=False).reshape(len(dense), -1), np.repeat(np.arange(len(slots)), size), slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def dealt(rows: DataFrame, n: dict[int, int], each: int) -> DataFrame:
+    """rows with their part: every row of the larger class in one, those of the other in as many as give each part `each` of them, or all.
+
+    n: rows of either label. A part has about `each` rows of either label.
+    """
+    few = 1 if n[1] < n[0] else 0
+    parts = -(-n[1 - few] // each)
+    copies = min(parts, -(-parts * min(n[few], each) // n[few]))
+    own = F.when(F.col("y") == few, copies).otherwise(1)
+    first = F.pmod(F.xxhash64("id"), F.lit(parts))
+    return rows.withColumn("part", F.explode(F.sequence(first, first + own - 1))).withColumn("part", (F.col("part") % parts).cast("int"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Ranking:
     """A ranking from labels(id_col, label_col), 1 preferred to 0. Null ids and labels are ignored; an id labelled twice is 0 if one label says so.
 
-    At most 2 * s.each rows reach the driver, as measures and at most 2**WORD_BITS slots each.
+    All labelled rows are read. Of them measures and at most 2**WORD_BITS slots are shuffled, no texts; the driver gets sums, quantiles and a weight a feature.
+    Quantiles count all rows and are off by a 100,000th of their ranks at most.
     """
     one = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min((F.col(label_col) > 0).cast("int")).alias("y"))
-    totals = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chosen = None
-    for y in (0, 1):
-        part = one.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(s.each)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    sample = cut(rows.join(F.broadcast(chosen), "id"), "preferred")  # at most 2 * s.each rows of 12 bytes
+    one = cut(one, "labelled")
+    words = bloom(one, "id")
+    rows = flagged(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), F.col("id"), words, "hit").where("hit").select("id", "text")
 
     def run(batches):
         for b in batches:
@@ -203,18 +237,47 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
                 off = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(off, pa.array(slot.astype(np.int16)))
                 made = pa.ListArray.from_arrays(np.arange(0, n * dense.shape[1] + 1, dense.shape[1], dtype=np.int32), pa.array(dense.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("id")[row : row + n], b.column("y")[row : row + n], made, lists], names=["id", "y", "dense", "slots"])
-
-    got = sample.select("id", "y", "text").mapInArrow(run, "id long, y int, dense array<double>, slots array<smallint>").toArrow().combine_chunks().sort_by([("id", "ascending")])
-    forget(sample)
-    share = totals.get(0, 0) / sum(totals.values()) if totals else 0.5
-    y = got["y"].to_numpy()
-    if not len(y):
-        return train(np.zeros((0, len(MEASURES))), np.zeros(0, int), np.zeros(0, int), y, share, s)
-    lists = got["slots"].combine_chunks()
-    size = np.diff(lists.offsets.to_numpy())
-    dense = got["dense"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
-    return train(dense, np.repeat(np.arange(len(y)), size), lists.flatten().to_numpy().astype(np.int64), y, share, s)
+                yield pa.RecordBatch.from_arrays([b.column("id")[row : row + n], made, lists], names=["id", "dense", "slots"])
+
+    made = cut(rows.mapInArrow(run, "id long, dense array<double>, slots array<smallint>").join(one, "id"), "preferred")
+    totals = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n = {0: 0, 1: 0} | {r["y"]: r["n"] for r in made.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    size = (1 << WORD_BITS) + len(MEASURES) * BINS
+    if not n[0] or not n[1]:
+        forget(one, words, made)
+        return Ranking(np.zeros((len(MEASURES), BINS - 1)), np.zeros(size), 0.0, 1.0, flat=1 - (totals.get(0, 0) / sum(totals.values()) if totals else 0.5))
+    steps = [k / BINS for k in range(1, BINS)]
+    edges = np.array(made.agg(*[F.percentile_approx(F.col("dense")[k], steps, 100_000).alias(f"m{k}") for k in range(len(MEASURES))]).first(), float)
+
+    def learn(table):
+        table = table.sort_by([("id", "ascending")])
+        y = table.column("y").to_numpy()
+        w = np.zeros(size)
+        if (y == 1).any() and (y == 0).any():
+            w = weights(*by_document(*_held(table), edges), y, s)
+        return pa.table({"feature": np.arange(size, dtype=np.int32), "units": np.round(w * UNIT).astype(np.int64), "learned": np.full(size, int(w.any()), np.int32)})
+
+    means = dealt(made, n, s.each).groupBy("part").applyInArrow(learn, "feature int, units long, learned int").groupBy("feature").agg(F.sum("units").alias("units"), F.sum("learned").alias("learned")).toArrow().sort_by("feature")
+    w = means["units"].to_numpy() / (np.maximum(means["learned"].to_numpy(), 1) * float(UNIT))
+    ranking = Ranking(edges, w, 0.0, 1.0)
+    shared = docs.sparkSession.sparkContext.broadcast(ranking)  # some 40 KB
+
+    def strengths(batches):
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(shared.value.strength(*_held(b)))], names=["y", "strength"])
+
+    told = cut(made.select("y", "dense", "slots").mapInArrow(strengths, "y int, strength double"), "strengths")
+    quantile = told.agg(F.percentile_approx("strength", F.lit((n[0] + 0.5) / (n[0] + n[1])), 100_000)).first()[0]
+
+    def lost(batches):
+        for b in batches:
+            loss = losses(b.column("y").to_numpy(), b.column("strength").to_numpy() - quantile).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(SLOPES), dtype=np.int32)), pa.array(np.round(loss * (1 << 20)).astype(np.int64))], names=["slope", "loss"])
+
+    best = told.mapInArrow(lost, "slope int, loss long").groupBy("slope").agg(F.sum("loss").alias("loss")).orderBy("loss", "slope").first()
+    forget(one, words, made, told)
+    return Ranking(edges, w, float(quantile), float(SLOPES[best["slope"]]))
 
 
 def score(docs: DataFrame, ranking: Ranking, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
