@@ -130,3 +130,27 @@ def test_submissions_expire_by_the_clock_and_repeats_count_once(spark, tmp_path)
         finally:
             q.stop()
     assert sorted(seen, key=str) == sorted([("a", 1, "pending", 0, "pending"), ("a", None, "expired", 0, "open"), ("b", 1, "pending", 0, "pending"), ("b", 2, "failed", 1, "pending"), ("b", 3, "confirmed", 1, "open")], key=str)
+
+
+def test_keys_share_calls_and_keep_apart(spark, tmp_path):
+    rng = random.Random(4)
+    path, out, log = (str(tmp_path / x) for x in ("in", "out", "log"))
+    keys = [(s, k) for s in [None, *map(str, range(30))] for k in (None, "a", "b")]
+    events = {k: [] for k in keys}
+    calls = []
+    for turn in range(2):  # the second run goes on from what the first holds
+        rows = []
+        for k in keys:
+            for i in rng.sample(range(1000), rng.randrange(4)):
+                events[k].append((1000 * turn + i, rng.choice(["x", "y", None]), rng.choice(["drift", None, None]), rng.choice([f"c{i}", None])))
+                rows.append((*k, *events[k][-1]))
+        write(spark, path, rows, EVENTS, 3)
+        with stateful.rocksdb(spark):
+            q = stateful.retained(spark.readStream.schema(EVENTS).parquet(path), 4).writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
+            q.awaitTermination()
+            calls += [p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["stateOperators"]]
+    got = {}
+    for r in spark.read.parquet(out).collect():
+        got.setdefault((r["slug"], r["kind"]), []).append((r["seq"], r["stored"], r["supersedes"]))
+    assert {k: sorted(v) for k, v in got.items()} == {(s, k or "main"): plain(v) for (s, k), v in events.items() if v}
+    assert calls and max(calls) <= 4  # 93 keys
