@@ -1,4 +1,7 @@
 import datetime as dt
+import difflib
+import random
+import time
 import hashlib
 import io
 import json
@@ -93,6 +96,29 @@ def test_method_code_similarity(spark):
     assert (block.tag, block.removed, block.added) == ("replace", ["two"], ["2!", "three"])
 
 
+def test_similarity_is_the_sequence_matchers(spark):
+    rng = random.Random(5)
+    rows = [("", ""), ("", "x"), ("abxcd", "abcd"), ("x" * 300, "x" * 299)]
+    for _ in range(400):
+        letters = [chr(97 + i) for i in range(rng.choice([1, 2, 5, 26, 300]))]
+        rare = [1 / (i + 1) ** rng.choice([0, 1, 2]) for i in range(len(letters))]
+        a = "".join(rng.choices(letters, rare, k=rng.choice([9, 199, 200, 500])))
+        b = "".join(rng.choice([c, c + rng.choice(letters), ""]) if rng.random() < rng.choice([0.01, 0.1, 0.5]) else c for c in a)
+        rows.append(rng.choice([(a, b), (b, a), (a, b[len(b) // 2 :] + b), (a, b * 2)]))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, a string, b string")
+    got = {r.id: r.s for r in df.select("id", compare.similarity(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert got == {i: round(difflib.SequenceMatcher(a=a, b=b).ratio(), 4) for i, (a, b) in enumerate(rows)}
+
+
+def test_similarity_of_a_long_text_with_many_changes_takes_seconds(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("etaoinshrdlukvjxqz0123456789", [9] * 12 + [1] * 6 + [0.5] * 10, k=6)) for _ in range(60_000)]
+    df = spark.createDataFrame([("".join(words), "".join(w for i, w in enumerate(words) if i % 7))], "a string, b string")
+    began = time.monotonic()
+    assert 0 < df.select(compare.similarity(F.col("a"), F.col("b"))).first()[0] < 1  # 360,000 characters, of which all pairs of equal rare ones were looked at for every block
+    assert time.monotonic() - began < 30
+
+
 LOG = "slug string, kind string, seq long, date string, result string, hash string, capture string, headers array<string>, transport string, supersedes string"
 
 

@@ -103,6 +103,27 @@ def test_patience_blocks_rebuild_the_new_text(spark):
     assert sorted((b["tag"], b["removed"], b["added"]) for b in patience.blocks(df, "k", "old", "new", F.col("p")).collect()) == [("delete", ["a"], []), ("insert", [], ["a"])]
 
 
+def test_keys_whose_pairs_all_ascend_need_no_call_of_python(spark, monkeypatch):
+    longest = patience.chain
+
+    def crossed_only(i, j):
+        assert any(y <= x for x, y in zip(j.tolist(), j.tolist()[1:])), "these pairs ascend"
+        return longest(i, j)
+
+    monkeypatch.setattr(patience, "chain", crossed_only)
+    pairs = [(1, 0, 0), (1, 2, 1), (1, 2, 1), (1, 3, 9), (2, 0, 5), (2, 1, 1), (2, 2, 2), (3, 4, 1), (3, 4, 2), (3, 5, 2), (4, 7, 7)]
+    got = patience._chains(spark.createDataFrame(pairs, "key int, i int, j int"))
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 0), (1, 2, 1), (1, 3, 9), (2, 1, 1), (2, 2, 2), (3, 4, 1), (3, 5, 2), (4, 7, 7)]
+
+
+def test_stretches_are_those_of_the_blocks(spark):
+    rng = random.Random(9)
+    rows = [(k, [rng.choice("abcdefgh") for _ in range(rng.randrange(20))], [rng.choice("abcdefgh") for _ in range(rng.randrange(20))]) for k in range(40)]
+    df = spark.createDataFrame([*rows, (100, None, ["x"]), (101, ["x"], None), (102, ["x"], ["x"])], "k int, old array<string>, new array<string>")
+    told = lambda d: sorted((r.k, r.seg) for r in d.collect())
+    assert told(patience.stretches(df, "k", "old", "new")) == told(patience.blocks(df, "k", "old", "new"))
+
+
 def test_longest_chain():
     import numpy as np
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import difflib
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.functions import text as T
+from veriloom.functions.matching import ratio as matched_share
 from veriloom.operators.nearby import points_in_ranges
 
 # Verdicts in their order; the last two concern tools, not documents.
@@ -111,7 +110,7 @@ def similarity(a: Column, b: Column) -> Column:
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else round(difflib.SequenceMatcher(a=x, b=y).ratio(), 4) for x, y in zip(a, b, strict=True)], dtype="float64")
+        return pd.Series([None if x is None or y is None else round(matched_share(x, y), 4) for x, y in zip(a, b, strict=True)], dtype="float64")
 
     return ratio(a, b)
 

@@ -47,14 +47,21 @@ def chain(i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _chains(pairs: DataFrame) -> DataFrame:
-    """The longest chain of pairs(key, i, j) of each key; a key's pairs are as many as its paragraphs, three times at most."""
+    """The longest chain of pairs(key, i, j) of each key; a key's pairs are as many as its paragraphs, three times at most.
+
+    Where all pairs of a key ascend they are the chain, told by a window: most keys of texts that were hardly rearranged. A call of Python is for the others.
+    """
 
     def run(table):
         t = table.sort_by([("i", "ascending"), ("j", "descending")])
         return t.filter(pa.array(chain(t["i"].to_numpy(), t["j"].to_numpy())))
 
+    w = Window.partitionBy("key").orderBy("i", F.desc("j"))
+    ascends = (F.col("i") > F.lag("i").over(w)) & (F.col("j") > F.lag("j").over(w))
+    told = pairs.select("key", "i", "j").distinct().withColumn("up", F.coalesce(ascends, F.lit(True))).withColumn("up", F.bool_and("up").over(Window.partitionBy("key")))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.select("key", "i", "j").schema)
-    return pairs.select("key", "i", "j").distinct().groupBy("key").applyInArrow(run, schema)
+    crossed = told.where("not up").drop("up").groupBy("key").applyInArrow(run, schema)
+    return told.where("up").drop("up").unionByName(crossed)
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -87,16 +94,16 @@ def _round(a: DataFrame, b: DataFrame) -> DataFrame:
     return found
 
 
-def matches(pairs: DataFrame, key: str, old: str, new: str, by: Column | None = None) -> DataFrame:
-    """(key, i, j): places, from 0, of equal elements of the arrays old and new, ascending on both sides. Keys are distinct; null arrays are empty.
-
-    by: what of an element must be equal, an expression of the column p (default: its letters and digits, lower-cased).
-    """
+def _sides(pairs: DataFrame, key: str, old: str, new: str, by: Column | None) -> tuple[DataFrame, DataFrame]:
+    """(key, at, h) of the elements of either array, kept: h is a digest of what must be equal."""
     by = T.squash("p") if by is None else by
     side = lambda c: _kept(pairs.select(F.col(key).alias("key"), F.posexplode(c).alias("at", "p")).select("key", "at", F.substring(F.unhex(F.sha2(by, 256)), 1, 16).alias("h")))
-    a, b = side(old), side(new)
+    return side(old), side(new)
+
+
+def _matches(a: DataFrame, b: DataFrame) -> DataFrame:
     kind = a.schema["key"].dataType.simpleString()
-    done = pairs.sparkSession.createDataFrame([], f"key {kind}, i int, j int")
+    done = a.sparkSession.createDataFrame([], f"key {kind}, i int, j int")
     while True:
         fresh = _kept(_chains(_round(_left(a, done, "i"), _left(b, done, "j"))))
         if fresh.isEmpty():
@@ -104,6 +111,21 @@ def matches(pairs: DataFrame, key: str, old: str, new: str, by: Column | None =
         done = fresh if done.isEmpty() else done.unionByName(fresh)
 
 
+def matches(pairs: DataFrame, key: str, old: str, new: str, by: Column | None = None) -> DataFrame:
+    """(key, i, j): places, from 0, of equal elements of the arrays old and new, ascending on both sides. Keys are distinct; null arrays are empty.
+
+    by: what of an element must be equal, an expression of the column p (default: its letters and digits, lower-cased).
+    """
+    return _matches(*_sides(pairs, key, old, new, by))
+
+
+def stretches(pairs: DataFrame, key: str, old: str, new: str, by: Column | None = None) -> DataFrame:
+    """(key, seg) of the blocks, without their elements: texts are read for their digests alone, and never again."""
+    a, b = _sides(pairs, key, old, new, by)
+    m = _kept(_matches(a, b))
+    return _left(a, m, "i").select("key", "seg").unionByName(_left(b, m, "j").select("key", "seg")).distinct().withColumnRenamed("key", key)
+
+
 def blocks(pairs: DataFrame, key: str, old: str, new: str, by: Column | None = None) -> DataFrame:
     """(key, seg, tag, at, removed, added): what is between matches, in order of seg: from place `at` of old, `removed` elements give way to `added`.
 
