@@ -67,6 +67,15 @@ def test_points_and_sums_in_ranges(spark):
     assert sums == {j: (sum(1 for i, k in want if k == j), sum(i for i, k in want if k == j)) for j, _, _ in ranges}
 
 
+def test_sides_of_a_range_join_are_computed_once_and_neither_is_broadcast(spark):
+    p = spark.range(300).selectExpr("id as i", "id % 2 as at")
+    r = spark.range(50).selectExpr("id as r", "0L as low", "1L as high")
+    got = nearby.points_in_ranges(p, r, "at", "low", "high", "i", "r", 4, (5, 2))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in text and "SortMergeJoin" in text
+    assert got.count() == 300 * 50
+
+
 def carry_out(old, blocks):
     out, at = [], 0
     for b in sorted(blocks, key=lambda b: (b["at"], b["seg"])):
