@@ -90,3 +90,24 @@ def test_tables_grow_with_the_texts_not_with_their_grams(spark, tmp_path, monkey
     monkeypatch.setattr(gramindex, "scratch", lambda _, name: made.append(name) or f"file://{tmp_path}/{len(made)}-{name}")
     assert run(spark, texts, texts) == sorted(((i, 1, i) for i, _ in texts), key=str)
     assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 1.5 * sum(len(x) for _, x in texts)
+
+
+def test_tables_hold_no_texts(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    texts = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(600))) for i in range(300)]
+    texts += [(1000 + i, x) for i, x in texts[:100]] * 2
+    rows = {}
+    kept = gramindex._kept
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(gramindex, "scratch", lambda _, name: f"file://{tmp_path}/{len(rows)}-{name}")
+    monkeypatch.setattr(gramindex, "_kept", counted)
+    monkeypatch.setattr(gramindex, "_forget", lambda *tables: None)
+    want = [((i, 3 if i % 1000 < 100 else 1, i % 1000)) for i, _ in texts]
+    assert run(spark, texts, texts) == sorted(want, key=str)
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 0.3 * sum(len(x) for _, x in texts)
+    assert rows["keyed"] == 300 and rows["index"] < 600  # copies beside the first are not taken apart, but for those that a bitmap lets through
